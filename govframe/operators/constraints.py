@@ -163,7 +163,9 @@ def validated_append(
         ukeys = list(ukeys)
         both = target.select(*ukeys).unionByName(candidates.select(*ukeys))
         counts = both.groupBy(*ukeys).agg(F.count(F.lit(1)).alias(f"_u_{name}"))
-        df = df.join(counts, [df[k].eqNullSafe(counts[k]) for k in ukeys], "left").drop(*[counts[k] for k in ukeys])
+        renamed = [f"_uk_{name}_{i}" for i in range(len(ukeys))]
+        counts = counts.select(*[F.col(k).alias(r) for k, r in zip(ukeys, renamed)], f"_u_{name}")
+        df = df.join(counts, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(ukeys, renamed)], "left").drop(*renamed)
         flags.append(F.when(F.col(f"_u_{name}") > 1, F.lit(f"unique:{name}")))
         drop.append(f"_u_{name}")
 

@@ -1,0 +1,67 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from govframe.functions import datediff_boundary, is_json, json_value, like_to_regex, like_tsql, snapshot_path, ts_literal
+from govframe.schemas import PERIOD_PATTERN
+
+
+@pytest.mark.parametrize("pattern,value,expected", [
+    (PERIOD_PATTERN, "2025S1", True),
+    (PERIOD_PATTERN, "25S3", False),
+    (PERIOD_PATTERN, "202S1", False),
+    (PERIOD_PATTERN, "2025S3", False),
+    ("%Data%", "Big Data", True),
+    ("%Data%", "Base de Datos", False),
+    ("red%", "red bolt", True),
+    ("%bolt", "red bolt", True),
+    ("a_c", "abc", True),
+    ("a_c", "abbc", False),
+    ("[^0-9]x", "ax", True),
+    ("[^0-9]x", "1x", False),
+    ("a.b", "a.b", True),
+    ("a.b", "axb", False),
+])
+def test_like_tsql(spark, pattern, value, expected):
+    got = spark.range(1).select(like_tsql(F.lit(value), pattern).alias("m")).first().m
+    assert got is expected
+
+
+def test_like_char_padding_ignored(spark):
+    # CHAR(6): trailing blanks are padding
+    assert spark.range(1).select(like_tsql(F.lit("2025S1 "), PERIOD_PATTERN).alias("m")).first().m is True
+    assert like_to_regex("50%").endswith("\\z")
+
+
+def test_datediff_counts_boundaries(spark):
+    r = spark.range(1).select(
+        datediff_boundary("MINUTE", ts_literal("2024-01-01 00:00:59"), ts_literal("2024-01-01 00:01:01")).alias("m"),
+        datediff_boundary("SECOND", ts_literal("2024-01-01 00:00:00.9"), ts_literal("2024-01-01 00:00:01.1")).alias("s"),
+        datediff_boundary("DAY", ts_literal("2024-01-01 23:59:59"), ts_literal("2024-01-02 00:00:00")).alias("d"),
+    ).first()
+    assert (r.m, r.s, r.d) == (1, 1, 1)
+
+
+def test_is_json(spark):
+    df = spark.createDataFrame([("{}",), ("[1]",), ("42",), ("{bad",), ("",), (None,), ('  {"a":1}',)], "j string")
+    got = [r.v for r in df.select(is_json("j").alias("v")).collect()]
+    assert got == [True, True, False, False, False, None, True]
+
+
+def test_json_value_seed_events(spark, academy):
+    # JSON_VALUE($.tipo / $.origen) on the three seed events: login/matricula/update and NULL
+    rows = academy["events_json"].orderBy("id").select(
+        json_value("payload", "$.tipo").alias("tipo"), json_value("payload", "$.origen").alias("origen")).collect()
+    assert [(r.tipo, r.origen) for r in rows] == [("login", None), ("matricula", None), ("update", None)]
+
+
+def test_json_value_nested_is_null(spark):
+    df = spark.createDataFrame([('{"k": {"v": 1}}',), ('{"k": [1]}',), ('{"k": true}',), ('{"k": "x"}',)], "j string")
+    assert [r.k for r in df.select(json_value("j", "$.k").alias("k")).collect()] == [None, None, "true", "x"]
+
+
+def test_snapshot_path(spark):
+    p = spark.range(1).select(snapshot_path(F.lit("/b/"), "Academia2022", "DIFF",
+                                            F.lit(dt.datetime(2025, 3, 4, 5, 6, 7)).cast("timestamp_ntz")).alias("p")).first().p
+    assert p == "/b/Academia2022_DIFF_20250304_050607.bak"
