@@ -597,3 +597,27 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON
 JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
 GROUP BY r.r_name, n.n_name
 """
+
+ORACLE["composite_key_join"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, p.n_lines,
+       CAST(l.l_quantity AS BIGINT) * 1000 // CAST(p.pair_qty AS BIGINT) AS qty_share_permille
+FROM lineitem l
+JOIN (SELECT l_partkey, l_suppkey, count(*) AS n_lines, sum(l_quantity) AS pair_qty FROM lineitem GROUP BY 1, 2) p
+  ON l.l_partkey = p.l_partkey AND l.l_suppkey = p.l_suppkey
+"""
+
+ORACLE["audit_append"] = f"""
+WITH pc AS (
+  SELECT row_number() OVER (ORDER BY event_id) AS audit_id, {AS_OF} AS event_time,
+         'PERMISSION_CHANGE' AS event_type, 'app_admin' AS login_name, 'app_admin' AS database_user,
+         'events' AS object_name, 'SELECT' AS permission_type, value >= 50 AS success, CAST(NULL AS VARCHAR) AS details
+  FROM events WHERE event_type = 'click'
+), lf AS (
+  SELECT coalesce((SELECT max(audit_id) FROM pc), 0) + row_number() OVER (ORDER BY ts, event_id) AS audit_id,
+         ts AS event_time, 'LOGIN_FAILED' AS event_type, 'u' || CAST(user_id AS VARCHAR) AS login_name,
+         'app_admin' AS database_user, CAST(NULL AS VARCHAR) AS object_name, CAST(NULL AS VARCHAR) AS permission_type,
+         false AS success, props AS details
+  FROM events WHERE event_type = 'error'
+)
+SELECT * FROM pc UNION ALL SELECT * FROM lf
+"""

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govframe.functions import tsql
+from govframe.operators import audit as A
 from govframe.operators import constraints as C
 from govframe.operators import history as H
 from govframe.operators import joins as J
@@ -257,6 +258,19 @@ def left_join_default(spark, d):
     return j.select("c_custkey", F.coalesce(F.col("n_name"), F.lit("OTHER")).alias("nation_label"))
 
 
+@recipe
+def composite_key_join(spark, d):
+    """C-3: equi-join on a two-column key -- each line's per-mille share of the
+    quantity of its (part, supplier) pair; the pair side is pre-aggregated."""
+    li = _t(spark, d, "lineitem")
+    per_pair = li.groupBy("l_partkey", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("pair_qty"))
+    j = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").join(
+        per_pair, ["l_partkey", "l_suppkey"])
+    share = F.expr("(CAST(l_quantity AS BIGINT) * 1000) div CAST(pair_qty AS BIGINT)")
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_lines", share.alias("qty_share_permille"))
+
+
 # ----------------------------------------------------- D: aggregation ----
 
 @recipe
@@ -629,6 +643,24 @@ def audit_action_summary(spark, d):
     return R.action_summary(_t(spark, d, "events"), ["user_id", "event_type"], "ts")
 
 
+AUDIT_CALLER = "app_admin"
+
+
+@recipe
+def audit_append(spark, d):
+    """K-6, A-4, I-14, I-16: permission changes (time, caller and details from DEFAULTs) and
+    failed logins appended to the audit table, ids continuing after the current maximum."""
+    e = _t(spark, d, "events")
+    changes = e.filter(F.col("event_type") == "click").select(
+        F.lit("events").alias("object_name"), F.lit("SELECT").alias("permission_type"),
+        (F.col("value") >= 50).alias("granted"), F.col("event_id").alias("_order"))
+    fails = e.filter(F.col("event_type") == "error").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("login_name"), F.col("props").alias("details"),
+        F.col("ts").alias("event_time"), F.col("event_id").alias("_order"))
+    audit = A.append_audit(None, A.permission_changes(changes), AUDIT_CALLER, X.AS_OF)
+    return A.append_audit(audit, A.failed_logins(fails), AUDIT_CALLER, X.AS_OF)
+
+
 def _acl(spark, d):
     s, n, li, p = (_t(spark, d, t) for t in ("supplier", "nation", "lineitem", "part"))
     return X.principals(s), X.memberships(s), X.roles(n), X.grants(li), X.objects(p)

@@ -5,7 +5,7 @@ from tests.conftest import SF_SMALL
 
 def test_contract_keys_match():
     assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 60
+    assert len(E.queries()) >= 72
 
 
 def test_entry_runs(spark):
