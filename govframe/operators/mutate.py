@@ -159,6 +159,11 @@ def with_computed(df: DataFrame, name: str, expr: Column) -> DataFrame:
     return df.withColumn(name, expr)
 
 
+def with_full_name(df: DataFrame, first: str, last: str, out: str = "full_name") -> DataFrame:
+    """The persisted computed column ``first + ' ' + last`` (NULL if either part is NULL)."""
+    return with_computed(df, out, F.concat(F.col(first), F.lit(" "), F.col(last)))
+
+
 def evolve(df: DataFrame, steps: Sequence[tuple]) -> DataFrame:
     """Apply column evolution steps in order.
 

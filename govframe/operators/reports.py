@@ -49,6 +49,18 @@ def latest(log: DataFrame, order: Sequence[ColumnOrName], k: int) -> DataFrame:
     return log.orderBy(*_cols(order)).limit(k)
 
 
+def latest_accesses(log: DataFrame, k: int = 1000, time_col: str = "event_at", tiebreak: str = "seq") -> DataFrame:
+    """The latest-accesses view: newest ``k`` log rows (time, then a unique tie-breaker)."""
+    return latest(log, [F.desc(time_col), F.desc(tiebreak)], k)
+
+
+def audit_top(report: DataFrame, k: int, detail: Column, success: Column, order: Sequence[ColumnOrName]) -> DataFrame:
+    """Latest ``k`` rows of an audit report with a detail column chosen per row and a
+    success/failure label (simple CASE: NULL -> failure)."""
+    estado = F.when(success == F.lit(True), F.lit(SUCCESS_LABEL)).otherwise(F.lit(FAILURE_LABEL))
+    return latest(report, order, k).withColumn("detalle", detail).withColumn("estado", estado)
+
+
 def latest_filtered(log: DataFrame, order: Sequence[ColumnOrName], k: int, cond: Column, k2: int) -> DataFrame:
     """A filter over a top-k view, then a second top: the filter applies after the first limit."""
     return log.orderBy(*_cols(order)).limit(k).filter(cond).orderBy(*_cols(order)).limit(k2)

@@ -154,6 +154,18 @@ def visibility_counts(df: DataFrame, subject_col: str, sessions: DataFrame, as_o
     return j.select("usuario", "subject", F.coalesce(F.col("n_visible"), F.lit(0).cast("long")).alias("n_visible"))
 
 
+visibility_matrix = visibility_counts
+
+
+def policy_report(policies: DataFrame, predicates: DataFrame, objects: DataFrame) -> DataFrame:
+    """Policy listing on exported catalogue tables: policy, enabled flag, and the table each
+    predicate protects.  ``policies(policy_id, name, is_enabled)``,
+    ``predicates(policy_id, target_object_id, predicate)``, ``objects(object_id, object_name)``."""
+    j = policies.join(predicates, "policy_id").join(
+        objects.withColumnRenamed("object_id", "target_object_id"), "target_object_id")
+    return j.select(F.col("name").alias("policy"), "is_enabled", F.col("object_name").alias("target"), "predicate")
+
+
 # -------------------------------------------------------- session events ---
 
 EVENT_COLS = ("usuario", "kind", "subject", "event_at", "seq", "expires_at")

@@ -19,6 +19,7 @@ from govframe.functions import tsql
 from govframe.operators import audit as A
 from govframe.operators import constraints as C
 from govframe.operators import history as H
+from govframe.operators import jsondoc as JS
 from govframe.operators import joins as J
 from govframe.operators import mutate as M
 from govframe.operators import numbering as N
@@ -311,7 +312,7 @@ def _log_order():
 def latest_accesses(spark, d):
     """F-2, K-2: latest 1000 accesses."""
     log = X.access_log(_t(spark, d, "events"))
-    return R.latest(log, _log_order(), 1000).select("usuario", "action", "table_name", "subject", "event_at")
+    return R.latest_accesses(log, 1000).select("usuario", "action", "table_name", "subject", "event_at")
 
 
 @recipe
@@ -343,7 +344,7 @@ def known_segment(c: DataFrame) -> DataFrame:
 def full_name(spark, d):
     """H-1, I-17: persisted computed column with NULL-propagating string '+'."""
     c = known_segment(_t(spark, d, "customer"))
-    return M.with_computed(c, "full_name", tsql.plus("c_mktsegment", F.lit(" "), "c_name")).select("c_custkey", "full_name")
+    return M.with_full_name(c, "c_mktsegment", "c_name").select("c_custkey", "full_name")
 
 
 # ------------------------------------------------------- I: mutations ----
@@ -632,9 +633,8 @@ def audit_top_detail(spark, d):
     """K-4: latest three of the report, detail chosen by action."""
     rep = _audit_24h(spark, d)
     detail = F.when(F.col("action") == "error", F.col("detail")).otherwise(F.col("usuario"))
-    estado = F.when(F.col("success") == F.lit(True), F.lit(R.SUCCESS_LABEL)).otherwise(F.lit(R.FAILURE_LABEL))
-    top = R.latest(rep, _log_order(), 3)
-    return top.select("event_at", "action", detail.alias("detalle"), estado.alias("estado"))
+    top = R.audit_top(rep, 3, detail, F.col("success"), _log_order())
+    return top.select("event_at", "action", "detalle", "estado")
 
 
 @recipe
@@ -778,7 +778,7 @@ def shaped_props(events: DataFrame) -> DataFrame:
 def json_extract(spark, d):
     """L-2, H-13: JSON_VALUE of a present, nested and missing path."""
     p = shaped_props(_t(spark, d, "events"))
-    return p.select("event_id", tsql.json_value("props", "$.k").alias("k"), tsql.json_value("props", "$.origen").alias("origen"))
+    return JS.json_props(p, "props", {"k": "$.k", "origen": "$.origen"}, keep=["event_id"])
 
 
 @recipe

@@ -65,3 +65,12 @@ def test_snapshot_path(spark):
     p = spark.range(1).select(snapshot_path(F.lit("/b/"), "Academia2022", "DIFF",
                                             F.lit(dt.datetime(2025, 3, 4, 5, 6, 7)).cast("timestamp_ntz")).alias("p")).first().p
     assert p == "/b/Academia2022_DIFF_20250304_050607.bak"
+
+
+def test_json_violations_and_props(spark, academy):
+    from govframe.operators.jsondoc import json_props, json_violations
+
+    bad = academy["events_json"].unionByName(spark.createDataFrame([(4, "{oops"), (5, "7")], "id int, payload string"))
+    assert sorted(r.id for r in json_violations(bad, "payload", keep=["id"]).collect()) == [4, 5]
+    props = {r.id: (r.tipo, r.id_prop) for r in json_props(academy["events_json"], "payload", {"tipo": "$.tipo", "id_prop": "$.id"}, keep=["id"]).collect()}
+    assert props == {1: ("login", None), 2: ("matricula", None), 3: ("update", "2")}

@@ -117,3 +117,12 @@ def test_purge(spark):
     sess = _sessions(spark)
     kept = S.purge_sessions(sess, T0 + dt.timedelta(days=31), days=30)
     assert sorted(r.usuario for r in kept.collect()) == ["ana", "laura", "luis"]
+
+
+def test_policy_report(spark):
+    pol = spark.createDataFrame([(1, "FiltroAlumnos", True), (2, "FiltroActivos", False)], "policy_id int, name string, is_enabled boolean")
+    pred = spark.createDataFrame([(1, 10, "fn_session(student_id)"), (1, 11, "fn_session(student_id)"), (2, 10, "fn_active(active)")],
+                                 "policy_id int, target_object_id int, predicate string")
+    obj = spark.createDataFrame([(10, "students"), (11, "enrolments")], "object_id int, object_name string")
+    got = sorted((r.policy, r.target, r.is_enabled) for r in S.policy_report(pol, pred, obj).collect())
+    assert got == [("FiltroActivos", "students", False), ("FiltroAlumnos", "enrolments", True), ("FiltroAlumnos", "students", True)]
