@@ -129,6 +129,19 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object], schema: T.Stru
     return out
 
 
+def keys_present(table: DataFrame, probe: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct ``keys`` of ``table`` that also occur in ``probe``.
+
+    Semi-join first, de-duplicate after: with a small probe AQE broadcasts
+    its keys and the big table is filtered during the scan; with a large
+    probe the semi-join output is already partitioned by the key, so the
+    ``distinct`` adds no shuffle.
+    """
+    keys = list(keys)
+    wanted = probe.select(*keys).distinct()
+    return table.select(*keys).join(wanted, keys, "left_semi").distinct()
+
+
 def validated_append(
     target: DataFrame,
     candidates: DataFrame,
@@ -150,8 +163,10 @@ def validated_append(
     flags: list[Column] = []
     df = candidates
 
-    # PRIMARY KEY: null, clash with target, duplicate inside batch.
-    tgt_keys = target.groupBy(*pk).agg(F.lit(True).alias("_pk_in_target"))
+    # PRIMARY KEY: null, clash with target, duplicate inside batch.  Only the
+    # target keys that occur in the batch matter: the semi-join lets AQE
+    # broadcast a small batch's key set and filter the target map-side.
+    tgt_keys = keys_present(target, candidates, pk).withColumn("_pk_in_target", F.lit(True))
     in_batch = candidates.groupBy(*pk).agg(F.count(F.lit(1)).alias("_pk_batch_n"))
     df = df.join(tgt_keys, pk, "left").join(in_batch, pk, "left")
     flags.append(F.when(_any_null(pk), F.lit("pk:null")))
@@ -171,7 +186,8 @@ def validated_append(
 
     for parent, fk_cols, pk_cols, name in foreign_keys:
         fk_cols, pk_cols = list(fk_cols), list(pk_cols)
-        pkeys = parent.groupBy(*pk_cols).agg(F.lit(True).alias(f"_fk_{name}"))
+        wanted = candidates.select(*[F.col(f).alias(p) for f, p in zip(fk_cols, pk_cols)])
+        pkeys = keys_present(parent, wanted, pk_cols).withColumn(f"_fk_{name}", F.lit(True))
         pkeys = pkeys.select(*[F.col(p).alias(f"_fkk_{name}_{i}") for i, p in enumerate(pk_cols)], f"_fk_{name}")
         cond = [F.col(f) == F.col(f"_fkk_{name}_{i}") for i, f in enumerate(fk_cols)]
         df = df.join(pkeys, cond, "left").drop(*[f"_fkk_{name}_{i}" for i in range(len(pk_cols))])

@@ -182,16 +182,12 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
         F.max(F.when(F.col("state") == "DENY", 1).otherwise(0)).alias("_deny"),
         F.max(F.when(F.col("state") == "GRANT", 1).otherwise(0)).alias("_grant"),
     )
-    roles = memberships.groupBy("user_id").agg(F.collect_set("role_id").alias("_roles"))
-    req = requests.join(roles, "user_id", "left").join(objects.select("object_id", "scope"), "object_id", "left")
-    grantees = F.concat(
-        F.array(F.concat(F.lit("U:"), F.col("user_id").cast("string"))),
-        F.coalesce(F.transform("_roles", lambda r: F.concat(F.lit("R:"), r.cast("string"))), F.array().cast("array<string>")),
-    )
-    lookups = req.select(
-        "user_id", "object_id", "permission",
-        F.explode(grantees).alias("grantee"), "scope",
-    ).select(
+    req = requests.join(objects.select("object_id", "scope"), "object_id", "left")
+    as_user = req.select("user_id", "object_id", "permission", "scope",
+                         F.concat(F.lit("U:"), F.col("user_id").cast("string")).alias("grantee"))
+    as_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id").select(
+        "user_id", "object_id", "permission", "scope", F.concat(F.lit("R:"), F.col("role_id").cast("string")).alias("grantee"))
+    lookups = as_user.unionByName(as_role).select(
         "user_id", "object_id", "permission", "grantee",
         F.explode(F.array(
             F.struct(F.lit("OBJECT").alias("level"), F.col("object_id").cast("string").alias("securable")),

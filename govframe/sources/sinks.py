@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govframe.operators.constraints import apply_defaults
+from govframe.operators.constraints import apply_defaults, keys_present
 from govframe.schemas import ACADEMY
 
 ColumnOrValue = Column | object
@@ -36,11 +36,13 @@ def append(target: DataFrame, new_rows: DataFrame, defaults: Mapping[str, Column
 def insert_if_absent(target: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Idempotent seed: add candidate rows whose key is not in the target.
 
-    One anti-join on the key; neither side is collected.  Candidates that
+    Only target keys that occur among the candidates are looked at (a
+    semi-join AQE can broadcast when the batch is small), then one anti-join.  Candidates that
     share a key with each other are all kept (a later PK check reports
     them), exactly like a multi-row insert would fail on them.
     """
-    fresh = candidates.join(target.select(*keys), list(keys), "left_anti")
+    existing = keys_present(target, candidates, keys)
+    fresh = candidates.join(existing, list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
