@@ -74,3 +74,70 @@ def test_json_violations_and_props(spark, academy):
     assert sorted(r.id for r in json_violations(bad, "payload", keep=["id"]).collect()) == [4, 5]
     props = {r.id: (r.tipo, r.id_prop) for r in json_props(academy["events_json"], "payload", {"tipo": "$.tipo", "id_prop": "$.id"}, keep=["id"]).collect()}
     assert props == {1: ("login", None), 2: ("matricula", None), 3: ("update", "2")}
+
+
+def _like_brute(pattern, value):
+    """Reference matcher for LIKE with %, _ and [classes] by dynamic programming."""
+    toks, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "[" and "]" in pattern[i + 1:]:
+            j = pattern.index("]", i + 1)
+            body = pattern[i + 1:j]
+            neg = body.startswith("^")
+            body = body[1:] if neg else body
+            chars = set()
+            k = 0
+            while k < len(body):
+                if k + 2 < len(body) and body[k + 1] == "-":
+                    chars |= {chr(c) for c in range(ord(body[k]), ord(body[k + 2]) + 1)}
+                    k += 3
+                else:
+                    chars.add(body[k])
+                    k += 1
+            toks.append(("cls", chars, neg))
+            i = j + 1
+            continue
+        toks.append(("any",) if ch == "%" else ("one",) if ch == "_" else ("lit", ch))
+        i += 1
+    memo = {}
+
+    def m(t, v):
+        if (t, v) in memo:
+            return memo[(t, v)]
+        if t == len(toks):
+            r = v == len(value)
+        elif toks[t][0] == "any":
+            r = m(t + 1, v) or (v < len(value) and m(t, v + 1))
+        elif v == len(value):
+            r = False
+        elif toks[t][0] == "one":
+            r = m(t + 1, v + 1)
+        elif toks[t][0] == "lit":
+            r = value[v] == toks[t][1] and m(t + 1, v + 1)
+        else:
+            _, chars, neg = toks[t]
+            r = ((value[v] in chars) != neg) and m(t + 1, v + 1)
+        memo[(t, v)] = r
+        return r
+
+    return m(0, 0)
+
+
+def test_like_random_against_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    alphabet = "ab1.S%_"
+    pieces = ["a", "b", "1", ".", "%", "_", "[ab]", "[^a]", "[0-9]", "S", "(", "*"]
+    cases = []
+    for _ in range(400):
+        pat = "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 5)))
+        val = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 6)))
+        cases.append((pat, val))
+    df = spark.createDataFrame(cases, "p string, v string")
+    rows = df.collect()
+    exprs = [like_tsql(F.lit(r.v), r.p, fixed_char=False).alias(f"m{i}") for i, r in enumerate(rows)]
+    got = spark.range(1).select(*exprs).first()
+    mismatches = [(r.p, r.v) for i, r in enumerate(rows) if got[i] != _like_brute(r.p, r.v)]
+    assert mismatches == []
