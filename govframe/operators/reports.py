@@ -121,41 +121,41 @@ def label_format(df: DataFrame, col: str, ok: Column, name: str = "format", ok_l
 
 # --------------------------------------------------------- permissions ----
 
-def permission_audit(principals: DataFrame, memberships: DataFrame, roles: DataFrame, grants: DataFrame,
-                     objects: DataFrame, excluded: Sequence[str], allowed_types: Sequence[str]) -> DataFrame:
+def permission_audit(principals: DataFrame, memberships: DataFrame, grants: DataFrame, objects: DataFrame,
+                     excluded: Sequence[str], allowed_types: Sequence[str]) -> DataFrame:
     """User x role x object x permission listing, system principals excluded.
 
-    Inputs (exported access-list tables):
-    ``principals(principal_id, name, type_desc, type)``, ``memberships(member_id, role_id)``,
-    ``roles(role_id, role_name)``, ``grants(grantee_id, object_id, permission, state)``,
-    ``objects(object_id, object_name)``.  Principals are few compared to
-    grants; the grant side may have a hot grantee, so the left join is
+    Inputs are exported access-list tables: ``principals(principal_id, name, type, type_desc)``
+    (users *and* roles), ``memberships(member_id, role_id)``,
+    ``grants(grantee_id, object_id, permission, state)``, ``objects(object_id, object_name)``.
+    The principal table is read twice, once as the user and once as the
+    role.  Principals are few compared with grants, and one grantee may
+    hold a huge share of them, so the principal -> grant left join is
     written as a skew-splittable inner join plus the grant-less principals.
     """
     from govframe.operators.joins import left_join_fanout
 
     p = principals.filter(F.col("type").isin(*allowed_types) & ~F.col("name").isin(*excluded))
+    role_names = principals.select(F.col("principal_id").alias("role_id"), F.col("name").alias("role_name"))
     with_role = p.join(memberships, p["principal_id"] == memberships["member_id"], "left").join(
-        roles, "role_id", "left"
+        role_names, "role_id", "left"
     ).select("principal_id", "name", "type_desc", "role_name")
     g = grants.select("grantee_id", "object_id", "permission", "state")
     listed = left_join_fanout(with_role, g, ["principal_id"], ["grantee_id"])
-    out = listed.join(objects, "object_id", "left")
+    out = listed.join(objects.select("object_id", "object_name"), "object_id", "left")
     return out.select(
         F.col("name").alias("usuario"), F.col("type_desc").alias("tipo_usuario"), F.col("role_name").alias("rol"),
         F.col("object_name").alias("objeto"), F.col("permission").alias("permiso"), F.col("state").alias("estado"),
     )
 
 
-def role_permissions(role_name: str, roles: DataFrame, memberships: DataFrame, principals: DataFrame,
-                     grants: DataFrame, objects: DataFrame) -> DataFrame:
-    """Permissions held through one role: role -> members -> grants, object optional (left join)."""
-    r = roles.filter(F.col("role_name") == role_name)
-    members = r.join(memberships, "role_id").join(principals, memberships["member_id"] == principals["principal_id"])
-    g = members.join(grants, members["principal_id"] == grants["grantee_id"], "inner")
+def role_permissions(role_name: str, principals: DataFrame, grants: DataFrame, objects: DataFrame) -> DataFrame:
+    """Permissions granted to one role: role -> permission (inner) -> object (left; may be gone)."""
+    r = principals.filter(F.col("name") == role_name)
+    g = r.join(grants, r["principal_id"] == grants["grantee_id"], "inner")
     return g.join(objects, "object_id", "left").select(
-        F.col("role_name").alias("rol"), F.col("name").alias("usuario"), F.col("object_name").alias("objeto"),
-        F.col("permission").alias("permiso"), F.col("state").alias("estado"),
+        F.col("name").alias("rol"), F.col("class_desc").alias("clase"), F.col("schema_name").alias("esquema"),
+        F.col("object_name").alias("objeto"), F.col("permission").alias("permiso"), F.col("state").alias("estado"),
     )
 
 

@@ -413,25 +413,46 @@ SELECT user_id, event_type, count(*) AS n_events, min(ts) AS first_at, max(ts) A
 FROM events GROUP BY user_id, event_type
 """
 
-ORACLE["permission_audit"] = """
-SELECT s.s_name AS usuario, 'SQL_USER' AS tipo_usuario, n.n_name AS rol, p.p_name AS objeto,
-       CASE WHEN l.l_linestatus = 'O' THEN 'SELECT' ELSE 'UPDATE' END AS permiso,
-       CASE WHEN l.l_returnflag = 'R' THEN 'DENY' ELSE 'GRANT' END AS estado
-FROM supplier s
-LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
-LEFT JOIN lineitem l ON l.l_suppkey = s.s_suppkey
-LEFT JOIN part p ON p.p_partkey = l.l_partkey
-WHERE s.s_name NOT IN ('dbo', 'guest', 'INFORMATION_SCHEMA', 'sys', 'Supplier#000000000')
-"""
-
-ORACLE["role_permissions"] = """
-SELECT n.n_name AS rol, s.s_name AS usuario, p.p_name AS objeto,
-       CASE WHEN l.l_linestatus = 'O' THEN 'SELECT' ELSE 'UPDATE' END AS permiso,
-       CASE WHEN l.l_returnflag = 'R' THEN 'DENY' ELSE 'GRANT' END AS estado
-FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey
-JOIN lineitem l ON l.l_suppkey = s.s_suppkey
-LEFT JOIN part p ON p.p_partkey = l.l_partkey
-WHERE n.n_name = 'NATION_3'
+ACL_CTE = """
+principals AS (
+  SELECT s_suppkey AS principal_id, s_name AS name, 'S' AS type, 'SQL_USER' AS type_desc FROM supplier
+  UNION ALL
+  SELECT -1 - CAST(n_nationkey AS BIGINT), n_name, 'R', 'DATABASE_ROLE' FROM nation
+),
+members AS (SELECT s_suppkey AS member_id, -1 - CAST(s_nationkey AS BIGINT) AS role_id FROM supplier),
+perms AS (
+  SELECT l_suppkey AS grantee_id, l_partkey AS object_id, 'OBJECT_OR_COLUMN' AS class_desc,
+         CASE WHEN l_linestatus = 'O' THEN 'SELECT' ELSE 'UPDATE' END AS permission,
+         CASE WHEN l_returnflag = 'R' THEN 'DENY' ELSE 'GRANT' END AS state
+  FROM lineitem
+  UNION ALL
+  SELECT DISTINCT -1 - CAST(s.s_nationkey AS BIGINT), l.l_partkey, 'OBJECT_OR_COLUMN', 'SELECT', 'GRANT'
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+),
+objs AS (SELECT p_partkey AS object_id, p_name AS object_name, p_brand AS schema_name FROM part)
+"""
+
+ORACLE["permission_audit"] = f"""
+WITH {ACL_CTE}
+SELECT dp.name AS usuario, dp.type_desc AS tipo_usuario, r.name AS rol, o.object_name AS objeto,
+       p.permission AS permiso, p.state AS estado
+FROM principals dp
+LEFT JOIN members rm ON dp.principal_id = rm.member_id
+LEFT JOIN principals r ON rm.role_id = r.principal_id
+LEFT JOIN perms p ON dp.principal_id = p.grantee_id
+LEFT JOIN objs o ON p.object_id = o.object_id
+WHERE dp.type IN ('S', 'U', 'R')
+  AND dp.name NOT IN ('dbo', 'guest', 'INFORMATION_SCHEMA', 'sys', 'Supplier#000000000')
+"""
+
+ORACLE["role_permissions"] = f"""
+WITH {ACL_CTE}
+SELECT r.name AS rol, p.class_desc AS clase, o.schema_name AS esquema, o.object_name AS objeto,
+       p.permission AS permiso, p.state AS estado
+FROM principals r
+JOIN perms p ON r.principal_id = p.grantee_id
+LEFT JOIN objs o ON p.object_id = o.object_id
+WHERE r.name = 'NATION_3'
 """
 
 ORACLE["effective_permissions"] = """

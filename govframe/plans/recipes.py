@@ -663,22 +663,23 @@ def audit_append(spark, d):
 
 def _acl(spark, d):
     s, n, li, p = (_t(spark, d, t) for t in ("supplier", "nation", "lineitem", "part"))
-    return X.principals(s), X.memberships(s), X.roles(n), X.grants(li), X.objects(p)
+    return X.principals(s, n), X.memberships(s), X.grants(li, s), X.objects(p)
 
 
 @recipe
 def permission_audit(spark, d):
-    """K-7, C-5, B-6: user x role x object x permission; system principals excluded."""
-    pr, mem, rl, gr, ob = _acl(spark, d)
-    return R.permission_audit(pr, mem, rl, gr, ob, excluded=X.SYSTEM_PRINCIPALS + ("Supplier#000000000",),
+    """K-7, C-5, B-6: user x role x object x permission; principals read as user and as
+    role; system principals excluded."""
+    pr, mem, gr, ob = _acl(spark, d)
+    return R.permission_audit(pr, mem, gr, ob, excluded=X.SYSTEM_PRINCIPALS + ("Supplier#000000000",),
                               allowed_types=X.PRINCIPAL_TYPES)
 
 
 @recipe
 def role_permissions(spark, d):
-    """K-8, C-6: permissions held through one role."""
-    pr, mem, rl, gr, ob = _acl(spark, d)
-    return R.role_permissions("NATION_3", rl, mem, pr, gr, ob)
+    """K-8, C-6: permissions granted to one role (inner), object optional (left)."""
+    pr, _, gr, ob = _acl(spark, d)
+    return R.role_permissions("NATION_3", pr, gr, ob)
 
 
 # Scope-level (brand) grants of three roles, and one REVOKE.

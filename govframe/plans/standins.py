@@ -82,29 +82,48 @@ PRINCIPAL_TYPES = ("S", "U", "R")
 SYSTEM_PRINCIPALS = ("dbo", "guest", "INFORMATION_SCHEMA", "sys")
 
 
-def principals(supplier: DataFrame) -> DataFrame:
-    return supplier.select(
+def principals(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """Exported principal table: suppliers are users, nations are database roles
+    (role ids are negative so the two kinds never collide)."""
+    users = supplier.select(
         F.col("s_suppkey").alias("principal_id"), F.col("s_name").alias("name"),
-        F.lit("SQL_USER").alias("type_desc"), F.lit("S").alias("type"),
+        F.lit("S").alias("type"), F.lit("SQL_USER").alias("type_desc"),
     )
+    roles = nation.select(
+        (-1 - F.col("n_nationkey").cast("long")).alias("principal_id"), F.col("n_name").alias("name"),
+        F.lit("R").alias("type"), F.lit("DATABASE_ROLE").alias("type_desc"),
+    )
+    return users.unionByName(roles)
 
 
 def memberships(supplier: DataFrame) -> DataFrame:
-    return supplier.select(F.col("s_suppkey").alias("member_id"), F.col("s_nationkey").cast("long").alias("role_id"))
-
+    """Role membership: each supplier belongs to the role of its nation."""
+    return supplier.select(F.col("s_suppkey").alias("member_id"),
+                           (-1 - F.col("s_nationkey").cast("long")).alias("role_id"))
 
-def roles(nation: DataFrame) -> DataFrame:
-    return nation.select(F.col("n_nationkey").cast("long").alias("role_id"), F.col("n_name").alias("role_name"))
 
-
-def grants(lineitem: DataFrame) -> DataFrame:
-    """One grant row per line item: supplier -> part; a returned line ('R') is a DENY."""
-    return lineitem.select(
+def grants(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Exported permission table.  User grants: one row per line item (supplier -> part;
+    a returned line is a DENY).  Role grants: a nation's role may SELECT every part
+    its members ship (distinct pairs, aggregated before the union)."""
+    user_grants = lineitem.select(
         F.col("l_suppkey").alias("grantee_id"), F.col("l_partkey").alias("object_id"),
+        F.lit("OBJECT_OR_COLUMN").alias("class_desc"),
         F.when(F.col("l_linestatus") == "O", F.lit("SELECT")).otherwise(F.lit("UPDATE")).alias("permission"),
         F.when(F.col("l_returnflag") == "R", F.lit("DENY")).otherwise(F.lit("GRANT")).alias("state"),
     )
+    shipped = lineitem.select("l_suppkey", "l_partkey").join(
+        supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    role_grants = shipped.select(
+        (-1 - F.col("s_nationkey").cast("long")).alias("grantee_id"), F.col("l_partkey").alias("object_id"),
+    ).distinct().select(
+        "grantee_id", "object_id", F.lit("OBJECT_OR_COLUMN").alias("class_desc"),
+        F.lit("SELECT").alias("permission"), F.lit("GRANT").alias("state"),
+    )
+    return user_grants.unionByName(role_grants)
 
 
 def objects(part: DataFrame) -> DataFrame:
-    return part.select(F.col("p_partkey").alias("object_id"), F.col("p_name").alias("object_name"))
+    """Exported object table: parts are objects, their brand is the schema."""
+    return part.select(F.col("p_partkey").alias("object_id"), F.col("p_name").alias("object_name"),
+                       F.col("p_brand").alias("schema_name"))
