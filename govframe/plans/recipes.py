@@ -795,7 +795,7 @@ def scd2_apply(spark, d):
     c, s = _t(spark, d, "customer"), _t(spark, d, "supplier")
     start = tsql.ts_literal("2024-01-01 00:00:00")
     current = c.select("c_custkey", "c_mktsegment", start.alias("valid_from"))
-    history = current.limit(0).withColumn("valid_to", start)
+    history = spark.createDataFrame([], "c_custkey bigint, c_mktsegment string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     changes = c.filter((F.col("c_acctbal") < 0) | (F.col("c_nationkey") == 24)).select(
         "c_custkey", F.when(F.col("c_nationkey") == 24, F.lit("D")).otherwise(F.lit("U")).alias("op"),
         F.lit("DELINQUENT").alias("c_mktsegment"))

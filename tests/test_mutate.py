@@ -82,3 +82,19 @@ def test_explode_attribute(spark):
     df = spark.createDataFrame([(1, "es, en"), (2, "fr")], "id int, langs string")
     assert sorted(tuple(r) for r in M.explode_attribute(df, ["id"], "langs", out="lang").collect()) == [
         (1, "en"), (1, "es"), (2, "fr")]
+
+
+def test_cascade_on_driver_tables_leaves_no_orphans(spark):
+    from govframe.sources.tables import load_table
+    from tests.conftest import SF_SMALL
+
+    tables = {t: load_table(spark, SF_SMALL, t) for t in ("customer", "orders", "lineitem")}
+    fks = [M.ForeignKey("orders", ("o_custkey",), "customer", ("c_custkey",), "cascade"),
+           M.ForeignKey("lineitem", ("l_orderkey",), "orders", ("o_orderkey",), "cascade")]
+    new, block = M.delete_cascade(tables, fks, "customer", F.col("c_acctbal") < 0)
+    assert block is None
+    assert C.fk_violations(new["orders"], new["customer"], ["o_custkey"], ["c_custkey"]).count() == 0
+    assert C.fk_violations(new["lineitem"], new["orders"], ["l_orderkey"], ["o_orderkey"]).count() == 0
+    gone = tables["orders"].count() - new["orders"].count()
+    assert gone == tables["orders"].join(tables["customer"].filter("c_acctbal < 0"),
+                                         F.col("o_custkey") == F.col("c_custkey"), "left_semi").count()
