@@ -182,12 +182,18 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
         F.max(F.when(F.col("state") == "DENY", 1).otherwise(0)).alias("_deny"),
         F.max(F.when(F.col("state") == "GRANT", 1).otherwise(0)).alias("_grant"),
     )
-    req = requests.join(objects.select("object_id", "scope"), "object_id", "left")
-    as_user = req.select("user_id", "object_id", "permission", "scope",
-                         F.concat(F.lit("U:"), F.col("user_id").cast("string")).alias("grantee"))
-    as_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id").select(
-        "user_id", "object_id", "permission", "scope", F.concat(F.lit("R:"), F.col("role_id").cast("string")).alias("grantee"))
-    lookups = as_user.unionByName(as_role).select(
+    # One row per (request, role) -- a user without roles keeps one row with a
+    # NULL role.  Each row looks up the user and that role; a user with k roles
+    # repeats its user lookup k times, which the max() below absorbs.
+    req = requests.join(objects.select("object_id", "scope"), "object_id", "left").join(
+        memberships.select("user_id", "role_id").distinct(), "user_id", "left")
+    grantees = F.array(
+        F.concat(F.lit("U:"), F.col("user_id").cast("string")),
+        F.when(F.col("role_id").isNotNull(), F.concat(F.lit("R:"), F.col("role_id").cast("string"))),
+    )
+    lookups = req.select(
+        "user_id", "object_id", "permission", "scope", F.explode(grantees).alias("grantee"),
+    ).filter(F.col("grantee").isNotNull()).select(
         "user_id", "object_id", "permission", "grantee",
         F.explode(F.array(
             F.struct(F.lit("OBJECT").alias("level"), F.col("object_id").cast("string").alias("securable")),

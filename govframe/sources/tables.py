@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from govframe.schemas import DRIVER
@@ -45,9 +46,28 @@ def load_table(
     return df
 
 
+INLINE_LIMIT = 1000
+
+
 def rows(spark: SparkSession, schema: T.StructType | str, data: Iterable[Sequence]) -> DataFrame:
-    """Inline row source (``VALUES`` list) with a fixed schema."""
-    return spark.createDataFrame(list(data), schema)
+    """Inline row source (``VALUES`` list) with a fixed schema.
+
+    Up to ``INLINE_LIMIT`` rows become literals expanded by ``inline`` over a
+    one-row range: the plan stays in the JVM and Catalyst knows the relation
+    is tiny, so joins against it can be broadcast.  (A frame made with
+    ``createDataFrame`` from a Python list has an unknown size and would
+    force a shuffle of the other side.)  Larger lists fall back to
+    ``createDataFrame``.
+    """
+    data = list(data)
+    st = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+    if not data or len(data) > INLINE_LIMIT:
+        return spark.createDataFrame(data, st)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
+        for row in data
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def view(df: DataFrame, name: str) -> DataFrame:
