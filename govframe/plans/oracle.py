@@ -116,7 +116,7 @@ SELECT o_orderkey,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS fmt120,
        strftime(o_orderdate, '%Y%m%d') AS fmt112,
        strftime(o_orderdate, '%H:%M:%S') AS fmt108,
-       '/backups/Academia2022_FULL_' || strftime(o_orderdate, '%Y%m%d') || '_'
+       '/backups/academy_FULL_' || strftime(o_orderdate, '%Y%m%d') || '_'
          || replace(strftime(o_orderdate, '%H:%M:%S'), ':', '') || '.bak' AS snap_path
 FROM orders
 """

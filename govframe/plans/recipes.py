@@ -109,7 +109,7 @@ def snapshot_full_manifest(spark, d):
     """A-7, A-10: full snapshot of five tables to the shared folder + run log; the
     manifest is read back from the written snapshot."""
     tables = {name: _t(spark, d, name) for name in SNAPSHOT_TABLES}
-    paths, log = sinks.snapshot_full(tables, shared_path(spark, "snapshots"), "Academia2022",
+    paths, log = sinks.snapshot_full(tables, shared_path(spark, "snapshots"), "academy",
                                      _dt.datetime(2024, 1, 31))
     status = log.select("status")
     parts = []
@@ -150,7 +150,7 @@ def format_timestamps(spark, d):
         "o_orderkey",
         tsql.convert_ts(ts, 120).alias("fmt120"), tsql.convert_ts(ts, 112).alias("fmt112"),
         tsql.convert_ts(ts, 108).alias("fmt108"),
-        tsql.snapshot_path(F.lit("/backups/"), "Academia2022", "FULL", ts).alias("snap_path"),
+        tsql.snapshot_path(F.lit("/backups/"), "academy", "FULL", ts).alias("snap_path"),
     )
 
 

@@ -6,16 +6,16 @@ from govframe.schemas import ACADEMY
 
 # Seed students (id, first, last, email, age, active, career, contact).
 STUDENTS = [
-    (1, "Juan", "Pérez", "juan.perez@academia.com", 20, True, 1, 1),
-    (2, "María", "García", "maria.garcia@academia.com", 22, True, 2, 2),
-    (3, "Carlos", "López", "carlos.lopez@academia.com", 19, False, 4, None),
-    (4, "Ana", "Martínez", "ana.martinez@academia.com", 21, True, 1, 3),
-    (5, "Luis", "Rodríguez", "luis.rodriguez@academia.com", 23, True, 1, 4),
-    (6, "Sofía", "Hernández", "sofia.hernandez@academia.com", 18, True, 3, 5),
-    (7, "Miguel", "González", "miguel.gonzalez@academia.com", 25, False, None, None),
-    (8, "Laura", "Sánchez", "laura.sanchez@academia.com", 20, True, 2, 6),
-    (9, "Diego", "Torres", "diego.torres@academia.com", 22, True, 2, None),
-    (10, "Elena", "Ramírez", "elena.ramirez@academia.com", 19, True, 3, None),
+    (1, "Juan", "Pérez", "juan.perez@example.edu", 20, True, 1, 1),
+    (2, "María", "García", "maria.garcia@example.edu", 22, True, 2, 2),
+    (3, "Carlos", "López", "carlos.lopez@example.edu", 19, False, 4, None),
+    (4, "Ana", "Martínez", "ana.martinez@example.edu", 21, True, 1, 3),
+    (5, "Luis", "Rodríguez", "luis.rodriguez@example.edu", 23, True, 1, 4),
+    (6, "Sofía", "Hernández", "sofia.hernandez@example.edu", 18, True, 3, 5),
+    (7, "Miguel", "González", "miguel.gonzalez@example.edu", 25, False, None, None),
+    (8, "Laura", "Sánchez", "laura.sanchez@example.edu", 20, True, 2, 6),
+    (9, "Diego", "Torres", "diego.torres@example.edu", 22, True, 2, None),
+    (10, "Elena", "Ramírez", "elena.ramirez@example.edu", 19, True, 3, None),
 ]
 CAREERS = [(1, "Ingeniería de Software"), (2, "Administración de Empresas"), (3, "Diseño Gráfico"), (4, "Ciencias de Datos")]
 COURSES = [

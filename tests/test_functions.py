@@ -62,9 +62,9 @@ def test_json_value_nested_is_null(spark):
 
 
 def test_snapshot_path(spark):
-    p = spark.range(1).select(snapshot_path(F.lit("/b/"), "Academia2022", "DIFF",
+    p = spark.range(1).select(snapshot_path(F.lit("/b/"), "academy", "DIFF",
                                             F.lit(dt.datetime(2025, 3, 4, 5, 6, 7)).cast("timestamp_ntz")).alias("p")).first().p
-    assert p == "/b/Academia2022_DIFF_20250304_050607.bak"
+    assert p == "/b/academy_DIFF_20250304_050607.bak"
 
 
 def test_json_violations_and_props(spark, academy):

@@ -15,11 +15,11 @@ AS_OF = dt.datetime(2024, 1, 31)
 def test_full_plus_diff_rebuilds_current(spark):
     orders = load_table(spark, SF_SMALL, "orders")
     base = shared_path(spark, "test-snap")
-    paths, log = sinks.snapshot_full({"orders": orders}, base, "Academia2022", AS_OF)
-    assert log.first().status == "SUCCESS" and paths["orders"].endswith("Academia2022_FULL_20240131_000000/orders")
+    paths, log = sinks.snapshot_full({"orders": orders}, base, "academy", AS_OF)
+    assert log.first().status == "SUCCESS" and paths["orders"].endswith("academy_FULL_20240131_000000/orders")
     full = spark.read.schema(orders.schema).parquet(paths["orders"])
     current = changed_orders(orders)
-    path, dlog = sinks.snapshot_diff_write(current, full, ["o_orderkey"], base, "Academia2022", AS_OF)
+    path, dlog = sinks.snapshot_diff_write(current, full, ["o_orderkey"], base, "academy", AS_OF)
     assert dlog.first().kind == "DIFF"
     diff = spark.read.parquet(path)
     rebuilt = sinks.restore(full, diff, ["o_orderkey"])
