@@ -4,6 +4,7 @@ from govframe.functions.tsql import (
     CONVERT_STYLES,
     add_interval,
     ceil_int,
+    ci,
     convert_ts,
     datediff_boundary,
     is_json,
@@ -16,6 +17,6 @@ from govframe.functions.tsql import (
 )
 
 __all__ = [
-    "CONVERT_STYLES", "add_interval", "ceil_int", "convert_ts", "datediff_boundary", "is_json",
+    "CONVERT_STYLES", "add_interval", "ceil_int", "ci", "convert_ts", "datediff_boundary", "is_json",
     "json_value", "like_to_regex", "like_tsql", "plus", "snapshot_path", "ts_literal",
 ]

@@ -6,8 +6,6 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,16 +54,33 @@ def like_to_regex(pattern: str) -> str:
     return "(?s)^" + "".join(out) + "\\z"
 
 
-def like_tsql(col: ColumnOrName, pattern: str, fixed_char: bool = True) -> Column:
+def like_tsql(col: ColumnOrName, pattern: str, fixed_char: bool = True, case_insensitive: bool = False) -> Column:
     """``col LIKE pattern`` with character classes.
 
     ``fixed_char`` models a ``CHAR(n)`` column: trailing blanks are padding
-    and do not take part in the match.  NULL input gives NULL.
+    and do not take part in the match.  ``case_insensitive`` models a
+    case-insensitive, accent-sensitive collation.  NULL input gives NULL.
     """
     c = _c(col)
     if fixed_char:
         c = F.rtrim(c)
-    return c.rlike(like_to_regex(pattern))
+    rx = like_to_regex(pattern)
+    if case_insensitive:
+        rx = "(?iu)" + rx
+    return c.rlike(rx)
+
+
+# Fixed value: the Spark collation that is case-insensitive and accent-sensitive.
+CASE_INSENSITIVE_COLLATION = "UTF8_LCASE"
+
+
+def ci(col: ColumnOrName) -> Column:
+    """A string column under a case-insensitive, accent-sensitive collation.
+
+    Comparisons, grouping (UNIQUE checks) and joins on the result ignore
+    case but not accents.  The default elsewhere is binary comparison.
+    """
+    return F.collate(_c(col), CASE_INSENSITIVE_COLLATION)
 
 
 # ---------------------------------------------------------------- time ----
@@ -83,13 +98,10 @@ def datediff_boundary(unit: str, start: ColumnOrName, end: ColumnOrName) -> Colu
     u = unit.upper()
     if u not in _UNITS:
         raise ValueError(f"unsupported unit {unit}")
-    fn = getattr(F, "timestamp_diff", None)
     s, e = F.date_trunc(u, _c(start)), F.date_trunc(u, _c(end))
-    # date_trunc returns TIMESTAMP (session zone); keep ntz inputs zone-free
+    # keep the truncated ends zone-free whatever date_trunc returns
     s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
-    if fn is not None:
-        return fn(u, s, e)
-    return F.expr(f"timestampdiff({u}, ts_s, ts_e)")  # pragma: no cover
+    return F.timestamp_diff(u, s, e)
 
 
 def add_interval(col: ColumnOrName, amount: int, unit: str) -> Column:
@@ -152,7 +164,7 @@ def json_value(col: ColumnOrName, path: str) -> Column:
 
     Objects and arrays give NULL (unlike ``get_json_object``, which would
     return their text); invalid JSON gives NULL.  The document is parsed
-    once into a VARIANT.
+    into a VARIANT and both probes read that value.
     """
     v = F.try_parse_json(_c(col))
     sub = F.try_variant_get(v, path, "variant")

@@ -1,9 +1,11 @@
 """Join-shaped predicates: EXISTS flags, correlated counts, scalar lookups (B-14, B-17, B-18, C-5).
 
 Skew: the probe side of these joins may hold a hot key (one customer with
-a third of all orders).  Each helper first collapses the other side to one
-row per key with a partial hash aggregate, so the join is many-to-one and
-AQE's skew-join split can cut the hot partition of the big side.
+a third of all orders).  ``flag_exists`` and ``add_child_count`` first
+collapse the other side to one row per key with a partial hash aggregate,
+so the join is many-to-one and AQE's skew-join split can cut the hot
+partition of the big side; ``left_join_fanout`` rewrites an outer join
+whose hot side could not be split otherwise.
 """
 
 from __future__ import annotations

@@ -190,8 +190,9 @@ def apply_session_events(
     * every accepted event is logged (LOGOUT rows carry no subject).
 
     Returns ``(sessions, log, rejected)``.  All per-user steps are hash
-    aggregates; the only join with the event stream is many-to-one on the
-    user, which AQE can split when one user is hot.
+    aggregates; the event stream only meets many-to-one joins (subject
+    existence, the user's last login), which AQE can split when one user
+    or subject is hot.
     """
     logins = events.filter(F.col("kind") == LOGIN)
     logouts = events.filter(F.col("kind") == LOGOUT)

@@ -141,3 +141,17 @@ def test_like_random_against_brute_force(spark):
     got = spark.range(1).select(*exprs).first()
     mismatches = [(r.p, r.v) for i, r in enumerate(rows) if got[i] != _like_brute(r.p, r.v)]
     assert mismatches == []
+
+
+def test_case_insensitive_option(spark):
+    from govframe.functions import ci
+    from govframe.operators.constraints import unique_violations
+
+    df = spark.createDataFrame([(1, "Ana@X.com"), (2, "ana@x.com"), (3, "José"), (4, "Jose")], "id int, email string")
+    assert unique_violations(df, ["email"]).count() == 0
+    folded = df.withColumn("email", ci("email"))
+    v = unique_violations(folded, ["email"]).collect()
+    assert len(v) == 1 and v[0].n == 2  # case folded, accents kept (José != Jose)
+    m = spark.range(1).select(like_tsql(F.lit("BIG DATA"), "%Data%", case_insensitive=True).alias("a"),
+                              like_tsql(F.lit("BIG DATA"), "%Data%").alias("b")).first()
+    assert (m.a, m.b) == (True, False)
