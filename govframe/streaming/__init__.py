@@ -6,5 +6,9 @@ from govframe.streaming.audit_stream import (
     read_log_stream,
     start_session_stream,
 )
+from govframe.streaming.session_state import current_sessions, session_changes_stream, start_session_changes
 
-__all__ = ["action_summary_stream", "latest_sessions", "read_log_stream", "start_session_stream"]
+__all__ = [
+    "action_summary_stream", "current_sessions", "latest_sessions", "read_log_stream", "session_changes_stream",
+    "start_session_changes", "start_session_stream",
+]

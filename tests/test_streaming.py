@@ -49,3 +49,21 @@ def test_session_stream_equals_batch(spark):
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert spark.read.parquet(table_dir).select("v").distinct().count() == 2
+
+
+def test_stateful_session_stream_equals_batch(spark):
+    from govframe.streaming import current_sessions, start_session_changes
+
+    src, _ = _split_events(spark)
+    people = load_table(spark, SF_SMALL, "customer")
+    stream = read_log_stream(spark, f"{src}/part=*", DRIVER["events"], max_files_per_trigger=1)
+    changes_dir = shared_path(spark, "test-session-changes")
+    q = start_session_changes(X.session_events(stream), people, "c_custkey", changes_dir, shared_path(spark, "test-ckpt"))
+    q.awaitTermination()
+    changes = spark.read.parquet(changes_dir)
+    streamed = current_sessions(changes)
+    batch = X.sessions(spark, SF_SMALL)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    # the second batch only emits the users it touched
+    per_batch = {r.batch: r.n for r in changes.groupBy("batch").agg(F.count("*").alias("n")).collect()}
+    assert len(per_batch) == 2 and per_batch[1] <= batch.count()
