@@ -171,8 +171,9 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     DENY wins over GRANT; no row -> NONE.
 
     Each request expands only to its own lookup keys (user and each of
-    its roles, at object and scope level) -- bounded by the user's role
-    count -- so no member x object pairs are ever produced.
+    its roles) -- bounded by the user's role count -- and each key is
+    probed at object and at scope level, so no member x object pairs are
+    ever produced.
     """
     g = grants
     key = ["grantee", "level", "securable", "permission"]
@@ -193,16 +194,21 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     )
     lookups = req.select(
         "user_id", "object_id", "permission", "scope", F.explode(grantees).alias("grantee"),
-    ).filter(F.col("grantee").isNotNull()).select(
-        "user_id", "object_id", "permission", "grantee",
-        F.explode(F.array(
-            F.struct(F.lit("OBJECT").alias("level"), F.col("object_id").cast("string").alias("securable")),
-            F.struct(F.lit("SCOPE").alias("level"), F.col("scope").cast("string").alias("securable")),
-        )).alias("lk"),
-    ).select("user_id", "object_id", "permission", "grantee", "lk.level", "lk.securable")
-    hits = lookups.join(g, key, "left")
+    ).filter(F.col("grantee").isNotNull())
+    # Object-level and scope-level grants are looked up separately: the
+    # object-level join is the big one; scope-level grants (schemas) are
+    # usually few, so AQE can broadcast that side and skip a shuffle.
+    flags = ["_deny", "_grant"]
+    g_obj = g.filter(F.col("level") == "OBJECT").select(
+        "grantee", F.col("securable").alias("_obj"), "permission", *[F.col(f).alias(f + "_o") for f in flags])
+    g_scope = g.filter(F.col("level") == "SCOPE").select(
+        "grantee", F.col("securable").alias("scope"), "permission", *[F.col(f).alias(f + "_s") for f in flags])
+    hits = (lookups.withColumn("_obj", F.col("object_id").cast("string"))
+            .join(g_obj, ["grantee", "_obj", "permission"], "left")
+            .join(g_scope, ["grantee", "scope", "permission"], "left"))
     agg = hits.groupBy("user_id", "object_id", "permission").agg(
-        F.max(F.coalesce("_deny", F.lit(0))).alias("d"), F.max(F.coalesce("_grant", F.lit(0))).alias("g")
+        F.max(F.greatest(F.coalesce("_deny_o", F.lit(0)), F.coalesce("_deny_s", F.lit(0)))).alias("d"),
+        F.max(F.greatest(F.coalesce("_grant_o", F.lit(0)), F.coalesce("_grant_s", F.lit(0)))).alias("g"),
     )
     return agg.select(
         "user_id", "object_id", "permission",
