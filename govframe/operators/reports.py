@@ -225,12 +225,16 @@ SEVERITY = {STATUS_FAIL: 0, STATUS_WARN: 1, STATUS_OK: 2}
 
 @dataclass(frozen=True)
 class CheckRule:
-    """One checklist line: a one-row frame with column ``n``, a status and a detail text."""
+    """One checklist line: a one-row frame, the count column to read from it
+    (``n`` by default), a status and a detail text.  Rules over the same table
+    can share one frame with several counts: the identical aggregate is
+    planned once (reused exchange), so the table is scanned once."""
 
     item: str
     counted: DataFrame
     status: Callable[[Column], Column]
     detail: Callable[[Column], Column]
+    col: str = "n"
 
 
 def count_of(df: DataFrame) -> DataFrame:
@@ -248,7 +252,8 @@ def quality_checklist(rules: Sequence[CheckRule]) -> DataFrame:
     plain window is bounded by the rule count.
     """
     parts = [
-        r.counted.select(F.lit(r.item).alias("item"), r.status(F.col("n")).alias("status"), r.detail(F.col("n")).alias("detail"))
+        r.counted.select(F.lit(r.item).alias("item"), r.status(F.col(r.col)).alias("status"),
+                         r.detail(F.col(r.col)).alias("detail"))
         for r in rules
     ]
     out = parts[0]
