@@ -84,6 +84,40 @@ def _deleted_keys(deleted: DataFrame, cols: Sequence[str], alias: Sequence[str])
     return deleted.select(*[F.col(c).alias(a) for c, a in zip(cols, alias)]).distinct()
 
 
+def _cascade_order(fks: Sequence[ForeignKey], start: str) -> list[str]:
+    """Tables reachable from ``start`` through CASCADE keys, parents before children.
+
+    A table is visited only after every reachable parent that can cascade
+    into it, so its own cascades see all of its deleted rows (diamonds in
+    the key graph included).  The graph must be acyclic.
+    """
+    children: dict[str, list[str]] = {}
+    for f in fks:
+        if f.on_delete == "cascade":
+            children.setdefault(f.parent, []).append(f.child)
+    reach, stack = {start}, [start]
+    while stack:
+        for c in children.get(stack.pop(), []):
+            if c not in reach:
+                reach.add(c)
+                stack.append(c)
+    indeg = {t: 0 for t in reach}
+    for p in reach:
+        for c in children.get(p, []):
+            indeg[c] += 1
+    order, ready = [], [t for t in reach if indeg[t] == 0]
+    while ready:
+        t = ready.pop()
+        order.append(t)
+        for c in children.get(t, []):
+            indeg[c] -= 1
+            if indeg[c] == 0:
+                ready.append(c)
+    if len(order) != len(reach):
+        raise ValueError("foreign-key cascade graph has a cycle")
+    return order
+
+
 def delete_cascade(
     tables: Mapping[str, DataFrame],
     fks: Sequence[ForeignKey],
@@ -104,13 +138,9 @@ def delete_cascade(
     deleted: dict[str, DataFrame] = {table: tables[table].filter(_true(cond))}
     new[table] = delete_where(tables[table], cond)
     blocking: list[DataFrame] = []
-    queue = [table]
-    seen = set()
-    while queue:
-        parent = queue.pop(0)
-        if parent in seen:
-            continue
-        seen.add(parent)
+    for parent in _cascade_order(fks, table):
+        if parent not in deleted:
+            continue  # nothing reached this table through a CASCADE
         gone = deleted[parent]
         for fk in [f for f in fks if f.parent == parent]:
             child_df = new[fk.child]
@@ -119,7 +149,6 @@ def delete_cascade(
                 hit = child_df.join(keys, list(fk.child_cols), "left_semi")
                 deleted[fk.child] = hit if fk.child not in deleted else deleted[fk.child].unionByName(hit)
                 new[fk.child] = child_df.join(keys, list(fk.child_cols), "left_anti")
-                queue.append(fk.child)
             elif fk.on_delete == "set_null":
                 marker = keys.withColumn("_hit", F.lit(True))
                 j = child_df.join(marker, list(fk.child_cols), "left")

@@ -98,3 +98,28 @@ def test_cascade_on_driver_tables_leaves_no_orphans(spark):
     gone = tables["orders"].count() - new["orders"].count()
     assert gone == tables["orders"].join(tables["customer"].filter("c_acctbal < 0"),
                                          F.col("o_custkey") == F.col("c_custkey"), "left_semi").count()
+
+
+def test_cascade_diamond_reaches_grandchildren(spark):
+    # a -> c is listed before a -> b -> c: c's child d must still lose rows reached via b
+    a = spark.createDataFrame([(1,), (2,)], "a int")
+    b = spark.createDataFrame([(10, 1), (20, 2)], "b int, a int")
+    c = spark.createDataFrame([(100, 2, 10), (200, 1, 20)], "c int, a int, b int")
+    d = spark.createDataFrame([(1000, 100), (2000, 200)], "d int, c int")
+    fks = [M.ForeignKey("c", ("a",), "a", ("a",), "cascade"),
+           M.ForeignKey("b", ("a",), "a", ("a",), "cascade"),
+           M.ForeignKey("c", ("b",), "b", ("b",), "cascade"),
+           M.ForeignKey("d", ("c",), "c", ("c",), "cascade")]
+    new, _ = M.delete_cascade({"a": a, "b": b, "c": c, "d": d}, fks, "a", F.col("a") == 1)
+    assert [r.c for r in new["c"].collect()] == []          # 200 via a, 100 via b
+    assert [r.d for r in new["d"].collect()] == []          # both grandchildren gone
+    assert [r.b for r in new["b"].collect()] == [20]
+
+
+def test_cascade_cycle_rejected(spark):
+    import pytest
+
+    t = spark.createDataFrame([(1,)], "k int")
+    fks = [M.ForeignKey("x", ("k",), "y", ("k",), "cascade"), M.ForeignKey("y", ("k",), "x", ("k",), "cascade")]
+    with pytest.raises(ValueError):
+        M.delete_cascade({"x": t, "y": t}, fks, "x", F.col("k") == 1)
