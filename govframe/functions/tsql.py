@@ -98,15 +98,29 @@ def datediff_boundary(unit: str, start: ColumnOrName, end: ColumnOrName) -> Colu
     u = unit.upper()
     if u not in _UNITS:
         raise ValueError(f"unsupported unit {unit}")
-    s, e = F.date_trunc(u, _c(start)), F.date_trunc(u, _c(end))
+    a, b = _c(start), _c(end)
+    if u == "WEEK":
+        # weeks are counted at Sunday boundaries; date_trunc weeks start on
+        # Monday, so shift both ends by one day before truncating
+        a, b = a + F.make_dt_interval(days=F.lit(1)), b + F.make_dt_interval(days=F.lit(1))
+    s, e = F.date_trunc(u, a), F.date_trunc(u, b)
     # keep the truncated ends zone-free whatever date_trunc returns
     s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
     return F.timestamp_diff(u, s, e)
 
 
 def add_interval(col: ColumnOrName, amount: int, unit: str) -> Column:
-    """``DATEADD(unit, amount, col)`` for DAY / HOUR / MINUTE / SECOND."""
+    """``DATEADD(unit, amount, col)`` for YEAR / MONTH / WEEK / DAY / HOUR / MINUTE / SECOND.
+
+    Month arithmetic clamps to the last day of the target month
+    (Jan 31 + 1 month = Feb 28/29), as DATEADD does.
+    """
     u = unit.upper()
+    if u in ("YEAR", "MONTH"):
+        kw = {"YEAR": "years", "MONTH": "months"}[u]
+        return _c(col) + F.make_ym_interval(**{kw: F.lit(amount)})
+    if u == "WEEK":
+        return _c(col) + F.make_dt_interval(days=F.lit(7 * amount))
     kw = {"DAY": "days", "HOUR": "hours", "MINUTE": "mins", "SECOND": "secs"}[u]
     return _c(col) + F.make_dt_interval(**{kw: F.lit(amount)})
 

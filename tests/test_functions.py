@@ -155,3 +155,19 @@ def test_case_insensitive_option(spark):
     m = spark.range(1).select(like_tsql(F.lit("BIG DATA"), "%Data%", case_insensitive=True).alias("a"),
                               like_tsql(F.lit("BIG DATA"), "%Data%").alias("b")).first()
     assert (m.a, m.b) == (True, False)
+
+
+def test_datediff_week_counts_sundays_and_dateadd_months(spark):
+    from govframe.functions import add_interval
+
+    r = spark.range(1).select(
+        # Sat 2024-01-06 -> Sun 2024-01-07 crosses one Sunday boundary
+        datediff_boundary("WEEK", ts_literal("2024-01-06 12:00:00"), ts_literal("2024-01-07 00:00:00")).alias("w1"),
+        # Sun -> Sat of the same Sunday-based week: no boundary
+        datediff_boundary("WEEK", ts_literal("2024-01-07 00:00:00"), ts_literal("2024-01-13 23:00:00")).alias("w0"),
+        datediff_boundary("MONTH", ts_literal("2024-01-31 23:59:59"), ts_literal("2024-02-01 00:00:00")).alias("m"),
+        add_interval(ts_literal("2024-01-31 10:00:00"), 1, "MONTH").alias("feb"),
+        add_interval(ts_literal("2024-02-29 00:00:00"), 1, "YEAR").alias("y"),
+    ).first()
+    assert (r.w1, r.w0, r.m) == (1, 0, 1)
+    assert r.feb == dt.datetime(2024, 2, 29, 10, 0) and r.y == dt.datetime(2025, 2, 28)
