@@ -166,9 +166,10 @@ def validated_append(
     # PRIMARY KEY: null, clash with target, duplicate inside batch.  Only the
     # target keys that occur in the batch matter: the semi-join lets AQE
     # broadcast a small batch's key set and filter the target map-side.
-    tgt_keys = keys_present(target, candidates, pk).withColumn("_pk_in_target", F.lit(True))
     in_batch = candidates.groupBy(*pk).agg(F.count(F.lit(1)).alias("_pk_batch_n"))
-    df = df.join(tgt_keys, pk, "left").join(in_batch, pk, "left")
+    tgt_keys = target.select(*pk).join(in_batch.select(*pk), pk, "left_semi").distinct().withColumn(
+        "_pk_in_target", F.lit(True))
+    df = df.join(in_batch, pk, "left").join(tgt_keys, pk, "left")
     flags.append(F.when(_any_null(pk), F.lit("pk:null")))
     flags.append(F.when(F.col("_pk_in_target").isNotNull(), F.lit("pk:exists")))
     flags.append(F.when(~_any_null(pk) & (F.col("_pk_batch_n") > 1), F.lit("pk:duplicate_in_batch")))
