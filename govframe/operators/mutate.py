@@ -34,16 +34,15 @@ def update_where(df: DataFrame, cond: Column, assignments: Assignments) -> DataF
 def guarded_update(df: DataFrame, cond: Column, assignments: Assignments, max_rows: int) -> DataFrame:
     """Apply the update only if at most ``max_rows`` rows match; else nothing changes.
 
-    The match count is a one-row aggregate joined to every row (a
-    broadcast of exactly one row), so the decision stays inside the lazy
-    plan: no count is pulled to the driver.
+    The match count is a scalar subquery (one aggregate, run once), so the
+    decision stays inside the lazy plan: no count is pulled to the driver
+    and no join is needed.
     """
-    guard = df.agg(F.count(F.when(_true(cond), F.lit(1))).alias("_matched"))
-    joined = df.crossJoin(F.broadcast(guard))
-    allowed = F.col("_matched") <= F.lit(max_rows)
+    matched = df.agg(F.count_if(_true(cond))).scalar()
+    allowed = matched <= F.lit(max_rows)
     exprs = {c: F.when(allowed & _true(cond), e).otherwise(F.col(c)).cast(df.schema[c].dataType)
              for c, e in assignments.items()}
-    return joined.withColumns(exprs).drop("_matched")
+    return df.withColumns(exprs)
 
 
 def staged_update(df: DataFrame, stages: Sequence[tuple[Column, Assignments]], keep: int) -> DataFrame:

@@ -469,16 +469,19 @@ WITH g0 AS (
   WHERE NOT (grantee = 'R:2' AND level = 'SCOPE' AND securable = 'Brand#2' AND permission = 'SELECT')
 ), req AS (
   SELECT DISTINCT l.l_suppkey AS user_id, l.l_partkey AS object_id, 'SELECT' AS permission FROM lineitem l
+), rq AS (
+  SELECT r.user_id, r.object_id, r.permission, s.s_nationkey AS role_id, p.p_brand AS scope
+  FROM req r LEFT JOIN supplier s ON s.s_suppkey = r.user_id LEFT JOIN part p ON p.p_partkey = r.object_id
 ), lk AS (
-  SELECT r.user_id, r.object_id, r.permission, k.grantee, k.level, k.securable
-  FROM req r
-  LEFT JOIN supplier s ON s.s_suppkey = r.user_id
-  LEFT JOIN part p ON p.p_partkey = r.object_id
-  CROSS JOIN LATERAL (VALUES
-     ('U:' || CAST(r.user_id AS VARCHAR), 'OBJECT', CAST(r.object_id AS VARCHAR)),
-     ('U:' || CAST(r.user_id AS VARCHAR), 'SCOPE', p.p_brand),
-     ('R:' || CAST(s.s_nationkey AS VARCHAR), 'OBJECT', CAST(r.object_id AS VARCHAR)),
-     ('R:' || CAST(s.s_nationkey AS VARCHAR), 'SCOPE', p.p_brand)) AS k(grantee, level, securable)
+  SELECT user_id, object_id, permission, 'U:' || CAST(user_id AS VARCHAR) AS grantee, 'OBJECT' AS level,
+         CAST(object_id AS VARCHAR) AS securable FROM rq
+  UNION ALL
+  SELECT user_id, object_id, permission, 'U:' || CAST(user_id AS VARCHAR), 'SCOPE', scope FROM rq
+  UNION ALL
+  SELECT user_id, object_id, permission, 'R:' || CAST(role_id AS VARCHAR), 'OBJECT', CAST(object_id AS VARCHAR)
+  FROM rq WHERE role_id IS NOT NULL
+  UNION ALL
+  SELECT user_id, object_id, permission, 'R:' || CAST(role_id AS VARCHAR), 'SCOPE', scope FROM rq WHERE role_id IS NOT NULL
 )
 SELECT lk.user_id, lk.object_id, lk.permission,
        CASE WHEN bool_or(g.state = 'DENY') THEN 'DENY' WHEN bool_or(g.state = 'GRANT') THEN 'GRANT' ELSE 'NONE' END AS effective

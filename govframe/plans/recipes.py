@@ -111,16 +111,17 @@ def snapshot_full_manifest(spark, d):
     tables = {name: _t(spark, d, name) for name in SNAPSHOT_TABLES}
     paths, log = sinks.snapshot_full(tables, shared_path(spark, "snapshots"), "academy",
                                      _dt.datetime(2024, 1, 31))
-    status = log.select("status")
+    status = log.select("status").scalar()
     parts = []
     for name in SNAPSHOT_TABLES:
         written = spark.read.schema(DRIVER[name]).parquet(paths[name])
         parts.append(written.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", F.lit(len(DRIVER[name].fields)).alias("n_cols")))
+            F.lit(name).alias("table_name"), "n_rows", F.lit(len(DRIVER[name].fields)).alias("n_cols"),
+            status.alias("status")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.crossJoin(F.broadcast(status))
+    return out
 
 
 def changed_orders(orders: DataFrame) -> DataFrame:

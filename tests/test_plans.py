@@ -23,10 +23,9 @@ def test_no_python_udfs_or_cartesian(plans):
     assert {n: f for n, f in bad.items() if f} == {}
 
 
-def test_nested_loop_joins_only_for_one_row_guards(plans):
-    # a cross join is used only to attach a one-row aggregate (guard / status)
-    users = {n for n, p in plans.items() if "BroadcastNestedLoopJoin" in p}
-    assert users <= {"guarded_update", "snapshot_full_manifest"}
+def test_no_nested_loop_joins(plans):
+    # one-row guards and statuses are scalar subqueries, not cross joins
+    assert {n for n, p in plans.items() if "BroadcastNestedLoopJoin" in p} == set()
 
 
 def test_filters_and_columns_reach_the_scan(plans):
