@@ -572,7 +572,7 @@ def _rls_setup(spark, d):
 
 @recipe
 def rls_session_filter(spark, d):
-    """J-4, C-7: customers visible to a non-admin principal through its session."""
+    """J-4, C-7, H-14: customers visible to a non-admin principal through its session."""
     sess, who = _rls_setup(spark, d)
     return S.rls_session(_t(spark, d, "customer"), "c_custkey", sess, who, X.AS_OF).select("c_custkey", "c_name")
 
@@ -614,7 +614,7 @@ def rls_all_principals(spark, d):
 
 @recipe
 def active_sessions(spark, d):
-    """K-1, H-10: active sessions with full name and minutes open (boundary count)."""
+    """K-1, H-10, H-11: active sessions with full name and minutes open at the as_of clock (boundary count)."""
     return R.active_sessions(X.sessions(spark, d), _t(spark, d, "customer"), "c_custkey", "c_name", "c_mktsegment", X.AS_OF)
 
 
