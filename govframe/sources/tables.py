@@ -70,6 +70,21 @@ def rows(spark: SparkSession, schema: T.StructType | str, data: Iterable[Sequenc
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def register_governed(spark: SparkSession, base_dir: str, names: Sequence[str], registry: PolicyRegistry,
+                      ctx: AccessContext) -> dict[str, DataFrame]:
+    """Register each table as a temporary view *with its row policies applied*.
+
+    Plain ``spark.sql`` queries, and SQL views defined over these names,
+    then see only the rows the principal in ``ctx`` may see: the policy sits
+    under every query, as a security policy bound to the table would.
+    """
+    out = {}
+    for name in names:
+        out[name] = load_table(spark, base_dir, name, registry=registry, ctx=ctx)
+        out[name].createOrReplaceTempView(name)
+    return out
+
+
 def view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a temporary view and return it (SQL access)."""
     df.createOrReplaceTempView(name)

@@ -126,3 +126,20 @@ def test_policy_report(spark):
     obj = spark.createDataFrame([(10, "students"), (11, "enrolments")], "object_id int, object_name string")
     got = sorted((r.policy, r.target, r.is_enabled) for r in S.policy_report(pol, pred, obj).collect())
     assert got == [("FiltroActivos", "students", False), ("FiltroAlumnos", "enrolments", True), ("FiltroAlumnos", "students", True)]
+
+
+def test_sql_over_governed_views(spark):
+    from govframe.plans import standins as X
+    from govframe.sources.tables import register_governed
+    from tests.conftest import SF_SMALL
+
+    sess = X.sessions(spark, SF_SMALL)
+    who = X.first_usable_principal(sess)
+    reg = S.PolicyRegistry().register("orders", S.session_policy("o_custkey"))
+    register_governed(spark, SF_SMALL, ["orders"], reg, S.AccessContext(who, X.AS_OF, sess))
+    spark.sql("CREATE OR REPLACE TEMP VIEW open_orders AS SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O'")
+    got = spark.sql("SELECT DISTINCT o_custkey FROM open_orders").collect()
+    allowed = S.usable_sessions(sess, X.AS_OF).agg(F.min("subject")).first()[0]
+    assert all(r.o_custkey == allowed for r in got)
+    spark.catalog.dropTempView("open_orders")
+    spark.catalog.dropTempView("orders")

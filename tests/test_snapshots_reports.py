@@ -63,3 +63,29 @@ def test_archive_split_is_complementary(spark):
     kept, old = R.archive_split(ev, "ts", "2024-01-31 00:00:00", days=20)
     assert kept.count() + old.count() == ev.count()
     assert old.filter(F.col("ts") >= F.lit("2024-01-11 00:00:00").cast("timestamp_ntz")).count() == 0
+
+
+def test_archive_write_is_date_partitioned(spark):
+    ev = load_table(spark, SF_SMALL, "events")
+    _, old = R.archive_split(ev, "ts", "2024-01-31 00:00:00", days=20)
+    path = shared_path(spark, "test-archive")
+    R.write_archive(old, path, "ts")
+    back = spark.read.parquet(path)
+    assert back.count() == old.count()
+    one_day = back.filter(F.col("archive_day") == F.lit("2024-01-05").cast("date"))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(archive_day" in plan
+    assert one_day.count() == ev.filter(F.to_date("ts") == F.lit("2024-01-05").cast("date")).count()
+
+
+def test_versions_never_overwrite(spark):
+    import pytest
+
+    orders = load_table(spark, SF_SMALL, "orders")
+    base = shared_path(spark, "test-versions")
+    p1 = sinks.write_version(orders, base, 1)
+    p2 = sinks.write_version(orders.filter("o_orderstatus = 'F'"), base, 2)
+    assert spark.read.parquet(p1).count() == orders.count()
+    assert spark.read.parquet(p2).count() < orders.count()
+    with pytest.raises(Exception):
+        sinks.write_version(orders, base, 1)
