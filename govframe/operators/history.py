@@ -88,23 +88,19 @@ def scd2_apply(current: DataFrame, history: DataFrame, batch: DataFrame, key: Se
     ``valid_to``.  ``batch``: key, ``op`` (``U`` upsert / ``D`` delete) and
     the new attributes, one row per key.  Changed or deleted keys close
     their current version at ``as_of`` into the history; upserts open a
-    new current version from ``as_of``.  One full outer join on the key.
+    new current version from ``as_of``.  The current table only meets the
+    batch keys (semi / anti join), which AQE broadcasts for a small batch.
     """
     key = list(key)
     t = as_of if isinstance(as_of, Column) else ts_literal(str(as_of))
     attrs = [c for c in current.columns if c not in key and c != "valid_from"]
-    b = batch.select(*key, F.col(op_col).alias("_op"), F.struct(*attrs).alias("_new"))
-    c = current.select(*key, F.struct(*attrs, "valid_from").alias("_old"))
-    j = c.join(b, key, "full_outer")
-    closed = j.filter(F.col("_old").isNotNull() & F.col("_op").isNotNull()).select(
-        *key, *[F.col(f"_old.{a}").alias(a) for a in attrs], F.col("_old.valid_from").alias("valid_from"), t.alias("valid_to")
-    )
-    kept = j.filter(F.col("_op").isNull()).select(
-        *key, *[F.col(f"_old.{a}").alias(a) for a in attrs], F.col("_old.valid_from").alias("valid_from")
-    )
-    opened = j.filter(F.col("_op") == "U").select(
-        *key, *[F.col(f"_new.{a}").alias(a) for a in attrs], t.alias("valid_from")
-    )
+    b = batch.select(*key, F.col(op_col).alias("_op"), *attrs)
+    touched_keys = b.select(*key)
+    # Untouched rows: an anti-join against the batch keys (broadcast when the
+    # batch is small), so the current table is scanned, not shuffled.
+    kept = current.join(touched_keys, key, "left_anti").select(*key, *attrs, "valid_from")
+    closed = current.join(touched_keys, key, "left_semi").select(*key, *attrs, "valid_from", t.alias("valid_to"))
+    opened = b.filter(F.col("_op") == "U").select(*key, *attrs, t.alias("valid_from"))
     new_current = kept.unionByName(opened)
     new_history = history.unionByName(closed.select(*history.columns))
     return new_current, new_history

@@ -171,11 +171,14 @@ def restrict_counts(parent_deleted: DataFrame, child: DataFrame, parent_cols: Se
                     child_cols: Sequence[str]) -> DataFrame:
     """NO ACTION check per parent row: how many child rows block its delete.
 
-    The child side is reduced to ``(key, n)`` with a partial aggregate
-    before the join, so a parent with a huge number of children costs one
-    row in the shuffle.
+    Only child rows that reference a doomed parent are counted: the child
+    is first semi-joined with the doomed keys (broadcast when few), then
+    reduced to ``(key, n)`` with a partial aggregate, so a parent with a
+    huge number of children costs one row in the shuffle.
     """
-    counts = child.groupBy(*child_cols).agg(F.count(F.lit(1)).alias("n_blocking"))
+    doomed = parent_deleted.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct()
+    refs = child.join(doomed, list(child_cols), "left_semi")
+    counts = refs.groupBy(*child_cols).agg(F.count(F.lit(1)).alias("n_blocking"))
     counts = counts.select(*[F.col(c).alias(p) for c, p in zip(child_cols, parent_cols)], "n_blocking")
     return parent_deleted.join(counts, list(parent_cols), "inner")
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govframe.functions.tsql import ts_literal
+from govframe.operators.constraints import keys_present
 
 # The administrator identities that bypass the session predicate.
 ADMIN_ROLE = "db_owner"
@@ -196,9 +197,12 @@ def apply_session_events(
     """
     logins = events.filter(F.col("kind") == LOGIN)
     logouts = events.filter(F.col("kind") == LOGOUT)
-    people_keys = people.select(F.col(people_key).alias("subject"))
-    valid_logins = logins.join(people_keys, "subject", "left_semi")
-    rejected = logins.join(people_keys, "subject", "left_anti").withColumn("reason", F.lit("unknown subject"))
+    # Existence check: only the distinct subjects of this batch probe the
+    # people table (a small batch's subjects are broadcast and the people
+    # table is filtered while it is scanned, not shuffled).
+    known = keys_present(people.select(F.col(people_key).alias("subject")), logins, ["subject"])
+    valid_logins = logins.join(known, "subject", "left_semi")
+    rejected = logins.join(known, "subject", "left_anti").withColumn("reason", F.lit("unknown subject"))
 
     last_login = valid_logins.groupBy("usuario").agg(
         F.max(F.struct("event_at", "seq", "subject", "expires_at")).alias("ll")
