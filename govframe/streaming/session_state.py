@@ -64,7 +64,14 @@ def _apply_user_events(key: tuple, batches: Iterator[pd.DataFrame], state: Group
 
 
 def session_changes_stream(events: DataFrame, people: DataFrame, people_key: str) -> DataFrame:
-    """Streaming frame of session rows changed by each micro-batch."""
+    """Streaming frame of session rows changed by each micro-batch.
+
+    The subject check is a stream-static semi-join: Spark broadcasts the
+    people keys when they fit and otherwise joins them again for every
+    micro-batch.  For a very large people table prefer
+    ``start_session_stream`` (foreachBatch), whose check only probes the
+    distinct subjects of each batch.
+    """
     keys = people.select(F.col(people_key).alias("subject"))
     logins = events.filter(F.col("kind") == LOGIN).join(keys, "subject", "left_semi")
     logouts = events.filter(F.col("kind") == LOGOUT)
