@@ -102,6 +102,7 @@ def insert_if_absent(spark, d):
 
 
 SNAPSHOT_TABLES = ("customer", "orders", "lineitem", "part", "supplier")
+SNAPSHOT_AT = _dt.datetime(2024, 1, 31)
 
 
 @recipe
@@ -109,8 +110,7 @@ def snapshot_full_manifest(spark, d):
     """A-7, A-10: full snapshot of five tables to the shared folder + run log; the
     manifest is read back from the written snapshot."""
     tables = {name: _t(spark, d, name) for name in SNAPSHOT_TABLES}
-    paths, log = sinks.snapshot_full(tables, shared_path(spark, "snapshots"), "academy",
-                                     _dt.datetime(2024, 1, 31))
+    paths, log = sinks.snapshot_full(tables, shared_path(spark, "snapshots"), "academy", SNAPSHOT_AT)
     status = log.select("status").scalar()
     parts = []
     for name in SNAPSHOT_TABLES:
@@ -136,10 +136,15 @@ def changed_orders(orders: DataFrame) -> DataFrame:
 
 @recipe
 def snapshot_diff(spark, d):
-    """A-8: differential snapshot (new / changed / removed rows) against the full one."""
+    """A-8, A-10: full snapshot of orders written, a day of changes applied, the differential
+    snapshot (new / changed / removed rows) against the written full one written too; the
+    change counts are read back from the written diff."""
     o = _t(spark, d, "orders")
-    diff = sinks.snapshot_diff(changed_orders(o), o, ["o_orderkey"])
-    return diff.groupBy("change_kind").agg(F.count(F.lit(1)).alias("n"))
+    base = shared_path(spark, "snapshots")
+    paths, _ = sinks.snapshot_full({"orders": o}, base, "academy", SNAPSHOT_AT)
+    full = spark.read.schema(DRIVER["orders"]).parquet(paths["orders"])
+    path, _ = sinks.snapshot_diff_write(changed_orders(o), full, ["o_orderkey"], base, "academy", SNAPSHOT_AT)
+    return spark.read.parquet(path).groupBy("change_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @recipe
@@ -710,10 +715,15 @@ def effective_permissions(spark, d):
 
 @recipe
 def archive_split(spark, d):
-    """K-10: retention at 20 days -- kept and archived rows per day."""
+    """K-10: retention at 20 days -- rows older than that are written to a date-partitioned
+    archive; kept rows per day, and archived rows per day read back from the archive."""
     kept, old = R.archive_split(_t(spark, d, "events"), "ts", X.AS_OF, days=20)
-    both = kept.withColumn("bucket", F.lit("KEEP")).unionByName(old.withColumn("bucket", F.lit("ARCHIVE")))
-    return both.groupBy(F.to_date("ts").alias("day"), "bucket").agg(F.count(F.lit(1)).alias("n"))
+    path = shared_path(spark, "archive")
+    R.write_archive(old, path, "ts")
+    archived = spark.read.parquet(path).groupBy(F.col("archive_day").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    kept_days = kept.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return (kept_days.withColumn("bucket", F.lit("KEEP"))
+            .unionByName(archived.withColumn("bucket", F.lit("ARCHIVE"))).select("day", "bucket", "n"))
 
 
 @recipe
@@ -811,9 +821,12 @@ def scd2_apply(spark, d):
 
 @recipe
 def mv_incremental(spark, d):
-    """L-5: stored per-course counts refreshed with inserted and deleted rows."""
+    """L-5: per-course counts materialised to the shared folder, then refreshed with the
+    inserted and deleted rows (signed deltas) instead of being recomputed."""
     li = _t(spark, d, "lineitem")
-    stored = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("total"))
+    mv_path = shared_path(spark, "mv_counts")
+    li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("total")).write.parquet(mv_path)
+    stored = spark.read.parquet(mv_path)
     inserted = li.filter(F.col("l_returnflag") == "R").select("l_partkey")
     deleted = li.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).select("l_partkey")
     refreshed, _ = H.refresh_counts(stored, inserted, deleted, ["l_partkey"])
