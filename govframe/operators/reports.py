@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from govframe.functions.tsql import datediff_boundary, plus
+from govframe.functions.tsql import add_interval, datediff_boundary, plus
 from govframe.operators.numbering import global_row_number
 from govframe.operators.security import _as_of
 
@@ -68,7 +68,7 @@ def latest_filtered(log: DataFrame, order: Sequence[ColumnOrName], k: int, cond:
 
 def audit_report(log: DataFrame, time_col: str, success: Column, as_of, hours: int = 24) -> DataFrame:
     """Rows of the last ``hours`` hours with a yes/no success label (simple CASE: NULL -> NO)."""
-    since = _as_of(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    since = add_interval(_as_of(as_of), -hours, "HOUR")
     label = F.when(success == F.lit(True), F.lit(YES)).otherwise(F.lit(NO))
     return log.filter(F.col(time_col) >= since).withColumn("exito", label)
 
@@ -103,7 +103,7 @@ def archive_split(log: DataFrame, time_col: str, as_of, days: int) -> tuple[Data
     The two filters are complementary for non-NULL times; NULL times are
     kept (never archived by a comparison that is not TRUE).
     """
-    cut = _as_of(as_of) - F.make_dt_interval(days=F.lit(days))
+    cut = add_interval(_as_of(as_of), -days, "DAY")
     old = F.coalesce(F.col(time_col) < cut, F.lit(False))
     return log.filter(~old), log.filter(old)
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govframe.functions.tsql import ts_literal
+from govframe.functions.tsql import add_interval, ts_literal
 from govframe.operators.constraints import keys_present
 
 # The administrator identities that bypass the session predicate.
@@ -248,7 +248,7 @@ def apply_session_events(
 
 def purge_sessions(sessions: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Delete closed sessions whose expiry is more than ``days`` before ``as_of``."""
-    limit = _as_of(as_of) - F.make_dt_interval(days=F.lit(days))
+    limit = add_interval(_as_of(as_of), -days, "DAY")
     gone = (~F.col("active")) & (F.col("expires_at") < limit)
     return sessions.filter(~F.coalesce(gone, F.lit(False)))
 
