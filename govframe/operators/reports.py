@@ -108,9 +108,16 @@ def archive_split(log: DataFrame, time_col: str, as_of, days: int) -> tuple[Data
     return log.filter(~old), log.filter(old)
 
 
-def write_archive(archived: DataFrame, path: str, time_col: str) -> None:
-    """Date-partitioned archive write: later reads prune by day."""
-    archived.withColumn("archive_day", F.to_date(time_col)).write.mode("append").partitionBy("archive_day").parquet(path)
+def write_archive(archived: DataFrame, path: str, time_col: str, run_id: str) -> None:
+    """Date-partitioned archive write: later reads prune by day.
+
+    Rows land in ``archive_day=<day>/run=<run_id>``; with dynamic partition
+    overwrite a retried run replaces only its own partitions, so the write
+    is idempotent while successive runs accumulate.
+    """
+    (archived.withColumn("archive_day", F.to_date(time_col)).withColumn("run", F.lit(run_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("archive_day", "run").parquet(path))
 
 
 def label_format(df: DataFrame, col: str, ok: Column, name: str = "format", ok_label: str = "OK",

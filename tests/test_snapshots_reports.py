@@ -69,7 +69,8 @@ def test_archive_write_is_date_partitioned(spark):
     ev = load_table(spark, SF_SMALL, "events")
     _, old = R.archive_split(ev, "ts", "2024-01-31 00:00:00", days=20)
     path = shared_path(spark, "test-archive")
-    R.write_archive(old, path, "ts")
+    R.write_archive(old, path, "ts", run_id="r1")
+    R.write_archive(old, path, "ts", run_id="r1")  # a retried run replaces its own partitions
     back = spark.read.parquet(path)
     assert back.count() == old.count()
     one_day = back.filter(F.col("archive_day") == F.lit("2024-01-05").cast("date"))
