@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from govframe.functions.tsql import add_interval, datediff_boundary, plus
+from govframe.functions.tsql import add_interval, datediff_boundary, like_tsql, plus
 from govframe.operators.numbering import global_row_number
 from govframe.operators.security import _as_of
 
@@ -120,9 +120,10 @@ def write_archive(archived: DataFrame, path: str, time_col: str, run_id: str) ->
      .partitionBy("archive_day", "run").parquet(path))
 
 
-def label_format(df: DataFrame, col: str, ok: Column, name: str = "format", ok_label: str = "OK",
+def label_format(df: DataFrame, col: str, pattern: str, name: str = "format", ok_label: str = "OK",
                  bad_label: str = "INVALID") -> DataFrame:
-    """Per-row format label from a searched CASE (NULL input -> bad label)."""
+    """Per-row format label: ``CASE WHEN col LIKE pattern THEN ok ELSE bad END`` (NULL -> bad)."""
+    ok = like_tsql(col, pattern, fixed_char=False)
     return df.withColumn(name, F.when(F.coalesce(ok, F.lit(False)), F.lit(ok_label)).otherwise(F.lit(bad_label)))
 
 
@@ -266,7 +267,8 @@ def quality_checklist(rules: Sequence[CheckRule]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    sev = F.when(F.col("status") == STATUS_FAIL, 0).when(F.col("status") == STATUS_WARN, 1).otherwise(2)
+    sev = F.when(F.col("status") == STATUS_FAIL, SEVERITY[STATUS_FAIL]).when(
+        F.col("status") == STATUS_WARN, SEVERITY[STATUS_WARN]).otherwise(SEVERITY[STATUS_OK])
     numbered = global_row_number(out.withColumn("_sev", sev), ["_sev", "item"], out="num", bounded_rows=len(rules))
     return numbered.select("num", "item", "status", "detail")
 
@@ -278,9 +280,10 @@ def object_inventory(objects: DataFrame, group: Sequence[str]) -> DataFrame:
     return objects.groupBy(*group).agg(F.count(F.lit(1)).alias("n_objects")).orderBy(*group)
 
 
-def impact(edges: DataFrame, referencing: str, referenced: str, target: Column) -> DataFrame:
-    """What refers to the target (one hop over a dependency edge table)."""
-    return edges.filter(target).select(referencing).distinct()
+def impact(edges: DataFrame, referencing: str, referenced: str, target: object) -> DataFrame:
+    """What refers to ``target`` (one hop over a dependency edge table): the distinct
+    ``referencing`` ids of the edges whose ``referenced`` id is the target."""
+    return edges.filter(F.col(referenced) == F.lit(target)).select(referencing).distinct()
 
 
 def storage_stats(sizes: DataFrame, group: Sequence[str], units: str, rows: str, unit_bytes: int = 8, per: int = 1024) -> DataFrame:

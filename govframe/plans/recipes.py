@@ -210,7 +210,7 @@ def case_labels(spark, d):
     price = F.col("o_totalprice")
     band = F.when(price >= 300000, F.lit("alto")).when(price >= 100000, F.lit("medio")).otherwise(F.lit("bajo"))
     out = o.select("o_orderkey", "o_orderpriority", simple.alias("status_label"), band.alias("price_band"))
-    out = R.label_format(out, "o_orderpriority", F.col("o_orderpriority").endswith("LOW"), name="prio_format")
+    out = R.label_format(out, "o_orderpriority", "%LOW", name="prio_format")
     return out.drop("o_orderpriority")
 
 
@@ -849,7 +849,7 @@ IMPACT_TARGET = 7
 def dependency_impact(spark, d):
     """L-7: which orders refer to part 7 (one hop)."""
     li, o = _t(spark, d, "lineitem"), _t(spark, d, "orders")
-    refs = R.impact(li, "l_orderkey", "l_partkey", F.col("l_partkey") == IMPACT_TARGET)
+    refs = R.impact(li, "l_orderkey", "l_partkey", IMPACT_TARGET)
     return o.join(refs, o["o_orderkey"] == refs["l_orderkey"], "left_semi").select("o_orderkey", "o_custkey", "o_orderdate")
 
 
