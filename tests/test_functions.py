@@ -171,3 +171,25 @@ def test_datediff_week_counts_sundays_and_dateadd_months(spark):
     ).first()
     assert (r.w1, r.w0, r.m) == (1, 0, 1)
     assert r.feb == dt.datetime(2024, 2, 29, 10, 0) and r.y == dt.datetime(2025, 2, 28)
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    from govframe.functions import convert_ts
+    from govframe.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    df = spark.createDataFrame(
+        [('{"k": 1}', "2024-01-06 12:00:59", "2024-01-07 00:01:01"), ('{"k": {"v": 1}}', "2024-01-31 23:00:00", "2024-03-01 00:00:00"),
+         ("7", "2024-01-01 00:00:00", "2024-01-01 00:00:00"), (None, "2023-12-31 23:59:59", "2024-01-01 00:00:00")],
+        "j string, a string, b string",
+    ).select("j", F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    df.createOrReplaceTempView("sqlfn_probe")
+    sql = spark.sql("""SELECT tsql_isjson(j) AS isj, tsql_json_value(j, '$.k') AS k, tsql_datediff('MINUTE', a, b) AS mi,
+                              tsql_datediff('WEEK', a, b) AS wk, tsql_datediff('MONTH', a, b) AS mo,
+                              tsql_convert(120, a) AS c120 FROM sqlfn_probe""").collect()
+    py = df.select(is_json("j").alias("isj"), json_value("j", "$.k").alias("k"),
+                   datediff_boundary("MINUTE", "a", "b").alias("mi"), datediff_boundary("WEEK", "a", "b").alias("wk"),
+                   datediff_boundary("MONTH", "a", "b").alias("mo"), convert_ts("a", 120).alias("c120")).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in py]
+    plan = spark.sql("SELECT tsql_isjson(j) FROM sqlfn_probe")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
