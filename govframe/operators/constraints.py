@@ -177,7 +177,11 @@ def validated_append(
 
     for name, ukeys in (unique or {}).items():
         ukeys = list(ukeys)
-        both = target.select(*ukeys).unionByName(candidates.select(*ukeys))
+        # only target rows sharing a value with the batch can clash (NULL = NULL)
+        wanted = candidates.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(ukeys)]).distinct()
+        clash = target.select(*ukeys).join(
+            wanted, [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(ukeys)], "left_semi")
+        both = clash.unionByName(candidates.select(*ukeys))
         counts = both.groupBy(*ukeys).agg(F.count(F.lit(1)).alias(f"_u_{name}"))
         renamed = [f"_uk_{name}_{i}" for i in range(len(ukeys))]
         counts = counts.select(*[F.col(k).alias(r) for k, r in zip(ukeys, renamed)], f"_u_{name}")

@@ -73,3 +73,11 @@ def test_apply_defaults_only_missing(spark):
     df = spark.createDataFrame([(1, None)], "id int, status string")
     out = C.apply_defaults(df, {"status": "ACTIVE", "active": True}).first()
     assert out.status is None and out.active is True
+
+
+def test_unique_check_with_nulls_against_target(spark):
+    target = spark.createDataFrame([(1, None), (2, "a@x")], "id int, email string")
+    cand = spark.createDataFrame([(3, None), (4, "a@x"), (5, "b@x")], "id int, email string")
+    acc, rej = C.validated_append(target, cand, ["id"], unique={"email": ["email"]})
+    assert sorted(r.id for r in acc.collect()) == [5]
+    assert sorted((r.id, r.rules[0]) for r in rej.collect()) == [(3, "unique:email"), (4, "unique:email")]
