@@ -67,3 +67,37 @@ def test_stateful_session_stream_equals_batch(spark):
     # the second batch only emits the users it touched
     per_batch = {r.batch: r.n for r in changes.groupBy("batch").agg(F.count("*").alias("n")).collect()}
     assert len(per_batch) == 2 and per_batch[1] <= batch.count()
+
+
+def test_watermark_drops_late_rows_in_append_mode(spark):
+    """Days 1-14, then days 20-30, then a copy of the month's first event: by the third
+    micro-batch its window is final and evicted, so the copy is dropped as late data."""
+    src = shared_path(spark, "test-late-src")
+    ev = load_table(spark, SF_SMALL, "events")
+    first = ev.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    second = ev.filter(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+    late = first.orderBy("ts", "event_id").limit(1)
+    first.coalesce(1).write.parquet(f"{src}/part=1")
+    second.coalesce(1).write.parquet(f"{src}/part=2")
+    late.coalesce(1).write.parquet(f"{src}/part=3")
+    stream = read_log_stream(spark, f"{src}/part=*", DRIVER["events"], max_files_per_trigger=1)
+    out = shared_path(spark, "test-late-out")
+    q = (action_summary_stream(stream, ["user_id", "event_type"], "ts", window="1 day", watermark="1 hour")
+         .writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", shared_path(spark, "test-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    assert dropped == 1
+    got = spark.read.parquet(out)
+    row = late.first()
+    key = (F.col("user_id") == row.user_id) & (F.col("event_type") == row.event_type) & \
+        (F.to_date("window_start") == F.to_date(F.lit(row.ts)))
+    want = first.filter((F.col("user_id") == row.user_id) & (F.col("event_type") == row.event_type)
+                        & (F.to_date("ts") == F.to_date(F.lit(row.ts)))).count()
+    assert got.filter(key).first().n_events == want
+    # append mode: each window once, and only final windows (the last day is still open)
+    assert got.groupBy("window_start", "user_id", "event_type").count().filter("count > 1").count() == 0
+    last_day = second.agg(F.max(F.to_date("ts"))).first()[0]
+    assert got.filter(F.to_date("window_start") == F.lit(last_day)).count() == 0
+    early = got.filter(F.col("window_start") < F.lit("2024-01-15").cast("timestamp"))
+    assert early.agg(F.sum("n_events")).first()[0] == first.count()
