@@ -81,3 +81,18 @@ def test_unique_check_with_nulls_against_target(spark):
     acc, rej = C.validated_append(target, cand, ["id"], unique={"email": ["email"]})
     assert sorted(r.id for r in acc.collect()) == [5]
     assert sorted((r.id, r.rules[0]) for r in rej.collect()) == [(3, "unique:email"), (4, "unique:email")]
+
+
+def test_scalar_lookup_errors_on_many_rows(spark):
+    import pytest
+
+    from govframe.operators.joins import lookup_one
+
+    people = spark.createDataFrame([(1, "a@x"), (2, "a@x"), (3, "b@x")], "id int, email string")
+    orders = spark.createDataFrame([(10, 1), (11, 3)], "oid int, id int")
+    ok = orders.filter(F.col("id") == lookup_one(people, F.col("email") == "b@x", "id")).collect()
+    assert [r.oid for r in ok] == [11]
+    none = orders.filter(F.col("id") == lookup_one(people, F.col("email") == "zz", "id")).collect()
+    assert none == []
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS|more than one row"):
+        orders.filter(F.col("id") == lookup_one(people, F.col("email") == "a@x", "id")).collect()
