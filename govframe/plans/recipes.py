@@ -720,7 +720,8 @@ def archive_split(spark, d):
     kept, old = R.archive_split(_t(spark, d, "events"), "ts", X.AS_OF, days=20)
     path = shared_path(spark, "archive")
     R.write_archive(old, path, "ts", run_id="as_of_" + X.AS_OF[:10])
-    archived = spark.read.parquet(path).groupBy(F.col("archive_day").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    archived = spark.read.parquet(path).groupBy(F.col("archive_day").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"))
     kept_days = kept.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return (kept_days.withColumn("bucket", F.lit("KEEP"))
             .unionByName(archived.withColumn("bucket", F.lit("ARCHIVE"))).select("day", "bucket", "n"))
