@@ -191,33 +191,34 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
         F.max(F.when(F.col("state") == "DENY", 1).otherwise(0)).alias("_deny"),
         F.max(F.when(F.col("state") == "GRANT", 1).otherwise(0)).alias("_grant"),
     )
-    # One row per (request, role) -- a user without roles keeps one row with a
-    # NULL role.  Each row looks up the user and that role; a user with k roles
-    # repeats its user lookup k times, which the max() below absorbs.
-    req = requests.join(objects.select("object_id", "scope"), "object_id", "left").join(
-        memberships.select("user_id", "role_id").distinct(), "user_id", "left")
-    grantees = F.array(
-        F.concat(F.lit("U:"), F.col("user_id").cast("string")),
-        F.when(F.col("role_id").isNotNull(), F.concat(F.lit("R:"), F.col("role_id").cast("string"))),
-    )
-    lookups = req.select(
-        "user_id", "object_id", "permission", "scope", F.explode(grantees).alias("grantee"),
-    ).filter(F.col("grantee").isNotNull())
-    # Object-level and scope-level grants are looked up separately: the
-    # object-level join is the big one; scope-level grants (schemas) are
-    # usually few, so AQE can broadcast that side and skip a shuffle.
+    # Lookups: each request probes its user's grants once, and each of the
+    # user's roles' grants once.  User grants are the large side; role grants
+    # (few roles) are usually small enough for AQE to broadcast, so only the
+    # user probe -- one row per request -- goes through a shuffle join.
+    # Object-level and scope-level grants are probed separately for the same
+    # reason: scope-level grants (schemas) are few.
+    req = requests.join(objects.select("object_id", "scope"), "object_id", "left")
+    by_user = req.withColumn("grantee", F.concat(F.lit("U:"), F.col("user_id").cast("string")))
+    by_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id").withColumn(
+        "grantee", F.concat(F.lit("R:"), F.col("role_id").cast("string"))).drop("role_id")
     flags = ["_deny", "_grant"]
-    g_obj = g.filter(F.col("level") == "OBJECT").select(
-        "grantee", F.col("securable").alias("_obj"), "permission", *[F.col(f).alias(f + "_o") for f in flags])
-    g_scope = g.filter(F.col("level") == "SCOPE").select(
-        "grantee", F.col("securable").alias("scope"), "permission", *[F.col(f).alias(f + "_s") for f in flags])
-    hits = (lookups.withColumn("_obj", F.col("object_id").cast("string"))
-            .join(g_obj, ["grantee", "_obj", "permission"], "left")
-            .join(g_scope, ["grantee", "scope", "permission"], "left"))
-    agg = hits.groupBy("user_id", "object_id", "permission").agg(
-        F.max(F.greatest(F.coalesce("_deny_o", F.lit(0)), F.coalesce("_deny_s", F.lit(0)))).alias("d"),
-        F.max(F.greatest(F.coalesce("_grant_o", F.lit(0)), F.coalesce("_grant_s", F.lit(0)))).alias("g"),
-    )
+
+    def probe(lookups: DataFrame, prefix: str) -> DataFrame:
+        mine = g.filter(F.col("grantee").startswith(prefix))
+        g_obj = mine.filter(F.col("level") == "OBJECT").select(
+            "grantee", F.col("securable").alias("_obj"), "permission", *[F.col(f).alias(f + "_o") for f in flags])
+        g_scope = mine.filter(F.col("level") == "SCOPE").select(
+            "grantee", F.col("securable").alias("scope"), "permission", *[F.col(f).alias(f + "_s") for f in flags])
+        hits = (lookups.withColumn("_obj", F.col("object_id").cast("string"))
+                .join(g_obj, ["grantee", "_obj", "permission"], "left")
+                .join(g_scope, ["grantee", "scope", "permission"], "left"))
+        return hits.select(
+            "user_id", "object_id", "permission",
+            F.greatest(F.coalesce("_deny_o", F.lit(0)), F.coalesce("_deny_s", F.lit(0))).alias("_d"),
+            F.greatest(F.coalesce("_grant_o", F.lit(0)), F.coalesce("_grant_s", F.lit(0))).alias("_g"))
+
+    hits = probe(by_user, "U:").unionByName(probe(by_role, "R:"))
+    agg = hits.groupBy("user_id", "object_id", "permission").agg(F.max("_d").alias("d"), F.max("_g").alias("g"))
     return agg.select(
         "user_id", "object_id", "permission",
         F.when(F.col("d") == 1, F.lit("DENY")).when(F.col("g") == 1, F.lit("GRANT")).otherwise(F.lit("NONE")).alias("effective"),
