@@ -96,3 +96,30 @@ def test_append_audit_ids_continue(spark):
     assert sorted(rows) == [1, 2, 3]
     assert rows[3].login_name == "eve" and rows[3].database_user == "admin" and rows[3].success is False
     assert rows[1].login_name == "admin" and rows[1].details is None and rows[1].event_time == dt.datetime(2024, 1, 31)
+
+
+def test_aqe_splits_the_hot_key_of_a_fanout_join(spark):
+    """With thresholds scaled down to test size, the inner part of left_join_fanout
+    (big side streamed) is split by AQE's skew join: the hot customer's partition is cut."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        o = _hot_orders(spark).repartition(8).select("o_orderkey", "o_custkey")  # several map tasks to split along
+        c = load_table(spark, SF_MID, "customer").select("c_custkey", "c_name")
+        df = J.left_join_fanout(c, o, ["c_custkey"], ["o_custkey"])
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+        assert len(rows) == o.count() + c.join(o, c.c_custkey == o.o_custkey, "left_anti").count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
