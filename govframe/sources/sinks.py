@@ -66,7 +66,22 @@ SNAPSHOT_LOG_SCHEMA = ACADEMY["snapshot_log"]
 
 def _log_row(spark: SparkSession, kind: str, path: str, start: _dt.datetime, end: _dt.datetime,
              status: str, error: str | None) -> DataFrame:
-    return spark.createDataFrame([(kind, path, start, end, None, status, error)], SNAPSHOT_LOG_SCHEMA)
+    size = _size_mb(spark, path) if status == "SUCCESS" else None
+    return spark.createDataFrame([(kind, path, start, end, size, status, error)], SNAPSHOT_LOG_SCHEMA)
+
+
+def _size_mb(spark: SparkSession, path: str):
+    """Bytes under ``path`` in MB (two decimals), from the Hadoop file system the path lives on."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        length = fs.getContentSummary(hpath).getLength()
+    except Exception:  # noqa: BLE001 -- size is informative only
+        return None
+    return (Decimal(length) / Decimal(1024 * 1024)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
 
 def _now() -> _dt.datetime:

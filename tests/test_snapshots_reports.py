@@ -90,3 +90,22 @@ def test_versions_never_overwrite(spark):
     assert spark.read.parquet(p2).count() < orders.count()
     with pytest.raises(Exception):
         sinks.write_version(orders, base, 1)
+
+
+def test_run_history_on_snapshot_logs(spark):
+    orders = load_table(spark, SF_SMALL, "orders")
+    base = shared_path(spark, "test-history")
+    logs = []
+    for day in (1, 2, 3):
+        at = dt.datetime(2024, 1, day)
+        paths, log = sinks.snapshot_full({"orders": orders}, base, "academy", at)
+        full = spark.read.schema(orders.schema).parquet(paths["orders"])
+        _, dlog = sinks.snapshot_diff_write(changed_orders(orders), full, ["o_orderkey"], base, "academy", at)
+        logs += [log, dlog]
+    runs = logs[0]
+    for lg in logs[1:]:
+        runs = runs.unionByName(lg)
+    hist = R.snapshot_history(runs, "kind", "started_at", "finished_at",
+                              [F.desc("started_at"), F.desc("path")], k=2).collect()
+    assert sorted(r.kind for r in hist) == ["DIFF", "DIFF", "FULL", "FULL"]
+    assert all(r.duration_s >= 0 and r.status == "SUCCESS" and r.size_mb is not None and r.size_mb > 0 for r in hist)
