@@ -47,7 +47,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("GOVFRAME_DRIVER_MEMORY", "16g"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
