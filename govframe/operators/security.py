@@ -251,7 +251,3 @@ def purge_sessions(sessions: DataFrame, as_of, days: int = 30) -> DataFrame:
     limit = add_interval(_as_of(as_of), -days, "DAY")
     gone = (~F.col("active")) & (F.col("expires_at") < limit)
     return sessions.filter(~F.coalesce(gone, F.lit(False)))
-
-
-def with_subject_names(sessions: DataFrame, people: DataFrame, people_key: str, cols: Sequence[str]) -> DataFrame:
-    return sessions.join(people.select(F.col(people_key).alias("subject"), *cols), "subject", "inner")

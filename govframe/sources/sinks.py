@@ -172,7 +172,3 @@ def restore(full: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFrame:
     kept = full.join(changed, keys, "left_anti")
     upserts = diff.filter(F.col("change_kind") != "DELETE").drop("change_kind")
     return kept.unionByName(upserts.select(*full.columns))
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
