@@ -14,7 +14,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from govframe.operators.constraints import apply_defaults, keys_present
 from govframe.schemas import ACADEMY
