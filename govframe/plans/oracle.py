@@ -383,6 +383,11 @@ SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer
 WHERE c_custkey IN (SELECT subject FROM allowed) AND c_acctbal >= 0
 """
 
+ORACLE["policy_probe"] = f"""
+WITH {SESSIONS_CTE}
+SELECT c_custkey, c_custkey IN (SELECT subject FROM allowed) AS allowed FROM customer
+"""
+
 ORACLE["rls_all_principals"] = f"""
 WITH {SESSIONS_CTE}
 SELECT u.usuario, u.subject, (SELECT count(*) FROM orders o WHERE o.o_custkey = u.subject) AS n_visible FROM usable u

@@ -216,7 +216,7 @@ def case_labels(spark, d):
 
 @recipe
 def exists_flag(spark, d):
-    """B-14, J-8: EXISTS as a boolean column."""
+    """B-14: EXISTS as a boolean column."""
     c, o = _t(spark, d, "customer"), _t(spark, d, "orders")
     finished = o.filter(F.col("o_orderstatus") == "F")
     return J.flag_exists(c.select("c_custkey"), finished, ["c_custkey"], ["o_custkey"], "has_finished_order")
@@ -609,6 +609,15 @@ def rls_view_inherits(spark, d):
     return customer_summary(load_table(spark, d, "customer", registry=reg, ctx=ctx))
 
 
+@recipe
+def policy_probe(spark, d):
+    """J-8: predicate probe -- for every customer id, would the session policy let the
+    non-admin principal see it?"""
+    sess, who = _rls_setup(spark, d)
+    ids = _t(spark, d, "customer").select("c_custkey")
+    return S.probe(ids, "c_custkey", sess, who, X.AS_OF, name="allowed")
+
+
 @recipe
 def rls_all_principals(spark, d):
     """J-9: rows of orders each session holder may see, for all holders in one job."""
