@@ -276,9 +276,14 @@ def quality_checklist(rules: Sequence[CheckRule]) -> DataFrame:
 
 # ------------------------------------------------------------ metadata ----
 
-def object_inventory(objects: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Object count per group (e.g. schema, type), ordered."""
-    return objects.groupBy(*group).agg(F.count(F.lit(1)).alias("n_objects")).orderBy(*group)
+def object_inventory(objects: DataFrame, group: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Object count per group (e.g. schema, type), ordered.
+
+    ``weight`` names a column of pre-aggregated counts to sum instead of
+    counting rows (objects reduced per key before a join).
+    """
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    return objects.groupBy(*group).agg(n.alias("n_objects")).orderBy(*group)
 
 
 def impact(edges: DataFrame, referencing: str, referenced: str, target: object) -> DataFrame:

@@ -562,6 +562,19 @@ SELECT event_id, props,
 FROM p
 """
 
+ORACLE["json_admission"] = """
+WITH p AS (
+  SELECT event_id,
+         CASE WHEN event_type = 'error' AND value > 40 THEN substring(props, 1, length(props) - 1)
+              WHEN event_type = 'view' AND value > 40 THEN CAST(event_id AS VARCHAR)
+              WHEN event_type = 'click' AND value > 100 THEN ''
+              ELSE props END AS props
+  FROM events
+)
+SELECT event_id, props FROM p
+WHERE props IS NOT NULL AND NOT (json_valid(props) AND substring(ltrim(props), 1, 1) IN ('{', '['))
+"""
+
 ORACLE["json_extract"] = """
 WITH p AS (
   SELECT event_id,

@@ -29,7 +29,7 @@ from govframe.plans import standins as X
 from govframe.schemas import DRIVER, PERIOD_PATTERN
 from govframe.session import shared_path
 from govframe.sources import sinks
-from govframe.sources.tables import load_table, rows
+from govframe.sources.tables import load_table, rows, view
 
 Recipe = Callable[[SparkSession, str], DataFrame]
 RECIPES: dict[str, Recipe] = {}
@@ -72,8 +72,10 @@ def customer_summary(customer: DataFrame) -> DataFrame:
 
 @recipe
 def summary_view(spark, d):
-    """A-3: view = row filter + column subset over the base table."""
-    return customer_summary(_t(spark, d, "customer"))
+    """A-3: view = row filter + column subset over the base table, registered as a temp view
+    and read back through the catalogue."""
+    view(customer_summary(_t(spark, d, "customer")), "customer_summary")
+    return spark.table("customer_summary")
 
 
 @recipe
@@ -784,7 +786,7 @@ def damaged_props(events: DataFrame) -> DataFrame:
 
 @recipe
 def json_validity(spark, d):
-    """L-1, H-12: ISJSON admission check."""
+    """H-12: ISJSON per row (the admission flag)."""
     p = damaged_props(_t(spark, d, "events"))
     return p.withColumn("is_valid", tsql.is_json("props"))
 
@@ -799,6 +801,12 @@ def shaped_props(events: DataFrame) -> DataFrame:
     return events.select("event_id", doc.alias("props"))
 
 
+@recipe
+def json_admission(spark, d):
+    """L-1: JSON admission check -- the rows a CHECK (ISJSON(props) = 1) would refuse."""
+    return JS.json_violations(damaged_props(_t(spark, d, "events")), "props")
+
+
 @recipe
 def json_extract(spark, d):
     """L-2, H-13: JSON_VALUE of a present, nested and missing path."""
@@ -849,7 +857,7 @@ def objects_by_schema_type(spark, d):
     li, p = _t(spark, d, "lineitem"), _t(spark, d, "part")
     per_part = li.groupBy("l_partkey", "l_returnflag").agg(F.count(F.lit(1)).alias("_n"))
     j = per_part.join(p.select("p_partkey", "p_brand"), per_part["l_partkey"] == p["p_partkey"])
-    return j.groupBy("p_brand", "l_returnflag").agg(F.sum("_n").cast("long").alias("n_objects")).orderBy("p_brand", "l_returnflag")
+    return R.object_inventory(j, ["p_brand", "l_returnflag"], weight="_n")
 
 
 IMPACT_TARGET = 7
