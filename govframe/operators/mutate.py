@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from govframe.functions.tsql import plus
 from govframe.operators.numbering import dense_ids
 
 Assignments = Mapping[str, Column]
@@ -192,7 +193,7 @@ def with_computed(df: DataFrame, name: str, expr: Column) -> DataFrame:
 
 def with_full_name(df: DataFrame, first: str, last: str, out: str = "full_name") -> DataFrame:
     """The persisted computed column ``first + ' ' + last`` (NULL if either part is NULL)."""
-    return with_computed(df, out, F.concat(F.col(first), F.lit(" "), F.col(last)))
+    return with_computed(df, out, plus(first, F.lit(" "), last))
 
 
 def evolve(df: DataFrame, steps: Sequence[tuple]) -> DataFrame:
