@@ -96,3 +96,30 @@ def test_scalar_lookup_errors_on_many_rows(spark):
     assert none == []
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS|more than one row"):
         orders.filter(F.col("id") == lookup_one(people, F.col("email") == "a@x", "id")).collect()
+
+
+def test_governed_table_validate_evolve(spark, academy):
+    from govframe.operators.governed import GovernedTable, Reference
+
+    courses = GovernedTable(
+        "courses", academy["courses"], ("course_id",), unique={"name": ("course_name",)},
+        checks={"credits": (("credits",), lambda c: c.between(*CREDITS_RANGE))},
+        domains={"course_name": {"not_null": True, "max_len": 100}},
+    )
+    assert all(v.count() == 0 for v in courses.violations().values())
+    batch = spark.createDataFrame([(9, "Programación Web", 5, None), (10, "Cloud", 12, None), (11, "Streaming", 4, None)],
+                                  ACADEMY["courses"])
+    nxt, rej = courses.append(batch)
+    assert nxt.df.count() == 9
+    assert sorted((r.course_id, r.rules[0]) for r in rej.collect()) == [(9, "unique:name"), (10, "check:credits")]
+    # rename the checked column: the CHECK and the domain follow it
+    renamed = nxt.evolve([("rename", "credits", "ects"), ("rename", "course_name", "title")])
+    assert "ects" in renamed.df.columns and renamed.checks["credits"][0] == ("ects",)
+    assert renamed.unique["name"] == ("title",) and "title" in renamed.domains
+    bad = renamed.df.limit(1).withColumn("course_id", F.lit(99)).withColumn("ects", F.lit(0).cast("short"))
+    _, rej2 = renamed.validate(bad)
+    assert sorted(rej2.first().rules) == ["check:credits", "unique:name"]
+    enrol = GovernedTable("enrolments", academy["enrolments"], ("student_id", "course_id", "period"),
+                          references={"course": Reference(("course_id",), renamed.df, ("course_id",))})
+    orphan = spark.createDataFrame([(1, 77, "2025S1")], ACADEMY["enrolments"])
+    assert enrol.validate(orphan)[1].first().rules == ["fk:course"]

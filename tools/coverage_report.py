@@ -45,8 +45,8 @@ API = {
     "I-7": "mutate.delete_cascade (set_null)", "I-8": "mutate.delete_cascade (no_action) / restrict_counts",
     "I-9": "constraints.pk_violations", "I-10": "constraints.unique_violations", "I-11": "constraints.fk_violations",
     "I-12": "constraints.check_violations", "I-13": "constraints.domain_violations",
-    "I-14": "constraints.apply_defaults", "I-15": "constraints.validated_append",
-    "I-16": "numbering.assign_ids", "I-17": "mutate.with_full_name / with_computed", "I-18": "mutate.evolve",
+    "I-14": "constraints.apply_defaults", "I-15": "constraints.validated_append / governed.GovernedTable.validate",
+    "I-16": "numbering.assign_ids", "I-17": "mutate.with_full_name / with_computed", "I-18": "mutate.evolve / governed.GovernedTable.evolve (constraints follow renames)",
     "I-19": "mutate.extract_dimension", "I-20": "mutate.explode_attribute / N:M join",
     "J-1": "security.apply_session_events", "J-2": "security.apply_session_events",
     "J-3": "security.purge_sessions", "J-4": "security.rls_session", "J-5": "security.PolicyRegistry",
