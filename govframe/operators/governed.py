@@ -72,8 +72,24 @@ class GovernedTable:
             out["check"] = C.check_violations(self.df, rules)
         return out
 
+    def without(self, constraint: str) -> GovernedTable:
+        """Drop one named CHECK, UNIQUE or foreign-key constraint."""
+        return replace(self, checks={k: v for k, v in self.checks.items() if k != constraint},
+                       unique={k: v for k, v in self.unique.items() if k != constraint},
+                       references={k: v for k, v in self.references.items() if k != constraint})
+
     def evolve(self, steps: Sequence[tuple]) -> GovernedTable:
-        """Column evolution that keeps the constraints attached to their columns."""
+        """Column evolution that keeps the constraints attached to their columns.
+
+        Dropping a column that a constraint still uses is refused, as a
+        database refuses it: drop or change the constraint first.
+        """
+        used = set(self.primary_key) | {c for cols in self.unique.values() for c in cols} | \
+            {c for r_ in self.references.values() for c in r_.columns} | \
+            {c for cols, _ in self.checks.values() for c in cols} | set(self.domains)
+        for step in steps:
+            if step[0] == "drop" and step[1] in used:
+                raise ValueError(f"column {step[1]!r} of {self.name} is used by a constraint")
         ren: dict[str, str] = {}
         for step in steps:
             if step[0] == "rename":

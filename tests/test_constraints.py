@@ -123,3 +123,15 @@ def test_governed_table_validate_evolve(spark, academy):
                           references={"course": Reference(("course_id",), renamed.df, ("course_id",))})
     orphan = spark.createDataFrame([(1, 77, "2025S1")], ACADEMY["enrolments"])
     assert enrol.validate(orphan)[1].first().rules == ["fk:course"]
+
+
+def test_governed_table_refuses_dropping_a_constrained_column(spark, academy):
+    import pytest
+
+    from govframe.operators.governed import GovernedTable
+
+    t = GovernedTable("courses", academy["courses"], ("course_id",),
+                      checks={"credits": (("credits",), lambda c: c.between(*CREDITS_RANGE))})
+    with pytest.raises(ValueError):
+        t.evolve([("drop", "credits")])
+    assert "credits" not in t.without("credits").evolve([("drop", "credits")]).df.columns
