@@ -72,6 +72,22 @@ class GovernedTable:
             out["check"] = C.check_violations(self.df, rules)
         return out
 
+    # ADD CONSTRAINT … only when no constraint of that name exists yet (idempotent DDL).
+    def with_check(self, name: str, columns: Sequence[str], rule: Callable[..., Column]) -> GovernedTable:
+        if name in self.checks:
+            return self
+        return replace(self, checks={**self.checks, name: (tuple(columns), rule)})
+
+    def with_unique(self, name: str, columns: Sequence[str]) -> GovernedTable:
+        if name in self.unique:
+            return self
+        return replace(self, unique={**self.unique, name: tuple(columns)})
+
+    def with_reference(self, name: str, reference: Reference) -> GovernedTable:
+        if name in self.references:
+            return self
+        return replace(self, references={**self.references, name: reference})
+
     def without(self, constraint: str) -> GovernedTable:
         """Drop one named CHECK, UNIQUE or foreign-key constraint."""
         return replace(self, checks={k: v for k, v in self.checks.items() if k != constraint},

@@ -135,3 +135,17 @@ def test_governed_table_refuses_dropping_a_constrained_column(spark, academy):
     with pytest.raises(ValueError):
         t.evolve([("drop", "credits")])
     assert "credits" not in t.without("credits").evolve([("drop", "credits")]).df.columns
+
+
+def test_governed_table_add_constraint_if_absent(spark, academy):
+    from govframe.operators.governed import GovernedTable, Reference
+
+    students = GovernedTable("students", academy["students"], ("student_id",))
+    fk = Reference(("career_id",), academy["careers"], ("career_id",))
+    once = students.with_reference("career", fk)
+    twice = once.with_reference("career", Reference(("contact_id",), academy["careers"], ("career_id",)))
+    assert twice.references["career"].columns == ("career_id",)  # the existing constraint is kept
+    assert once.violations()["fk:career"].count() == 0
+    checked = once.with_check("adult", ["age"], lambda a: a >= 16).with_unique("email", ["email"])
+    assert set(checked.violations()) == {"primary_key", "unique:email", "fk:career", "check"}
+    assert all(v.count() == 0 for v in checked.violations().values())
