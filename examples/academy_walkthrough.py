@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from govframe.functions import ceil_int, like_tsql  # noqa: E402
 from govframe.operators import constraints as C  # noqa: E402
+from govframe.operators.governed import GovernedTable  # noqa: E402
 from govframe.operators import mutate as M  # noqa: E402
 from govframe.operators import reports as R  # noqa: E402
 from govframe.operators import security as S  # noqa: E402
@@ -50,6 +51,16 @@ def main() -> None:
     rej.show(truncate=False)
     db["enrolments"] = db["enrolments"].unionByName(acc)
 
+    print("2b. courses declared with their constraints; a batch appended; the checked column renamed")
+    courses_t = GovernedTable("courses", db["courses"], ("course_id",), unique={"name": ("course_name",)},
+                              checks={"credits": (("credits",), lambda c: c.between(*CREDITS_RANGE))})
+    batch = spark.createDataFrame([(9, "Programación Web", 5, None), (10, "Cloud", 12, None), (11, "Streaming", 4, None)],
+                                  ACADEMY["courses"])
+    courses_t, rejected = courses_t.append(batch)
+    rejected.select("course_id", "course_name", "rules").show(truncate=False)
+    courses_t = courses_t.evolve([("rename", "credits", "ects")])
+    print("   CHECK now reads", courses_t.checks["credits"][0], "; courses:", courses_t.df.count())
+
     print("3. guarded update: +3 % credits on courses named like '%Data%', at most 10 rows")
     bump = {"credits": F.col("credits") + ceil_int(F.col("credits") * F.lit(Decimal("0.03")))}
     courses = M.guarded_update(db["courses"], F.col("course_name").like("%Data%"), bump, max_rows=10)
