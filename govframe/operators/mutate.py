@@ -8,6 +8,7 @@ choice between two lazily defined frames.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -235,10 +236,14 @@ def extract_dimension(df: DataFrame, attrs: Sequence[str], key: str, start: int
 
 
 def explode_attribute(df: DataFrame, key: Sequence[str], attr: str, sep: str = ",", out: str | None = None) -> DataFrame:
-    """Multi-valued attribute stored as a delimited string -> N:M child rows."""
+    """Multi-valued attribute stored as a delimited string -> N:M child rows.
+
+    ``sep`` is a literal separator; values are trimmed, empty ones dropped,
+    and each (key, value) pair is kept once.
+    """
     out = out or attr
     return (
-        df.select(*key, F.explode(F.split(F.col(attr), sep)).alias(out))
+        df.select(*key, F.explode(F.split(F.col(attr), re.escape(sep))).alias(out))
         .withColumn(out, F.trim(F.col(out)))
         .filter(F.length(out) > 0)
         .distinct()

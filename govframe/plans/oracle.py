@@ -352,6 +352,12 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_
 JOIN customer c ON c.c_custkey = o.o_custkey
 """
 
+ORACLE["nm_attribute_explode"] = """
+SELECT DISTINCT p_partkey, word FROM (
+  SELECT p_partkey, trim(unnest(string_split(p_name, ' '))) AS word FROM part
+) WHERE length(word) > 0
+"""
+
 ORACLE["session_state"] = f"""
 WITH {SESSIONS_CTE}
 SELECT usuario, subject, active, started_at, expires_at FROM sessions

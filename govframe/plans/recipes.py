@@ -558,6 +558,14 @@ def nm_attribute_join(spark, d):
     return pairs.join(c.select("c_custkey"), "c_custkey", "left_semi")
 
 
+@recipe
+def nm_attribute_explode(spark, d):
+    """I-20: a multi-valued attribute kept as delimited text (the words of a part name)
+    turned into N:M child rows (part, word), one per distinct pair."""
+    p = _t(spark, d, "part")
+    return M.explode_attribute(p, ["p_partkey"], "p_name", sep=" ", out="word")
+
+
 # --------------------------------------------------- J: sessions, RLS ----
 
 @recipe

@@ -123,3 +123,9 @@ def test_cascade_cycle_rejected(spark):
     fks = [M.ForeignKey("x", ("k",), "y", ("k",), "cascade"), M.ForeignKey("y", ("k",), "x", ("k",), "cascade")]
     with pytest.raises(ValueError):
         M.delete_cascade({"x": t, "y": t}, fks, "x", F.col("k") == 1)
+
+
+def test_explode_attribute_literal_separator(spark):
+    df = spark.createDataFrame([(1, "a|b||c"), (2, None)], "id int, v string")
+    got = sorted(tuple(r) for r in M.explode_attribute(df, ["id"], "v", sep="|").collect())
+    assert got == [(1, "a"), (1, "b"), (1, "c")]
