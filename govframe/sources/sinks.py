@@ -122,8 +122,15 @@ class SnapshotError(RuntimeError):
 
 
 def row_fingerprint(cols: Sequence[str]) -> Column:
-    """96-bit row fingerprint over the non-key columns (xxhash64 + murmur3)."""
-    return F.struct(F.xxhash64(*cols).alias("h64"), F.hash(*cols).alias("h32"))
+    """96-bit row fingerprint over the non-key columns (xxhash64 + murmur3).
+
+    Spark's hash functions skip NULL inputs, so ``(NULL, 'x')`` and
+    ``('x', NULL)`` would hash alike; each column's NULL flag is hashed too,
+    which pins every value to its column.  A changed row then goes unnoticed
+    only on a 96-bit collision (probability about 2^-96 per row).
+    """
+    parts = [*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols]]
+    return F.struct(F.xxhash64(*parts).alias("h64"), F.hash(*parts).alias("h32"))
 
 
 def snapshot_diff(current: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -109,3 +109,10 @@ def test_run_history_on_snapshot_logs(spark):
                               [F.desc("started_at"), F.desc("path")], k=2).collect()
     assert sorted(r.kind for r in hist) == ["DIFF", "DIFF", "FULL", "FULL"]
     assert all(r.duration_s >= 0 and r.status == "SUCCESS" and r.size_mb is not None and r.size_mb > 0 for r in hist)
+
+
+def test_diff_sees_a_value_moving_between_null_columns(spark):
+    base = spark.createDataFrame([(1, None, "x"), (2, "a", "b")], "k int, c1 string, c2 string")
+    cur = spark.createDataFrame([(1, "x", None), (2, "a", "b")], "k int, c1 string, c2 string")
+    got = [(r.k, r.change_kind) for r in sinks.snapshot_diff(cur, base, ["k"]).collect()]
+    assert got == [(1, "UPDATE")]
