@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable, Sequence
 from typing import TYPE_CHECKING
 
@@ -63,13 +64,18 @@ def rows(spark: SparkSession, schema: T.StructType | str, data: Iterable[Sequenc
     st = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
     if not data or len(data) > INLINE_LIMIT:
         return spark.createDataFrame(data, st)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
-        for row in data
-    ]
+    structs = [F.struct(*[_literal(v, f).alias(f.name) for v, f in zip(row, st.fields)]) for row in data]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _literal(value, field: T.StructField):
+    """A typed literal; wall-clock datetimes go through their ISO text, which
+    casts to ``timestamp_ntz`` without any time-zone conversion."""
+    if isinstance(value, _dt.datetime) and isinstance(field.dataType, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(field.dataType)
+    return F.lit(value).cast(field.dataType)
+
+
 def register_governed(spark: SparkSession, base_dir: str, names: Sequence[str], registry: PolicyRegistry,
                       ctx: AccessContext) -> dict[str, DataFrame]:
     """Register each table as a temporary view *with its row policies applied*.

@@ -193,3 +193,18 @@ def test_sql_functions_agree_with_column_functions(spark):
     assert [tuple(r) for r in sql] == [tuple(r) for r in py]
     plan = spark.sql("SELECT tsql_isjson(j) FROM sqlfn_probe")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_inline_rows_keep_wall_clock_and_types(spark):
+    from govframe.sources.tables import rows
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = rows(spark, "k int, at timestamp_ntz, d date, amount decimal(10,2)",
+                  [(1, dt.datetime(2024, 1, 31, 23, 30), dt.date(2024, 1, 31), None)])
+        r = df.first()
+        assert r.at == dt.datetime(2024, 1, 31, 23, 30) and r.d == dt.date(2024, 1, 31) and r.amount is None
+        assert df.schema.simpleString() == "struct<k:int,at:timestamp_ntz,d:date,amount:decimal(10,2)>"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
