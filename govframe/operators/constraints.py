@@ -15,6 +15,7 @@ is collapsed before the shuffle) or one anti/outer join on the key.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -117,6 +118,8 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object], schema: T.Stru
     present = set(df.columns)
     for name, value in defaults.items():
         if name not in present:
+            if isinstance(value, _dt.datetime) and value.tzinfo is None:
+                value = F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")  # wall clock, no zone shift
             out = out.withColumn(name, value if isinstance(value, Column) else F.lit(value))
     if schema is not None:
         cols = []

@@ -149,3 +149,11 @@ def test_governed_table_add_constraint_if_absent(spark, academy):
     checked = once.with_check("adult", ["age"], lambda a: a >= 16).with_unique("email", ["email"])
     assert set(checked.violations()) == {"primary_key", "unique:email", "fk:career", "check"}
     assert all(v.count() == 0 for v in checked.violations().values())
+
+
+def test_datetime_default_is_wall_clock(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(1,)], "id int")
+    out = C.apply_defaults(df, {"at": dt.datetime(2024, 1, 31, 23, 30)}).first()
+    assert out.at == dt.datetime(2024, 1, 31, 23, 30)
