@@ -66,12 +66,9 @@ def append_audit(audit: DataFrame | None, rows: DataFrame, caller: str | Column,
     for name in keep:
         if name not in filled.columns:
             filled = filled.withColumn(name, F.lit(None).cast(AUDIT_SCHEMA[name].dataType))
-    start = 1
-    if audit is not None:
-        top = audit.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("m")).scalar()
-        start_col = top + F.lit(1)
-    else:
-        start_col = F.lit(start)
+    # IDENTITY continues after the current largest id (a scalar subquery, run once)
+    top = F.lit(0) if audit is None else audit.agg(F.coalesce(F.max("audit_id"), F.lit(0))).scalar()
+    start_col = top + F.lit(1)
     numbered = global_row_number(filled, list(order), out="_rn", start=0)
     new = numbered.select((start_col + F.col("_rn")).cast("long").alias("audit_id"),
                           *[F.col(n).cast(AUDIT_SCHEMA[n].dataType).alias(n) for n in keep])
