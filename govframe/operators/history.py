@@ -56,7 +56,11 @@ def lead_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     chunk_next = chunk_first.select(
         "_pid", *key, F.lead(F.struct(F.col("_first.v").alias("v")), 1).over(wk).alias("_chunk_next")
     )
-    joined = local.join(chunk_next, ["_pid", *key], "left")
+    # NULL keys form one group, as in a window's PARTITION BY: match them null-safely
+    nxt_side = chunk_next.select(F.col("_pid").alias("_npid"), *[F.col(k).alias(f"_nk{i}") for i, k in enumerate(key)],
+                                 "_chunk_next")
+    cond = [F.col("_pid") == F.col("_npid")] + [F.col(k).eqNullSafe(F.col(f"_nk{i}")) for i, k in enumerate(key)]
+    joined = local.join(nxt_side, cond, "left").drop("_npid", *[f"_nk{i}" for i in range(len(key))])
     filled = F.coalesce(F.col("_next"), F.col("_chunk_next"))
     return joined.withColumn(out, filled.getField("v")).drop("_pid", "_next", "_chunk_next")
 

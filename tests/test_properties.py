@@ -46,3 +46,13 @@ def test_lead_by_key_random(spark):
         j = mine.join(ref, ["k", "t"])
         assert j.count() == len(rows)
         assert j.filter(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_lead_by_key_null_key_group(spark):
+    rows = [(None, t, t) for t in range(400)] + [(1, t, t) for t in range(50)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    mine = H.lead_by_key(df, ["k"], ["t"], "v", "nxt", num_partitions=8)
+    ref = df.withColumn("ref", F.lead("v").over(Window.partitionBy("k").orderBy("t")))
+    j = mine.join(ref, [mine.k.eqNullSafe(ref.k), mine.t == ref.t])
+    assert j.count() == len(rows)
+    assert j.filter(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
