@@ -73,8 +73,15 @@ def audit_report(log: DataFrame, time_col: str, success: Column, as_of, hours: i
     return log.filter(F.col(time_col) >= since).withColumn("exito", label)
 
 
-def action_summary(log: DataFrame, keys: Sequence[str], time_col: str) -> DataFrame:
-    """Per key: number of rows, first and last time (partial + final hash aggregate)."""
+def action_summary(log: DataFrame, keys: Sequence[str], time_col: str, user_prefix: str | None = None,
+                   user_col: str = "usuario") -> DataFrame:
+    """Per key: number of rows, first and last time (partial + final hash aggregate).
+
+    ``user_prefix`` restricts the report to users whose name starts with it
+    (``LIKE 'prefix%'``; a plain prefix filter that reaches the Parquet scan).
+    """
+    if user_prefix is not None:
+        log = log.filter(F.col(user_col).startswith(user_prefix))
     return log.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.min(time_col).alias("first_at"),

@@ -143,3 +143,11 @@ def test_sql_over_governed_views(spark):
     assert all(r.o_custkey == allowed for r in got)
     spark.catalog.dropTempView("open_orders")
     spark.catalog.dropTempView("orders")
+
+
+def test_action_summary_user_prefix(spark):
+    log = spark.createDataFrame(
+        [("TestUser1", "LOGIN", T0), ("TestUser1", "LOGIN", T0 + dt.timedelta(minutes=1)), ("other", "LOGIN", T0)],
+        "usuario string, action string, event_at timestamp_ntz")
+    got = R.action_summary(log, ["usuario", "action"], "event_at", user_prefix="TestUser").collect()
+    assert [(r.usuario, r.n_events, r.first_at, r.last_at) for r in got] == [("TestUser1", 2, T0, T0 + dt.timedelta(minutes=1))]
