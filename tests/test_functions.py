@@ -208,3 +208,43 @@ def test_inline_rows_keep_wall_clock_and_types(spark):
         assert df.schema.simpleString() == "struct<k:int,at:timestamp_ntz,d:date,amount:decimal(10,2)>"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _boundaries(unit, a, b):
+    """Unit boundaries crossed from a to b (SQL Server DATEDIFF), computed directly."""
+    def idx(t):
+        if unit == "YEAR":
+            return t.year
+        if unit == "QUARTER":
+            return t.year * 4 + (t.month - 1) // 3
+        if unit == "MONTH":
+            return t.year * 12 + t.month
+        if unit == "WEEK":  # weeks start on Sunday; 1970-01-04 was a Sunday
+            return (t.date() - dt.date(1970, 1, 4)).days // 7
+        if unit == "DAY":
+            return t.toordinal()
+        secs = (t - dt.datetime(1970, 1, 1)) // dt.timedelta(seconds=1)
+        return secs // {"HOUR": 3600, "MINUTE": 60, "SECOND": 1}[unit]
+    return idx(b) - idx(a)
+
+
+def test_datediff_boundary_random_against_direct_count(spark):
+    import random
+
+    from govframe.functions.sql import register_sql_functions
+
+    rnd = random.Random(3)
+    base = dt.datetime(2023, 12, 25)
+    pairs = [(base + dt.timedelta(seconds=rnd.randint(0, 90 * 86400), microseconds=rnd.randint(0, 999999)),
+              base + dt.timedelta(seconds=rnd.randint(0, 90 * 86400), microseconds=rnd.randint(0, 999999)))
+             for _ in range(300)]
+    units = ["YEAR", "QUARTER", "MONTH", "WEEK", "DAY", "HOUR", "MINUTE", "SECOND"]
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(*[datediff_boundary(u, "a", "b").alias(u) for u in units]).collect()
+    for (a, b), row in zip(pairs, got):
+        for u in units:
+            assert row[u] == _boundaries(u, a, b), (u, a, b, row[u])
+    register_sql_functions(spark)
+    df.createOrReplaceTempView("dd_pairs")
+    sql = spark.sql("SELECT " + ", ".join(f"tsql_datediff('{u}', a, b) AS {u}" for u in units) + " FROM dd_pairs").collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in got]
