@@ -129,3 +129,13 @@ def test_explode_attribute_literal_separator(spark):
     df = spark.createDataFrame([(1, "a|b||c"), (2, None)], "id int, v string")
     got = sorted(tuple(r) for r in M.explode_attribute(df, ["id"], "v", sep="|").collect())
     assert got == [(1, "a"), (1, "b"), (1, "c")]
+
+
+def test_cascade_as_scripted_leaves_one_enrolment(spark, academy):
+    # FIXTURES §3: the rebuilt enrolment table holds (1,1) and (2,2); deleting student 1 leaves (2,2)
+    from govframe.schemas import ACADEMY
+
+    enrol = spark.createDataFrame([(1, 1, "2025S1"), (2, 2, "2025S1")], ACADEMY["enrolments"])
+    tables = dict(academy, enrolments=enrol)
+    new, _ = M.delete_cascade(tables, ACADEMY_FKS, "students", F.col("student_id") == 1)
+    assert [(r.student_id, r.course_id) for r in new["enrolments"].collect()] == [(2, 2)]
