@@ -123,6 +123,7 @@ def write_archive(archived: DataFrame, path: str, time_col: str, run_id: str) ->
     is idempotent while successive runs accumulate.
     """
     (archived.withColumn("archive_day", F.to_date(time_col)).withColumn("run", F.lit(run_id))
+     .sortWithinPartitions("archive_day", time_col)  # time-ordered files: selective min/max stats
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("archive_day", "run").parquet(path))
 

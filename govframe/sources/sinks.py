@@ -48,9 +48,17 @@ def insert_if_absent(target: DataFrame, candidates: DataFrame, keys: Sequence[st
 
 # ------------------------------------------------------------ versions ----
 
-def write_version(df: DataFrame, table_dir: str, version: int, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as version ``version`` of a table and return the path."""
+def write_version(df: DataFrame, table_dir: str, version: int, partition_by: Sequence[str] = (),
+                  sort_within: Sequence[str] = ()) -> str:
+    """Write ``df`` as version ``version`` of a table and return the path.
+
+    ``sort_within`` sorts each file by those columns (no shuffle): the
+    index-like layout that makes Parquet min/max statistics selective, so
+    range filters on them skip row groups.
+    """
     path = f"{table_dir.rstrip('/')}/v={version}"
+    if sort_within:
+        df = df.sortWithinPartitions(*partition_by, *sort_within)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

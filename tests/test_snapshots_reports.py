@@ -116,3 +116,13 @@ def test_diff_sees_a_value_moving_between_null_columns(spark):
     cur = spark.createDataFrame([(1, "x", None), (2, "a", "b")], "k int, c1 string, c2 string")
     got = [(r.k, r.change_kind) for r in sinks.snapshot_diff(cur, base, ["k"]).collect()]
     assert got == [(1, "UPDATE")]
+
+
+def test_sorted_version_pushes_range_filter(spark):
+    ev = load_table(spark, SF_SMALL, "events")
+    base = shared_path(spark, "test-sorted")
+    path = sinks.write_version(ev, base, 1, sort_within=["ts"])
+    back = spark.read.parquet(path).filter(F.col("ts") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
+    assert back.count() == ev.filter(F.col("ts") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")).count()
