@@ -126,3 +126,21 @@ def test_sorted_version_pushes_range_filter(spark):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
     assert back.count() == ev.filter(F.col("ts") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")).count()
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    import uuid
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = shared_path(spark, "test-bucketed")
+        tag = uuid.uuid4().hex[:8]
+        o = sinks.write_bucketed(load_table(spark, SF_SMALL, "orders"), f"b_orders_{tag}", ["o_orderkey"], 4, base)
+        li = sinks.write_bucketed(load_table(spark, SF_SMALL, "lineitem"), f"b_lines_{tag}", ["l_orderkey"], 4, base)
+        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == load_table(spark, SF_SMALL, "lineitem").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
