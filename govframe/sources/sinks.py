@@ -75,7 +75,8 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
     That co-locates the joins a governed model repeats, such as
     enrolments with orders, or a table with its snapshots.  Files live
     under ``base_path/name`` (shared storage); the table is registered in
-    the session catalogue under ``name``.
+    the session catalogue under ``name``.  A join without a shuffle has no
+    stage for AQE's skew split, so bucket on keys without a dominant value.
     """
     writer = df.write.mode("errorifexists").bucketBy(buckets, *keys)
     if sort:
