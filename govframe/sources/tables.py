@@ -83,6 +83,8 @@ def register_governed(spark: SparkSession, base_dir: str, names: Sequence[str],
     Plain ``spark.sql`` queries, and SQL views defined over these names,
     then see only the rows the principal in ``ctx`` may see: the policy sits
     under every query, as a security policy bound to the table would.
+    Temporary views belong to the Spark session and capture ``ctx``: give
+    each principal its own session, or register again when it changes.
     """
     out = {}
     for name in names:
