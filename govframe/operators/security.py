@@ -216,10 +216,12 @@ def apply_session_events(
     batch = last_login.join(first_logout, "usuario", "full_outer")
 
     if state is None:
-        spark = events.sparkSession
-        state = spark.createDataFrame([], "usuario string, subject bigint, active boolean, started_at timestamp_ntz, expires_at timestamp_ntz")
-    st = state.select("usuario", F.struct("subject", "active", "started_at", "expires_at").alias("old"))
-    j = st.join(batch, "usuario", "full_outer")
+        # no earlier sessions: nothing to merge, so no join with an empty table
+        old_type = "struct<subject:bigint,active:boolean,started_at:timestamp_ntz,expires_at:timestamp_ntz>"
+        j = batch.withColumn("old", F.lit(None).cast(old_type))
+    else:
+        st = state.select("usuario", F.struct("subject", "active", "started_at", "expires_at").alias("old"))
+        j = st.join(batch, "usuario", "full_outer")
 
     has_login = F.col("ll").isNotNull()
     has_old = F.col("old").isNotNull()
