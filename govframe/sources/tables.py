@@ -22,24 +22,27 @@ def table_path(base_dir: str, name: str) -> str:
 
 def load_table(
     spark: SparkSession,
-    base_dir: str,
+    base_dir: str | None,
     name: str,
     schema: T.StructType | None = None,
     registry: PolicyRegistry | None = None,
     ctx: AccessContext | None = None,
 ) -> DataFrame:
-    """Scan one table with an explicit schema.
+    """Scan one table with an explicit schema (or, with ``base_dir=None``, the catalogue table ``name``).
 
     With a ``registry`` and an access context the table's row policies are
     applied right here, on the scan, so every view built on top of the
     returned frame inherits them (policy injection below the view).
     Filters and projections added later still reach the Parquet reader.
     """
-    schema = schema or DRIVER.get(name)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(table_path(base_dir, name))
+    if base_dir is None:  # a catalogue table (e.g. one written by write_bucketed)
+        df = spark.table(name)
+    else:
+        schema = schema or DRIVER.get(name)
+        reader = spark.read
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.parquet(table_path(base_dir, name))
     if registry is not None:
         if ctx is None:
             raise ValueError("a policy registry needs an access context")

@@ -151,3 +151,16 @@ def test_action_summary_user_prefix(spark):
         "usuario string, action string, event_at timestamp_ntz")
     got = R.action_summary(log, ["usuario", "action"], "event_at", user_prefix="TestUser").collect()
     assert [(r.usuario, r.n_events, r.first_at, r.last_at) for r in got] == [("TestUser1", 2, T0, T0 + dt.timedelta(minutes=1))]
+
+
+def test_policy_on_a_catalogue_table(spark, academy):
+    import uuid
+
+    from govframe.session import shared_path
+    from govframe.sources import sinks
+
+    name = f"students_{uuid.uuid4().hex[:8]}"
+    sinks.write_bucketed(academy["students"], name, ["student_id"], 2, shared_path(spark, "test-cat"))
+    reg = S.PolicyRegistry().register(name, S.flag_policy("active"))
+    df = load_table(spark, None, name, registry=reg, ctx=S.AccessContext(S.Principal("dbo"), T0))
+    assert df.count() == 8
