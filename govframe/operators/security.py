@@ -16,7 +16,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -133,6 +133,38 @@ class PolicyRegistry:
         return df
 
 
+def visible_flag(df: DataFrame, key: Sequence[str], registry: PolicyRegistry, table: str, ctx: AccessContext,
+                 name: str = "_visible") -> DataFrame:
+    """``df`` with a boolean column: may the caller see this row under the table's policies?
+
+    The policies are applied to ``df`` and their surviving keys joined back
+    (one row per key), so rows the caller cannot see stay in the frame,
+    flagged false.
+    """
+    key = list(key)
+    seen = registry.apply(table, df, ctx).select(*key).distinct().withColumn(name, F.lit(True))
+    out = df.join(seen, key, "left")
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
+def update_visible(df: DataFrame, key: Sequence[str], registry: PolicyRegistry, table: str, ctx: AccessContext,
+                   cond: Column, assignments: Mapping[str, Column]) -> DataFrame:
+    """``UPDATE … WHERE cond`` as the caller: rows hidden by a policy are left unchanged."""
+    from govframe.operators.mutate import update_where
+
+    flagged = visible_flag(df, key, registry, table, ctx)
+    return update_where(flagged, cond & F.col("_visible"), assignments).drop("_visible").select(*df.columns)
+
+
+def delete_visible(df: DataFrame, key: Sequence[str], registry: PolicyRegistry, table: str, ctx: AccessContext,
+                   cond: Column) -> DataFrame:
+    """``DELETE … WHERE cond`` as the caller: rows hidden by a policy are kept."""
+    from govframe.operators.mutate import delete_where
+
+    flagged = visible_flag(df, key, registry, table, ctx)
+    return delete_where(flagged, cond & F.col("_visible")).drop("_visible").select(*df.columns)
+
+
 def probe(ids: DataFrame, id_col: str, sessions: DataFrame, principal: Principal, as_of, name: str = "allowed") -> DataFrame:
     """Predicate probe: for each id, would the session policy let it through?"""
     if principal.is_admin:

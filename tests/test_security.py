@@ -164,3 +164,21 @@ def test_policy_on_a_catalogue_table(spark, academy):
     reg = S.PolicyRegistry().register(name, S.flag_policy("active"))
     df = load_table(spark, None, name, registry=reg, ctx=S.AccessContext(S.Principal("dbo"), T0))
     assert df.count() == 8
+
+
+def test_policy_applies_to_updates_and_deletes(spark, academy):
+    reg = S.PolicyRegistry().register("students", S.flag_policy("active"))
+    ctx = S.AccessContext(S.Principal("dbo"), T0)
+    students = academy["students"]
+    # the update aimed at inactive student 3 touches nothing; the one at active student 1 applies
+    upd = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id").isin(1, 3),
+                           {"career_id": F.lit(4)})
+    got = {r.student_id: r.career_id for r in upd.collect()}
+    assert got[1] == 4 and got[3] == 4 and upd.count() == 10  # student 3 already had career 4
+    upd2 = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id") == 3,
+                            {"age": F.lit(99).cast("short")})
+    assert {r.student_id: r.age for r in upd2.collect()}[3] == 19
+    # deleting every student removes only the visible (active) ones
+    left = S.delete_visible(students, ["student_id"], reg, "students", ctx, F.lit(True))
+    assert sorted(r.student_id for r in left.collect()) == [3, 7]
+    assert left.columns == students.columns

@@ -40,8 +40,8 @@ API = {
     "H-5": "cast('string')", "H-6": "functions.ceil_int", "H-7": "+, *, SQL div", "H-8": "F.coalesce",
     "H-9": "functions.add_interval", "H-10": "functions.datediff_boundary", "H-11": "as_of argument",
     "H-12": "functions.is_json", "H-13": "functions.json_value", "H-14": "security.Principal",
-    "I-1": "mutate.update_where", "I-2": "mutate.guarded_update", "I-3": "mutate.staged_update",
-    "I-4": "mutate.delete_where", "I-5": "mutate.delete_matching", "I-6": "mutate.delete_cascade (cascade)",
+    "I-1": "mutate.update_where / security.update_visible (under row policies)", "I-2": "mutate.guarded_update", "I-3": "mutate.staged_update",
+    "I-4": "mutate.delete_where / security.delete_visible (under row policies)", "I-5": "mutate.delete_matching", "I-6": "mutate.delete_cascade (cascade)",
     "I-7": "mutate.delete_cascade (set_null)", "I-8": "mutate.delete_cascade (no_action) / restrict_counts",
     "I-9": "constraints.pk_violations", "I-10": "constraints.unique_violations", "I-11": "constraints.fk_violations",
     "I-12": "constraints.check_violations", "I-13": "constraints.domain_violations",
