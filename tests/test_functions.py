@@ -248,3 +248,11 @@ def test_datediff_boundary_random_against_direct_count(spark):
     df.createOrReplaceTempView("dd_pairs")
     sql = spark.sql("SELECT " + ", ".join(f"tsql_datediff('{u}', a, b) AS {u}" for u in units) + " FROM dd_pairs").collect()
     assert [tuple(r) for r in sql] == [tuple(r) for r in got]
+
+
+def test_case_insensitive_like_is_accent_sensitive(spark):
+    r = spark.range(1).select(
+        like_tsql(F.lit("JOSÉ PÉREZ"), "josé%", fixed_char=False, case_insensitive=True).alias("same_accent"),
+        like_tsql(F.lit("JOSE PEREZ"), "josé%", fixed_char=False, case_insensitive=True).alias("other_accent"),
+    ).first()
+    assert (r.same_accent, r.other_accent) == (True, False)
