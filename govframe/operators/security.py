@@ -105,12 +105,26 @@ def session_policy(subject_col: str) -> Policy:
         if ctx.sessions is None:
             raise ValueError("session policy needs sessions in the access context")
         return rls_session(df, subject_col, ctx.sessions, ctx.principal, ctx.as_of)
+
+    def predicate(ctx: AccessContext) -> Column:
+        # the row form: the principal's session has at most one subject (a scalar subquery)
+        if ctx.principal.is_admin:
+            return F.lit(True)
+        if ctx.sessions is None:
+            raise ValueError("session policy needs sessions in the access context")
+        mine = principal_subjects(ctx.sessions, ctx.principal, ctx.as_of).select("subject").scalar()
+        return F.coalesce(F.col(subject_col) == mine, F.lit(False))
+
+    policy.predicate = predicate
     return policy
 
 
 def flag_policy(flag: str | Column) -> Policy:
     def policy(df: DataFrame, ctx: AccessContext) -> DataFrame:
         return rls_flag(df, flag)
+
+    c = F.col(flag) if isinstance(flag, str) else flag
+    policy.predicate = lambda ctx: F.coalesce(c, F.lit(False))
     return policy
 
 
@@ -132,15 +146,29 @@ class PolicyRegistry:
             df = policy(df, ctx)
         return df
 
+    def predicate(self, table: str, ctx: AccessContext) -> Column | None:
+        """The table's policies as one row predicate (AND), when every policy has a row form."""
+        preds = [getattr(p, "predicate", None) for p in self._policies.get(table, [])]
+        if any(p is None for p in preds):
+            return None
+        out = F.lit(True)
+        for p in preds:
+            out = out & p(ctx)
+        return out
+
 
 def visible_flag(df: DataFrame, key: Sequence[str], registry: PolicyRegistry, table: str, ctx: AccessContext,
                  name: str = "_visible") -> DataFrame:
     """``df`` with a boolean column: may the caller see this row under the table's policies?
 
-    The policies are applied to ``df`` and their surviving keys joined back
-    (one row per key), so rows the caller cannot see stay in the frame,
-    flagged false.
+    Built-in policies have a row form, so the flag is one expression over
+    the scan.  Otherwise the policies are applied to ``df`` and their
+    surviving keys joined back (one row per key).  Either way rows the
+    caller cannot see stay in the frame, flagged false.
     """
+    pred = registry.predicate(table, ctx)
+    if pred is not None:  # built-in policies: a row predicate, no join at all
+        return df.withColumn(name, pred)
     key = list(key)
     seen = registry.apply(table, df, ctx).select(*key).distinct().withColumn(name, F.lit(True))
     out = df.join(seen, key, "left")

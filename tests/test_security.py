@@ -182,3 +182,18 @@ def test_policy_applies_to_updates_and_deletes(spark, academy):
     left = S.delete_visible(students, ["student_id"], reg, "students", ctx, F.lit(True))
     assert sorted(r.student_id for r in left.collect()) == [3, 7]
     assert left.columns == students.columns
+
+
+def test_policy_row_form_matches_the_filter_and_needs_no_join(spark, academy):
+    people, sess = _people(academy), _sessions(spark)
+    reg = (S.PolicyRegistry().register("students", S.session_policy("student_id"))
+           .register("students", S.flag_policy("active")))
+    for who in ("ana", "luis", "nobody", "dbo"):
+        ctx = S.AccessContext(S.Principal(who), T0, sess)
+        flagged = S.visible_flag(people, ["student_id"], reg, "students", ctx)
+        by_flag = sorted(r.student_id for r in flagged.filter("_visible").collect())
+        by_filter = sorted(r.student_id for r in reg.apply("students", people, ctx).collect())
+        assert by_flag == by_filter, who
+        if who == "ana":  # non-admin: a scalar subquery, still no join
+            plan = flagged._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "Subquery" in plan
