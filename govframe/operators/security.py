@@ -7,7 +7,10 @@ on the scan, so every view built on top inherits them.
 
 Scale notes
 * The per-principal session lookup returns at most one row (sessions are
-  unique per user), so the RLS semi-join broadcasts exactly that row.
+  unique per user), so the RLS predicate compares the subject with a scalar
+  subquery; Spark pushes that comparison into the Parquet scan of the
+  protected table, where min/max statistics skip the row groups of other
+  subjects.
 * Session state is rebuilt from an event batch with aggregates keyed by
   user (partial aggregation, no window over a user's history), so a user
   with a third of all events costs one row after the map side.
@@ -82,13 +85,14 @@ def principal_subjects(sessions: DataFrame, principal: Principal, as_of) -> Data
 def rls_session(df: DataFrame, subject_col: str, sessions: DataFrame, principal: Principal, as_of) -> DataFrame:
     """Session predicate: admins see everything, everyone else the subject of
     their own active, unexpired session.  Decided on the driver for the
-    admin case (no join at all), a broadcast semi-join otherwise -- the
-    broadcast side has at most one row because sessions are unique per user.
+    admin case (no filter at all); otherwise a filter against a scalar
+    subquery -- at most one row, because sessions are unique per user --
+    which Spark pushes into the scan of ``df``.  No session: no rows.
     """
     if principal.is_admin:
         return df
-    allowed = principal_subjects(sessions, principal, as_of)
-    return df.join(F.broadcast(allowed), df[subject_col] == allowed["subject"], "left_semi")
+    mine = principal_subjects(sessions, principal, as_of).scalar()
+    return df.filter(F.col(subject_col) == mine)  # NULL (no session) keeps no row; pushable as EqualTo
 
 
 def rls_flag(df: DataFrame, flag: str | Column) -> DataFrame:
