@@ -25,10 +25,26 @@ SHORT = {"BroadcastHashJoin": "BHJ", "SortMergeJoin": "SMJ", "ShuffledHashJoin":
 
 
 def final_section(plan: str) -> str:
-    """The ``== Final Plan ==`` part of an adaptive plan (all of it if not adaptive)."""
-    if "== Final Plan ==" in plan:
-        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
-    return plan
+    """The top-level ``== Final Plan ==`` part of an adaptive plan, subqueries included
+    (all of it if not adaptive).  Nested subquery plans carry their own markers,
+    indented; the top-level ones start the line."""
+    lines = plan.splitlines()
+    start = next((i for i, l in enumerate(lines) if l.startswith("+- == Final Plan ==")), None)
+    if start is None:
+        return plan
+    end = next((i for i, l in enumerate(lines) if i > start and l.startswith("+- == Initial Plan ==")), len(lines))
+    kept, skip_deeper_than = [], None
+    for line in lines[start + 1:end]:
+        indent = len(line) - len(line.lstrip(" :"))
+        if skip_deeper_than is not None:
+            if indent > skip_deeper_than:
+                continue  # inside a nested subquery's initial plan
+            skip_deeper_than = None
+        if line.lstrip(" :").startswith("+- == Initial Plan =="):
+            skip_deeper_than = indent
+            continue
+        kept.append(line)
+    return "\n".join(kept)
 
 
 def summarize(plan: str) -> dict[str, str]:
