@@ -201,9 +201,8 @@ def probe(ids: DataFrame, id_col: str, sessions: DataFrame, principal: Principal
     """Predicate probe: for each id, would the session policy let it through?"""
     if principal.is_admin:
         return ids.withColumn(name, F.lit(True))
-    allowed = principal_subjects(sessions, principal, as_of).distinct().withColumn(name, F.lit(True))
-    out = ids.join(F.broadcast(allowed), ids[id_col] == allowed["subject"], "left").drop("subject")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    mine = principal_subjects(sessions, principal, as_of).scalar()  # at most one subject per user
+    return ids.withColumn(name, F.coalesce(F.col(id_col) == mine, F.lit(False)))
 
 
 def visibility_counts(df: DataFrame, subject_col: str, sessions: DataFrame, as_of) -> DataFrame:
