@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, host_quality, url_filter
+from govframe.llm import bpe, chat_format, decontam, host_quality, oracle, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -44,10 +44,16 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN, digests=True)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    found = decontam.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document, its host's failures included."""
     return host_quality.judge(spark, table(spark, sf_dir, "documents")).drop("host", "host_rejected")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op5_byte_bpe, op9_host_quality)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op5_byte_bpe, op8_decontaminate, op9_host_quality)}
+ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
