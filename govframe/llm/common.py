@@ -160,3 +160,41 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     np.add.at(step, starts, 1)
     np.add.at(step, ends, -1)
     return np.cumsum(step[:n]) > 0
+
+
+#: Bits of the largest bitmap that is broadcast (8 MB).
+MOST_BITS = 1 << 26
+
+
+def bitmap(hashes: DataFrame, bits: int, column: str = "hash") -> bytes:
+    """Bitmap of a column of 64-bit hashes, built by Spark; its size is fixed by ``bits``."""
+    place = F.pmod(column, F.lit(bits)) + 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bytes"))
+    out, width = bytearray(max(bits // 8, 4096)), 4096
+    for row in parts.toLocalIterator():  # at most bits / 32768 rows
+        out[(row.bucket - 1) * width : row.bucket * width] = row.bytes
+    return bytes(out[: bits // 8])
+
+
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+
+
+def named_by(spark: SparkSession, rows: DataFrame, ids: DataFrame, id_col: str, named: bool = True) -> DataFrame:
+    """Rows whose id may be (or with ``named=False`` cannot be) among ``ids``, told by a bitmap.
+
+    The bitmap has 16 bits an id up to MOST_BITS; beyond that more rows pass than need to, and a
+    join afterwards decides.  It only spares the shuffle of rows that certainly have no partner.
+    """
+    n = ids.count()
+    bits = min(MOST_BITS, max(1 << 18, 1 << (16 * n).bit_length()))
+    shared = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("long")).alias("hash")), bits))
+    hashed = rows.withColumn("_id_hash", F.xxhash64(F.col(id_col).cast("long")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member = unpacked(shared.value)
+        for batch in batches:
+            hit = member[batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False) % bits]
+            yield batch.filter(pa.array(hit == named)).select(list(range(batch.num_columns - 1)))
+
+    return hashed.mapInArrow(run, rows.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import Rolling, WordHashes, as_bytes, cut_lineage, map_texts
+from govframe.llm.common import Rolling, WordHashes, as_bytes, bitmap, cut_lineage, map_texts, unpacked
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 3
@@ -62,21 +62,11 @@ def item_windows(benchmark: DataFrame, size: int, shingle: int) -> DataFrame:
     return map_texts(kept, run, fields, "item_id", "text").distinct()
 
 
-def bitmap(hashes: DataFrame, bits: int) -> bytes:
-    """Bitmap of a column ``gram`` of hashes, built by Spark; its size is fixed."""
-    place = F.pmod("gram", F.lit(bits)) + 1
-    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bytes"))
-    out, width = bytearray(bits // 8), 4096
-    for row in parts.toLocalIterator():  # at most bits / 32768 rows
-        out[(row.bucket - 1) * width : row.bucket * width] = row.bytes
-    return bytes(out)
-
-
 class GramFinder:
     """Finds the shingles of a document whose hash is in a bitmap."""
 
     def __init__(self, bits: bytes, sizes: list[int]):
-        self.member = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        self.member = unpacked(bits)
         self.sizes, self.hashes = sizes, WordHashes()
 
     def find(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -131,12 +121,12 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
     if lengths:
         unique = windows.select("win", "n", "grams").distinct()
         grams = unique.select("win", "n", F.posexplode("grams").alias("offset", "gram"))
-        counts = gram_counts(docs, spark.sparkContext.broadcast(bitmap(grams, bits)), lengths)
+        counts = gram_counts(docs, spark.sparkContext.broadcast(bitmap(grams, bits, "gram")), lengths)
         # a window with a shingle that no document has occurs nowhere
         counted = grams.join(counts, "gram", "left").withColumn("count", F.coalesce("docs_n", F.lit(0)))
         rarest = counted.groupBy("win", "n").agg(F.min(F.struct("count", "offset", "gram")).alias("p"))
         prefixes = cut_lineage(spark, rarest.filter(F.col("p.count") > 0).select("win", "n", "p.offset", "p.gram"))
-        shared = spark.sparkContext.broadcast(bitmap(prefixes, bits))
+        shared = spark.sparkContext.broadcast(bitmap(prefixes, bits, "gram"))
     scanned = cut_lineage(spark, prefix_places(docs, shared, lengths, size).withColumn("row", F.monotonically_increasing_id()))
     if shared is None:
         return _verdicts(scanned, None, None)

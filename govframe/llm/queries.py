@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, decontam, host_quality, oracle, url_filter
+from govframe.llm import bpe, chat_format, decontam, host_quality, minhash, oracle, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -39,6 +39,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded; digests of both."""
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN, digests=True)
@@ -55,5 +60,5 @@ def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.judge(spark, table(spark, sf_dir, "documents")).drop("host", "host_rejected")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op5_byte_bpe, op8_decontaminate, op9_host_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op4_minhash, op5_byte_bpe, op8_decontaminate, op9_host_quality)}
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
