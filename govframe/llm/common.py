@@ -7,8 +7,12 @@ regular expression.  Hashes are 64 bits wide and the same in every worker.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +25,7 @@ from govframe.session import ensure_checkpoint_dir
 #: Rows of an Arrow batch that are turned into Python objects at once (a memory bound, no result depends on it).
 SLICE_ROWS = 256
 
+PACKAGE_ZIP = "govframe-package.zip"
 _FULL = (1 << 64) - 1
 #: Odd multiplier of the rolling hashes and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -52,6 +57,26 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package, once per context, wherever the workers run."""
+    sc = spark.sparkContext
+    if any(f.endswith(f"/{PACKAGE_ZIP}") for f in sc.listFiles):
+        return
+    root = Path(__file__).resolve().parents[2]
+    folder = tempfile.TemporaryDirectory(prefix="govframe-package-")  # the driver serves it from here until it ends
+    atexit.register(folder.cleanup)
+    with zipfile.ZipFile(path := f"{folder.name}/{PACKAGE_ZIP}", "w") as z:
+        for f in sorted(root.glob("govframe/**/*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(path)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_texts(df: DataFrame, per_row: Callable[[Iterator[tuple]], Iterator[tuple]], fields: list[tuple[str, str, pa.DataType]], *columns: str) -> DataFrame:
     """``per_row`` over the rows of ``columns`` of each partition; ``fields``: name, Spark type, Arrow type of the result."""
     schema = pa.schema([(n, t) for n, _, t in fields])
@@ -59,7 +84,7 @@ def map_texts(df: DataFrame, per_row: Callable[[Iterator[tuple]], Iterator[tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(per_row(rows_of(batches, *columns)), schema)
 
-    return df.select(*columns).mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t, _ in fields))
+    return arrow_map(df.select(*columns), run, ", ".join(f"`{n}` {t}" for n, t, _ in fields))
 
 
 def as_bytes(column: str = "text"):
@@ -142,18 +167,6 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suffix[: n - w + 1], prefix[w - 1 : n])
 
 
-def anchors(h: np.ndarray, w: int) -> np.ndarray:
-    """Positions of the values that are the minimum of some run of ``w`` values, ties included.
-
-    Two equal runs have their minimum at the same places, so both contain the same anchors.
-    """
-    if len(h) < w:
-        return np.zeros(0, np.int64)
-    low = np.zeros(len(h) + w - 1, np.uint64)
-    low[w - 1 : len(h)] = sliding_min(h, w)
-    return np.flatnonzero(~sliding_min(~low, w) == h)
-
-
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Mask of the positions of 0..n that some run from ``starts`` to ``ends`` covers."""
     step = np.zeros(n + 1, np.int64)
@@ -189,7 +202,7 @@ def named_by(spark: SparkSession, rows: DataFrame, ids: DataFrame, id_col: str,
     n = ids.count()
     bits = min(MOST_BITS, max(1 << 18, 1 << (16 * n).bit_length()))
     shared = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("long")).alias("hash")), bits))
-    hashed = rows.withColumn("_id_hash", F.xxhash64(F.col(id_col).cast("long")))
+    hashed = rows.withColumn("_id_hash", F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0))))  # a null id shares a bit with 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = unpacked(shared.value)
@@ -197,4 +210,4 @@ def named_by(spark: SparkSession, rows: DataFrame, ids: DataFrame, id_col: str,
             hit = member[batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False) % bits]
             yield batch.filter(pa.array(hit == named)).select(list(range(batch.num_columns - 1)))
 
-    return hashed.mapInArrow(run, rows.schema)
+    return arrow_map(hashed, run, rows.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, decontam, host_quality, minhash, oracle, url_filter
+from govframe.llm import bpe, chat_format, decontam, host_quality, minhash, oracle, passages, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -60,5 +60,10 @@ def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.judge(spark, table(spark, sf_dir, "documents")).drop("host", "host_rejected")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op4_minhash, op5_byte_bpe, op8_decontaminate, op9_host_quality)}
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 words that an earlier one has."""
+    return passages.remove_passages(spark, table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op4_minhash, op5_byte_bpe, op8_decontaminate, op9_host_quality, op10_passages)}
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
