@@ -11,12 +11,12 @@ A row is named by its ``doc_id`` and a hash of its text, so null or repeated ids
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +55,12 @@ def runs_of(grams: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def text_hash(text: bytes) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(text)[:4], "big", signed=True)
+    """What ``th`` is natively: CRC-32, moved to the range of a signed integer."""
+    return zlib.crc32(text) - (1 << 31)
+
+
+def native_text_hash(text: Column) -> Column:
+    return (F.crc32(text) - F.lit(1 << 31)).cast("int")
 
 
 def anchor_rows(docs: DataFrame, windows: Windows, symbols: Callable[[], Callable[[bytes], np.ndarray]]) -> DataFrame:
@@ -99,16 +104,8 @@ def same_text(a: DataFrame, b: DataFrame) -> Column:
 
 def hashed_texts(docs: DataFrame) -> DataFrame:
     """doc, th, text (bytes; null counts as empty)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(1)
-                th = pa.array([text_hash(t) for t in texts.to_pylist()], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), th, texts], names=["doc", "th", "text"])
-
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(as_bytes(), F.lit(b"")).alias("text")), run, "doc long, th int, text binary")
+    text = F.coalesce(as_bytes(), F.lit(b""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), native_text_hash(text).alias("th"), text.alias("text"))
 
 
 def with_texts(spark: SparkSession, docs: DataFrame, regions: DataFrame, *columns: str) -> DataFrame:
@@ -150,3 +147,36 @@ def merged(spans: list[dict], n: int) -> list[tuple[int, int]]:
         else:
             out.append([start, stop])
     return [(a, b) for a, b in out]
+
+
+def without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not among ``gone`` (doc, th); rows that certainly stay are not shuffled."""
+    ids = gone.select("doc").distinct()
+    maybe, stay = named_by(spark, docs, ids, "doc_id"), named_by(spark, docs, ids, "doc_id", named=False)
+    same = maybe["doc_id"].cast("long").eqNullSafe(gone["doc"]) & (native_text_hash(F.coalesce(maybe["text"].cast("binary"), F.lit(b""))) == gone["th"])
+    return maybe.join(gone, same, "left_anti").union(stay)
+
+
+def rewrite(spark: SparkSession, docs: DataFrame, spans: DataFrame, judge: Callable[[], Callable[[bytes, list[dict]], str]]) -> DataFrame:
+    """``docs`` with the text of each row that has spans (doc, th, start, stop) as ``judge`` returns it, and its ``n_chars``."""
+    wanted = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("list"))
+    ids = spans.select("doc").distinct()
+    touched, clean = named_by(spark, docs, ids, "doc_id"), named_by(spark, docs, ids, "doc_id", named=False)
+    same = touched["doc_id"].cast("long").eqNullSafe(wanted["doc"]) & (native_text_hash(F.coalesce(touched["text"].cast("binary"), F.lit(b""))) == wanted["th"])
+    met = touched.join(wanted, same, "left").select(*(touched[c] for c in docs.columns), wanted["list"])
+    names = docs.columns
+    text_at, count_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = judge()
+        for batch in batches:
+            columns = list(batch.columns[:-1])
+            old = columns[text_at].to_pylist()
+            new = [of((t or "").encode(), x) if x else t for t, x in zip(old, batch.columns[-1].to_pylist(), strict=True)]
+            columns[text_at] = pa.array(new, pa.string())
+            if count_at is not None:
+                counts = [len(t) if x else n for t, x, n in zip(new, batch.columns[-1].to_pylist(), columns[count_at].to_pylist(), strict=True)]
+                columns[count_at] = pa.array(counts, batch.columns[count_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return arrow_map(met, run, docs.schema).union(clean)

@@ -201,7 +201,7 @@ def named_by(spark: SparkSession, rows: DataFrame, ids: DataFrame, id_col: str,
     """
     n = ids.count()
     bits = min(MOST_BITS, max(1 << 18, 1 << (16 * n).bit_length()))
-    shared = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("long")).alias("hash")), bits))
+    shared = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(F.coalesce(F.col(ids.columns[0]).cast("long"), F.lit(0))).alias("hash")), bits))
     hashed = rows.withColumn("_id_hash", F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0))))  # a null id shares a bit with 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from govframe.llm.anchored import text_hash, without
 from govframe.llm.common import Rolling, WordHashes, as_bytes, bitmap, cut_lineage, map_texts, unpacked
 
 WINDOW_WORDS = 13
@@ -95,7 +96,7 @@ def gram_counts(docs: DataFrame, bits, sizes: list[int], held: int = 200_000) ->
 
 
 def prefix_places(docs: DataFrame, bits, sizes: list[int], size: int) -> DataFrame:
-    """One row per document: doc_id, n_words and the places of prefix shingles (gram, pos, first word of the context, context)."""
+    """One row per document: doc_id, th, n_words and the places of prefix shingles (gram, pos, first word of the context, context)."""
     place = pa.struct([("gram", pa.int64()), ("pos", pa.int32()), ("from", pa.int32()), ("context", pa.string())])
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -106,15 +107,15 @@ def prefix_places(docs: DataFrame, bits, sizes: list[int], size: int) -> DataFra
                 for pos, gram in zip(at.tolist(), grams.tolist(), strict=True):
                     first = max(0, pos - size + 1)
                     places.append({"gram": gram, "pos": pos, "from": first, "context": b" ".join(words[first : pos + size]).decode()})
-            yield doc, len(words), places
+            yield doc, text_hash(text or b""), len(words), places
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
-    fields = [("doc_id", "long", pa.int64()), ("n_words", "long", pa.int64()), ("places", "array<struct<gram:long,pos:int,`from`:int,context:string>>", pa.list_(place))]
+    fields = [("doc_id", "long", pa.int64()), ("th", "int", pa.int32()), ("n_words", "long", pa.int64()), ("places", "array<struct<gram:long,pos:int,`from`:int,context:string>>", pa.list_(place))]
     return map_texts(kept, run, fields, "doc_id", "text")
 
 
 def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS, bits: int = BITMAP_BITS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, spans (start and length of hit windows), item_ids (sorted as strings), n_items, contaminated."""
+    """One row per row of ``docs``: doc_id, th (hash of the text), n_words, n_hit, spans (start and length of hit windows), item_ids (sorted as strings), n_items, contaminated."""
     windows = cut_lineage(spark, item_windows(benchmark, size, shingle))
     lengths = sorted(r.g for r in windows.select(F.least(F.lit(shingle), "n").alias("g")).distinct().toLocalIterator())  # at most `shingle` rows
     shared = None
@@ -142,10 +143,10 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
 
 
 def _verdicts(scanned: DataFrame, spans: DataFrame | None, items: DataFrame | None) -> DataFrame:
-    docs = scanned.select("row", "doc_id", "n_words")
+    docs = scanned.select("row", "doc_id", "th", "n_words")
     out = reduce(lambda a, b: a.join(b, "row", "left"), [x for x in (spans, items) if x is not None], docs)
     none = {"spans": "array<struct<start:int,n:int>>", "item_ids": "array<string>"}
-    out = out.select("doc_id", "n_words", *(F.coalesce(F.col(c) if c in out.columns else F.lit(None), F.array().cast(t)).alias(c) for c, t in none.items()))
+    out = out.select("doc_id", "th", "n_words", *(F.coalesce(F.col(c) if c in out.columns else F.lit(None), F.array().cast(t)).alias(c) for c, t in none.items()))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("sum"))
 
     def add(acc, s):
@@ -153,4 +154,10 @@ def _verdicts(scanned: DataFrame, spans: DataFrame | None, items: DataFrame | No
         return F.struct(F.greatest(acc["end"], end).alias("end"), (acc["sum"] + F.greatest(F.lit(0), end - F.greatest(acc["end"], s["start"]))).cast("long").alias("sum"))
 
     out = out.withColumn("n_hit", F.aggregate("spans", zero, add, lambda acc: acc["sum"]))
-    return out.select("doc_id", "n_words", "n_hit", "spans", "item_ids", F.size("item_ids").cast("long").alias("n_items"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    return out.select("doc_id", "th", "n_words", "n_hit", "spans", "item_ids", F.size("item_ids").cast("long").alias("n_items"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the contaminated rows."""
+    found = cut_lineage(spark, find_contamination(spark, docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("doc"), "th").distinct())
+    return without(spark, docs, found)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import as_bytes, cut_lineage, map_texts
+from govframe.llm.common import arrow_map, as_bytes, cut_lineage, map_texts
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -124,3 +124,29 @@ def judge(spark: SparkSession, docs: DataFrame, policy: HostPolicy = HostPolicy(
     base = F.col("fail_short") | F.col("fail_repetitive")
     out = judged.join(hosts, "host", "left").withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
     return out.select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "host_rejected", (~base & ~F.col("host_rejected")).alias("kept"))
+
+
+#: Rejected hosts up to this number are broadcast to the documents; more meet them in a shuffled join.
+BROADCAST_HOSTS = 100_000
+
+
+def keep_documents(spark: SparkSession, docs: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFrame:
+    """``docs`` without the rows that fail the base rules and without those of rejected hosts."""
+    judged = cut_lineage(spark, document_metrics(docs).select("host", *(c.alias(f"fail_{r}") for r, c in failures().items())))
+    rejected = cut_lineage(spark, host_verdicts(judged, policy).filter("host_rejected").select(F.col("host").alias("_host")))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed = []
+            for start in range(0, batch.num_rows, 256):
+                for text in batch.column(at).slice(start, 256).cast(pa.binary()).to_pylist():
+                    n_words, _, _, _, n_repeat_words = measure(text)
+                    passed.append(n_words >= 50 and 100 * n_repeat_words <= 50 * n_words)
+            yield batch.filter(pa.array(passed, pa.bool_()))
+
+    good = arrow_map(docs, run, docs.schema)
+    n = rejected.count()
+    if not n:
+        return good
+    return good.join(F.broadcast(rejected) if n <= BROADCAST_HOSTS else rejected, good["source"].cast("string") == rejected["_host"], "left_anti")

@@ -185,3 +185,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, policy: NearPolicy = N
     out = sk.select("doc_id", "n_shingles", "seq").join(top, "seq", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: that of the smallest id.  Rows that repeat an id and text count as one."""
+    judged = cut_lineage(spark, near_duplicates(spark, docs, policy))
+    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
+    again = judged.filter(F.col("kept") & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id")
+    left = _not_among(spark, docs, gone)
+    if again.isEmpty():
+        return left
+    return named_by(spark, left, again, "doc_id", named=False).union(named_by(spark, left, again, "doc_id").dropDuplicates(["doc_id", "text"]))
+
+
+def _not_among(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
+    maybe, stay = named_by(spark, docs, gone, "doc_id"), named_by(spark, docs, gone, "doc_id", named=False)
+    return maybe.join(gone, maybe["doc_id"].cast("long") == gone["id"], "left_anti").union(stay)
