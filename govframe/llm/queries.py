@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, decontam, host_quality, minhash, oracle, passages, suffix_dedup, url_filter
+from govframe.llm import bpe, chat_format, decontam, host_quality, html_text, minhash, oracle, passages, suffix_dedup, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -39,6 +39,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's html rendered as text."""
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
@@ -70,5 +75,5 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(spark, table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op4_minhash, op5_byte_bpe, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_html_text, op4_minhash, op5_byte_bpe, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages)}
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
