@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, decontam, host_quality, html_text, minhash, oracle, passages, suffix_dedup, url_filter
+from govframe.llm import bpe, chat_format, decontam, host_quality, html_text, langid_crf, minhash, oracle, passages, suffix_dedup, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -54,6 +54,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN, digests=True)
 
 
+def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from those that are not held out."""
+    return langid_crf.identify(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 400 bytes that start elsewhere too."""
     return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept")
@@ -75,5 +80,5 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(spark, table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_html_text, op4_minhash, op5_byte_bpe, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_html_text, op4_minhash, op5_byte_bpe, op6_language_crf, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages)}
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
