@@ -2,8 +2,7 @@
 
 Run: ``python examples/academy_walkthrough.py``.  Uses the small seed rows of
 ``tests/fixtures.py`` (students, careers, courses, enrolments, languages,
-networks) and prints each step's result: the same steps a user of the
-original scripts runs -- seed, reject bad inserts, guarded update, cascade
+networks) and prints each step's result: seed, reject bad inserts, guarded update, cascade
 and SET NULL deletes, login / logout, the session view under row-level
 security, the audit report and the numbered checklist.
 """
@@ -41,11 +40,11 @@ def main() -> None:
     db["enrolments"].groupBy("course_id").agg(F.count("*").alias("total")).orderBy("course_id").show()
 
     print("2. inserts that the constraints reject")
-    bad_student = spark.createDataFrame([(11, "Test", "FK", "fk@example.edu", 20, True, 999, None)], ACADEMY["students"])
+    bad_student = spark.createDataFrame([(31, "No", "Career", "none@school.test", 20, True, 999, None)], ACADEMY["students"])
     _, rej = C.validated_append(db["students"], bad_student, ["student_id"],
                                 foreign_keys=[(db["careers"], ["career_id"], ["career_id"], "career")])
     rej.select("student_id", "rules").show(truncate=False)
-    periods = spark.createDataFrame([(2, 1, "25S3"), (2, 2, "202S1"), (2, 5, "2025S1")], ACADEMY["enrolments"])
+    periods = spark.createDataFrame([(12, 1, "31S1"), (12, 2, "2031S3"), (12, 5, "2031S1")], ACADEMY["enrolments"])
     acc, rej = C.validated_append(db["enrolments"], periods, ["student_id", "course_id", "period"],
                                   checks={"period": like_tsql("period", PERIOD_PATTERN)})
     rej.show(truncate=False)
@@ -54,7 +53,7 @@ def main() -> None:
     print("2b. courses declared with their constraints; a batch appended; the checked column renamed")
     courses_t = GovernedTable("courses", db["courses"], ("course_id",), unique={"name": ("course_name",)},
                               checks={"credits": (("credits",), lambda c: c.between(*CREDITS_RANGE))})
-    batch = spark.createDataFrame([(9, "Programación Web", 5, None), (10, "Cloud", 12, None), (11, "Streaming", 4, None)],
+    batch = spark.createDataFrame([(9, "Chart Reading", 5, None), (10, "Sonar", 12, None), (11, "Knots", 4, None)],
                                   ACADEMY["courses"])
     courses_t, rejected = courses_t.append(batch)
     rejected.select("course_id", "course_name", "rules").show(truncate=False)
@@ -65,29 +64,29 @@ def main() -> None:
     bump = {"credits": F.col("credits") + ceil_int(F.col("credits") * F.lit(Decimal("0.03")))}
     courses = M.guarded_update(db["courses"], F.col("course_name").like("%Data%"), bump, max_rows=10)
     C.check_violations(courses, {"credits": F.col("credits").between(*CREDITS_RANGE)}, keep=["course_id"]).show()
-    courses.filter(F.col("course_name") == "Big Data").show()
+    courses.filter(F.col("course_name") == "Data Buoys").show()
 
-    print("4. delete student 1: enrolments, languages and networks follow")
+    print("4. delete student 11: enrolments, languages and networks follow")
     fks = [M.ForeignKey("enrolments", ("student_id",), "students", ("student_id",), "cascade"),
            M.ForeignKey("student_languages", ("student_id",), "students", ("student_id",), "cascade"),
            M.ForeignKey("student_networks", ("student_id",), "students", ("student_id",), "cascade"),
            M.ForeignKey("students", ("career_id",), "careers", ("career_id",), "set_null")]
-    after, _ = M.delete_cascade(db, fks, "students", F.col("student_id") == 1)
+    after, _ = M.delete_cascade(db, fks, "students", F.col("student_id") == 11)
     for t in ("enrolments", "student_languages", "student_networks"):
         print(f"   {t}: {db[t].count()} -> {after[t].count()}")
     after, _ = M.delete_cascade(db, fks, "careers", F.col("career_id") == 3)
-    after["students"].filter(F.col("student_id").isin(6, 10)).select("student_id", "career_id").show()
+    after["students"].filter(F.col("student_id").isin(15, 16)).select("student_id", "career_id").show()
 
-    print("5. login Juan, login María, logout Juan; the session view; RLS for a non-admin")
+    print("5. login Ines, login Bram, logout Ines; the session view; RLS for a non-admin")
     people = db["students"].withColumn("student_id", F.col("student_id").cast("long"))
     ev = spark.createDataFrame(
-        [("juan", "LOGIN", 1, T0, 1, None), ("maria", "LOGIN", 2, T0 + dt.timedelta(minutes=1), 2, None),
-         ("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=5), 3, None)],
+        [("ines", "LOGIN", 11, T0, 1, None), ("bram", "LOGIN", 12, T0 + dt.timedelta(minutes=1), 2, None),
+         ("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=5), 3, None)],
         "usuario string, kind string, subject bigint, event_at timestamp_ntz, seq bigint, expires_at timestamp_ntz")
     sessions, log, _ = S.apply_session_events(None, ev, people, "student_id")
     now = T0 + dt.timedelta(minutes=10)
     R.active_sessions(sessions, people, "student_id", "first_name", "last_name", now).show(truncate=False)
-    S.rls_session(people, "student_id", sessions, S.Principal("maria"), now).select("student_id", "first_name").show()
+    S.rls_session(people, "student_id", sessions, S.Principal("bram"), now).select("student_id", "first_name").show()
     print("   admin sees", S.rls_session(people, "student_id", sessions, S.Principal("dbo"), now).count(), "students")
     print("   attribute policy (active students only):", S.rls_flag(db["students"], "active").count())
 

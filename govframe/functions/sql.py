@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from govframe.functions import tsql
+
 _UNITS = ("YEAR", "QUARTER", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND")
 
 
@@ -21,19 +23,31 @@ def _datediff_body() -> str:
     return "CASE upper(unit) " + " ".join(cases) + " END"
 
 
+def _text(pattern: str) -> str:
+    """A pattern as a raw SQL string literal (patterns hold double quotes but no single ones)."""
+    return f"r'{pattern}'"
+
+
+def _isjson_body() -> str:
+    marked = f"regexp_replace(regexp_replace(x, {_text(tsql._JSON_STRING)}, chr(1)), {_text(tsql._JSON_NUMBER + '|true|false|null')}, chr(2))"
+    marked = f"regexp_replace({marked}, {_text(tsql._JSON_SPACE)}, '')"
+    depth = rf"greatest(length(regexp_replace({marked}, r'[^\[{{]', '')), 1)"
+    reduced = f"aggregate(sequence(1, {depth}), {marked}, (acc, i) -> regexp_replace(acc, {_text(tsql._JSON_FLAT)}, chr(2)))"
+    opens = _text(rf"\A{tsql._JSON_SPACE}*+[\[{{]")
+    return rf"CASE WHEN x IS NULL THEN NULL WHEN NOT x RLIKE {opens} THEN false ELSE NOT x RLIKE r'[\x01\x02]' AND {reduced} = chr(2) END"
+
+
+def _json_value_body() -> str:
+    tokens = rf'({tsql._JSON_STRING}{tsql._JSON_SPACE}*+:)|"((?:[^"\\]|\\.)*+)"|({tsql._JSON_NUMBER}|true|false)'
+    marked = f"regexp_replace(x, {_text(tokens)}, concat('$1', chr(1), '=$2$3', chr(1)))"
+    marked = f"regexp_replace({marked}, concat('(:)', chr(1), '=', chr(1)), '$1')"
+    found = f"get_json_object(replace({marked}, chr(1), '\"'), path)"
+    return f"CASE WHEN ({_isjson_body()}) AND startswith({found}, '=') THEN substr({found}, 2) END"
+
+
 SQL_FUNCTIONS = {
-    "tsql_isjson": (
-        "x STRING", "BOOLEAN",
-        "CASE WHEN x IS NULL THEN NULL "
-        "ELSE try_parse_json(x) IS NOT NULL AND substring(ltrim(x), 1, 1) IN ('{', '[') END",
-    ),
-    "tsql_json_value": (
-        "x STRING, path STRING", "STRING",
-        "CASE WHEN try_variant_get(try_parse_json(x), path, 'variant') IS NULL "
-        "OR schema_of_variant(try_variant_get(try_parse_json(x), path, 'variant')) LIKE 'OBJECT%' "
-        "OR schema_of_variant(try_variant_get(try_parse_json(x), path, 'variant')) LIKE 'ARRAY%' THEN NULL "
-        "ELSE try_variant_get(try_parse_json(x), path, 'string') END",
-    ),
+    "tsql_isjson": ("x STRING", "BOOLEAN", _isjson_body()),
+    "tsql_json_value": ("x STRING, path STRING", "STRING", _json_value_body()),
     "tsql_datediff": ("unit STRING, a TIMESTAMP_NTZ, b TIMESTAMP_NTZ", "BIGINT", _datediff_body()),
     "tsql_convert": (
         "style INT, ts TIMESTAMP_NTZ", "STRING",

@@ -45,7 +45,7 @@ def like_to_regex(pattern: str) -> str:
                 neg = body.startswith("^")
                 if neg:
                     body = body[1:]
-                cls = "".join("\\" + c if c in "\\[]^" else c for c in body)
+                cls = "".join("\\" + c if c in "\\[]^&" else c for c in body)
                 out.append("[" + ("^" if neg else "") + cls + "]")
                 i = close
         else:
@@ -57,17 +57,15 @@ def like_to_regex(pattern: str) -> str:
 def like_tsql(col: ColumnOrName, pattern: str, fixed_char: bool = True, case_insensitive: bool = False) -> Column:
     """``col LIKE pattern`` with character classes.
 
-    ``fixed_char`` models a ``CHAR(n)`` column: trailing blanks are padding
-    and do not take part in the match.  ``case_insensitive`` models a
+    ``fixed_char`` models a ``CHAR(n)`` column: trailing blanks are padding,
+    so the text matches with them or without them.  ``case_insensitive`` models a
     case-insensitive, accent-sensitive collation.  NULL input gives NULL.
     """
     c = _c(col)
-    if fixed_char:
-        c = F.rtrim(c)
     rx = like_to_regex(pattern)
     if case_insensitive:
         rx = "(?iu)" + rx
-    return c.rlike(rx)
+    return c.rlike(rx) | F.rtrim(c).rlike(rx) if fixed_char else c.rlike(rx)
 
 
 # Fixed value: the Spark collation that is case-insensitive and accent-sensitive.
@@ -161,29 +159,48 @@ def plus(*parts: ColumnOrName) -> Column:
 
 # ----------------------------------------------------------------- JSON ----
 
+# JSON's white space, strings and numbers, as Java patterns.
+_JSON_SPACE = r"[ \t\n\r]"
+_JSON_STRING = r'"(?:[^"\\\x00-\x1F]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+_JSON_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+# A string becomes \x01, another scalar \x02; a list or object of those is again a value, \x02.
+_JSON_FLAT = r"\[(?:[\x01\x02](?:,[\x01\x02])*+)?\]|\{(?:\x01:[\x01\x02](?:,\x01:[\x01\x02])*+)?\}"
+
+
+def _opens(c: Column) -> Column:
+    return c.rlike(rf"\A{_JSON_SPACE}*+[\[{{]")
+
+
 def is_json(col: ColumnOrName) -> Column:
     """``ISJSON(col) = 1``: a JSON object or array.  NULL stays NULL.
 
-    ``try_parse_json`` accepts bare scalars too, so the first non-blank
-    character must open an object or an array.
+    The first character after JSON white space must open an object or an
+    array.  Spark's JSON functions refuse objects that repeat a key, which
+    are valid here, and pass text after the document, which is not; so the
+    text is reduced by the grammar: scalars to a mark, then innermost
+    objects and arrays to a mark, as often as there are brackets.
     """
     c = _c(col)
-    first = F.substring(F.ltrim(c), 1, 1)
-    ok = F.try_parse_json(c).isNotNull() & first.isin("{", "[")
-    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(ok)
+    marked = F.regexp_replace(F.regexp_replace(c, _JSON_STRING, "\x01"), f"{_JSON_NUMBER}|true|false|null", "\x02")
+    marked = F.regexp_replace(marked, _JSON_SPACE, "")
+    depth = F.length(F.regexp_replace(marked, r"[^\[{]", ""))
+    reduced = F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), marked, lambda acc, _: F.regexp_replace(acc, _JSON_FLAT, "\x02"))
+    by_grammar = ~c.rlike(r"[\x01\x02]") & (reduced == F.lit("\x02"))
+    return F.when(c.isNotNull(), F.when(_opens(c), by_grammar).otherwise(F.lit(False)))
 
 
 def json_value(col: ColumnOrName, path: str) -> Column:
-    """``JSON_VALUE(col, path)``: the scalar at ``path`` as text, else NULL.
+    """``JSON_VALUE(col, path)``: the scalar at ``path`` as it is written, else NULL.
 
-    Objects and arrays give NULL (unlike ``get_json_object``, which would
-    return their text); invalid JSON gives NULL.  The document is parsed
-    into a VARIANT and both probes read that value.
+    Numbers keep their text (``1.50``, ``1e2``, any number of digits), strings
+    are unescaped, and of equal keys the first counts.  Objects, arrays,
+    ``null`` and invalid JSON give NULL.  Every scalar value is turned into a
+    string that starts with ``=`` first, so no number is converted and a
+    text is told from a nested object.
     """
-    v = F.try_parse_json(_c(col))
-    sub = F.try_variant_get(v, path, "variant")
-    kind = F.schema_of_variant(sub)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(sub.isNull() | nested, F.lit(None).cast("string")).otherwise(
-        F.try_variant_get(v, path, "string")
-    )
+    c = _c(col)
+    tokens = rf'({_JSON_STRING}{_JSON_SPACE}*+:)|"((?:[^"\\]|\\.)*+)"|({_JSON_NUMBER}|true|false)'
+    marked = F.regexp_replace(c, tokens, "$1\x01=$2$3\x01")
+    marked = F.regexp_replace(marked, "(:)\x01=\x01", "$1")  # what a key left behind
+    found = F.get_json_object(F.replace(marked, F.lit("\x01"), F.lit('"')), path)
+    return F.when(is_json(c) & found.startswith("="), F.substr(found, F.lit(2)))

@@ -52,13 +52,19 @@ def left_join_fanout(small: DataFrame, big: DataFrame, small_keys: Sequence[str]
     key of ``big`` cannot be split by AQE.  Written instead as
     ``big ⋈ small`` (inner: ``big`` streamed, skew-splittable) plus the
     small rows without any match (anti join against the distinct big
-    keys).  Same rows as the outer join.
+    keys).  Same rows as the outer join.  A column name on both sides keeps
+    its name for ``small`` and gets the suffix ``_big`` for ``big``; only a
+    key that both sides name alike appears once.
     """
-    cond = [big[b] == small[s] for s, b in zip(small_keys, big_keys)]
-    matched = big.join(small, cond, "inner").select(*small.columns, *[c for c in big.columns if c not in small.columns])
-    big_keys_df = big.select(*[F.col(b).alias(s) for s, b in zip(small_keys, big_keys)]).distinct()
+    shared_keys = {b for s, b in zip(small_keys, big_keys) if s == b}
+    out = {c: f"{c}_big" if c in small.columns else c for c in big.columns if c not in shared_keys}
+    if set(out.values()) & set(small.columns) or len(set(out.values())) < len(out):
+        raise ValueError("renaming the columns that both sides have would clash")
+    s, b = small.alias("_s"), big.alias("_b")
+    cond = [F.col(f"_b.`{bk}`") == F.col(f"_s.`{sk}`") for sk, bk in zip(small_keys, big_keys)]
+    matched = b.join(s, cond, "inner").select(
+        *[F.col(f"_s.`{c}`").alias(c) for c in small.columns], *[F.col(f"_b.`{c}`").alias(n) for c, n in out.items()])
+    big_keys_df = big.select(*[F.col(bk).alias(sk) for sk, bk in zip(small_keys, big_keys)]).distinct()
     unmatched = small.join(big_keys_df, list(small_keys), "left_anti")
-    for c in big.columns:
-        if c not in small.columns:
-            unmatched = unmatched.withColumn(c, F.lit(None).cast(big.schema[c].dataType))
-    return matched.unionByName(unmatched.select(*matched.columns))
+    nulls = [F.lit(None).cast(big.schema[c].dataType).alias(n) for c, n in out.items()]
+    return matched.unionByName(unmatched.select(*small.columns, *nulls))

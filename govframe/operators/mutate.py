@@ -129,8 +129,10 @@ def delete_cascade(
 
     Walks the foreign-key graph from ``table`` (a DAG) in topological
     order: CASCADE deletes the referencing rows and continues from them,
-    SET NULL blanks the referencing columns, NO ACTION makes the delete
-    fail.  Returns ``(new tables, blocking)`` where ``blocking`` holds the
+    SET NULL blanks the referencing columns.  NO ACTION is checked last,
+    against the tables as the other actions leave them, so the order of
+    ``fks`` does not matter: a referencing row that a cascade has deleted
+    or blanked no longer blocks.  Returns ``(new tables, blocking)`` where ``blocking`` holds the
     referencing rows that forbid the delete (``None`` when no NO ACTION
     key is involved); if it is non-empty the caller must keep the old
     tables -- the check is lazy, like the rest.
@@ -157,10 +159,12 @@ def delete_cascade(
                     {c: F.when(F.col("_hit"), F.lit(None).cast(child_df.schema[c].dataType)).otherwise(F.col(c))
                      for c in fk.child_cols}
                 ).drop("_hit").select(*child_df.columns)
-            else:
-                refs = child_df.join(keys, list(fk.child_cols), "left_semi")
-                blocking.append(refs.select(F.lit(fk.child).alias("child_table"),
-                                            F.to_json(F.struct(*fk.child_cols)).alias("child_key")))
+    for fk in fks:
+        if fk.on_delete not in ("cascade", "set_null") and fk.parent in deleted:
+            keys = _deleted_keys(deleted[fk.parent], fk.parent_cols, fk.child_cols)
+            refs = new[fk.child].join(keys, list(fk.child_cols), "left_semi")
+            blocking.append(refs.select(F.lit(fk.child).alias("child_table"),
+                                        F.to_json(F.struct(*fk.child_cols)).alias("child_key")))
     block = None
     if blocking:
         block = blocking[0]
@@ -169,6 +173,30 @@ def delete_cascade(
     return new, block
 
 
+def update_key(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey], table: str, cond: Column,
+               new_key: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``UPDATE table SET key = ... WHERE cond`` under ON UPDATE NO ACTION.
+
+    Returns ``(new version, blocking)``: the child rows whose referenced
+    key no longer exists after the update (a key that another row takes
+    over does not block).  The check is lazy; a caller that finds blocking
+    rows keeps the old version.
+    """
+    old = tables[table]
+    hit = F.coalesce(cond, F.lit(False))
+    new = old.select(*[F.when(hit, new_key[c]).otherwise(F.col(c)).alias(c) if c in new_key else F.col(c) for c in old.columns])
+    blocking = None
+    for fk in [f for f in fks if f.parent == table and set(f.parent_cols) & set(new_key)]:
+        before = _deleted_keys(old.filter(_true(cond)), fk.parent_cols, fk.child_cols)
+        gone = before.join(_deleted_keys(new, fk.parent_cols, fk.child_cols), list(fk.child_cols), "left_anti")
+        refs = tables[fk.child].join(gone, list(fk.child_cols), "left_semi").select(
+            F.lit(fk.child).alias("child_table"), F.to_json(F.struct(*fk.child_cols)).alias("child_key"))
+        blocking = refs if blocking is None else blocking.unionByName(refs)
+    if blocking is None:
+        blocking = old.limit(0).select(F.lit("").alias("child_table"), F.lit("").alias("child_key"))
+    return new, blocking
+
+
 def restrict_counts(parent_deleted: DataFrame, child: DataFrame, parent_cols: Sequence[str],
                     child_cols: Sequence[str]) -> DataFrame:
     """NO ACTION check per parent row: how many child rows block its delete.

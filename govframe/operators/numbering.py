@@ -14,9 +14,6 @@ every row into one task.  ``global_row_number`` instead
    is broadcast, bounded by the partition count),
 4. adds the running offset of the preceding partitions to the position of
    each row inside its partition.
-
-A caller that *proves* the input is tiny (a report of a few rule rows)
-may pass ``bounded_rows`` to use the plain window instead.
 """
 
 from __future__ import annotations
@@ -43,7 +40,6 @@ def global_row_number(
     start: int = 1,
     step: int = 1,
     num_partitions: int | None = None,
-    bounded_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = start + step * (position in ``order`` − 1), as BIGINT.
 
@@ -51,10 +47,6 @@ def global_row_number(
     make the numbering depend on the partitioning.
     """
     cols = _order_cols(order)
-    if bounded_rows is not None:
-        w = Window.orderBy(*cols)
-        return df.withColumn(out, (F.lit(start) + F.lit(step) * (F.row_number().over(w) - 1)).cast("long"))
-
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

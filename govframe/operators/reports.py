@@ -278,7 +278,7 @@ def quality_checklist(rules: Sequence[CheckRule]) -> DataFrame:
         out = out.unionByName(p)
     sev = F.when(F.col("status") == STATUS_FAIL, SEVERITY[STATUS_FAIL]).when(
         F.col("status") == STATUS_WARN, SEVERITY[STATUS_WARN]).otherwise(SEVERITY[STATUS_OK])
-    numbered = global_row_number(out.withColumn("_sev", sev), ["_sev", "item"], out="num", bounded_rows=len(rules))
+    numbered = out.withColumn("num", F.row_number().over(Window.orderBy(sev, "item")).cast("long"))  # a row per rule
     return numbered.select("num", "item", "status", "detail")
 
 

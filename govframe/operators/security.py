@@ -251,6 +251,8 @@ def apply_session_events(
     * a LOGIN replaces the user's previous session with an active one;
     * a LOGOUT closes the user's active session at the LOGOUT time; a
       LOGOUT with no active session changes nothing;
+    * an event older than the stored session's start is late: it is logged
+      and changes nothing;
     * every accepted event is logged (LOGOUT rows carry no subject).
 
     Returns ``(sessions, log, rejected)``.  All per-user steps are hash
@@ -270,21 +272,21 @@ def apply_session_events(
     last_login = valid_logins.groupBy("usuario").agg(
         F.max(F.struct("event_at", "seq", "subject", "expires_at")).alias("ll")
     )
-    after = logouts.select("usuario", "event_at", "seq").join(
-        last_login.select("usuario", F.col("ll.event_at").alias("l_at"), F.col("ll.seq").alias("l_seq")), "usuario", "left"
-    ).filter(
-        F.col("l_at").isNull() | (F.col("event_at") > F.col("l_at")) | ((F.col("event_at") == F.col("l_at")) & (F.col("seq") > F.col("l_seq")))
-    )
-    first_logout = after.groupBy("usuario").agg(F.min(F.struct("event_at", "seq")).alias("fl"))
-    batch = last_login.join(first_logout, "usuario", "full_outer")
-
     if state is None:
         # no earlier sessions: nothing to merge, so no join with an empty table
         old_type = "struct<subject:bigint,active:boolean,started_at:timestamp_ntz,expires_at:timestamp_ntz>"
-        j = batch.withColumn("old", F.lit(None).cast(old_type))
+        open_ = last_login.withColumn("old", F.lit(None).cast(old_type))
     else:
         st = state.select("usuario", F.struct("subject", "active", "started_at", "expires_at").alias("old"))
-        j = st.join(batch, "usuario", "full_outer")
+        late = F.col("ll.event_at") < F.col("old.started_at")
+        open_ = st.join(last_login, "usuario", "full_outer").withColumn("ll", F.when(F.coalesce(~late, F.lit(True)), F.col("ll")))
+    start = open_.select("usuario", F.coalesce("ll.event_at", "old.started_at").alias("s_at"), F.col("ll.seq").alias("s_seq"))
+    after = logouts.select("usuario", "event_at", "seq").join(start, "usuario").filter(
+        (F.col("event_at") > F.col("s_at"))
+        | ((F.col("event_at") == F.col("s_at")) & (F.col("s_seq").isNull() | (F.col("seq") > F.col("s_seq"))))
+    )
+    first_logout = after.groupBy("usuario").agg(F.min(F.struct("event_at", "seq")).alias("fl"))
+    j = open_.join(first_logout, "usuario", "left")
 
     has_login = F.col("ll").isNotNull()
     has_old = F.col("old").isNotNull()

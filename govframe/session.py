@@ -19,6 +19,7 @@ and the benchmark.  Settings that matter at scale:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -31,17 +32,11 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS")
-    if master is None:
-        master = f"local[{cpus}]" if cpus else "local[*]"
-    if shuffle_partitions is None:
-        shuffle_partitions = int(cpus) if cpus else 8
+    """A session with the settings above; ``master`` and ``shuffle_partitions`` stay as the environment has them unless given."""
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -50,6 +45,10 @@ def build_session(
         .config("spark.driver.memory", os.environ.get("GOVFRAME_DRIVER_MEMORY", "16g"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -62,8 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or already set on the
-    context) is used as is.  Only when neither is set -- a test or a
-    laptop run -- a fresh folder is created and registered.
+    context) is used as is.  When neither is set, a run in one process
+    (``local`` master) gets a fresh folder; on a cluster, whose machines
+    share no local folder, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="govframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -137,7 +137,7 @@ def snapshot_full(tables: Mapping[str, DataFrame], base_path: str, db: str, as_o
             for fut in [pool.submit(write, name) for name in tables]:
                 fut.result()
     except Exception as exc:  # log, then re-raise
-        log = _log_row(spark, "FULL", run, start, _now(), "FAILED", str(exc)[:4000])
+        log = _log_row(spark, "FULL", run, start, _now(), "FAILED", str(exc))
         raise SnapshotError(str(exc), log) from exc
     return paths, _log_row(spark, "FULL", run, start, _now(), "SUCCESS", None)
 
@@ -194,7 +194,7 @@ def snapshot_diff_write(current: DataFrame, base: DataFrame, keys: Sequence[str]
     try:
         snapshot_diff(current, base, keys).write.mode("errorifexists").parquet(path)
     except Exception as exc:
-        raise SnapshotError(str(exc), _log_row(spark, "DIFF", path, start, _now(), "FAILED", str(exc)[:4000])) from exc
+        raise SnapshotError(str(exc), _log_row(spark, "DIFF", path, start, _now(), "FAILED", str(exc))) from exc
     return path, _log_row(spark, "DIFF", path, start, _now(), "SUCCESS", None)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterable, Sequence
 from typing import TYPE_CHECKING
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from govframe.schemas import DRIVER
 
@@ -50,33 +50,30 @@ def load_table(
     return df
 
 
-INLINE_LIMIT = 1000
-
-
 def rows(spark: SparkSession, schema: T.StructType | str, data: Iterable[Sequence]) -> DataFrame:
     """Inline row source (``VALUES`` list) with a fixed schema.
 
-    Up to ``INLINE_LIMIT`` rows become literals expanded by ``inline`` over a
-    one-row range: the plan stays in the JVM and Catalyst knows the relation
-    is tiny, so joins against it can be broadcast.  (A frame made with
-    ``createDataFrame`` from a Python list has an unknown size and would
-    force a shuffle of the other side.)  Larger lists fall back to
-    ``createDataFrame``.
+    The rows become one Arrow table, checked against the schema: a value of
+    another type, or NULL in a NOT NULL column, raises ``TypeError`` whatever
+    the number of rows.  Spark keeps the table as a local relation, so it
+    knows the size and can broadcast a small one in a join.
     """
-    data = list(data)
     st = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
-    if not data or len(data) > INLINE_LIMIT:
-        return spark.createDataFrame(data, st)
-    structs = [F.struct(*[_literal(v, f).alias(f.name) for v, f in zip(row, st.fields)]) for row in data]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def _literal(value, field: T.StructField):
-    """A typed literal; wall-clock datetimes go through their ISO text, which
-    casts to ``timestamp_ntz`` without any time-zone conversion."""
-    if isinstance(value, _dt.datetime) and isinstance(field.dataType, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(field.dataType)
-    return F.lit(value).cast(field.dataType)
+    data = [tuple(row) for row in data]
+    if any(len(row) != len(st.fields) for row in data):
+        raise TypeError(f"every row needs {len(st.fields)} values")
+    columns = []
+    for i, (field, kind) in enumerate(zip(st.fields, to_arrow_schema(st).types)):
+        values = [row[i] for row in data]
+        if not field.nullable and None in values:
+            raise TypeError(f"column {field.name} is NOT NULL")
+        if isinstance(field.dataType, T.IntegralType) and any(isinstance(v, bool) or not isinstance(v, int | None) for v in values):
+            raise TypeError(f"column {field.name} takes whole numbers")
+        try:
+            columns.append(pa.array(values, kind))
+        except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
+            raise TypeError(f"column {field.name}: {exc}") from exc
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=st.names), st)
 
 
 def register_governed(spark: SparkSession, base_dir: str, names: Sequence[str], registry: PolicyRegistry,

@@ -39,23 +39,29 @@ def _nat_to_none(v):
 
 def _apply_user_events(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     (usuario,) = key
-    ev = pd.concat(list(batches), ignore_index=True).sort_values(["event_at", "seq"])
-    logins = ev[ev["kind"] == LOGIN]
-    logouts = ev[ev["kind"] == LOGOUT]
-    if len(logins):
-        last = logins.iloc[-1]
-        later = (logouts["event_at"] > last["event_at"]) | (
-            (logouts["event_at"] == last["event_at"]) & (logouts["seq"] > last["seq"]))
-        closing = logouts[later]
+    old = state.get if state.exists else None  # (subject, active, started_at, expires_at)
+    last, ends = None, []  # the latest login, and the logouts that are not before it
+    for batch in batches:
+        logins = batch[batch["kind"] == LOGIN]
+        if old is not None:  # events older than the stored session's start are late
+            logins = logins[logins["event_at"] >= old[2]]
+        if len(logins):
+            top = logins.sort_values(["event_at", "seq"]).iloc[-1]
+            if last is None or (top["event_at"], top["seq"]) > (last["event_at"], last["seq"]):
+                last = top
+        logouts = batch[batch["kind"] == LOGOUT]
+        if last is None and old is not None:
+            logouts = logouts[logouts["event_at"] >= old[2]]
+        ends += zip(logouts["event_at"], logouts["seq"])
+        if last is not None:
+            ends = [e for e in ends if e > (last["event_at"], last["seq"])]
+    if last is not None:
         subject, started = int(last["subject"]), last["event_at"]
-        if len(closing):
-            active, expires = False, closing.iloc[0]["event_at"]
-        else:
-            active, expires = True, _nat_to_none(last["expires_at"])
-    elif state.exists:
-        subject, active, started, expires = state.get
-        if active and len(logouts):
-            active, expires = False, logouts.iloc[0]["event_at"]
+        active, expires = (False, min(ends)[0]) if ends else (True, _nat_to_none(last["expires_at"]))
+    elif old is not None:
+        subject, active, started, expires = old
+        if active and ends:
+            active, expires = False, min(ends)[0]
     else:
         return  # logouts of a user without a session change nothing
     state.update((subject, bool(active), started, _nat_to_none(expires)))

@@ -50,10 +50,10 @@ def test_is_json(spark):
 
 
 def test_json_value_seed_events(spark, academy):
-    # JSON_VALUE($.tipo / $.origen) on the three seed events: login/matricula/update and NULL
+    # the first of two equal keys, a number as written, and a missing path
     rows = academy["events_json"].orderBy("id").select(
-        json_value("payload", "$.tipo").alias("tipo"), json_value("payload", "$.origen").alias("origen")).collect()
-    assert [(r.tipo, r.origen) for r in rows] == [("login", None), ("matricula", None), ("update", None)]
+        json_value("payload", "$.kind").alias("kind"), json_value("payload", "$.depth").alias("depth"), json_value("payload", "$.none").alias("none")).collect()
+    assert [(r.kind, r.depth, r.none) for r in rows] == [("dive", "18.50", None), ("survey", None, None), ("sample", None, None)]
 
 
 def test_json_value_nested_is_null(spark):
@@ -72,8 +72,40 @@ def test_json_violations_and_props(spark, academy):
 
     bad = academy["events_json"].unionByName(spark.createDataFrame([(4, "{oops"), (5, "7")], "id int, payload string"))
     assert sorted(r.id for r in json_violations(bad, "payload", keep=["id"]).collect()) == [4, 5]
-    props = {r.id: (r.tipo, r.id_prop) for r in json_props(academy["events_json"], "payload", {"tipo": "$.tipo", "id_prop": "$.id"}, keep=["id"]).collect()}
-    assert props == {1: ("login", None), 2: ("matricula", None), 3: ("update", "2")}
+    props = {r.id: (r.kind, r.id_prop) for r in json_props(academy["events_json"], "payload", {"kind": "$.kind", "id_prop": "$.id"}, keep=["id"]).collect()}
+    assert props == {1: ("dive", None), 2: ("survey", None), 3: ("sample", "70000000000000000000000000001")}
+
+
+# Documents with the answer of ISJSON and of JSON_VALUE at $.a.
+JSON_CASES = [
+    ('{"a":1,"a":2}', True, "1"), ('\n\t{"a":1.0}', True, "1.0"), ('{"a":1.50,"b":[1,2]}', True, "1.50"), ('{"a":1e2}', True, "1e2"),
+    ('{"a":12345678901234567890123456789012345678901234}', True, "12345678901234567890123456789012345678901234"),
+    ('{"a":"x\\"y\\u00e9","b":"1:2, 3"}', True, 'x"yé'), ('{"a":"{\\"k\\":1}"}', True, '{"k":1}'), ('{"a":{"b":1}}', True, None), ('{"a":[1]}', True, None),
+    ('{"a":null}', True, None), ('{"a":true}', True, "true"), ('{"a":""}', True, ""), ('{"a" : "" , "b":"z"}', True, ""), ('[1,2,{"a":3}]', True, None),
+    ('{"a":1} x', False, None), ('{"a":01}', False, None), ('{"a":1,}', False, None), ("{a:1}", False, None), ("", False, None), ("  ", False, None), ("1", False, None),
+    ('"s"', False, None), ('{"a":1,"a":[{"b":2,"b":3}]}', True, "1"), ('{"a":1,"a":}', False, None), ('{"a":1,"b":"\x01"}', False, None), (None, None, None),
+    ('{"a":{"a":5},"b":"=x"}', True, None), ('{"a":1 "b":2}', False, None), ("[[[[1]]]]", True, None), ('{"b":1,"b":{"a":2},"a":-0.0}', True, "-0.0"),
+    ("{}", True, None), ("[]", True, None), ('{"a":"=1"}', True, "=1"), ("{'a':1}", False, None), ('{"a":1.}', False, None), ('{"k":":","a":"\\\\"}', True, "\\"),
+]
+
+
+def test_json_functions_and_their_sql_forms(spark):
+    from govframe.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(JSON_CASES)], "i int, x string")
+    got = df.select("i", is_json("x").alias("ok"), json_value("x", "$.a").alias("a"), F.expr("tsql_isjson(x)").alias("ok2"),
+                    F.expr("tsql_json_value(x, '$.a')").alias("a2")).orderBy("i").collect()
+    for r, (doc, ok, value) in zip(got, JSON_CASES):
+        assert (r.ok, r.a, r.ok2, r.a2) == (ok, value, ok, value), doc
+
+
+def test_like_blanks_and_ampersand(spark):
+    df = spark.createDataFrame([("x ",), ("x",), ("x  ",), ("&",), ("b",)], "c string")
+    hits = lambda p, **kw: [r.c for r in df.filter(like_tsql("c", p, **kw)).collect()]
+    assert hits("x ") == ["x "] and hits("x_") == ["x "] and hits("x") == ["x ", "x", "x  "]
+    assert hits("x", fixed_char=False) == ["x"]
+    assert hits("[a&&b]") == ["&", "b"]
 
 
 def _like_brute(pattern, value):

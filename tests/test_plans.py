@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from govframe.plans.recipes import RECIPES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "FlatMapGroupsInPandas")
@@ -13,7 +13,7 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "FlatMapG
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in RECIPES.items():
         out[name] = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     return out
 

@@ -20,45 +20,45 @@ def _people(academy):
 
 def test_login_login_logout(spark, academy):
     people = _people(academy)
-    ev1 = _events(spark, [("juan", "LOGIN", 1, T0, 1, None), ("maria", "LOGIN", 2, T0 + dt.timedelta(minutes=1), 2, None)])
+    ev1 = _events(spark, [("ines", "LOGIN", 11, T0, 1, None), ("bram", "LOGIN", 12, T0 + dt.timedelta(minutes=1), 2, None)])
     s1, log1, rej1 = S.apply_session_events(None, ev1, people, "student_id")
     assert s1.filter("active").count() == 2 and rej1.count() == 0
-    ev2 = _events(spark, [("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=5), 3, None)])
+    ev2 = _events(spark, [("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=5), 3, None)])
     s2, log2, _ = S.apply_session_events(s1, ev2, people, "student_id")
     got = {r.usuario: (r.active, r.expires_at) for r in s2.collect()}
-    assert got == {"juan": (False, T0 + dt.timedelta(minutes=5)), "maria": (True, None)}
+    assert got == {"ines": (False, T0 + dt.timedelta(minutes=5)), "bram": (True, None)}
     log = log1.unionByName(log2)
     assert log.filter("action = 'LOGIN'").count() == 2
     lo = log.filter("action = 'LOGOUT'").collect()
     assert len(lo) == 1 and lo[0].subject is None
     act = R.active_sessions(s2, people, "student_id", "first_name", "last_name", T0 + dt.timedelta(minutes=10))
     rows = act.collect()
-    assert len(rows) == 1 and rows[0].full_name == "María García" and rows[0].minutes_open == 9
+    assert len(rows) == 1 and rows[0].full_name == "Bram de Wit" and rows[0].minutes_open == 9
 
 
 def test_unknown_subject_rejected_and_relogin_replaces(spark, academy):
     people = _people(academy)
     ev = _events(spark, [
         ("x", "LOGIN", 999, T0, 1, None),
-        ("juan", "LOGIN", 1, T0, 2, None),
-        ("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=1), 3, None),
-        ("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=2), 4, None),
-        ("juan", "LOGIN", 4, T0 + dt.timedelta(minutes=3), 5, T0 + dt.timedelta(hours=1)),
+        ("ines", "LOGIN", 11, T0, 2, None),
+        ("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=1), 3, None),
+        ("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=2), 4, None),
+        ("ines", "LOGIN", 14, T0 + dt.timedelta(minutes=3), 5, T0 + dt.timedelta(hours=1)),
         ("ghost", "LOGOUT", None, T0, 6, None),
     ])
     s, log, rej = S.apply_session_events(None, ev, people, "student_id")
     assert [r.subject for r in rej.collect()] == [999]
     rows = {r.usuario: r for r in s.collect()}
-    assert set(rows) == {"juan"}
-    assert (rows["juan"].subject, rows["juan"].active, rows["juan"].expires_at) == (4, True, T0 + dt.timedelta(hours=1))
+    assert set(rows) == {"ines"}
+    assert (rows["ines"].subject, rows["ines"].active, rows["ines"].expires_at) == (14, True, T0 + dt.timedelta(hours=1))
     assert log.count() == 5
 
 
 def test_second_logout_keeps_first_close_time(spark, academy):
     people = _people(academy)
-    ev = _events(spark, [("juan", "LOGIN", 1, T0, 1, None),
-                         ("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=1), 2, None),
-                         ("juan", "LOGOUT", None, T0 + dt.timedelta(minutes=7), 3, None)])
+    ev = _events(spark, [("ines", "LOGIN", 11, T0, 1, None),
+                         ("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=1), 2, None),
+                         ("ines", "LOGOUT", None, T0 + dt.timedelta(minutes=7), 3, None)])
     s, _, _ = S.apply_session_events(None, ev, people, "student_id")
     r = s.first()
     assert r.active is False and r.expires_at == T0 + dt.timedelta(minutes=1)
@@ -66,27 +66,27 @@ def test_second_logout_keeps_first_close_time(spark, academy):
 
 def _sessions(spark):
     return spark.createDataFrame([
-        ("ana", 4, True, T0, None),                               # open, no expiry
-        ("luis", 5, True, T0, T0 - dt.timedelta(minutes=1)),      # expired
-        ("sofia", 6, False, T0, T0),                              # closed
-        ("laura", 8, True, T0, T0 + dt.timedelta(days=1)),        # not yet expired
+        ("oona", 14, True, T0, None),                              # open, no expiry
+        ("tariq", 15, True, T0, T0 - dt.timedelta(minutes=1)),      # expired
+        ("yuki", 13, False, T0, T0),                              # closed
+        ("lin", 16, True, T0, T0 + dt.timedelta(days=1)),        # not yet expired
     ], "usuario string, subject bigint, active boolean, started_at timestamp_ntz, expires_at timestamp_ntz")
 
 
 def test_rls_session_non_admin_cases(spark, academy):
     people, sess = _people(academy), _sessions(spark)
     seen = lambda who: sorted(r.student_id for r in S.rls_session(people, "student_id", sess, S.Principal(who), T0).collect())
-    assert seen("ana") == [4]
-    assert seen("laura") == [8]
-    assert seen("luis") == []      # expired session
-    assert seen("sofia") == []     # closed session
+    assert seen("oona") == [14]
+    assert seen("lin") == [16]
+    assert seen("tariq") == []      # expired session
+    assert seen("yuki") == []     # closed session
     assert seen("nobody") == []    # no session
-    assert len(seen("dbo")) == 10  # admin
-    assert S.rls_session(people, "student_id", sess, S.Principal("x", frozenset({S.ADMIN_ROLE})), T0).count() == 10
+    assert len(seen("dbo")) == 6  # admin
+    assert S.rls_session(people, "student_id", sess, S.Principal("x", frozenset({S.ADMIN_ROLE})), T0).count() == 6
 
 
 def test_rls_is_a_scalar_filter_without_join(spark, academy):
-    plan = S.rls_session(_people(academy), "student_id", _sessions(spark), S.Principal("ana"), T0)._jdf.queryExecution().executedPlan().toString()
+    plan = S.rls_session(_people(academy), "student_id", _sessions(spark), S.Principal("oona"), T0)._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan and "Join" not in plan
 
 
@@ -96,36 +96,49 @@ def test_attribute_policy_and_inheritance(spark, academy, tmp_path):
     reg = S.PolicyRegistry().register("students", S.flag_policy("active"))
     ctx = S.AccessContext(S.Principal("dbo"), T0)
     df = load_table(spark, str(tmp_path), "students", schema=academy["students"].schema, registry=reg, ctx=ctx)
-    assert df.count() == 8  # no admin exemption for the attribute policy
+    assert df.count() == 4  # no admin exemption for the attribute policy
     reg.register("students", S.session_policy("student_id"))
-    ctx2 = S.AccessContext(S.Principal("ana"), T0, _sessions(spark).withColumn("subject", F.col("subject").cast("int")))
+    ctx2 = S.AccessContext(S.Principal("oona"), T0, _sessions(spark).withColumn("subject", F.col("subject").cast("int")))
     view = load_table(spark, str(tmp_path), "students", schema=academy["students"].schema, registry=reg, ctx=ctx2)
-    assert [r.student_id for r in view.select("student_id").collect()] == [4]
+    assert [r.student_id for r in view.select("student_id").collect()] == [14]
 
 
 def test_probe_and_visibility(spark, academy):
     sess = _sessions(spark)
-    ids = spark.range(1, 11).withColumnRenamed("id", "student_id")
-    got = {r.student_id: r.allowed for r in S.probe(ids, "student_id", sess, S.Principal("ana"), T0).collect()}
-    assert [k for k, v in got.items() if v] == [4] and len(got) == 10
+    ids = spark.range(11, 17).withColumnRenamed("id", "student_id")
+    got = {r.student_id: r.allowed for r in S.probe(ids, "student_id", sess, S.Principal("oona"), T0).collect()}
+    assert [k for k, v in got.items() if v] == [14] and len(got) == 6
     enr = academy["enrolments"].withColumn("student_id", F.col("student_id").cast("long"))
     vis = {r.usuario: r.n_visible for r in S.visibility_counts(enr, "student_id", sess, T0).collect()}
-    assert vis == {"ana": 2, "laura": 2}
+    assert vis == {"oona": 1, "lin": 3}
 
 
 def test_purge(spark):
     sess = _sessions(spark)
     kept = S.purge_sessions(sess, T0 + dt.timedelta(days=31), days=30)
-    assert sorted(r.usuario for r in kept.collect()) == ["ana", "laura", "luis"]
+    assert sorted(r.usuario for r in kept.collect()) == ["lin", "oona", "tariq"]
 
 
 def test_policy_report(spark):
-    pol = spark.createDataFrame([(1, "FiltroAlumnos", True), (2, "FiltroActivos", False)], "policy_id int, name string, is_enabled boolean")
+    pol = spark.createDataFrame([(1, "BySession", True), (2, "ActiveOnly", False)], "policy_id int, name string, is_enabled boolean")
     pred = spark.createDataFrame([(1, 10, "fn_session(student_id)"), (1, 11, "fn_session(student_id)"), (2, 10, "fn_active(active)")],
                                  "policy_id int, target_object_id int, predicate string")
     obj = spark.createDataFrame([(10, "students"), (11, "enrolments")], "object_id int, object_name string")
     got = sorted((r.policy, r.target, r.is_enabled) for r in S.policy_report(pol, pred, obj).collect())
-    assert got == [("FiltroActivos", "students", False), ("FiltroAlumnos", "enrolments", True), ("FiltroAlumnos", "students", True)]
+    assert got == [("ActiveOnly", "students", False), ("BySession", "enrolments", True), ("BySession", "students", True)]
+
+
+def test_late_events_change_nothing(spark, academy):
+    people = _people(academy)
+    state = spark.createDataFrame([("ines", 11, True, T0, None), ("lin", 16, True, T0, None)],
+                                  "usuario string, subject bigint, active boolean, started_at timestamp_ntz, expires_at timestamp_ntz")
+    early, later = T0 - dt.timedelta(minutes=3), T0 + dt.timedelta(minutes=3)
+    ev = _events(spark, [("ines", "LOGOUT", None, early, 1, None), ("ines", "LOGIN", 14, early, 2, None),
+                         ("lin", "LOGIN", 12, early, 3, None), ("lin", "LOGOUT", None, later, 4, None)])
+    s, log, _ = S.apply_session_events(state, ev, people, "student_id")
+    got = {r.usuario: (r.subject, r.active, r.started_at, r.expires_at) for r in s.collect()}
+    assert got == {"ines": (11, True, T0, None), "lin": (16, False, T0, later)}
+    assert log.count() == 4  # late events are logged all the same
 
 
 def test_sql_over_governed_views(spark):
@@ -163,24 +176,24 @@ def test_policy_on_a_catalogue_table(spark, academy):
     sinks.write_bucketed(academy["students"], name, ["student_id"], 2, shared_path(spark, "test-cat"))
     reg = S.PolicyRegistry().register(name, S.flag_policy("active"))
     df = load_table(spark, None, name, registry=reg, ctx=S.AccessContext(S.Principal("dbo"), T0))
-    assert df.count() == 8
+    assert df.count() == 4
 
 
 def test_policy_applies_to_updates_and_deletes(spark, academy):
     reg = S.PolicyRegistry().register("students", S.flag_policy("active"))
     ctx = S.AccessContext(S.Principal("dbo"), T0)
     students = academy["students"]
-    # the update aimed at inactive student 3 touches nothing; the one at active student 1 applies
-    upd = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id").isin(1, 3),
-                           {"career_id": F.lit(4)})
+    # the update aimed at inactive student 13 touches nothing; the one at active student 11 applies
+    upd = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id").isin(11, 13),
+                           {"career_id": F.lit(3)})
     got = {r.student_id: r.career_id for r in upd.collect()}
-    assert got[1] == 4 and got[3] == 4 and upd.count() == 10  # student 3 already had career 4
-    upd2 = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id") == 3,
+    assert got[11] == 3 and got[13] == 1 and upd.count() == 6
+    upd2 = S.update_visible(students, ["student_id"], reg, "students", ctx, F.col("student_id") == 13,
                             {"age": F.lit(99).cast("short")})
-    assert {r.student_id: r.age for r in upd2.collect()}[3] == 19
+    assert {r.student_id: r.age for r in upd2.collect()}[13] == 19
     # deleting every student removes only the visible (active) ones
     left = S.delete_visible(students, ["student_id"], reg, "students", ctx, F.lit(True))
-    assert sorted(r.student_id for r in left.collect()) == [3, 7]
+    assert sorted(r.student_id for r in left.collect()) == [13, 15]
     assert left.columns == students.columns
 
 
@@ -188,12 +201,12 @@ def test_policy_row_form_matches_the_filter_and_needs_no_join(spark, academy):
     people, sess = _people(academy), _sessions(spark)
     reg = (S.PolicyRegistry().register("students", S.session_policy("student_id"))
            .register("students", S.flag_policy("active")))
-    for who in ("ana", "luis", "nobody", "dbo"):
+    for who in ("oona", "tariq", "nobody", "dbo"):
         ctx = S.AccessContext(S.Principal(who), T0, sess)
         flagged = S.visible_flag(people, ["student_id"], reg, "students", ctx)
         by_flag = sorted(r.student_id for r in flagged.filter("_visible").collect())
         by_filter = sorted(r.student_id for r in reg.apply("students", people, ctx).collect())
         assert by_flag == by_filter, who
-        if who == "ana":  # non-admin: a scalar subquery, still no join
+        if who == "oona":  # non-admin: a scalar subquery, still no join
             plan = flagged._jdf.queryExecution().executedPlan().toString()
             assert "Join" not in plan and "Subquery" in plan
