@@ -33,7 +33,7 @@ T0 = dt.datetime(2025, 1, 10, 9, 0)
 
 
 def main() -> None:
-    spark = build_session(app_name="academy-walkthrough")
+    spark = build_session(master="local[*]", app_name="academy-walkthrough", shuffle_partitions=8)
     db = build_academy(spark)
 
     print("1. enrolments per course")

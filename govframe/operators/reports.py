@@ -120,9 +120,12 @@ def write_archive(archived: DataFrame, path: str, time_col: str, run_id: str) ->
 
     Rows land in ``archive_day=<day>/run=<run_id>``; with dynamic partition
     overwrite a retried run replaces only its own partitions, so the write
-    is idempotent while successive runs accumulate.
+    is idempotent while successive runs accumulate.  Rows are dealt by day
+    and time first: a task writes few days, and a large day is written by
+    several tasks.
     """
     (archived.withColumn("archive_day", F.to_date(time_col)).withColumn("run", F.lit(run_id))
+     .repartitionByRange("archive_day", time_col)
      .sortWithinPartitions("archive_day", time_col)  # time-ordered files: selective min/max stats
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("archive_day", "run").parquet(path))
@@ -199,36 +202,23 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
         F.max(F.when(F.col("state") == "DENY", 1).otherwise(0)).alias("_deny"),
         F.max(F.when(F.col("state") == "GRANT", 1).otherwise(0)).alias("_grant"),
     )
-    # Lookups: each request probes its user's grants once, and each of the
-    # user's roles' grants once.  User grants are the large side; role grants
-    # (few roles) are usually small enough for AQE to broadcast, so only the
-    # user probe -- one row per request -- goes through a shuffle join.
-    # Object-level and scope-level grants are probed separately for the same
-    # reason: scope-level grants (schemas) are few.
+    # All lookups of all requests are stacked and meet the grants in one join;
+    # the requests themselves join the final aggregate, so none is lost.
     req = requests.join(objects.select("object_id", "scope"), "object_id", "left")
-    by_user = req.withColumn("grantee", F.concat(F.lit("U:"), F.col("user_id").cast("string")))
-    by_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id").withColumn(
-        "grantee", F.concat(F.lit("R:"), F.col("role_id").cast("string"))).drop("role_id")
-    flags = ["_deny", "_grant"]
-
-    def probe(lookups: DataFrame, prefix: str) -> DataFrame:
-        mine = g.filter(F.col("grantee").startswith(prefix))
-        g_obj = mine.filter(F.col("level") == "OBJECT").select(
-            "grantee", F.col("securable").alias("_obj"), "permission", *[F.col(f).alias(f + "_o") for f in flags])
-        g_scope = mine.filter(F.col("level") == "SCOPE").select(
-            "grantee", F.col("securable").alias("scope"), "permission", *[F.col(f).alias(f + "_s") for f in flags])
-        hits = (lookups.withColumn("_obj", F.col("object_id").cast("string"))
-                .join(g_obj, ["grantee", "_obj", "permission"], "left")
-                .join(g_scope, ["grantee", "scope", "permission"], "left"))
-        return hits.select(
-            "user_id", "object_id", "permission",
-            F.greatest(F.coalesce("_deny_o", F.lit(0)), F.coalesce("_deny_s", F.lit(0))).alias("_d"),
-            F.greatest(F.coalesce("_grant_o", F.lit(0)), F.coalesce("_grant_s", F.lit(0))).alias("_g"))
-
-    hits = probe(by_user, "U:").unionByName(probe(by_role, "R:"))
-    agg = hits.groupBy("user_id", "object_id", "permission").agg(F.max("_d").alias("d"), F.max("_g").alias("g"))
+    asked = ["user_id", "object_id", "permission"]
+
+    def lookups(df: DataFrame, prefix: str, holder: str) -> DataFrame:
+        who = F.concat(F.lit(prefix), F.col(holder).cast("string")).alias("grantee")
+        levels = F.array(F.struct(F.lit("OBJECT").alias("level"), F.col("object_id").cast("string").alias("securable")),
+                         F.struct(F.lit("SCOPE").alias("level"), F.col("scope").alias("securable")))
+        return df.select(*asked, who, F.inline(levels)).filter(F.col("securable").isNotNull())
+
+    by_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id")
+    hits = lookups(req, "U:", "user_id").unionByName(lookups(by_role, "R:", "role_id")).join(g, key)
+    none = requests.select(*asked, F.lit(0).alias("_deny"), F.lit(0).alias("_grant"))
+    agg = hits.select(*asked, "_deny", "_grant").unionByName(none).groupBy(*asked).agg(F.max("_deny").alias("d"), F.max("_grant").alias("g"))
     return agg.select(
-        "user_id", "object_id", "permission",
+        *asked,
         F.when(F.col("d") == 1, F.lit("DENY")).when(F.col("g") == 1, F.lit("GRANT")).otherwise(F.lit("NONE")).alias("effective"),
     )
 

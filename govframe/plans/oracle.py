@@ -363,6 +363,70 @@ WITH {SESSIONS_CTE}
 SELECT usuario, subject, active, started_at, expires_at FROM sessions
 """
 
+# Applying the events in two overlapping batches gives what applying them at once gives.
+ORACLE["session_merge"] = ORACLE["session_state"]
+
+ORACLE["session_log"] = f"""
+WITH {SESSIONS_CTE}
+SELECT usuario, kind AS action, 'SesionAlumno' AS table_name,
+       CASE kind WHEN 'LOGIN' THEN subject END AS subject, event_at, seq
+FROM ev WHERE event_at >= TIMESTAMP '2024-01-14 00:00:00' AND (kind = 'LOGOUT' OR subject IN (SELECT c_custkey FROM customer))
+"""
+
+ORACLE["session_rejected"] = f"""
+WITH {SESSIONS_CTE}
+SELECT usuario, subject, event_at, seq, 'unknown subject' AS reason
+FROM ev WHERE kind = 'LOGIN' AND subject NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey % 3 <> 0)
+"""
+
+ORACLE["null_test"] = """
+SELECT c_nationkey, count(*) FILTER (NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)) AS n_without,
+       count(*) FILTER (EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)) AS n_with
+FROM customer GROUP BY c_nationkey
+"""
+
+ORACLE["rls_admin"] = "SELECT c_custkey, c_name FROM customer"
+
+ORACLE["policy_update"] = f"""
+WITH {SESSIONS_CTE}
+SELECT o_orderkey, o_custkey, o_totalprice,
+       CASE WHEN o_orderstatus <> 'P' AND o_totalprice >= 1000 AND o_custkey IN (SELECT subject FROM allowed) THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+FROM orders
+"""
+
+ORACLE["policy_delete"] = f"""
+WITH {SESSIONS_CTE}
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE NOT coalesce(o_totalprice >= 1000 AND o_custkey IN (SELECT subject FROM allowed), false)
+"""
+
+ORACLE["policy_listing"] = """
+SELECT r_name AS policy, r_regionkey % 2 = 0 AS is_enabled, n_name AS target, 'fn_' || n_name AS predicate
+FROM nation JOIN region ON r_regionkey = n_regionkey
+"""
+
+ORACLE["fk_end_of_statement"] = """
+WITH c AS (SELECT c_custkey FROM customer WHERE c_nationkey = 3),
+o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c)),
+l AS (SELECT l_suppkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o))
+SELECT 'nation' AS what, count(*) AS n_rows FROM nation WHERE n_nationkey <> 3
+UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_nationkey <> 3
+UNION ALL SELECT 'customer', count(*) FROM customer WHERE c_nationkey <> 3
+UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o)
+UNION ALL SELECT 'lineitem', count(*) FROM l
+UNION ALL SELECT 'blocking', count(*) FROM l WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)
+"""
+
+ORACLE["fk_update_key"] = """
+SELECT 'lineitem' AS child_table, '{"l_partkey":' || l_partkey || '}' AS child_key, count(*) AS n
+FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 45) GROUP BY l_partkey
+"""
+
+ORACLE["audit_summary_prefix"] = """
+SELECT 'u' || user_id AS usuario, event_type AS action, count(*) AS n_events, min(ts) AS first_at, max(ts) AS last_at
+FROM events WHERE starts_with('u' || user_id, 'u1') GROUP BY 1, 2
+"""
+
 ORACLE["purge_expired"] = f"""
 WITH {SESSIONS_CTE}
 SELECT usuario, subject, active, started_at, expires_at FROM sessions
@@ -443,27 +507,33 @@ perms AS (
 objs AS (SELECT p_partkey AS object_id, p_name AS object_name, p_brand AS schema_name FROM part)
 """
 
+# From the operator's contract: every watched principal with each of its grants, once per role it has;
+# those without a grant or a role still appear once.
 ORACLE["permission_audit"] = f"""
-WITH {ACL_CTE}
-SELECT dp.name AS usuario, dp.type_desc AS tipo_usuario, r.name AS rol, o.object_name AS objeto,
-       p.permission AS permiso, p.state AS estado
-FROM principals dp
-LEFT JOIN members rm ON dp.principal_id = rm.member_id
-LEFT JOIN principals r ON rm.role_id = r.principal_id
-LEFT JOIN perms p ON dp.principal_id = p.grantee_id
-LEFT JOIN objs o ON p.object_id = o.object_id
-WHERE dp.type IN ('S', 'U', 'R')
-  AND dp.name NOT IN ('dbo', 'guest', 'INFORMATION_SCHEMA', 'sys', 'Supplier#000000000')
+WITH {ACL_CTE},
+watched AS (
+  SELECT principal_id, name, type_desc, coalesce(roles, [NULL]) AS roles
+  FROM principals ANTI JOIN (SELECT unnest(['dbo', 'guest', 'INFORMATION_SCHEMA', 'sys', 'Supplier#000000000']) AS name) hidden USING (name)
+  LEFT JOIN (
+    SELECT member_id AS principal_id, list(names.name) AS roles
+    FROM members JOIN (SELECT principal_id AS role_id, name FROM principals) names USING (role_id) GROUP BY member_id
+  ) USING (principal_id)
+  WHERE list_contains(['S', 'U', 'R'], type)
+),
+held AS (SELECT grantee_id AS principal_id, object_name, permission, state FROM perms LEFT JOIN objs USING (object_id)),
+listed AS (
+  SELECT name, type_desc, roles, object_name, permission, state FROM held JOIN watched USING (principal_id)
+  UNION ALL
+  SELECT name, type_desc, roles, NULL, NULL, NULL FROM watched ANTI JOIN held USING (principal_id)
+)
+SELECT name AS usuario, type_desc AS tipo_usuario, unnest(roles) AS rol, object_name AS objeto, permission AS permiso, state AS estado FROM listed
 """
 
 ORACLE["role_permissions"] = f"""
-WITH {ACL_CTE}
-SELECT r.name AS rol, p.class_desc AS clase, o.schema_name AS esquema, o.object_name AS objeto,
-       p.permission AS permiso, p.state AS estado
-FROM principals r
-JOIN perms p ON r.principal_id = p.grantee_id
-LEFT JOIN objs o ON p.object_id = o.object_id
-WHERE r.name = 'NATION_3'
+WITH {ACL_CTE},
+held AS (SELECT * FROM perms WHERE grantee_id = (SELECT min(principal_id) FROM principals WHERE name = 'NATION_3'))
+SELECT 'NATION_3' AS rol, class_desc AS clase, schema_name AS esquema, object_name AS objeto, permission AS permiso, state AS estado
+FROM held LEFT JOIN objs USING (object_id)
 """
 
 ORACLE["effective_permissions"] = """
@@ -559,12 +629,15 @@ WITH p AS (
          CASE WHEN event_type = 'error' AND value > 40 THEN substring(props, 1, length(props) - 1)
               WHEN event_type = 'view' AND value > 40 THEN CAST(event_id AS VARCHAR)
               WHEN event_type = 'click' AND value > 100 THEN ''
+              WHEN event_type = 'click' AND value > 60 THEN '{"k": 1, "k": ' || event_id || '}'
+              WHEN event_type = 'signup' AND value > 60 THEN chr(10) || chr(9) || props
+              WHEN event_type = 'signup' AND value > 30 THEN props || ' x'
               ELSE props END AS props
   FROM events
 )
 SELECT event_id, props,
        CASE WHEN props IS NULL THEN NULL
-            ELSE json_valid(props) AND substring(ltrim(props), 1, 1) IN ('{', '[') END AS is_valid
+            ELSE CASE WHEN json_valid(props) THEN json_type(props) IN ('OBJECT', 'ARRAY') ELSE false END END AS is_valid
 FROM p
 """
 
@@ -574,27 +647,28 @@ WITH p AS (
          CASE WHEN event_type = 'error' AND value > 40 THEN substring(props, 1, length(props) - 1)
               WHEN event_type = 'view' AND value > 40 THEN CAST(event_id AS VARCHAR)
               WHEN event_type = 'click' AND value > 100 THEN ''
+              WHEN event_type = 'click' AND value > 60 THEN '{"k": 1, "k": ' || event_id || '}'
+              WHEN event_type = 'signup' AND value > 60 THEN chr(10) || chr(9) || props
+              WHEN event_type = 'signup' AND value > 30 THEN props || ' x'
               ELSE props END AS props
   FROM events
 )
 SELECT event_id, props FROM p
-WHERE props IS NOT NULL AND NOT (json_valid(props) AND substring(ltrim(props), 1, 1) IN ('{', '['))
+WHERE props IS NOT NULL AND NOT (CASE WHEN json_valid(props) THEN json_type(props) IN ('OBJECT', 'ARRAY') ELSE false END)
 """
 
+# The shaped documents are known, so the answer of each shape is written down; the others are flat.
 ORACLE["json_extract"] = """
-WITH p AS (
-  SELECT event_id,
-         CASE WHEN event_type = 'view' THEN '{"k": {"v": 1}}'
-              WHEN event_type = 'click' THEN '{"k": [1, 2]}'
-              WHEN event_type = 'signup' THEN '[{"k": 1}]'
-              ELSE props END AS props
-  FROM events
-)
 SELECT event_id,
-       CASE WHEN json_type(props, '$.k') IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(props, '$.k') END AS k,
-       CASE WHEN json_type(props, '$.origen') IN ('OBJECT', 'ARRAY') THEN NULL
+       CASE WHEN event_type IN ('view', 'click') THEN NULL
+            WHEN event_type = 'signup' AND value < 20 THEN NULL
+            WHEN event_type = 'signup' AND value < 40 THEN event_id || '.50'
+            WHEN event_type = 'signup' THEN '1' || repeat(event_id::VARCHAR, 9)
+            ELSE json_extract_string(props, '$.k') END AS k,
+       CASE WHEN event_type = 'signup' AND value >= 20 AND value < 40 THEN '1e2'
+            WHEN event_type IN ('view', 'click', 'signup') THEN NULL
             ELSE json_extract_string(props, '$.origen') END AS origen
-FROM p
+FROM events
 """
 
 ORACLE["scd2_history"] = """

@@ -14,6 +14,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from govframe.functions import tsql
 from govframe.operators import audit as A
@@ -421,15 +422,55 @@ def fk_cascade_delete(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@recipe
+def null_test(spark, d):
+    """B-11: customers whose outer-joined order total IS NULL, and those where it is not, per nation."""
+    c, o = _t(spark, d, "customer"), _t(spark, d, "orders")
+    totals = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
+    j = c.join(totals, c["c_custkey"] == totals["o_custkey"], "left")
+    return j.groupBy("c_nationkey").agg(F.count_if(F.col("total").isNull()).alias("n_without"), F.count_if(F.col("total").isNotNull()).alias("n_with"))
+
+
 @recipe
 def fk_set_null(spark, d):
-    """I-7, B-11: delete three nations; customers keep their row with a NULL nation."""
+    """I-7: delete three nations; customers keep their row with a NULL nation."""
     tables = {"nation": _t(spark, d, "nation"), "customer": _t(spark, d, "customer")}
     fks = [M.ForeignKey("customer", ("c_nationkey",), "nation", ("n_nationkey",), "set_null")]
     new, _ = M.delete_cascade(tables, fks, "nation", F.col("n_nationkey").isin(0, 1, 2))
     return new["customer"].select("c_custkey", "c_nationkey")
 
 
+STATEMENT_FKS = [
+    M.ForeignKey("lineitem", ("l_suppkey",), "supplier", ("s_suppkey",), "no_action"),
+    M.ForeignKey("supplier", ("s_nationkey",), "nation", ("n_nationkey",), "cascade"),
+    M.ForeignKey("customer", ("c_nationkey",), "nation", ("n_nationkey",), "cascade"),
+    M.ForeignKey("orders", ("o_custkey",), "customer", ("c_custkey",), "cascade"),
+    M.ForeignKey("lineitem", ("l_orderkey",), "orders", ("o_orderkey",), "cascade"),
+]
+
+
+@recipe
+def fk_end_of_statement(spark, d):
+    """I-6, I-8: NO ACTION inside a cascading delete -- line items of a nation's suppliers block it,
+    except those that the cascade through its customers' orders deletes."""
+    tables = {t: _t(spark, d, t) for t in ("nation", "supplier", "customer", "orders", "lineitem")}
+    new, blocking = M.delete_cascade(tables, STATEMENT_FKS, "nation", F.col("n_nationkey") == 3)
+    parts = [new[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("what"), "n_rows") for t in tables]
+    out = blocking.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("blocking").alias("what"), "n_rows")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+@recipe
+def fk_update_key(spark, d):
+    """I-8: changing a referenced key (ON UPDATE NO ACTION): the line items that block it, per key."""
+    tables = {"part": _t(spark, d, "part").select("p_partkey", "p_size"), "lineitem": _t(spark, d, "lineitem").select("l_partkey")}
+    fks = [M.ForeignKey("lineitem", ("l_partkey",), "part", ("p_partkey",), "no_action")]
+    _, blocking = M.update_key(tables, fks, "part", F.col("p_size") > 45, {"p_partkey": F.col("p_partkey") + 1_000_000_000})
+    return blocking.groupBy("child_table", "child_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @recipe
 def fk_restrict(spark, d):
     """I-8: parts that cannot be deleted (NO ACTION) and how many line items block each."""
@@ -549,12 +590,10 @@ def extract_dimension(spark, d):
 
 @recipe
 def nm_attribute_join(spark, d):
-    """I-20: N:M attribute (brands a customer bought) in long form."""
+    """I-20, C-7: N:M attribute (brands a customer bought) in long form, for known customers (semi join)."""
     c, o, li, p = (_t(spark, d, t) for t in ("customer", "orders", "lineitem", "part"))
-    bought = li.select("l_orderkey", "l_partkey").distinct()
-    j = bought.join(o.select("o_orderkey", "o_custkey"), bought["l_orderkey"] == o["o_orderkey"]).join(
-        p.select("p_partkey", "p_brand"), bought["l_partkey"] == p["p_partkey"])
-    pairs = j.select(F.col("o_custkey").alias("c_custkey"), "p_brand").distinct()
+    bought = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(F.col("o_custkey").alias("c_custkey"), "l_partkey").distinct()
+    pairs = bought.join(p, bought["l_partkey"] == p["p_partkey"]).select("c_custkey", "p_brand").distinct()
     return pairs.join(c.select("c_custkey"), "c_custkey", "left_semi")
 
 
@@ -577,21 +616,95 @@ def session_state(spark, d):
 @recipe
 def purge_expired(spark, d):
     """J-3: purge closed sessions that expired more than one day before the clock."""
-    return S.purge_sessions(X.sessions(spark, d), X.AS_OF, days=1)
+    return S.purge_sessions(X.stored_sessions(spark, d), X.AS_OF, days=1)
+
+
+# Fixed value: the instant that parts the login events into two batches.
+SECOND_BATCH = "2024-01-16 00:00:00"
+OVERLAP_DAYS = 2  # the second batch repeats that many days of the first: late events
 
 
+def _two_batches(spark, d):
+    """The first batch's sessions as a stored version, and a second batch with late events applied to it."""
+    events, customer = X.session_events(_t(spark, d, "events")), _t(spark, d, "customer")
+    cut = tsql.ts_literal(SECOND_BATCH)
+    first, _, _ = S.apply_session_events(None, events.filter(F.col("event_at") < cut), customer, "c_custkey")
+    stored = X.store(spark, first)
+    second = events.filter(F.col("event_at") >= cut - F.make_dt_interval(days=F.lit(OVERLAP_DAYS)))
+    return S.apply_session_events(stored, second, customer, "c_custkey")
+
+
+@recipe
+def session_merge(spark, d):
+    """J-1, J-2: events merged into a stored session table; events older than a stored session change nothing."""
+    return _two_batches(spark, d)[0]
+
+
+@recipe
+def session_log(spark, d):
+    """J-1, J-2, A-4: the audit rows of the second batch, late events included."""
+    return _two_batches(spark, d)[1].select("usuario", "action", "table_name", "subject", "event_at", "seq")
+
+
+@recipe
+def session_rejected(spark, d):
+    """J-1: logins whose subject does not exist (every third person is missing from the people table)."""
+    people = _t(spark, d, "customer").filter(F.col("c_nationkey") % 3 != 0)
+    _, _, rejected = S.apply_session_events(None, X.session_events(_t(spark, d, "events")), people, "c_custkey")
+    return rejected.select("usuario", "subject", "event_at", "seq", "reason")
+
 def _rls_setup(spark, d):
-    sess = X.sessions(spark, d)
+    sess = X.stored_sessions(spark, d)
     return sess, X.first_usable_principal(sess)
 
 
 @recipe
 def rls_session_filter(spark, d):
-    """J-4, C-7, H-14: customers visible to a non-admin principal through its session."""
+    """J-4, H-14: customers visible to a non-admin principal through its session."""
     sess, who = _rls_setup(spark, d)
     return S.rls_session(_t(spark, d, "customer"), "c_custkey", sess, who, X.AS_OF).select("c_custkey", "c_name")
 
 
+@recipe
+def rls_admin(spark, d):
+    """J-4, H-14: the administrator is exempt from the session policy and sees every customer."""
+    sess, _ = _rls_setup(spark, d)
+    return S.rls_session(_t(spark, d, "customer"), "c_custkey", sess, S.Principal(S.ADMIN_USER), X.AS_OF).select("c_custkey", "c_name")
+
+
+def _order_policies(spark, d):
+    sess, who = _rls_setup(spark, d)
+    reg = (S.PolicyRegistry().register("orders", S.session_policy("o_custkey"))
+           .register("orders", S.flag_policy(F.col("o_totalprice") >= 1000)))
+    return reg, S.AccessContext(who, X.AS_OF, sess)
+
+
+@recipe
+def policy_update(spark, d):
+    """J-6, B-19: an UPDATE as a non-admin changes only the orders that both policies show."""
+    reg, ctx = _order_policies(spark, d)
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    return S.update_visible(orders, ["o_orderkey"], reg, "orders", ctx, F.col("o_orderstatus") != "P", {"o_orderstatus": F.lit("X")})
+
+
+@recipe
+def policy_delete(spark, d):
+    """J-6, B-20: a DELETE as a non-admin removes only the orders that both policies show."""
+    reg, ctx = _order_policies(spark, d)
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return S.delete_visible(orders, ["o_orderkey"], reg, "orders", ctx, F.lit(True))
+
+
+@recipe
+def policy_listing(spark, d):
+    """J-10, C-2: policies with their flag and the tables that their predicates protect."""
+    r, n = _t(spark, d, "region"), _t(spark, d, "nation")
+    policies = r.select(F.col("r_regionkey").alias("policy_id"), F.col("r_name").alias("name"), (F.col("r_regionkey") % 2 == 0).alias("is_enabled"))
+    predicates = n.select(F.col("n_regionkey").alias("policy_id"), F.col("n_nationkey").alias("target_object_id"), F.concat(F.lit("fn_"), "n_name").alias("predicate"))
+    targets = n.select(F.col("n_nationkey").alias("object_id"), F.col("n_name").alias("object_name"))
+    return S.policy_report(policies, predicates, targets)
+
+
 @recipe
 def rls_child_table(spark, d):
     """J-5: the same predicate bound to a second table (orders)."""
@@ -631,7 +744,7 @@ def policy_probe(spark, d):
 @recipe
 def rls_all_principals(spark, d):
     """J-9: rows of orders each session holder may see, for all holders in one job."""
-    return S.visibility_counts(_t(spark, d, "orders"), "o_custkey", X.sessions(spark, d), X.AS_OF)
+    return S.visibility_counts(_t(spark, d, "orders"), "o_custkey", X.stored_sessions(spark, d), X.AS_OF)
 
 
 # ------------------------------------------------------- K: reports ----
@@ -639,7 +752,7 @@ def rls_all_principals(spark, d):
 @recipe
 def active_sessions(spark, d):
     """K-1, H-10, H-11: active sessions with full name and minutes open at the as_of clock (boundary count)."""
-    return R.active_sessions(X.sessions(spark, d), _t(spark, d, "customer"), "c_custkey", "c_name", "c_mktsegment", X.AS_OF)
+    return R.active_sessions(X.stored_sessions(spark, d), _t(spark, d, "customer"), "c_custkey", "c_name", "c_mktsegment", X.AS_OF)
 
 
 def _audit_24h(spark, d):
@@ -668,6 +781,13 @@ def audit_action_summary(spark, d):
     return R.action_summary(_t(spark, d, "events"), ["user_id", "event_type"], "ts")
 
 
+@recipe
+def audit_summary_prefix(spark, d):
+    """K-5: the same summary for the users whose name starts with a prefix."""
+    log = X.access_log(_t(spark, d, "events"))
+    return R.action_summary(log, ["usuario", "action"], "event_at", user_prefix="u1")
+
+
 AUDIT_CALLER = "app_admin"
 
 
@@ -739,7 +859,8 @@ def archive_split(spark, d):
     kept, old = R.archive_split(_t(spark, d, "events"), "ts", X.AS_OF, days=20)
     path = shared_path(spark, "archive")
     R.write_archive(old, path, "ts", run_id="as_of_" + X.AS_OF[:10])
-    archived = spark.read.parquet(path).groupBy(F.col("archive_day").cast("date").alias("day")).agg(
+    written = T.StructType([*old.schema.fields, T.StructField("archive_day", T.DateType()), T.StructField("run", T.StringType())])
+    archived = spark.read.schema(written).parquet(path).groupBy(F.col("archive_day").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
     kept_days = kept.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return (kept_days.withColumn("bucket", F.lit("KEEP"))
@@ -788,6 +909,9 @@ def damaged_props(events: DataFrame) -> DataFrame:
     bad = (F.when((et == "error") & (v > 40), F.expr("substring(props, 1, length(props) - 1)"))
            .when((et == "view") & (v > 40), F.col("event_id").cast("string"))
            .when((et == "click") & (v > 100), F.lit(""))
+           .when((et == "click") & (v > 60), F.concat(F.lit('{"k": 1, "k": '), F.col("event_id").cast("string"), F.lit("}")))
+           .when((et == "signup") & (v > 60), F.concat(F.lit("\n\t"), pr))
+           .when((et == "signup") & (v > 30), F.concat(pr, F.lit(" x")))
            .otherwise(pr))
     return events.select("event_id", bad.alias("props"))
 
@@ -804,7 +928,9 @@ def shaped_props(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     doc = (F.when(et == "view", F.lit('{"k": {"v": 1}}'))
            .when(et == "click", F.lit('{"k": [1, 2]}'))
-           .when(et == "signup", F.lit('[{"k": 1}]'))
+           .when((et == "signup") & (F.col("value") < 20), F.lit('[{"k": 1}]'))
+           .when((et == "signup") & (F.col("value") < 40), F.concat(F.lit('\n{"k": '), F.col("event_id").cast("string"), F.lit('.50, "origen": 1e2}')))
+           .when(et == "signup", F.concat(F.lit('{"k": 1'), F.repeat(F.col("event_id").cast("string"), 9), F.lit(', "k": 0}')))
            .otherwise(F.col("props")))
     return events.select("event_id", doc.alias("props"))
 

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from govframe.functions.tsql import ts_literal
 from govframe.operators.security import LOGIN, LOGOUT, Principal, apply_session_events, usable_sessions
+from govframe.session import shared_path
+from govframe.sources.sinks import write_version
 from govframe.sources.tables import load_table
 
 # Fixed values of the recipes: the report clock and the session lifetime rule.
@@ -56,6 +58,16 @@ def sessions(spark: SparkSession, d: str) -> DataFrame:
     return session_batch(spark, d)[0]
 
 
+def store(spark: SparkSession, sessions_df: DataFrame) -> DataFrame:
+    """The session table as a stored version, sorted by user: a read of one user skips the other row groups."""
+    path = write_version(sessions_df, shared_path(spark, "sessions"), 1, sort_within=["usuario"])
+    return spark.read.schema(sessions_df.schema).parquet(path)
+
+
+def stored_sessions(spark: SparkSession, d: str) -> DataFrame:
+    return store(spark, sessions(spark, d))
+
+
 def first_usable_principal(sessions_df: DataFrame) -> Principal:
     """The non-admin principal of the single-user RLS recipes: the holder of the
     usable session with the smallest subject, looked up lazily (scalar subquery)."""

@@ -44,3 +44,15 @@ def test_rls_filter_reaches_the_scan(plans):
     # the principal's subject (a scalar subquery) is pushed into the Parquet scan of the protected table
     assert "EqualTo(c_custkey,ScalarSubquery" in plans["rls_session_filter"]
     assert "EqualTo(o_custkey,ScalarSubquery" in plans["rls_child_table"]
+
+
+def test_no_table_goes_to_one_task(plans):
+    """A single-partition exchange only collects partial aggregates, the best few rows of each task,
+    the offsets of the numbering (a row per partition) or the checklist (a row per rule)."""
+    offenders = set()
+    for name, plan in plans.items():
+        lines = plan.splitlines()
+        for line, below in zip(lines, lines[1:]):
+            if "Exchange SinglePartition" in line and not re.search(r"HashAggregate\(keys=\[\]|SortAggregate\(key=\[\]|LocalLimit|HashAggregate\(keys=\[_pid", below):
+                offenders.add(name)
+    assert offenders <= {"quality_checklist"}

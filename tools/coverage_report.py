@@ -28,7 +28,7 @@ API = {
     "B-18": "operators.joins.lookup_one (scalar subquery)",
     "C-1": "DataFrame.join", "C-2": "DataFrame.join chain", "C-3": "join on a two-column key",
     "C-4": "left join + F.coalesce", "C-5": "reports.permission_audit (principals read twice)",
-    "C-6": "reports.role_permissions", "C-7": "security.rls_session (left_semi)", "C-8": "left_anti",
+    "C-6": "reports.role_permissions", "C-7": "left_semi join", "C-8": "left_anti",
     "D-1": "agg(count)", "D-2": "groupBy().agg(count)", "D-3": "reports.object_inventory / groupBy(a, b)",
     "D-4": "reports.action_summary", "D-5": "reports.storage_stats (sum + div)", "D-6": "F.count_distinct",
     "D-7": "reports.CheckRule / status_if",
@@ -42,7 +42,7 @@ API = {
     "H-12": "functions.is_json", "H-13": "functions.json_value", "H-14": "security.Principal",
     "I-1": "mutate.update_where / security.update_visible (under row policies)", "I-2": "mutate.guarded_update", "I-3": "mutate.staged_update",
     "I-4": "mutate.delete_where / security.delete_visible (under row policies)", "I-5": "mutate.delete_matching", "I-6": "mutate.delete_cascade (cascade)",
-    "I-7": "mutate.delete_cascade (set_null)", "I-8": "mutate.delete_cascade (no_action) / restrict_counts",
+    "I-7": "mutate.delete_cascade (set_null)", "I-8": "mutate.delete_cascade (no_action) / update_key / restrict_counts",
     "I-9": "constraints.pk_violations", "I-10": "constraints.unique_violations", "I-11": "constraints.fk_violations",
     "I-12": "constraints.check_violations", "I-13": "constraints.domain_violations",
     "I-14": "constraints.apply_defaults", "I-15": "constraints.validated_append / governed.GovernedTable.validate",
