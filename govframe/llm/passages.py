@@ -153,22 +153,23 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW
     """Spans (doc, th, start, stop; in words) of each text that occur in a document with a smaller id."""
     shape = Windows(window, max(1, window // 2))
     found = anchor_rows(docs.filter(F.col("doc_id").isNotNull()), shape, word_symbols)
-    shared = found.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").drop("high")
+    # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
+    shared = cut_lineage(spark, found.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").drop("high"))
     rows = cut_lineage(spark, found.join(shared, "key"))
-    firsts = rows.groupBy("key", "region").agg(F.min("doc").alias("holder"))
+    firsts = cut_lineage(spark, rows.groupBy("key", "region").agg(F.min("doc").alias("holder")))
     held = cut_lineage(spark, rows.join(firsts, ["key", "region"]))
     stop = F.col("first") + F.col("more") + F.lit(window)
     whole = held.filter("doc > holder").select("doc", "th", F.col("first").alias("start"), stop.alias("stop"))
 
     # regions that no smaller document has as a whole, in shards where some smaller document has the anchor
     mine = held.filter("doc = holder")
-    sizes = mine.groupBy("key").agg(F.count("*").alias("n"), F.max("holder").alias("last"), F.min("low").alias("low")).filter("low < last").select("key", "n")
+    sizes = cut_lineage(spark, mine.groupBy("key").agg(F.count("*").alias("n"), F.max("holder").alias("last"), F.min("low").alias("low")).filter("low < last").select("key", "n"))
     open_ = cut_lineage(spark, mine.join(sizes, "key").select("key", "doc", "th", "first", "more", "n"))
     few, many = open_.filter(F.col("n") <= hot), open_.filter(F.col("n") > hot)
     spans = whole.union(shard_spans(region_words(with_texts(spark, docs, few, "key", "first", "more"), window), window))
     if not many.isEmpty():
         each = cut_lineage(spark, window_rows(with_texts(spark, docs, many, "key", "first", "more"), window))
-        first = each.groupBy("hash").agg(F.min("doc").alias("low"))
+        first = cut_lineage(spark, each.groupBy("hash").agg(F.min("doc").alias("low")))
         spans = spans.union(each.join(first, "hash").filter("doc > low").select("doc", "th", "start", (F.col("start") + window).alias("stop")))
     return cut_lineage(spark, spans)
 
