@@ -74,7 +74,7 @@ class Mapping:
 
 
 MAPPINGS = (
-    Mapping("turn_rows", ("conv_id", "turn", "role", "text"), rows=("conv_id", "turn", "role", "text")),
+    Mapping("turn_rows", ("conv_id", "turn", "role", "text"), rows=("conv_id", "turn", "role", "text"), roles=()),  # canonical already
     Mapping("messages", ("conv_id", "messages[].role", "messages[].content"), list_path="messages"),
     Mapping("sharegpt", ("conv_id", "conversations[].from", "conversations[].value"), list_path="conversations", role_field="from", text_field="value"),
     Mapping("prompt", ("conv_id", "prompt", "response"), pairs=(("user", "prompt"), ("assistant", "response"))),

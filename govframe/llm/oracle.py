@@ -47,8 +47,7 @@ WITH t AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), r AS (
-  SELECT conv_id, turn, CASE role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' WHEN 'model' THEN 'assistant' ELSE role END AS role, text,
-         length(text) + len(regexp_extract_all(text, '<\\*\|')) AS escaped
+  SELECT conv_id, turn, role, text, length(text) + len(regexp_extract_all(text, '<\\*\|')) AS escaped
   FROM t
 )
 SELECT conv_id, count(*) AS n_turns,
