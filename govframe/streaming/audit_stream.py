@@ -23,8 +23,11 @@ from govframe.operators.security import apply_session_events
 
 
 def read_log_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet directory as an append-only stream (explicit schema, no inference)."""
+                    max_files_per_trigger: int | None = 64) -> DataFrame:
+    """A Parquet directory as an append-only stream (explicit schema, no inference).
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a long log is not read as one; ``None`` lifts it.
+    """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -52,11 +55,17 @@ def action_summary_stream(stream: DataFrame, keys: list[str], time_col: str, win
     )
 
 
-def latest_sessions(spark: SparkSession, table_dir: str, before_version: int | None = None) -> DataFrame | None:
-    """The newest version of the session table (``None`` when nothing was written yet)."""
+def latest_sessions(spark: SparkSession, table_dir: str, before_version: int | None = None, required: bool = False) -> DataFrame | None:
+    """The newest version of the session table (``None`` when nothing was written yet).
+
+    With ``required`` a table that cannot be read is an error: after the first batch a missing folder means
+    that stored sessions would be lost.
+    """
     try:
         table = spark.read.parquet(table_dir)
     except AnalysisException:
+        if required:
+            raise
         return None
     older = table if before_version is None else table.filter(F.col("v") < before_version)
     newest = older.agg(F.max("v")).scalar()
@@ -69,7 +78,7 @@ def start_session_stream(events: DataFrame, people: DataFrame, people_key: str,
     spark = events.sparkSession
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        state = latest_sessions(spark, table_dir, before_version=batch_id)
+        state = latest_sessions(spark, table_dir, before_version=batch_id, required=batch_id > 0)
         sessions, log, _rejected = apply_session_events(state, batch, people, people_key)
         (sessions.withColumn("v", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(table_dir))

@@ -101,3 +101,44 @@ def test_watermark_drops_late_rows_in_append_mode(spark):
     assert got.filter(F.to_date("window_start") == F.lit(last_day)).count() == 0
     early = got.filter(F.col("window_start") < F.lit("2024-01-15").cast("timestamp"))
     assert early.agg(F.sum("n_events")).first()[0] == first.count()
+
+
+def test_late_events_in_a_later_batch_agree_in_every_form(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from govframe.operators.security import apply_session_events
+    from govframe.streaming import current_sessions, start_session_changes
+
+    t0 = dt.datetime(2031, 1, 10, 9)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    schema = T._parse_datatype_string("usuario string, kind string, subject bigint, event_at timestamp_ntz, seq bigint, expires_at timestamp_ntz")
+    people = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
+    one = [("a", "LOGIN", 1, at(10), 1, None), ("b", "LOGIN", 2, at(10), 2, None), ("c", "LOGIN", 3, at(10), 3, at(90))]
+    two = [("a", "LOGIN", 2, at(1), 4, None), ("a", "LOGOUT", None, at(5), 5, None),  # both late
+           ("b", "LOGIN", 1, at(2), 6, None), ("b", "LOGOUT", None, at(20), 7, None), ("b", "LOGOUT", None, at(15), 8, None),
+           ("c", "LOGOUT", None, at(3), 9, None), ("c", "LOGIN", 1, at(30), 10, None)]
+    src = shared_path(spark, "test-late-sessions")
+    for i, part in enumerate((one, two)):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{src}/part={i}")
+    first, _, _ = apply_session_events(None, spark.createDataFrame(one, schema), people, "k")
+    want = sorted(map(tuple, apply_session_events(first, spark.createDataFrame(two, schema), people, "k")[0].collect()))
+    assert want == [("a", 1, True, at(10), None), ("b", 2, False, at(10), at(15)), ("c", 1, True, at(30), None)]
+    stream = lambda: read_log_stream(spark, f"{src}/part=*", schema, max_files_per_trigger=1)
+    table = shared_path(spark, "test-late-table")
+    start_session_stream(stream(), people, "k", table, shared_path(spark, "test-late-log"), shared_path(spark, "test-ckpt")).awaitTermination()
+    assert sorted(map(tuple, latest_sessions(spark, table).select(*[f.name for f in first.schema]).collect())) == want
+    changes = shared_path(spark, "test-late-changes")
+    start_session_changes(stream(), people, "k", changes, shared_path(spark, "test-ckpt")).awaitTermination()
+    assert sorted(map(tuple, current_sessions(spark.read.parquet(changes)).select(*[f.name for f in first.schema]).collect())) == want
+
+
+def test_a_lost_session_table_is_an_error_after_the_first_batch(spark):
+    import pytest
+    from pyspark.sql.utils import AnalysisException
+
+    gone = shared_path(spark, "never-written")
+    assert latest_sessions(spark, gone) is None
+    with pytest.raises(AnalysisException):
+        latest_sessions(spark, gone, before_version=3, required=True)
