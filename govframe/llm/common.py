@@ -71,20 +71,45 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(path)
 
 
-def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+#: Rows of an Arrow batch while the session has Spark's default of 10,000: whole texts make batches large.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+#: What a worker keeps between the tasks of one operator.
+_kept: dict = {}
 
-def map_texts(df: DataFrame, per_row: Callable[[Iterator[tuple]], Iterator[tuple]], fields: list[tuple[str, str, pa.DataType]], *columns: str) -> DataFrame:
+
+def kept_in_worker(key, make: Callable[[], object]):
+    """The object that ``make`` makes once per worker; tasks of ``arrow_map(..., keeps=True)`` find it again."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers, and batches small enough for whole texts."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:  # the worker may have served another operator before
+            _kept.clear()
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
+
+
+def map_texts(df: DataFrame, per_row: Callable[[Iterator[tuple]], Iterator[tuple]], fields: list[tuple[str, str, pa.DataType]], *columns: str, keeps: bool = False) -> DataFrame:
     """``per_row`` over the rows of ``columns`` of each partition; ``fields``: name, Spark type, Arrow type of the result."""
     schema = pa.schema([(n, t) for n, _, t in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(per_row(rows_of(batches, *columns)), schema)
 
-    return arrow_map(df.select(*columns), run, ", ".join(f"`{n}` {t}" for n, t, _ in fields))
+    return arrow_map(df.select(*columns), run, ", ".join(f"`{n}` {t}" for n, t, _ in fields), keeps)
 
 
 def as_bytes(column: str = "text"):
@@ -96,16 +121,40 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+#: Makes Spark remove a query's shuffle files when the query has ended.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` written once to the cluster's shared checkpoint folder."""
+    """``df`` written once to the cluster's shared checkpoint folder; the shuffle files that led to it go."""
     ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(FILE_CLEANUP, None)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(FILE_CLEANUP)
+        else:
+            spark.conf.set(FILE_CLEANUP, before)
+
+
+def compact(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A written table with a partition for each ``rows`` rows at most, so that small tables take few tasks."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash, remembered for up to ``bound`` words at a time."""
 
-    def __init__(self, bound: int = 300_000):
+    def __init__(self, bound: int = 120_000):
         super().__init__()
         self.bound = bound
 
@@ -184,7 +233,7 @@ def bitmap(hashes: DataFrame, bits: int, column: str = "hash") -> bytes:
     place = F.pmod(column, F.lit(bits)) + 1
     parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bytes"))
     out, width = bytearray(max(bits // 8, 4096)), 4096
-    for row in parts.toLocalIterator():  # at most bits / 32768 rows
+    for row in parts.collect():  # at most bits / 32768 rows of 4 KB
         out[(row.bucket - 1) * width : row.bucket * width] = row.bytes
     return bytes(out[: bits // 8])
 
@@ -202,7 +251,7 @@ def named_by(spark: SparkSession, rows: DataFrame, ids: DataFrame, id_col: str,
     n = ids.count()
     bits = min(MOST_BITS, max(1 << 18, 1 << (16 * n).bit_length()))
     shared = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(F.coalesce(F.col(ids.columns[0]).cast("long"), F.lit(0))).alias("hash")), bits))
-    hashed = rows.withColumn("_id_hash", F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0))))  # a null id shares a bit with 0
+    hashed = rows.withColumn(fresh("_id_hash", rows), F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0))))  # a null id shares a bit with 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = unpacked(shared.value)

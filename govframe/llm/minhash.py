@@ -5,9 +5,12 @@
 2. Copies with the same words collapse to one representative, the smallest id.
 3. A band's members are compared with the band's smallest member, in a star.  The number of
    equal low bits, corrected for chance collisions, estimates the similarity; pairs clearly below
-   the threshold go.  The rest are confirmed on the full shingle sets of the whole texts.
+   the threshold go, and so do pairs whose shingle bitmaps differ in more bits than the threshold
+   allows (a bit that differs is a shingle that only one has, so this drops no link).  The rest are
+   confirmed on the full shingle sets of the whole texts.
 4. Components of the confirmed links.  Where a band still has members in different components,
-   every pair across them passes the same two tests, so no link between candidates is lost.
+   every pair across them takes the same tests, block against block, so no link between candidates is
+   lost.  Only pairs that pass the bit counts are emitted.
 
 A pair at the threshold misses all 32 bands with probability 5e-6, and the estimate drops it with less
 than 1e-7; nothing else is lost.  The links of a star are as many as its members, never their
@@ -21,6 +24,7 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +34,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import Rolling, WordHashes, as_bytes, cut_lineage, map_texts, mix, named_by
+from govframe.llm.common import Rolling, WordHashes, as_bytes, compact, cut_lineage, map_texts, mix, named_by
 from govframe.llm.components import components
 
 STAR_PART = 256
+#: 64-bit words of a document's shingle bitmap.
+BITMAP_WORDS = 32
+#: Members of a band that are compared with each other in one group.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -85,7 +93,7 @@ def minima(shingles: np.ndarray, factors: np.ndarray, step: int = 512) -> np.nda
 
 
 def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
-    """doc_id, n_shingles, seq (hash of the word sequence), bands, and the packed low bits p0..p3."""
+    """doc_id, n_shingles, seq (hash of the word sequence), bands, bits (shingle bitmap), and the packed low bits p0..p3."""
     if policy.hashes != 128:
         raise ValueError("the packed signature holds 128 minima")
 
@@ -96,7 +104,7 @@ def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
         for doc, text in rows:
             words = shingler.split(text)
             if not words:
-                yield doc, 0, None, None, None, None, None, None
+                yield doc, 0, None, None, None, None, None, None, None
                 continue
             shingles = shingler.distinct(words)
             low = mix(minima(shingles, factors))
@@ -104,25 +112,34 @@ def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
             for part in low.reshape(policy.bands, policy.rows).T:
                 keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + part)
             planes = [np.packbits((low >> np.uint64(b)) & np.uint64(1)).view(np.int64).tolist() for b in (0, 1)]
-            yield doc, len(shingles), xxhash.xxh3_128_digest(b" ".join(words)), keys.view(np.int64).tolist(), *planes[0], *planes[1]
+            bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
+            bits[shingles % np.uint64(len(bits))] = 1
+            yield doc, len(shingles), xxhash.xxh3_128_digest(b" ".join(words)), keys.view(np.int64).tolist(), np.packbits(bits).view(np.int64).tolist(), *planes[0], *planes[1]
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
-    fields = [("doc_id", "long", pa.int64()), ("n_shingles", "long", pa.int64()), ("seq", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64()))]
+    fields = [("doc_id", "long", pa.int64()), ("n_shingles", "long", pa.int64()), ("seq", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("bits", "array<long>", pa.list_(pa.int64()))]
     return map_texts(kept, run, [*fields, *((f"p{i}", "long", pa.int64()) for i in range(4))], "doc_id", "text")
 
 
+SKETCH = ("n_shingles", "bits", "p0", "p1", "p2", "p3")
+
+
 def _packed(prefix: str) -> list[Column]:
-    return [F.col(c).alias(f"{prefix}{c}") for c in ("n_shingles", "p0", "p1", "p2", "p3")]
+    return [F.col(c).alias(f"{prefix}{c}") for c in SKETCH]
 
 
 def _promising(policy: NearPolicy) -> Column:
-    """Whether the sizes and the estimate of columns a_* and b_* allow the threshold."""
+    """Whether the sizes, the estimate and the bitmaps of columns a_* and b_* allow the threshold."""
     differ = F.lit(0)
     for i in (0, 1):  # p0, p1: lowest bits of the 128 minima; p2, p3: the next ones
         low, high = F.col(f"a_p{i}").bitwiseXOR(F.col(f"b_p{i}")), F.col(f"a_p{i + 2}").bitwiseXOR(F.col(f"b_p{i + 2}"))
         differ = differ + F.bit_count(low.bitwiseOR(high))
     a, b = F.col("a_n_shingles"), F.col("b_n_shingles")
-    return (policy.hashes - differ >= policy.least_equal) & (100 * F.least(a, b) >= policy.percent * F.greatest(a, b))
+    alone = F.lit(0)  # at most as many as the shingles that only one of the two has
+    for i in range(BITMAP_WORDS):
+        alone = alone + F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i]))
+    fits = (100 * F.least(a, b) >= policy.percent * F.greatest(a, b)) & (100 * (a + b - alone) >= policy.percent * (a + b + alone))
+    return (policy.hashes - differ >= policy.least_equal) & fits
 
 
 def confirm(spark: SparkSession, docs: DataFrame, pairs: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -131,10 +148,11 @@ def confirm(spark: SparkSession, docs: DataFrame, pairs: DataFrame, policy: Near
     Each member's text travels to its centre ``a``; a centre with many members is dealt out in
     parts, and its text goes to each.
     """
+    pairs = compact(cut_lineage(spark, pairs))
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_PART).alias("parts"))
-    dealt = cut_lineage(spark, pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")))
+    dealt = compact(cut_lineage(spark, pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))))
     need = dealt.select(F.col("b").alias("id"), "a", "part", F.lit(1).alias("role")).union(dealt.select("a", "a", "part", F.lit(0)).distinct())
-    texts = named_by(spark, docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes().alias("text")), need.select("id").distinct(), "id")
+    texts = named_by(spark, docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes().alias("text")), dealt.select("a").union(dealt.select("b")), "id")
     met = texts.join(need, "id").repartition("a", "part").sortWithinPartitions("a", "part", "role", "id")
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -151,35 +169,72 @@ def confirm(spark: SparkSession, docs: DataFrame, pairs: DataFrame, policy: Near
     return map_texts(met, run, [("a", "long", pa.int64()), ("b", "long", pa.int64())], "a", "part", "role", "id", "text").distinct()
 
 
+def across_components(spark: SparkSession, mixed: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Pairs (a, b) of a band's members in different components that the bit counts let through.
+
+    A band's members are dealt into blocks of about ``BLOCK`` rows; each pair of blocks is one small
+    group, so a large band spreads over many tasks.  Only the pairs that could reach the threshold come out.
+    """
+    sizes = cut_lineage(spark, mixed.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
+    rows = mixed.join(sizes, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "comp", *SKETCH)
+    dealt = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high", "rep")
+
+    def compare(group: list[tuple]) -> Iterator[tuple]:
+        low, high = group[0][1], group[0][2]
+        block, rep, comp, n = (np.array([r[i] for r in group], np.int64) for i in (3, 4, 5, 6))
+        bits = np.array([r[7] for r in group], np.int64).view(np.uint64)
+        planes = np.array([r[8:] for r in group], np.int64).view(np.uint64)
+        for i in range(len(group)):
+            later = np.arange(i + 1, len(group))
+            later = later[(comp[later] != comp[i]) & ((block[later] != block[i]) if low != high else True)]
+            later = later[100 * np.minimum(n[later], n[i]) >= policy.percent * np.maximum(n[later], n[i])]
+            apart = planes[later] ^ planes[i]
+            differ = np.bitwise_count(apart[:, :2] | apart[:, 2:]).sum(axis=1, dtype=np.int64)
+            later = later[policy.hashes - differ >= policy.least_equal]
+            alone = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            both = n[later] + n[i]
+            for j in later[100 * (both - alone) >= policy.percent * (both + alone)].tolist():
+                yield min(rep[i], rep[j]), max(rep[i], rep[j])
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, group in itertools.groupby(rows, key=lambda r: r[:3]):
+            yield from ((int(a), int(b)) for a, b in compare(list(group)))
+
+    names = ("band", "low", "high", "own", "rep", "comp", *SKETCH)
+    return map_texts(dealt, run, [("a", "long", pa.int64()), ("b", "long", pa.int64())], *names).distinct()
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest reachable id), kept."""
     sk = cut_lineage(spark, sketches(docs, policy))
-    first = sk.filter(F.col("seq").isNotNull() & F.col("doc_id").isNotNull()).groupBy("seq").agg(F.min("doc_id").alias("rep"))
+    # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
+    first = cut_lineage(spark, sk.filter(F.col("seq").isNotNull() & F.col("doc_id").isNotNull()).groupBy("seq").agg(F.min("doc_id").alias("rep")))
     whole = sk.filter(F.col("bands").isNotNull())
     reps = whole.join(first, (whole["seq"] == first["seq"]) & (F.col("doc_id") == F.col("rep")), "left_semi").drop("seq").withColumnRenamed("doc_id", "rep")
     reps = cut_lineage(spark, reps)
     sigs = reps.drop("bands")
     bands = reps.select("rep", F.explode("bands").alias("band"))
-    centres = bands.groupBy("band").agg(F.min("rep").alias("centre"), F.max("rep").alias("top")).filter("centre < top").drop("top")
+    centres = cut_lineage(spark, bands.groupBy("band").agg(F.min("rep").alias("centre"), F.max("rep").alias("top")).filter("centre < top").drop("top"))
     shared = cut_lineage(spark, bands.join(centres, "band"))  # members of bands with two or more
 
     def with_sigs(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             pairs = pairs.join(sigs.select(F.col("rep").alias(side), *_packed(f"{side}_")), side)
-        return pairs.filter(_promising(policy)).select("a", "b").distinct()
+        return pairs.filter(_promising(policy)).select("a", "b")
 
     stars = with_sigs(shared.filter("rep > centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
     links = cut_lineage(spark, confirm(spark, docs, stars, policy))
-    comps = components(spark, links)
+    comps = components(spark, links, rounds=2)  # enough to leave out most pairs that are connected already
 
     placed = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).filter("rep > centre")
-    apart = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("band")
-    mixed = cut_lineage(spark, placed.join(apart, "band").join(sigs, "rep").select("band", "rep", "comp", "n_shingles", "p0", "p1", "p2", "p3"))
+    placed = cut_lineage(spark, placed)
+    apart = cut_lineage(spark, placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("band"))
+    mixed = cut_lineage(spark, placed.join(apart, "band").join(sigs, "rep").select("band", "rep", "comp", *SKETCH))
     if not mixed.isEmpty():
-        a, b = (mixed.select("band", F.col("rep").alias(s), F.col("comp").alias(f"comp_{s}"), *_packed(f"{s}_")) for s in ("a", "b"))
-        across = a.join(b, (a["band"] == b["band"]) & (F.col("comp_a") < F.col("comp_b")) & _promising(policy)).select("a", "b").distinct()
-        more = cut_lineage(spark, confirm(spark, docs, across, policy))
-        comps = components(spark, links.union(more))
+        links = cut_lineage(spark, links.union(confirm(spark, docs, across_components(spark, mixed, policy), policy)))
+    comps = components(spark, links)
 
     top = first.join(comps, first["rep"] == comps["node"], "left").select("seq", F.coalesce("comp", "rep").alias("comp"))
     out = sk.select("doc_id", "n_shingles", "seq").join(top, "seq", "left")
