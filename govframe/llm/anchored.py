@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import Rolling, arrow_map, as_bytes, map_texts, named_by, sliding_min
+from govframe.llm.common import SLICE_ROWS, Rolling, arrow_map, as_bytes, fresh, map_texts, named_by, sliding_min
 
 #: Window starts of one pass over a very long text; passes overlap by a window, so no result depends on it.
 PASS = 1 << 22
@@ -159,24 +159,26 @@ def without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def rewrite(spark: SparkSession, docs: DataFrame, spans: DataFrame, judge: Callable[[], Callable[[bytes, list[dict]], str]]) -> DataFrame:
     """``docs`` with the text of each row that has spans (doc, th, start, stop) as ``judge`` returns it, and its ``n_chars``."""
-    wanted = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("list"))
+    listed = fresh("list", docs)
+    wanted = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias(listed))
     ids = spans.select("doc").distinct()
     touched, clean = named_by(spark, docs, ids, "doc_id"), named_by(spark, docs, ids, "doc_id", named=False)
     same = touched["doc_id"].cast("long").eqNullSafe(wanted["doc"]) & (native_text_hash(F.coalesce(touched["text"].cast("binary"), F.lit(b""))) == wanted["th"])
-    met = touched.join(wanted, same, "left").select(*(touched[c] for c in docs.columns), wanted["list"])
+    met = touched.join(wanted, same, "left").select(*(touched[c] for c in docs.columns), wanted[listed])
     names = docs.columns
     text_at, count_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = judge()
-        for batch in batches:
-            columns = list(batch.columns[:-1])
-            old = columns[text_at].to_pylist()
-            new = [of((t or "").encode(), x) if x else t for t, x in zip(old, batch.columns[-1].to_pylist(), strict=True)]
-            columns[text_at] = pa.array(new, pa.string())
-            if count_at is not None:
-                counts = [len(t) if x else n for t, x, n in zip(new, batch.columns[-1].to_pylist(), columns[count_at].to_pylist(), strict=True)]
-                columns[count_at] = pa.array(counts, batch.columns[count_at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                columns, lists = list(batch.columns[:-1]), batch.columns[-1].to_pylist()
+                texts = [of((t or "").encode(), x) if x else t for t, x in zip(columns[text_at].to_pylist(), lists, strict=True)]
+                if count_at is not None:
+                    counts = [len(t) if x else n for t, x, n in zip(texts, lists, columns[count_at].to_pylist(), strict=True)]
+                    columns[count_at] = pa.array(counts, columns[count_at].type)
+                columns[text_at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return arrow_map(met, run, docs.schema).union(clean)

@@ -26,12 +26,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import map_texts, sha256_hex
+from govframe.llm.common import kept_in_worker, map_texts, sha256_hex
 
 #: Texts of one block of the replay, by total characters.
 BLOCK_CHARS = 2_000_000
 #: Pieces whose ids a worker remembers.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 300_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -180,7 +180,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, ranks_path: str, patt
 
     fields = [("doc_id", "long", pa.int64()), ("n_tokens", "long", pa.int64())]
     fields += [("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())] if digests else [("ids", "array<int>", pa.list_(pa.int32()))]
-    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, fields, "doc_id", "text")
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, fields, "doc_id", "text", keeps=True)
 
 
 def decode_documents(spark: SparkSession, encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -193,16 +193,9 @@ def decode_documents(spark: SparkSession, encoded: DataFrame, ranks_path: str, p
         for doc, ids in rows:
             yield doc, b"".join(map(coder.tokens.__getitem__, ids or ()))
 
-    return map_texts(encoded, run, [("doc_id", "long", pa.int64()), ("decoded", "binary", pa.binary())], "doc_id", "ids")
-
-
-_CODERS: dict[tuple[int, str], Replay] = {}
+    return map_texts(encoded, run, [("doc_id", "long", pa.int64()), ("decoded", "binary", pa.binary())], "doc_id", "ids", keeps=True)
 
 
 def _coder(data: bytes, pattern: str) -> Replay:
     """One coder per worker and vocabulary, so that later tasks find its pieces known."""
-    key = (hash(data), pattern)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Replay(read_ranks(data), pattern)
-    return _CODERS[key]
+    return kept_in_worker(("bpe", hash(data), pattern), lambda: Replay(read_ranks(data), pattern))
