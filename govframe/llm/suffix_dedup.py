@@ -331,14 +331,15 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, window: int = WINDOW_
     """Spans (doc, th, start, stop; in bytes) covered by strings of ``window`` bytes that start more than once."""
     shape = Windows(window, max(1, window // 2))
     found = anchor_rows(docs, shape, byte_symbols)
-    again = found.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
+    again = cut_lineage(spark, found.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c"))
     rows = cut_lineage(spark, found.join(again, "key"))
     place = F.struct("doc", "th", "first", "back", "more")
     kinds = cut_lineage(spark, rows.groupBy("key", "region").agg(F.count("*").alias("c"), F.min(place).alias("p")))
     whole = rows.join(kinds.filter("c > 1").select("key", "region"), ["key", "region"])
     spans = whole.select("doc", "th", F.col("first").alias("start"), (F.col("first") + F.col("more") + window).alias("stop"))
 
-    several = kinds.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).filter("n > 1 AND least = 1").select("key", "n")
+    several = cut_lineage(spark, kinds.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).filter("n > 1 AND least = 1").select("key", "n"))
     open_ = cut_lineage(spark, kinds.join(several, "key").select("key", "n", "p.*"))
     texts = with_texts(spark, docs, open_, "key", "first", "back", "more", "n")
     return cut_lineage(spark, spans.union(shard_spans(shard_rows(texts, shape, hot), window, in_memory)))
