@@ -1,14 +1,16 @@
 """Layout-aware HTML rendering: a tree builder with implied tags, visibility rules, and a block renderer.
 
 ``parse`` builds a tree: void elements, raw-text elements, and the end tags that authors leave out (``p`` before a
-block, ``li``, ``dt``/``dd``, ``option``, table parts; a missing ``tr`` is added).  ``render`` walks the
-tree and emits all text that a browser would show.
+block, ``li``, ``dt``/``dd``, ``option``, table parts; a missing ``tr`` is added).  An open ``head`` ends at the first text
+or tag that is no head matter.  SVG and MathML are told apart from HTML: there, elements can close themselves, and HTML tags
+lead out again.  ``render`` walks the tree and emits all text that a browser would show.
 
 Visible is everything but: head matter, scripts, styles, templates, fallback content, elements with
 ``hidden``, ``display:none`` or ``visibility:hidden`` (a descendant may be ``visible`` again), closed dialogs and
-the body of closed details.
+the body of closed details; in SVG, all outside ``text`` and ``foreignObject``, titles and definitions (``use`` is not
+followed); in MathML, annotations and phantoms.
 
-Blocks stand on lines of their own; paragraphs, headings, lists, tables and the like are set off by one
+Blocks, and each SVG ``text``, stand on lines of their own; formulas run inline; paragraphs, headings, lists, tables and the like are set off by one
 blank line.  White space collapses outside ``pre`` and ``textarea``.  List items get ``- `` or their number and are
 indented by nesting.  Table cells are padded to their column's width and parted by two spaces; the
 lines of a cell stay below each other, and row and column spans keep their grid places.
@@ -37,7 +39,7 @@ DEEPEST, WIDEST, NESTED, DEPTH = 24, 80, 6, 512
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 HIDDEN = frozenset(
-    "head script style template noscript title meta link base iframe noembed noframes object audio video canvas datalist map area param source track svg math rp".split()
+    "head script style template noscript title meta link base iframe noembed noframes object audio video canvas datalist area param source track rp".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
@@ -46,6 +48,16 @@ BLOCKS = frozenset(
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul hr".split())
 CLOSES_P = BLOCKS - frozenset("body html li dd dt td th tr tbody thead tfoot caption option optgroup legend summary textarea".split())
 LISTS = frozenset(("ul", "ol", "menu"))
+HEAD_MATTER = frozenset("title meta link base basefont bgsound script style template noscript noframes".split())
+#: Elements of SVG and MathML that are not drawn; those that hold HTML; HTML tags that end open SVG and MathML.
+UNDRAWN = frozenset(
+    "title desc defs metadata style script symbol clippath mask marker pattern filter lineargradient radialgradient annotation annotation-xml mphantom".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub "
+    "sup table tt u ul var".split()
+)
 #: A start tag ends open elements of the second group, looked for up to the third.
 IMPLIED_ENDS = {
     "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu", "table", "td", "th"))),
@@ -74,10 +86,27 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "kind", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str], kind: str = ""):
+        self.tag, self.attrs, self.children, self.kind = tag, attrs, [], kind
+
+    def holds_html(self) -> bool:
+        """Whether HTML stands in this element, which is one of SVG or MathML."""
+        if self.tag == "annotation-xml":
+            return self.attrs.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+        return self.tag in HOLDS_HTML
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+
+def kind_in(parent: Node, tag: str) -> str:
+    """What a new element is: svg, text (in SVG, from its text elements on), object (a foreignObject), math, or empty for HTML."""
+    if tag in ("svg", "math"):
+        return tag
+    if not parent.kind or parent.holds_html():
+        return ""
+    if parent.kind == "svg" and tag in ("text", "foreignobject"):
+        return "text" if tag == "text" else "object"
+    return parent.kind
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -88,14 +117,34 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
+def closes_itself(text: str) -> bool:
+    """Whether a start tag ends in a slash that is no part of an unquoted value."""
+    if not text.endswith("/"):
+        return False
+    last = None
+    for last in _ATTR.finditer(text):
+        pass
+    return last is None or last.group(4) is None or last.end() < len(text)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; its children are nodes and strings."""
     root = Node("#root", {})
     stack = [root]
+    begun = False  # a second head, or one after content, counts for nothing
 
-    def text(s: str) -> None:
-        if s:
-            stack[-1].children.append(html.unescape(s) if "&" in s else s)
+    def text(s: str, raw: bool = False) -> None:
+        nonlocal begun
+        if s and stack[-1].kind != "svg":
+            s = html.unescape(s) if "&" in s and not raw else s
+            if (stack[-1].tag == "head" or not begun) and s.strip(" \t\n\r\f"):
+                begun = True
+                leave_head()
+            stack[-1].children.append(s)
+
+    def leave_head() -> None:
+        if stack[-1].tag == "head":
+            stack.pop()
 
     def close(tags: frozenset[str], barrier: frozenset[str]) -> None:
         """End open elements of ``tags``, outermost first met before a barrier."""
@@ -103,7 +152,7 @@ def parse(page: str) -> Node:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 found = i
-            elif stack[i].tag in barrier:
+            elif stack[i].tag in barrier or (stack[i].kind and stack[i].holds_html()):
                 break
         if found:
             del stack[found:]
@@ -124,23 +173,44 @@ def parse(page: str) -> Node:
             if end == "p" and not _open(stack, p_only, p_barrier):
                 stack[-1].children.append(Node("p", {}))
             elif end == "br":
+                leave_head()
                 stack[-1].children.append(Node("br", {}))
             elif end not in ("html", "body"):
                 close_end(stack, end)
             continue
         if not start:
+            if stack[-1].kind and page.startswith("<![CDATA[", m.start()):
+                stop = page.find("]]>", m.start() + 9)
+                stop = len(page) if stop < 0 else stop
+                text(page[m.start() + 9 : stop], raw=True)
+                at = stop + 3
             continue
         tag = start.lower()
         if tag in ("html", "body") and any(n.tag == tag for n in stack[1:3]):
             continue
         attrs = attributes(m.group(3))
+        kind = kind_in(stack[-1], tag)
+        if kind and (tag in BREAKS_OUT or (tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")))):
+            while stack[-1].kind and not stack[-1].holds_html():
+                stack.pop()
+            kind = ""
+        if tag in ("head", "html"):
+            if begun:
+                continue
+            begun = tag == "head"
+        elif tag not in HEAD_MATTER:
+            begun = True
+            leave_head()
+        if kind:
+            node = Node(tag, attrs, kind)
+            stack[-1].children.append(node)
+            if len(stack) < DEPTH and not closes_itself(m.group(3)):
+                stack.append(node)
+            continue
         if tag in CLOSES_P:
             close(p_only, p_barrier)
         if tag in IMPLIED_ENDS:
             close(*IMPLIED_ENDS[tag])
-        if tag == "body" or (tag in BLOCKS and tag not in ("html",)):
-            if stack[-1].tag == "head":
-                stack.pop()
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
             stack[-1].children.append(row)
@@ -158,7 +228,7 @@ def parse(page: str) -> Node:
             close_at = page.find(">", stop)
             at = len(page) if close_at < 0 else close_at + 1
             continue
-        if len(stack) < DEPTH and not (tag in ("svg", "math") and (m.group(3) or "").rstrip().endswith("/")):
+        if len(stack) < DEPTH:
             stack.append(node)
 
 
@@ -175,7 +245,7 @@ def _open(stack: list[Node], tags: frozenset[str], barrier: frozenset[str]) -> b
     for node in reversed(stack):
         if node.tag in tags:
             return True
-        if node.tag in barrier:
+        if node.tag in barrier or (node.kind and node.holds_html()):
             return False
     return False
 
@@ -190,7 +260,10 @@ def close_end(stack: list[Node], tag: str) -> None:
         if stack[i].tag == tag:
             del stack[i:]
             return
-        if stack[i].tag == "table" or (not reaches and stack[i].tag in _CELL):
+        if stack[i].kind:
+            if not reaches and tag not in ("svg", "math") and stack[i].holds_html():
+                return
+        elif stack[i].tag == "table" or (not reaches and stack[i].tag in _CELL):
             return
 
 
@@ -308,6 +381,8 @@ class _Table:
 
 def hides(node: Node) -> bool:
     a = node.attrs
+    if node.kind:
+        return node.tag in UNDRAWN or ("style" in a and bool(_DISPLAY_NONE.search(a["style"]))) or a.get("display") == "none"
     if node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input"):
         return True
     return "style" in a and bool(_DISPLAY_NONE.search(a["style"]))
@@ -325,7 +400,7 @@ def render(root: Node) -> tuple[list[str], int, int]:
             if shown:
                 flow.text(node, keep)
             continue
-        tag = node.tag
+        tag = node.tag if not node.kind else "div" if node.tag in ("text", "foreignobject") else "span"
         if what == "in":
             if hides(node):
                 continue

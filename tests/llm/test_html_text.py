@@ -91,3 +91,44 @@ def test_query_covers_all_pages(spark):
     got = {r.page_id: (r.text, r.n_chars) for r in op3_html_text(spark, "/root/testdata/sf0.001").collect()}
     assert got == {p.page_id: (t := H.page_text(p.html)[0], len(t)) for p in pages}
     assert not any("track(" in t or "<p>" in t for t, _ in got.values())
+
+
+FOREIGN_AND_HEAD = {
+    # MathML and SVG text are seen; their titles, definitions and annotations are not
+    "let <math><mi>x</mi><mo>+</mo><mn>1</mn></math> be": "let x+1 be",
+    "<math><semantics><mi>y</mi><annotation encoding='application/x-tex'>\\tex</annotation><annotation-xml>no</annotation-xml></semantics></math>": "y",
+    "a<svg>no<title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><g>no<text>see <tspan>me</tspan></text></g></svg>b": "a\nsee me\nb",
+    "<svg><text>one</text><text>two</text></svg>": "one\ntwo",
+    "<svg><style>.a > .b {}</style><text style='display:none'>no</text><text>A &amp; B</text></svg>": "A & B",
+    "<svg><title/><defs/><rect width=5 /><text>seen</text></svg>": "seen",
+    "<svg><g id=a/><text>in</text></g></svg>out": "in\nout",
+    "<svg><defs><p>out of it</p>end": "out of it\n\nend",
+    "<p>a<svg><foreignObject><div>x</div></foreignObject></svg></p>": "a\nx",
+    "<svg><text><![CDATA[a<b>c]]></text></svg><![CDATA[no]]>d": "a<b>c\nd",
+    "<table><tr><td>a<svg><tr><td>no</svg><td>b</table>": "a  b",
+    "<map name=m>seen<area></map>": "seen",
+    # an open head ends at text and at any tag that is no head matter
+    "<head><title>T</title>Hello <b>world</b>": "Hello world",
+    "<head><title>T</title><a href=x>link</a> after": "link after",
+    "<head><meta><span>s<div>block</div></span>t": "s\nblock\nt",
+    "<head><title>T</title><script>x</script><img alt=i>seen": "seen",
+    "<head> <link> <style>s</style> <base>&nbsp;x": "\xa0x",
+    "<head><template><b>no</b></template><noscript>no</noscript><custom-tag>yes": "yes",
+    "<html><head><title>T</title></head><body>a<head>b</head>c": "abc",
+    "a<head>b": "ab",
+    "<head><html><body>x": "x",
+    "<head><title>T</title></br>x": "x",
+}
+
+
+@pytest.mark.parametrize("source", FOREIGN_AND_HEAD)
+def test_formulas_drawings_and_open_heads(source):
+    assert H.page_text(source)[0] == FOREIGN_AND_HEAD[source]
+
+
+def test_no_drawing_is_too_deep_or_too_broken():
+    began = time.time()
+    for bad in ("<svg>", "<svg><p>", "<math><mi>", "<svg><foreignObject>", "<svg><![CDATA[", "<head>", "<svg><text/>", "<svg a=", "<math><td>"):
+        H.page_text(bad * 10_000)
+    assert H.page_text("<svg><g a" + "=" * 200_000 + "'/><text>x")[0] in ("", "x")
+    assert time.time() - began < 60
