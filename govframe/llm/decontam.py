@@ -11,8 +11,9 @@ What is broadcast are two bitmaps of fixed size (``BITMAP_BITS``), never the shi
 a larger benchmark lets more false candidates through to the join, and none is lost.
 
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z.  Null and empty texts
-have no words; items without words or id have no windows; repeated rows of either table are judged
-alike, and an item counts once by its id.  An empty table on either side gives no hits.  A shingle
+have no words; items without words have no windows; repeated rows of either table are judged
+alike, and an item counts once by its id.  With ``null_items``, as in the query and the pipeline, items without an id
+hit like others: together they count as one item in ``n_items`` and have no place in ``item_ids``; otherwise they are left out.  An empty table on either side gives no hits.  A shingle
 or window that a third of the documents share only makes its rows of the join many; Spark may
 split them, as the other side has a row per window.
 """
@@ -43,14 +44,14 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-def item_windows(benchmark: DataFrame, size: int, shingle: int) -> DataFrame:
+def item_windows(benchmark: DataFrame, size: int, shingle: int, null_items: bool = False) -> DataFrame:
     """One row per item and window: item_id, win (its words joined by a space), n (its words), grams (hashes of its shingles)."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         hashes = WordHashes()
         for item, text in rows:
             words = words_of(text)
-            if not words or item is None:
+            if not words or (item is None and not null_items):
                 continue
             n = min(size, len(words))
             g = min(shingle, n)
@@ -114,9 +115,9 @@ def prefix_places(docs: DataFrame, bits, sizes: list[int], size: int) -> DataFra
     return map_texts(kept, run, fields, "doc_id", "text")
 
 
-def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS, bits: int = BITMAP_BITS) -> DataFrame:
+def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS, bits: int = BITMAP_BITS, null_items: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (hash of the text), n_words, n_hit, spans (start and length of hit windows), item_ids (sorted as strings), n_items, contaminated."""
-    windows = cut_lineage(spark, item_windows(benchmark, size, shingle))
+    windows = cut_lineage(spark, item_windows(benchmark, size, shingle, null_items))
     lengths = sorted(r.g for r in windows.select(F.least(F.lit(shingle), "n").alias("g")).distinct().toLocalIterator())  # at most `shingle` rows
     shared = None
     if lengths:
@@ -138,15 +139,15 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
     found = places.join(prefixes, "gram").filter(fits).filter(same).select("row", start.alias("start"), "n", "win")
     found = cut_lineage(spark, found)
     spans = found.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"))
-    items = found.select("row", "win").distinct().join(windows.select("item_id", "win"), "win").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    items = found.select("row", "win").distinct().join(windows.select("item_id", "win"), "win").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"))
     return _verdicts(scanned, spans, items)
 
 
 def _verdicts(scanned: DataFrame, spans: DataFrame | None, items: DataFrame | None) -> DataFrame:
     docs = scanned.select("row", "doc_id", "th", "n_words")
     out = reduce(lambda a, b: a.join(b, "row", "left"), [x for x in (spans, items) if x is not None], docs)
-    none = {"spans": "array<struct<start:int,n:int>>", "item_ids": "array<string>"}
-    out = out.select("doc_id", "th", "n_words", *(F.coalesce(F.col(c) if c in out.columns else F.lit(None), F.array().cast(t)).alias(c) for c, t in none.items()))
+    none = {"spans": F.array().cast("array<struct<start:int,n:int>>"), "item_ids": F.array().cast("array<string>"), "unnamed": F.lit(0)}
+    out = out.select("doc_id", "th", "n_words", *(F.coalesce(F.col(c) if c in out.columns else F.lit(None), v).alias(c) for c, v in none.items()))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("sum"))
 
     def add(acc, s):
@@ -154,10 +155,10 @@ def _verdicts(scanned: DataFrame, spans: DataFrame | None, items: DataFrame | No
         return F.struct(F.greatest(acc["end"], end).alias("end"), (acc["sum"] + F.greatest(F.lit(0), end - F.greatest(acc["end"], s["start"]))).cast("long").alias("sum"))
 
     out = out.withColumn("n_hit", F.aggregate("spans", zero, add, lambda acc: acc["sum"]))
-    return out.select("doc_id", "th", "n_words", "n_hit", "spans", "item_ids", F.size("item_ids").cast("long").alias("n_items"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    return out.select("doc_id", "th", "n_words", "n_hit", "spans", "item_ids", (F.size("item_ids") + F.col("unnamed")).cast("long").alias("n_items"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    found = cut_lineage(spark, find_contamination(spark, docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("doc"), "th").distinct())
+    found = cut_lineage(spark, find_contamination(spark, docs, benchmark, null_items=True).filter("contaminated").select(F.col("doc_id").alias("doc"), "th").distinct())
     return without(spark, docs, found)

@@ -66,7 +66,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
-    found = decontam.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), null_items=True)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 

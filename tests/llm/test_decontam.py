@@ -71,3 +71,31 @@ def test_drop_contaminated_keeps_rows_whole(spark):
     out = D.drop_contaminated(spark, df, spark.createDataFrame([(1, bad)], "item_id long, text string"))
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "clean too"), (2, "clean text"), (2, "clean text"), (3, "")]
+
+
+def test_items_without_an_id_hit_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    from govframe.llm.oracle import ORACLE
+    from govframe.llm.queries import op8_decontaminate
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    docs = [(1, a), (2, f"{a} {b}"), (3, f"{b} {c}"), (4, "clean text"), (5, f"{b} " + "pad " * 900), (6, None)]
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(None, a), (None, b), (None, b), (7, b), (8, c), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = op8_decontaminate(spark, str(tmp_path))
+    cur = con.execute(ORACLE["op8_decontaminate"])
+    columns = [d[0] for d in cur.description]
+    want = sorted(cur.fetchall())
+    assert sorted(tuple(r) for r in df.select(*columns).collect()) == want
+    assert [(r[columns.index("doc_id")], r[columns.index("n_items")]) for r in want] == [(1, 1), (2, 2), (3, 3), (4, 0), (5, 2), (6, 0)]
+
+
+def test_drop_contaminated_counts_items_without_an_id(spark):
+    bad = " ".join(f"k{i}" for i in range(20))
+    out = D.drop_contaminated(spark, frame(spark, [(1, bad), (2, "clean text")]), spark.createDataFrame([(None, bad)], "item_id long, text string"))
+    assert [r.doc_id for r in out.collect()] == [2]
