@@ -9,8 +9,10 @@ matching statistic (the longest suffix read so far that the automaton knows) rea
 words it covers go; then the region's words are added.
 
 An automaton's size follows the corpus, so none is broadcast whole: the documents' regions are sent
-to their shard.  A shard with more than ``HOT_REGIONS`` different regions is re-keyed by whole windows,
-which are counted where they are before they meet, so no shard grows without bound.
+to their shard.  A shard with more than ``HOT_REGIONS`` different regions is divided: a part takes the windows at
+``cell`` neighbouring distances from the anchor, and its key is the longer string that they share.  Parts go through the
+same steps as shards, copies first, then the automaton, and hot parts are divided again.  Where a part is one window
+(``cell`` 1) all its regions are copies, so no shard grows without bound.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``, unchanged.  Null and empty texts have no words.  A null id has no
 order: such rows lose nothing and remove nothing.  Rows that repeat a ``doc_id`` do not count against each
@@ -27,10 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govframe.llm.anchored import Windows, anchor_rows, apply_spans, merged, with_texts
-from govframe.llm.common import Rolling, WordHashes, cut_lineage, map_texts, sha256_hex
+from govframe.llm.common import Rolling, WordHashes, cut_lineage, map_texts, mix, sha256_hex
 
 WINDOW_WORDS = 50
 HOT_REGIONS = 512
+#: Parts that a hot shard, or a hot part, is divided into, about.
+PARTS = 4
 
 
 class SuffixAutomaton:
@@ -135,43 +139,57 @@ def region_words(texts: DataFrame, window: int) -> DataFrame:
     return map_texts(texts, run, fields, "doc", "th", "text", "list")
 
 
-def window_rows(texts: DataFrame, window: int) -> DataFrame:
-    """hash, doc, th, start of each window of each listed region."""
+def divided(texts: DataFrame, window: int, cell: int) -> DataFrame:
+    """Rows as ``anchor_rows`` makes them, for the parts of each listed region: the windows at ``cell`` neighbouring distances from the anchor.
+
+    A part's key is the hash of the key it had, of the distances and of the words that all windows at these distances share.
+    """
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         of = word_symbols()
         for doc, th, text, regions in rows:
-            grams = Rolling(of(text)).grams(window).view(np.int64).tolist()
-            for r in regions:
-                for at in range(r["first"], r["first"] + r["more"] + 1):
-                    yield grams[at], doc, th, at
-
-    return map_texts(texts, run, [("hash", "long", pa.int64()), ("doc", "long", pa.int64()), ("th", "int", pa.int32()), ("start", "int", pa.int32())], "doc", "th", "text", "list")
+            rolling = Rolling(of(text))
+            old, first, back, more = (np.array([r[c] for r in regions], np.int64) for c in ("key", "first", "back", "more"))
+            lowest = (back - more) // cell
+            n = back // cell - lowest + 1
+            at = np.repeat(np.arange(len(n)), n)
+            low = (lowest[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) * cell
+            place = (first + back)[at]
+            start, last = np.maximum(first[at], place - low - cell + 1), np.minimum((first + more)[at], place - low)
+            shared = rolling.spans(place - low, place - low - cell + 1 + window)
+            key = mix(shared + mix(old[at].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + low.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+            region = rolling.spans(start, last + window) + (place - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+            for part in zip(key.view(np.int64).tolist(), region.view(np.int64).tolist(), start.tolist(), (place - start).tolist(), (last - start).tolist(), strict=True):
+                yield *part[:2], doc, th, *part[2:]
+
+    ints = [(n, "int", pa.int32()) for n in ("th", "first", "back", "more")]
+    return map_texts(texts, run, [*((n, "long", pa.int64()) for n in ("key", "region", "doc")), *ints], "doc", "th", "text", "list")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS, hot: int = HOT_REGIONS) -> DataFrame:
     """Spans (doc, th, start, stop; in words) of each text that occur in a document with a smaller id."""
     shape = Windows(window, max(1, window // 2))
-    found = anchor_rows(docs.filter(F.col("doc_id").isNotNull()), shape, word_symbols)
-    # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
-    shared = cut_lineage(spark, found.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").drop("high"))
-    rows = cut_lineage(spark, found.join(shared, "key"))
-    firsts = cut_lineage(spark, rows.groupBy("key", "region").agg(F.min("doc").alias("holder")))
-    held = cut_lineage(spark, rows.join(firsts, ["key", "region"]))
+    found, cell, spans = anchor_rows(docs.filter(F.col("doc_id").isNotNull()), shape, word_symbols), shape.grams, None
     stop = F.col("first") + F.col("more") + F.lit(window)
-    whole = held.filter("doc > holder").select("doc", "th", F.col("first").alias("start"), stop.alias("stop"))
-
-    # regions that no smaller document has as a whole, in shards where some smaller document has the anchor
-    mine = held.filter("doc = holder")
-    sizes = cut_lineage(spark, mine.groupBy("key").agg(F.count("*").alias("n"), F.max("holder").alias("last"), F.min("low").alias("low")).filter("low < last").select("key", "n"))
-    open_ = cut_lineage(spark, mine.join(sizes, "key").select("key", "doc", "th", "first", "more", "n"))
-    few, many = open_.filter(F.col("n") <= hot), open_.filter(F.col("n") > hot)
-    spans = whole.union(shard_spans(region_words(with_texts(spark, docs, few, "key", "first", "more"), window), window))
-    if not many.isEmpty():
-        each = cut_lineage(spark, window_rows(with_texts(spark, docs, many, "key", "first", "more"), window))
-        first = cut_lineage(spark, each.groupBy("hash").agg(F.min("doc").alias("low")))
-        spans = spans.union(each.join(first, "hash").filter("doc > low").select("doc", "th", "start", (F.col("start") + window).alias("stop")))
-    return cut_lineage(spark, spans)
+    while True:
+        # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
+        shared = cut_lineage(spark, found.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").drop("high"))
+        rows = cut_lineage(spark, found.join(shared, "key"))
+        firsts = cut_lineage(spark, rows.groupBy("key", "region").agg(F.min("doc").alias("holder")))
+        held = cut_lineage(spark, rows.join(firsts, ["key", "region"]))
+        whole = held.filter("doc > holder").select("doc", "th", F.col("first").alias("start"), stop.alias("stop"))
+
+        # regions that no smaller document has as a whole, in shards where some smaller document has the anchor
+        mine = held.filter("doc = holder")
+        sizes = cut_lineage(spark, mine.groupBy("key").agg(F.count("*").alias("n"), F.max("holder").alias("last"), F.min("low").alias("low")).filter("low < last").select("key", "n"))
+        open_ = cut_lineage(spark, mine.join(sizes, "key").select("key", "doc", "th", "first", "back", "more", "n"))
+        few, many = open_.filter((F.col("n") <= hot) | F.lit(cell == 1)), open_.filter(F.col("n") > hot)
+        here = whole.union(shard_spans(region_words(with_texts(spark, docs, few, "key", "first", "more"), window), window))
+        spans = here if spans is None else spans.union(here)
+        if cell == 1 or many.isEmpty():
+            return cut_lineage(spark, spans)
+        cell = max(1, cell // PARTS)
+        found = cut_lineage(spark, divided(with_texts(spark, docs, many, "key", "first", "back", "more"), window, cell))
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:

@@ -75,3 +75,22 @@ def test_query_against_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     got = op10_passages(spark, "/root/testdata/sf0.001").collect()
     assert sorted((True, r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(docs, 50)
+
+
+def test_parts_of_a_hot_shard_meet_automata(spark, monkeypatch):
+    """Passages around the same boilerplate, each in a few documents that differ around it: its shards are hot, their parts are not."""
+    cores = [[f"c{g}x{i}" for i in range(13)] for g in range(6)]
+    passages = [[f"l{g}x{p}", *core, f"m{g}x{p}", f"n{g}x{p}", *core[::-1], f"r{g}x{p}"] for p in range(12) for g, core in enumerate(cores)]
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(1 + i % 7)] + passages[i % 72] + [f"b{i}x{j}" for j in range(1 + i % 5)])) for i in range(216)]
+    seen, original = [], P.shard_spans
+
+    def counted(regions, window):
+        sizes = sorted(r["count"] for r in regions.groupBy("key").count().collect())
+        seen.append((len(sizes), sizes[-1] if sizes else 0))
+        return original(regions, window)
+
+    monkeypatch.setattr(P, "shard_spans", counted)
+    want = brute(rows, 16)
+    assert found(spark, frame(spark, rows), 16, 4) == want and sum(w[3] for w in want) == 144 * 30
+    assert len(seen) > 1 and sum(n for n, _ in seen[1:]) > 0  # automata of divided shards
+    assert max(most for _, most in seen) <= 4
