@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.common import SLICE_ROWS, Rolling, arrow_map, as_bytes, fresh, map_texts, named_by, sliding_min
+from govframe.llm.common import SLICE_ROWS, Rolling, arrow_map, as_bytes, fresh, map_texts, mix, named_by, sliding_min
 
 #: Window starts of one pass over a very long text; passes overlap by a window, so no result depends on it.
 PASS = 1 << 22
@@ -115,6 +115,33 @@ def with_texts(spark: SparkSession, docs: DataFrame, regions: DataFrame, *column
     return named.join(wanted, same_text(named, wanted)).select(named["doc"], named["th"], "list", "text")
 
 
+def divided(texts: DataFrame, window: int, cell: int, symbols: Callable[[], Callable[[bytes], np.ndarray]]) -> DataFrame:
+    """Rows as ``anchor_rows`` makes them, for the parts of each listed region: the windows at ``cell`` neighbouring distances from the anchor.
+
+    A part's key is the hash of the key it had, of the distances and of the symbols that all windows at these distances share.
+    """
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        of = symbols()
+        for doc, th, text, regions in rows:
+            rolling = Rolling(of(text))
+            old, first, back, more = (np.array([r[c] for r in regions], np.int64) for c in ("key", "first", "back", "more"))
+            lowest = (back - more) // cell
+            n = back // cell - lowest + 1
+            at = np.repeat(np.arange(len(n)), n)
+            low = (lowest[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) * cell
+            place = (first + back)[at]
+            start, last = np.maximum(first[at], place - low - cell + 1), np.minimum((first + more)[at], place - low)
+            shared = rolling.spans(place - low, place - low - cell + 1 + window)
+            key = mix(shared + mix(old[at].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + low.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+            region = rolling.spans(start, last + window) + (place - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+            for part in zip(key.view(np.int64).tolist(), region.view(np.int64).tolist(), start.tolist(), (place - start).tolist(), (last - start).tolist(), strict=True):
+                yield *part[:2], doc, th, *part[2:]
+
+    ints = [(n, "int", pa.int32()) for n in ("th", "first", "back", "more")]
+    return map_texts(texts, run, [*((n, "long", pa.int64()) for n in ("key", "region", "doc")), *ints], "doc", "th", "text", "list")
+
+
 def apply_spans(spark: SparkSession, docs: DataFrame, spans: DataFrame, judge: Callable[[], Callable[[bytes, list[dict]], tuple]], fields: list[tuple[str, str, pa.DataType]]) -> DataFrame:
     """doc_id and what ``judge`` makes of each text and its spans (doc, th, start, stop).
 

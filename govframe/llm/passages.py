@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.anchored import Windows, anchor_rows, apply_spans, merged, with_texts
-from govframe.llm.common import Rolling, WordHashes, cut_lineage, map_texts, mix, sha256_hex
+from govframe.llm.anchored import Windows, anchor_rows, apply_spans, divided, merged, with_texts
+from govframe.llm.common import WordHashes, cut_lineage, map_texts, sha256_hex
 
 WINDOW_WORDS = 50
 HOT_REGIONS = 512
@@ -139,33 +139,6 @@ def region_words(texts: DataFrame, window: int) -> DataFrame:
     return map_texts(texts, run, fields, "doc", "th", "text", "list")
 
 
-def divided(texts: DataFrame, window: int, cell: int) -> DataFrame:
-    """Rows as ``anchor_rows`` makes them, for the parts of each listed region: the windows at ``cell`` neighbouring distances from the anchor.
-
-    A part's key is the hash of the key it had, of the distances and of the words that all windows at these distances share.
-    """
-
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        of = word_symbols()
-        for doc, th, text, regions in rows:
-            rolling = Rolling(of(text))
-            old, first, back, more = (np.array([r[c] for r in regions], np.int64) for c in ("key", "first", "back", "more"))
-            lowest = (back - more) // cell
-            n = back // cell - lowest + 1
-            at = np.repeat(np.arange(len(n)), n)
-            low = (lowest[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) * cell
-            place = (first + back)[at]
-            start, last = np.maximum(first[at], place - low - cell + 1), np.minimum((first + more)[at], place - low)
-            shared = rolling.spans(place - low, place - low - cell + 1 + window)
-            key = mix(shared + mix(old[at].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + low.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-            region = rolling.spans(start, last + window) + (place - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-            for part in zip(key.view(np.int64).tolist(), region.view(np.int64).tolist(), start.tolist(), (place - start).tolist(), (last - start).tolist(), strict=True):
-                yield *part[:2], doc, th, *part[2:]
-
-    ints = [(n, "int", pa.int32()) for n in ("th", "first", "back", "more")]
-    return map_texts(texts, run, [*((n, "long", pa.int64()) for n in ("key", "region", "doc")), *ints], "doc", "th", "text", "list")
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS, hot: int = HOT_REGIONS) -> DataFrame:
     """Spans (doc, th, start, stop; in words) of each text that occur in a document with a smaller id."""
     shape = Windows(window, max(1, window // 2))
@@ -189,7 +162,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW
         if cell == 1 or many.isEmpty():
             return cut_lineage(spark, spans)
         cell = max(1, cell // PARTS)
-        found = cut_lineage(spark, divided(with_texts(spark, docs, many, "key", "first", "back", "more"), window, cell))
+        found = cut_lineage(spark, divided(with_texts(spark, docs, many, "key", "first", "back", "more"), window, cell, word_symbols))
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:

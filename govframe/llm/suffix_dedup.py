@@ -15,8 +15,9 @@ repeat are sorted with their common-prefix lengths:
 Two neighbours with a common prefix of 400 bytes mark both places.  Small shards go through the
 induction together, in memory; a shard of more than ``IN_MEMORY`` regions keeps its queues, bytes and
 places in scratch files of the task (as Spark's own sort does) and holds a block at a time.
-A shard of more than ``HOT_REGIONS`` regions is divided again, recursively narrowing the window starts: a part's
-key is the longer string that all its windows share.
+A shard of more than ``HOT_REGIONS`` different regions is divided by the distance from window start to anchor: a part's
+key is the longer string that all its windows share.  Parts go through the same steps as shards, equal ones held once, and hot
+parts are divided again, down to single windows, which are equal in a part; so no sort group has more regions than that.
 
 Matches never cross documents.  Null and empty texts have no bytes.  Repeated rows, a repeated or null id included, are
 copies like any other, so both lose their long strings.  An empty table gives no rows.
@@ -29,16 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm.anchored import Windows, anchor_rows, apply_spans, merged, rewrite, with_texts
+from govframe.llm.anchored import Windows, anchor_rows, apply_spans, divided, merged, rewrite, with_texts
 from govframe.llm.common import cut_lineage, map_texts, mix, sha256_hex
 
 WINDOW_BYTES = 400
 IN_MEMORY = 16_384
 HOT_REGIONS = 4_096
+#: Parts that a hot shard, or a hot part, is divided into, about.
+PARTS = 8
 _MOST = np.iinfo(np.int64).max
 
 
@@ -291,26 +293,14 @@ class _Docs:
         return None if self.null[i] else int(self.ids[i])
 
 
-def shard_rows(texts: DataFrame, shape: Windows, hot: int) -> DataFrame:
-    """key, sample suffix, bytes before it, doc, th, first of each listed region; regions of hot keys in several parts."""
-    w = shape.window
+def shard_rows(texts: DataFrame, window: int) -> DataFrame:
+    """key, sample suffix, bytes before it, doc, th, first of each listed region."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc, th, text, regions in rows:
             for r in regions:
                 key, first, place = r["key"], r["first"], r["first"] + r["back"]
-                last = first + r["more"]
-                if r["n"] <= hot:
-                    yield key, text[place : last + w], text[first:place], doc, th, first
-                    continue
-                parts = 1 << min(7, (r["n"] // hot).bit_length())
-                cell = -(-(shape.grams) // parts)
-                for low in range(0, shape.grams, cell):  # window starts from place - low back to place - low - cell + 1
-                    a, b = max(first, place - low - cell + 1), min(last, place - low)
-                    if a <= b:
-                        shared = text[place - low : place - low - cell + 1 + w]  # what all windows of this part share
-                        sub = int.from_bytes(xxhash.xxh3_64_digest(shared + low.to_bytes(4, "little") + key.to_bytes(8, "little", signed=True)), "big", signed=True)
-                        yield sub, text[place - low : b + w], text[a : place - low], doc, th, a
+                yield key, text[place : first + r["more"] + window], text[first:place], doc, th, first
 
     fields = [("key", "long", pa.int64()), ("sample", "binary", pa.binary()), ("head", "binary", pa.binary()), ("doc", "long", pa.int64()), ("th", "int", pa.int32()), ("first", "int", pa.int32())]
     return map_texts(texts, run, fields, "doc", "th", "text", "list")
@@ -330,19 +320,25 @@ def shard_spans(shards: DataFrame, window: int, in_memory: int = IN_MEMORY) -> D
 def repeated_strings(spark: SparkSession, docs: DataFrame, window: int = WINDOW_BYTES, hot: int = HOT_REGIONS, in_memory: int = IN_MEMORY) -> DataFrame:
     """Spans (doc, th, start, stop; in bytes) covered by strings of ``window`` bytes that start more than once."""
     shape = Windows(window, max(1, window // 2))
-    found = anchor_rows(docs, shape, byte_symbols)
-    # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
-    again = cut_lineage(spark, found.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c"))
-    rows = cut_lineage(spark, found.join(again, "key"))
+    found, cell, spans = anchor_rows(docs, shape, byte_symbols), shape.grams, None
     place = F.struct("doc", "th", "first", "back", "more")
-    kinds = cut_lineage(spark, rows.groupBy("key", "region").agg(F.count("*").alias("c"), F.min(place).alias("p")))
-    whole = rows.join(kinds.filter("c > 1").select("key", "region"), ["key", "region"])
-    spans = whole.select("doc", "th", F.col("first").alias("start"), (F.col("first") + F.col("more") + window).alias("stop"))
-
-    several = cut_lineage(spark, kinds.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).filter("n > 1 AND least = 1").select("key", "n"))
-    open_ = cut_lineage(spark, kinds.join(several, "key").select("key", "n", "p.*"))
-    texts = with_texts(spark, docs, open_, "key", "first", "back", "more", "n")
-    return cut_lineage(spark, spans.union(shard_spans(shard_rows(texts, shape, hot), window, in_memory)))
+    while True:
+        # sides of joins are written first where the other side may be skewed: Spark splits a join of two plain shuffles
+        again = cut_lineage(spark, found.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c"))
+        rows = cut_lineage(spark, found.join(again, "key"))
+        kinds = cut_lineage(spark, rows.groupBy("key", "region").agg(F.count("*").alias("c"), F.min(place).alias("p")))
+        whole = rows.join(kinds.filter("c > 1").select("key", "region"), ["key", "region"])
+        marked = whole.select("doc", "th", F.col("first").alias("start"), (F.col("first") + F.col("more") + window).alias("stop"))
+
+        several = cut_lineage(spark, kinds.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).filter("n > 1 AND least = 1").select("key", "n"))
+        open_ = cut_lineage(spark, kinds.join(several, "key").select("key", "n", "p.*"))
+        few, many = open_.filter((F.col("n") <= hot) | F.lit(cell == 1)), open_.filter(F.col("n") > hot)
+        here = marked.union(shard_spans(shard_rows(with_texts(spark, docs, few, "key", "first", "back", "more"), window), window, in_memory))
+        spans = here if spans is None else spans.union(here)
+        if cell == 1 or many.isEmpty():
+            return cut_lineage(spark, spans)
+        cell = max(1, cell // PARTS)
+        found = cut_lineage(spark, divided(with_texts(spark, docs, many, "key", "first", "back", "more"), window, cell, byte_symbols))
 
 
 def cut(text: bytes, spans: list[dict]) -> tuple[bytes, int]:

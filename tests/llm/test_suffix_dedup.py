@@ -89,3 +89,24 @@ def test_disk_queue_keeps_order():
         q.push(byte, np.arange(n) + 1000 * byte, np.arange(n))
     out = [(r, c) for regions, common in q.pop(7) for r, c in zip(regions.tolist(), common.tolist(), strict=True)]
     assert out == [(2000 + i, i) for i in range(300)] + [(5000 + i, i) for i in range(100)] + [(5000 + i, i) for i in range(50)]
+
+
+def test_no_sort_group_of_a_hot_passage_is_large(spark, monkeypatch):
+    """Documents that share a long passage and differ around it: no part of its shards keeps a row of each of them."""
+    rng = np.random.default_rng(3)
+    noise = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = noise(130)
+    texts = [f"{noise(60)}{passage}{noise(60)}" for _ in range(40)]
+    seen, original = [], S.shard_spans
+
+    def counted(shards, window, in_memory):
+        seen.extend(r["count"] for r in shards.groupBy("key").count().collect())
+        return original(shards, window, in_memory)
+
+    monkeypatch.setattr(S, "shard_spans", counted)
+    spans = S.repeated_strings(spark, frame(spark, list(enumerate(texts))), 40, 5)
+    monkeypatch.setattr(S, "repeated_strings", lambda *_: spans)
+    got = S.remove_repeats(spark, frame(spark, list(enumerate(texts))), 40).collect()
+    want = brute([t.encode() for t in texts], 40)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert all(w[1] >= 130 for w in want) and max(seen, default=0) <= 5
