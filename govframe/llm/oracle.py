@@ -152,4 +152,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_remo
 FROM d LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op1_url_filter": _URL, "op2_chat_format": _CHAT, "op4_minhash": _NEAR, "op8_decontaminate": _DECONTAM, "op9_host_quality": _QUALITY, "op10_passages": _PASSAGES}
+_PHRASES = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_ASCII}) AS text FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t)
+), size AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) ks(k) WHERE len(w) >= k)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+s AS (
+  SELECT cut.lang, cut.phrase, cut.k, cut.a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * cut.a) // (x.f + y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1 : j], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[j + 1 : cut.k], ' ')
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT DISTINCT b.lang, b.inner_, b.a
+  FROM (SELECT lang, a, k, array_to_string(w[i : i + m - 1], ' ') AS inner_
+        FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) ms(m) WHERE m < k)) b
+), covered AS (SELECT lang, inner_ AS phrase, max(a) AS longest FROM inside GROUP BY ALL),
+left_ AS (
+  SELECT low.* FROM low LEFT JOIN covered USING (lang, phrase) WHERE longest IS NULL OR 100::HUGEINT * longest < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM left_ JOIN size USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_url_filter": _URL, "op2_chat_format": _CHAT, "op4_minhash": _NEAR, "op8_decontaminate": _DECONTAM, "op9_host_quality": _QUALITY, "op10_passages": _PASSAGES, "op12_collocations": _PHRASES}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govframe.llm import bpe, chat_format, decontam, host_quality, html_text, langid_crf, minhash, oracle, passages, suffix_dedup, url_filter
+from govframe.llm import bpe, chat_format, collocations, decontam, golay, host_quality, html_text, langid_crf, minhash, oracle, passages, spelling, suffix_dedup, url_filter
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
@@ -80,5 +80,20 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(spark, table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_html_text, op4_minhash, op5_byte_bpe, op6_language_crf, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages)}
+def op11_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    return golay.simhash_classes(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language of all documents."""
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated word of all documents with its frequent form."""
+    return spelling.spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_html_text, op4_minhash, op5_byte_bpe, op6_language_crf, op7_suffix_dedup, op8_decontaminate, op9_host_quality, op10_passages, op11_golay_simhash, op12_collocations, op13_spelling_variants)}
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
