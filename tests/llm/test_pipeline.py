@@ -43,7 +43,7 @@ def brute(docs, items):
     top, _ = test_minhash.brute([(d, t) for d, t, _ in kept])
     stay = {d for d, _, _, keep in top if keep}
     kept = [(d, t) for d, t, _ in kept if d in stay]
-    kept = list(zip([d for d, _ in kept], cut_text([t for _, t in kept], 400), strict=True))
+    kept = list(zip([d for d, _ in kept], cut_text([t for _, t in kept], corpus_pipeline.PASSAGE_BYTES), strict=True))
     bad = {d for _, d, _, _, _, contaminated in test_decontam.brute(kept, items, 13) if contaminated}
     with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
         library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=read_ranks(f.read()), special_tokens={})
@@ -123,3 +123,20 @@ def test_run_with_a_bad_host_against_brute_force(spark, tmp_path):
     assert got == brute([d for d in docs if d[2] not in bad], items)
     assert sorted(d for d, *_ in got if d >= 10**9) == [2 * 10**9 + 500 + i for i in range(4)]
     assert len(brute(docs, items)) == len(got) + 4  # the verdict is what removes the other four
+
+
+def test_passages_of_fifty_words_go(spark):
+    """Planted passages of 51 to 60 words, which are shorter than 400 bytes, go from every document; the rest of the texts stays."""
+    import random
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 8)))
+    passages = [" ".join(word() for _ in range(51 + i)) for i in range(10)]
+    rows = [(i, f"{' '.join(word() for _ in range(60))}\n{passages[i % 12]}\n{' '.join(word() for _ in range(60))}" if i % 12 < 10 else " ".join(word() for _ in range(120))) for i in range(120)]
+    out = {r.doc_id: r.text for r in corpus_pipeline.suffix_array_dedup(spark, frame(spark, rows), SF).collect()}
+    assert any(len(p) < 400 for p in passages)
+    for i, text in rows:
+        if i % 12 < 10:
+            assert passages[i % 12][5:-5] not in out[i] and text[:200] == out[i][:200] and text[-200:] == out[i][-200:]
+        else:
+            assert out[i] == text
