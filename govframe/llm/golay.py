@@ -205,8 +205,17 @@ def links(spark: SparkSession, distinct: DataFrame, policy: GolayPolicy) -> Data
             pairs = np.array(list(linked_members(group, fp.view(np.uint64), policy.most)), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(fp[pairs[:, 0]]), pa.array(fp[pairs[:, 1]])], schema=schema)
 
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, a in whole_groups(batches, 1):
+            starts = starts_of([b])
+            least = np.repeat(a[starts], np.diff(np.append(starts, len(a))))
+            other = a != least
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(a[starts], least[other])), pa.array(np.append(b[starts], a[other]))], schema=schema)
+
     sorted_rows = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "fp")
-    return arrow_map(sorted_rows, run, "a long, b long").distinct()
+    found = arrow_map(sorted_rows, run, "a long, b long").distinct()
+    # a member has a row for each of its keys, at most 108 and their blocks: it keeps the least, to which the others are tied instead
+    return arrow_map(found.select("b", "a").repartition("b").sortWithinPartitions("b", "a"), contract, "a long, b long").distinct()
 
 
 def simhash_classes(spark: SparkSession, docs: DataFrame, policy: GolayPolicy = GolayPolicy()) -> DataFrame:
