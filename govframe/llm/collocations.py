@@ -3,10 +3,10 @@
 Texts are lower-cased (A-Z), cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those into words ``[^\\x20\\x09]+``.  Nodes are
 runs of ``longest - 1`` words, an edge is a run of ``longest`` words and leads from its first words to its last ones.
 
-1. A sketch of a fixed size counts words and pairs per language; a word or pair whose counter stays below
-   ``least`` is certainly rarer than that.
-2. Each place of a text gives one row: the longest run from there, of at most ``longest`` words, whose
-   words and pairs all may reach ``least``.  Runs of ``longest`` words are edges.  Shorter ones are corrections: their node
+1. A sketch of a fixed size counts words and pairs per language, a second one the longer runs whose pairs all may reach
+   ``least``; a run whose counter stays below ``least`` is certainly rarer than that.
+2. Each place of a text gives one row: the longest run from there, of at most ``longest`` words, that may
+   reach ``least`` with all runs inside it.  Runs of ``longest`` words are edges.  Shorter ones are corrections: their node
    ends there, at the end of its piece or before a rare word.  Rows are counted in the task, then by Spark.
 3. Unary paths are compacted: where a node has one edge in and one edge out of the same weight, the two
    become one path.  Paths are joined by a coin at each end, ``rounds`` times; what stays apart is only longer to store.
@@ -16,7 +16,8 @@ runs of ``longest - 1`` words, an edge is a run of ``longest`` words and leads f
 5. Each candidate looks up the counts of its parts; the lowest score of its cuts counts.  A run never occurs
    more often than a run inside it, so whether a longer candidate covers a candidate shows in those longer by one word.
 
-Memory of a task is bounded by the sketch and by ``HELD`` words; the bitmap that is broadcast has ``COUNTERS`` bits.
+Memory of a task is bounded by the sketch and by ``held`` words; the two bitmaps that are broadcast have ``counters`` bits each.
+In a corpus so large that nearly all counters reach ``least``, the sketches spare little and each place gives a row of up to ``longest`` words.
 
 Null texts are empty, null languages ``und``.  Repeated rows count each time; ids are not read.  Very long texts are
 read whole.  Ties of score and count go by the phrase's bytes.  An empty table gives no rows; other columns are not read.
@@ -35,12 +36,8 @@ from pyspark.sql import functions as F
 
 from govframe.llm.common import BASE, arrow_map, as_bytes, cut_lineage, mix, rows_of
 
-#: Counters of the sketch, and of them in one row.
-COUNTERS, ROW = 1 << 24, 1 << 12
-#: Words that a task holds before it counts them.
-HELD = 1_000_000
-#: Words that a task remembers.
-REMEMBERED = 400_000
+#: Most counters of a sketch that travel in one row.
+ROW = 1 << 12
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CUT = bytes.maketrans(_BREAKS + b"\t", b"." * len(_BREAKS) + b" ")
@@ -48,7 +45,10 @@ _CUT = bytes.maketrans(_BREAKS + b"\t", b"." * len(_BREAKS) + b" ")
 
 @dataclass(frozen=True)
 class PhrasePolicy:
-    """Words of the longest phrase, its least count, the percentage at which a longer one covers it, and rows kept per language."""
+    """Words of the longest phrase, its least count, the percentage at which a longer one covers it, and rows kept per language.
+
+    ``rounds``, ``counters`` (of a sketch, a power of two) and ``held`` (words that a task holds before it counts them) change no result.
+    """
 
     longest: int = 4
     least: int = 30
@@ -56,8 +56,12 @@ class PhrasePolicy:
     top: int = 2000
     scale: int = 2_000_000
     rounds: int = 3
+    counters: int = 1 << 24
+    held: int = 1_000_000
 
     def __post_init__(self):
+        if self.counters < 8 or self.counters & (self.counters - 1):
+            raise ValueError("a sketch has a power of two of counters, 8 or more")
         if not (2 <= self.longest <= 4 and 1 <= self.least <= 255 and self.top > 0):
             raise ValueError("phrases have 2 to 4 words and a least count of 1 to 255")
 
@@ -68,22 +72,18 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 class Numbered(dict):
-    """Word -> number from 1, for the words that ``wanted`` lets through; 0 for others and breaks."""
+    """Word -> number from 1; 0 for breaks."""
 
-    def __init__(self, lang: str, wanted=None):
+    def __init__(self, lang: str):
         super().__init__()
-        self.seed, self.wanted = xxhash.xxh3_64_intdigest(lang.encode()), wanted
+        self.seed = xxhash.xxh3_64_intdigest(lang.encode())
         self[b"."] = 0
         self.words, self.hashes, self.held, self.size, self.total = [b""], [0], [], 0, 0
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word, self.seed)
-        if self.wanted is not None and not self.wanted(np.array([h], np.uint64))[0]:
-            self[word] = 0
-            return 0
         self[word] = n = len(self.words)
         self.words.append(word)
-        self.hashes.append(h)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word, self.seed))
         return n
 
     def add(self, text: bytes) -> None:
@@ -92,12 +92,8 @@ class Numbered(dict):
         self.size += len(found)
         self.total += len(found) - found.count(b".")
 
-    @property
-    def full(self) -> bool:
-        return self.size >= HELD or len(self) > REMEMBERED
-
     def taken(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words held, and the hash of each number."""
+        """Numbers of the words held, breaks behind them, and the hash of each number."""
         return np.concatenate([*self.held, np.zeros(4, np.int64)]), np.array(self.hashes, np.uint64)
 
 
@@ -105,61 +101,89 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(BASE) + b)
 
 
-def _place(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes) >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+def _place(hashes: np.ndarray, counters: int) -> np.ndarray:
+    return (mix(hashes) & np.uint64(counters - 1)).astype(np.int64)
 
 
-def _by_language(batches: Iterator[pa.RecordBatch], made: dict[str, Numbered], wanted=None) -> Iterator[tuple[str, Numbered]]:
-    """The counters of all languages whenever they are full, and at the end."""
+def _by_language(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, Numbered]]:
+    """The counters of all languages whenever they hold ``most`` words together, and at the end."""
+    made: dict[str, Numbered] = {}
     held = 0
     for lang, text in rows_of(batches, "lang", "text"):
         if lang not in made:
-            made[lang] = Numbered(lang, wanted)
+            made[lang] = Numbered(lang)
         counter, before = made[lang], made[lang].size
         counter.add(text or b"")
         held += counter.size - before
-        if counter.full or held >= 2 * HELD:
+        if held >= most:
             yield from made.items()
             made.clear()
             held = 0
     yield from made.items()
 
 
-def frequent_places(spark: SparkSession, texts: DataFrame, least: int) -> bytes:
-    """Bitmap of the sketch's counters that reach ``least``: COUNTERS bits, however large the corpus is."""
+def possible_runs(ids: np.ndarray, hashes: np.ndarray, longest: int, bitmaps: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For 1, 2, ... words: places whose shorter runs are possible, the hash of the run there, and which of these are possible.
+
+    The first bitmap tells it of words and pairs, the second of longer runs; without one all are.
+    """
+    before, h = ids > 0, hashes[ids]
+    for k in range(1, longest + 1):
+        at = np.flatnonzero(before if k == 1 else before[:-1] & before[1:])
+        if k > 1:
+            run = np.zeros(len(ids), np.uint64)
+            run[at] = _pair(h[at], hashes[ids[at + k - 1]])
+            h = run
+        found = np.ones(len(at), bool)
+        if len(bitmaps) > (k > 2):
+            bits = np.frombuffer(bitmaps[k > 2], np.uint8)
+            place = _place(h[at], 8 * len(bits))
+            found = (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
+        yield at, h[at], found
+        before = np.zeros(len(ids), bool)
+        before[at] = found
+
+
+def frequent_places(spark: SparkSession, texts: DataFrame, policy: PhrasePolicy, known: list[bytes]) -> bytes:
+    """Bitmap of the sketch's counters that reach ``least``: ``counters`` bits, however large the corpus is.
+
+    The sketch counts words and pairs, or, with their bitmap ``known``, longer runs whose pairs are possible.
+    """
+    least, sizes = policy.least, (1, 2) if not known else range(3, policy.longest + 1)
+    counters, row_size = policy.counters, min(ROW, policy.counters)
     part = pa.schema([("bucket", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+    shared = spark.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(COUNTERS, np.uint32)
-        for _, counter in _by_language(batches, {}):
-            ids, hashes = counter.taken()
-            np.add.at(sketch, _place(hashes[1:]), np.bincount(ids, minlength=len(hashes))[1:].astype(np.uint32))
-            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-            np.add.at(sketch, _place(_pair(hashes[ids[at]], hashes[ids[at + 1]])), np.uint32(1))
+        sketch = np.zeros(counters, np.uint32)
+        for _, counter in _by_language(batches, policy.held):
+            for k, (_, run, _) in enumerate(possible_runs(*counter.taken(), sizes[-1], shared.value), 1):
+                if k in sizes:
+                    np.add.at(sketch, _place(run, counters), np.uint32(1))
         np.minimum(sketch, least, out=sketch)
-        for bucket, row in enumerate(sketch.reshape(-1, ROW)):
+        for bucket, row in enumerate(sketch.reshape(-1, row_size)):
             at = np.flatnonzero(row)
             if len(at):
                 cells = [pa.array([bucket], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([row[at].astype(np.uint8).tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cells, schema=part)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, sums = None, np.zeros(ROW, np.int64)
+        of, sums = None, np.zeros(row_size, np.int64)
         whole = pa.schema([("bucket", pa.int32()), ("bits", pa.binary())])
         close = lambda: pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), pa.array([np.packbits(sums >= least).tobytes()], pa.binary())], schema=whole)
         for bucket, places, counts in rows_of(batches, "bucket", "places", "counts"):
             if bucket != of:
                 if of is not None:
                     yield close()
-                of, sums = bucket, np.zeros(ROW, np.int64)
+                of, sums = bucket, np.zeros(row_size, np.int64)
             sums[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint8)
         if of is not None:
             yield close()
 
     parts = arrow_map(texts, count, "bucket int, places binary, counts binary")
     merged = arrow_map(parts.repartition("bucket").sortWithinPartitions("bucket"), total, "bucket int, bits binary")
-    out, wide = bytearray(COUNTERS // 8), ROW // 8
-    for row in merged.collect():  # COUNTERS / ROW rows of ROW bits at most
+    out, wide = bytearray(counters // 8), row_size // 8
+    for row in merged.collect():  # a row for each ROW counters
         out[row.bucket * wide : (row.bucket + 1) * wide] = row.bits
     return bytes(out)
 
@@ -179,29 +203,25 @@ def _distinct(packed: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
 
 def longest_runs(spark: SparkSession, texts: DataFrame, policy: PhrasePolicy) -> DataFrame:
     """(lang, phrase, k, c): how often each run is the row of a place; k = 0 counts all words of a language."""
-    shared = spark.sparkContext.broadcast(frequent_places(spark, texts, policy.least))
+    bitmaps = [frequent_places(spark, texts, policy, [])]
+    if policy.longest > 2:
+        bitmaps.append(frequent_places(spark, texts, policy, bitmaps))
+    shared = spark.sparkContext.broadcast(bitmaps)
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("c", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
-
-        def wanted(hashes: np.ndarray) -> np.ndarray:
-            at = _place(hashes)
-            return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-
-        for lang, counter in _by_language(batches, {}, wanted):
+        for lang, counter in _by_language(batches, policy.held):
             ids, hashes = counter.taken()
-            joined = np.zeros(len(ids), bool)
-            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-            joined[at] = wanted(_pair(hashes[ids[at]], hashes[ids[at + 1]]))
-            rows = np.zeros((len(ids), policy.longest), np.int64)
-            goes_on = ids > 0
-            for j in range(policy.longest):
-                rows[: len(ids) - j, j] = np.where(goes_on[: len(ids) - j], ids[j:], 0)
-                goes_on = goes_on & np.append(joined[j:], np.zeros(j, bool))
+            rows, number = np.zeros((len(ids), policy.longest), np.int64), np.zeros(len(hashes), np.int64)
+            for k, (at, _, found) in enumerate(possible_runs(ids, hashes, policy.longest, shared.value)):
+                at = at[found]
+                if k == 0:  # the possible words are numbered anew, from 1
+                    used = np.unique(ids[at])
+                    number[used] = np.arange(1, len(used) + 1)
+                rows[at, k] = number[ids[at + k]]
             rows = rows[rows[:, 0] > 0]
-            first, counts = _distinct(rows, len(hashes))
-            words, found = counter.words, rows[first]
+            first, counts = _distinct(rows, len(used) + 1)
+            words, found = [b"", *(counter.words[i] for i in used.tolist())], rows[first]
             phrases = [b" ".join([words[i] for i in r if i]).decode() for r in found.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(phrases) + 1)), pa.array([*phrases, ""]), pa.array(np.append((found > 0).sum(axis=1), 0).astype(np.int32)), pa.array(np.append(counts, counter.total))], schema=schema)
 

@@ -72,15 +72,14 @@ def test_other_policies_and_ties(spark):
     assert found(spark, rows, C.PhrasePolicy(least=5, longest=3, rounds=0)) == brute(rows, least=5, longest=3)
 
 
-def test_results_do_not_depend_on_the_sketch_or_on_what_a_task_holds(spark, monkeypatch):
+def test_results_do_not_depend_on_the_sketch_or_on_what_a_task_holds(spark):
     """A sketch in which everything collides prunes nothing; small buffers are counted many times."""
     rows = texts(4, 60)
     want = brute(rows, least=6)
-    monkeypatch.setattr(C, "_place", lambda h: (h >> np.uint64(61)).astype(np.int64))
-    monkeypatch.setattr(C, "HELD", 50)
-    texts_ = frame(spark, rows).selectExpr("coalesce(lang, 'und') AS lang", "cast(text AS binary) AS text")
-    assert len(C.frequent_places(spark, texts_, 6)) == C.COUNTERS // 8
-    assert found(spark, rows, C.PhrasePolicy(least=6)) == want
+    for policy in (C.PhrasePolicy(least=6, counters=8), C.PhrasePolicy(least=6, counters=1 << 13, held=50)):
+        assert found(spark, rows, policy) == want
+    held = frame(spark, rows).selectExpr("coalesce(lang, 'und') AS lang", "cast(text AS binary) AS text")
+    assert C.frequent_places(spark, held, C.PhrasePolicy(least=6, counters=8), []) == b"\xff"
 
 
 def test_paths_hold_every_edge_once(spark):
@@ -113,5 +112,6 @@ def test_many_words_in_one_batch():
 
 
 def test_policy():
-    with pytest.raises(ValueError):
-        C.PhrasePolicy(least=300)
+    for wrong in ({"least": 300}, {"longest": 5}, {"counters": 12}):
+        with pytest.raises(ValueError):
+            C.PhrasePolicy(**wrong)
