@@ -111,6 +111,29 @@ SELECT change_kind, count(*) AS n FROM (
 ) WHERE change_kind IS NOT NULL GROUP BY change_kind
 """
 
+ORACLE["snapshot_chain_restore"] = f"""
+WITH {CHANGED_ORDERS}
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS o_orderpriority
+FROM cur WHERE NOT (o_orderkey < 0 AND o_totalprice < 100000)
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P' AND o_totalprice > 200000
+"""
+
+ORACLE["snapshot_bucket_diff"] = """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'F' END AS o_orderstatus,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'DELETE' ELSE 'UPDATE' END AS change_kind, 'SUCCESS' AS run_status
+FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 499000
+"""
+
+ORACLE["snapshot_failed_log"] = """
+SELECT 'plain' AS db, 'FULL' AS kind, 'SUCCESS' AS status, CAST(NULL AS BOOLEAN) AS told
+UNION ALL
+SELECT 'strict', 'FULL', CASE WHEN n > 0 THEN 'FAILED' ELSE 'SUCCESS' END, CASE WHEN n > 0 THEN true END
+FROM (SELECT count(*) FILTER (o_orderstatus = 'P') AS n FROM orders)
+"""
+
 ORACLE["format_timestamps"] = """
 SELECT o_orderkey,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS fmt120,

@@ -29,7 +29,7 @@ from govframe.operators import security as S
 from govframe.plans import standins as X
 from govframe.schemas import DRIVER, PERIOD_PATTERN
 from govframe.session import shared_path
-from govframe.sources import sinks
+from govframe.sources import chains, sinks
 from govframe.sources.tables import load_table, rows, view
 
 Recipe = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,60 @@ def snapshot_diff(spark, d):
     return spark.read.parquet(path).groupBy("change_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+ORDER_TREE = chains.TreeShape(("o_orderkey",), buckets=64, fanout=8)
+
+
+def next_day_orders(day: DataFrame, orders: DataFrame) -> DataFrame:
+    """A second day of changes: cheap re-entered orders go, pending medium orders lose their priority,
+    dear orders that the first day removed come back."""
+    prio, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    cur = M.delete_where(day, (F.col("o_orderkey") < 0) & (F.col("o_totalprice") < 100_000))
+    cur = M.update_where(cur, (prio == "3-MEDIUM") & (st == "P"), {"o_orderpriority": F.lit("4-NOT SPECIFIED")})
+    return cur.unionByName(orders.filter((prio == "5-LOW") & (st == "P") & (F.col("o_totalprice") > 200_000)))
+
+
+@recipe
+def snapshot_chain_restore(spark, d):
+    """A-7, A-8: a full snapshot of orders and two incremental ones (updates, deletes, keys that come and
+    go again), then the restore over the three links, each checked against its manifest first."""
+    o, base = _t(spark, d, "orders"), shared_path(spark, "chains")
+    day1 = changed_orders(o)
+    link, _ = chains.write_full(o, base, "academy", SNAPSHOT_AT, ORDER_TREE)
+    chain = [link]
+    for i, current in enumerate((day1, next_day_orders(day1, o)), 1):
+        link, _ = chains.write_incremental(current, chain, base, "academy", SNAPSHOT_AT + _dt.timedelta(days=i))
+        chain.append(link)
+    return chains.restore_chain(spark, chain)
+
+
+@recipe
+def snapshot_bucket_diff(spark, d):
+    """A-8: a day that changes the few dearest pending orders only; fingerprints of key buckets tell which
+    buckets are read and compared.  The changes are read back from the written link."""
+    o, base = _t(spark, d, "orders"), shared_path(spark, "chains")
+    full, _ = chains.write_full(o, base, "academy", SNAPSHOT_AT, ORDER_TREE)
+    dear = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 499_000)
+    current = M.update_where(o, dear & (F.col("o_orderpriority") != "5-LOW"), {"o_orderstatus": F.lit("F")})
+    current = M.delete_where(current, dear & (F.col("o_orderpriority") == "5-LOW"))
+    link, log = chains.write_incremental(current, [full], base, "academy", SNAPSHOT_AT + _dt.timedelta(days=1))
+    return link.rows(spark).select("o_orderkey", "o_orderstatus", "change_kind", log.select("status").scalar().alias("run_status"))
+
+
+@recipe
+def snapshot_failed_log(spark, d):
+    """A-10: a snapshot that fails leaves a FAILED row with its message in the run log; one that does not, a SUCCESS row."""
+    o = _t(spark, d, "orders")
+    refused = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("pending orders cannot be stored"))).otherwise(F.col("o_orderstatus"))
+    logs = []
+    for db, table in (("plain", o), ("strict", o.withColumn("o_orderstatus", refused))):
+        try:
+            _, log = sinks.snapshot_full({"orders": table}, shared_path(spark, "snapshots"), db, SNAPSHOT_AT)
+        except sinks.SnapshotError as exc:
+            log = exc.log
+        logs.append(log.select(F.lit(db).alias("db"), "kind", "status", F.col("error").contains("pending orders cannot be stored").alias("told")))
+    return logs[0].unionByName(logs[1])
+
+
 @recipe
 def format_timestamps(spark, d):
     """A-9, H-2, H-3: CONVERT styles 120 / 112 / 108 and the snapshot file name."""
