@@ -110,6 +110,42 @@ def scd2_apply(current: DataFrame, history: DataFrame, batch: DataFrame, key: Se
     return new_current, new_history
 
 
+def scd2_merge(current: DataFrame, history: DataFrame, changes: DataFrame, key: Sequence[str], ts: str, tiebreak: Sequence[str],
+               op_col: str = "op") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Merge any number of changes per key into (current, history): ``(current, history, late)``.
+
+    ``current``: key, attributes, ``valid_from``, one row per key.  ``history``: the same plus ``valid_to``.  ``changes``: key, ``ts``,
+    ``tiebreak`` (unique within key and time, not NULL), ``op`` (``U`` upsert / ``D`` delete) and the attributes.
+
+    The changes of a key are one run with its current version in front: each ``U`` opens a version that
+    ends where the next change begins, each ``D`` only ends one.  The version that nothing ends is current, the others are
+    history.  Of several changes at one time the last one counts; the versions before it would have no
+    length and are dropped.  A change before its key's current version, or without a time, is ``late``: it is
+    returned as it came and changes nothing.
+
+    The current table meets the changes' keys only (semi and anti join); the fold is ``lead_by_key``, which cuts a key with very
+    many changes into ranges of time.
+    """
+    key, tiebreak = list(key), list(tiebreak)
+    attrs = [c for c in current.columns if c not in key and c != "valid_from"]
+    touched = changes.select(*key).distinct()
+    kept = current.join(touched, key, "left_anti").select(*key, *attrs, "valid_from")
+    running = current.join(touched, key, "left_semi").select(*key, *attrs, "valid_from")
+
+    since = running.select(*key, F.col("valid_from").alias("_since"))
+    dated = changes.join(since, key, "left")
+    is_late = F.col(ts).isNull() | F.coalesce(F.col(ts) < F.col("_since"), F.lit(False))
+    late = dated.filter(is_late).select(*changes.columns)
+    events = dated.filter(~is_late).select(*key, *attrs, F.col(ts).alias("valid_from"), F.col(op_col).alias("_op"), F.lit(1).alias("_turn"), *tiebreak)
+    first = running.select(*key, *attrs, "valid_from", F.lit("U").alias("_op"), F.lit(0).alias("_turn"),
+                           *[F.lit(None).cast(changes.schema[t].dataType).alias(t) for t in tiebreak])
+    led = lead_by_key(first.unionByName(events), key, ["valid_from", "_turn", *tiebreak], "valid_from", "valid_to")
+    versions = led.filter((F.col("_op") == "U") & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    new_current = kept.unionByName(versions.filter(F.col("valid_to").isNull()).select(*key, *attrs, "valid_from"))
+    closed = versions.filter(F.col("valid_to").isNotNull()).select(*key, *attrs, "valid_from", "valid_to")
+    return new_current, history.unionByName(closed.select(*history.columns)), late
+
+
 def refresh_counts(stored: DataFrame, inserted: DataFrame, deleted: DataFrame, key: Sequence[str],
                    total: str = "total") -> tuple[DataFrame, DataFrame]:
     """Incremental maintenance of ``COUNT(*) GROUP BY key``.

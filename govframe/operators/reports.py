@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from govframe.functions.tsql import add_interval, datediff_boundary, like_tsql, plus
 from govframe.operators.numbering import global_row_number
 from govframe.operators.security import _as_of
+from govframe.session import ensure_checkpoint_dir
 
 ColumnOrName = Column | str
 
@@ -178,8 +179,36 @@ def role_permissions(role_name: str, principals: DataFrame, grants: DataFrame, o
     )
 
 
+def role_ancestors(role_memberships: DataFrame) -> DataFrame:
+    """(role_id, ancestor_id): every role that a role belongs to, over any number of memberships.
+
+    ``role_memberships(role_id, parent_id)``: a role that is itself a member.  Semi-naive closure: each
+    round extends only the pairs that the round before found, by one membership, and keeps those not known
+    yet, so a cycle ends as soon as it closes.  There are as many rounds as the longest chain; each is a join and an anti-join of
+    role pairs (users are not in them) and is cut off by a checkpoint.  A role is no ancestor of itself, in a cycle neither.
+    """
+    ensure_checkpoint_dir(role_memberships.sparkSession)
+    pair = ["role_id", "ancestor_id"]
+    edges = role_memberships.select("role_id", F.col("parent_id").alias("ancestor_id"))
+    edges = edges.filter("role_id IS NOT NULL AND ancestor_id IS NOT NULL AND role_id != ancestor_id").distinct().checkpoint(eager=True)
+    step = edges.select(F.col("role_id").alias("ancestor_id"), F.col("ancestor_id").alias("_next"))
+    known = found = edges
+    while not found.isEmpty():
+        longer = found.join(step, "ancestor_id").select("role_id", F.col("_next").alias("ancestor_id")).filter("role_id != ancestor_id")
+        found = longer.distinct().join(known, pair, "left_anti").checkpoint(eager=True)
+        known = known.unionByName(found)
+    return known
+
+
+def nested_memberships(memberships: DataFrame, role_memberships: DataFrame) -> DataFrame:
+    """``memberships(user_id, role_id)`` with the roles that the user's roles belong to, at any depth."""
+    direct = memberships.select("user_id", "role_id")
+    above = direct.join(role_ancestors(role_memberships), "role_id").select("user_id", F.col("ancestor_id").alias("role_id"))
+    return direct.unionByName(above).distinct()
+
+
 def effective_permissions(requests: DataFrame, memberships: DataFrame, objects: DataFrame, grants: DataFrame,
-                          revokes: DataFrame | None = None) -> DataFrame:
+                          revokes: DataFrame | None = None, role_memberships: DataFrame | None = None) -> DataFrame:
     """Effective permission for each requested (user, object, permission).
 
     ``requests(user_id, object_id, permission)``; ``memberships(user_id, role_id)``;
@@ -187,6 +216,8 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     with ``level`` in {OBJECT, SCOPE}, ``grantee`` a user or a role id
     (``U:<id>`` / ``R:<id>``) and ``state`` in {GRANT, DENY}.
     ``revokes`` has the grant key columns and removes matching rows.
+    ``role_memberships(role_id, parent_id)`` nests roles: a user has the grants and denials of
+    every role that one of the user's roles belongs to, over any path, cycles included.
     DENY wins over GRANT; no row -> NONE.
 
     Each request expands only to its own lookup keys (user and each of
@@ -194,6 +225,8 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     probed at object and at scope level, so no member x object pairs are
     ever produced.
     """
+    if role_memberships is not None:
+        memberships = nested_memberships(memberships, role_memberships)
     g = grants
     key = ["grantee", "level", "securable", "permission"]
     if revokes is not None:

@@ -594,6 +594,60 @@ FROM lk LEFT JOIN g ON g.grantee = lk.grantee AND g.level = lk.level AND g.secur
 GROUP BY lk.user_id, lk.object_id, lk.permission
 """
 
+ORACLE["effective_nested"] = """
+WITH RECURSIVE edges AS (
+  SELECT n_nationkey::BIGINT AS r, (100 + n_regionkey)::BIGINT AS p FROM nation
+  UNION ALL SELECT (100 + r_regionkey)::BIGINT, 200::BIGINT FROM region
+  UNION ALL SELECT * FROM (VALUES (200::BIGINT, 100::BIGINT), (200, 300)) v(r, p)
+), reach(u, r) AS (
+  SELECT s_suppkey, s_nationkey::BIGINT FROM supplier
+  UNION SELECT u, p FROM reach JOIN edges USING (r)
+), g(r, scope, state) AS (
+  VALUES (100, 'Brand#5', 'GRANT'), (300, 'Brand#1', 'DENY'), (102, 'Brand#2', 'GRANT'), (103, 'Brand#5', 'DENY'),
+         (7, 'Brand#1', 'GRANT'), (8, 'Brand#3', 'GRANT')
+), req AS (SELECT DISTINCT l_suppkey AS u, l_partkey AS o FROM lineitem),
+hit AS (
+  SELECT req.u, req.o, state FROM req JOIN part ON p_partkey = o JOIN g ON g.scope = p_brand JOIN reach ON reach.u = req.u AND reach.r = g.r
+)
+SELECT req.u AS user_id, req.o AS object_id, 'SELECT' AS permission,
+       CASE WHEN bool_or(state = 'DENY') THEN 'DENY' WHEN bool_or(state = 'GRANT') THEN 'GRANT' ELSE 'NONE' END AS effective
+FROM req LEFT JOIN hit USING (u, o) GROUP BY req.u, req.o
+"""
+
+ORACLE["scd2_merge_runs"] = """
+WITH cur AS (SELECT c_custkey, c_mktsegment, TIMESTAMP '1998-03-01 00:00:00' AS since FROM customer WHERE c_acctbal >= 0),
+ch AS (
+  SELECT o_custkey AS c_custkey, o_orderpriority AS c_mktsegment, o_orderdate::TIMESTAMP AS since, o_orderkey AS tie,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'D' ELSE 'U' END AS op,
+         coalesce(o_orderdate::TIMESTAMP < (SELECT c.since FROM cur c WHERE c.c_custkey = o_custkey), false) AS late
+  FROM orders
+), run AS (
+  SELECT c_custkey, c_mktsegment, since, 'U' AS op, 0 AS turn, NULL AS tie FROM cur
+  UNION ALL SELECT c_custkey, c_mktsegment, since, op, 1, tie FROM ch WHERE NOT late
+), led AS (SELECT *, lead(since) OVER (PARTITION BY c_custkey ORDER BY since, turn, tie) AS til FROM run)
+SELECT c_custkey, c_mktsegment, since AS valid_from, coalesce(til, TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+FROM led WHERE op = 'U' AND (til IS NULL OR til > since)
+UNION ALL
+SELECT c_custkey, 'PROSPECT', TIMESTAMP '1997-01-01 00:00:00', TIMESTAMP '1998-03-01 00:00:00' FROM customer
+UNION ALL
+SELECT c_custkey, 'LATE ' || c_mktsegment, since, since FROM ch WHERE late
+"""
+
+ORACLE["validated_append_keys"] = """
+WITH b AS (
+  SELECT CASE WHEN o_orderpriority = '2-HIGH' THEN NULL WHEN o_orderpriority = '3-MEDIUM' THEN -1 - o_custkey ELSE -1000000000 - o_orderkey END AS k,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS cust, o_orderpriority,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus = 'P' THEN o_orderdate ELSE o_orderdate + INTERVAL 100 YEAR END AS day
+  FROM orders
+), pairs AS (
+  SELECT cust, day, count(*) AS n FROM (SELECT cust, day FROM b UNION ALL SELECT o_custkey, o_orderdate FROM orders) GROUP BY cust, day
+), dup AS (SELECT k, count(*) AS n FROM b GROUP BY k)
+SELECT o_orderpriority, concat_ws(',', CASE WHEN dup.n > 1 THEN 'pk:duplicate_in_batch' END, CASE WHEN EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = b.k) THEN 'pk:exists' END,
+         CASE WHEN b.k IS NULL THEN 'pk:null' END, CASE WHEN pairs.n > 1 THEN 'unique:cust_day' END) AS rules, count(*) AS n
+FROM b LEFT JOIN dup ON dup.k = b.k JOIN pairs ON pairs.cust IS NOT DISTINCT FROM b.cust AND pairs.day IS NOT DISTINCT FROM b.day
+GROUP BY 1, 2
+"""
+
 ORACLE["archive_split"] = f"""
 SELECT CAST(ts AS DATE) AS day, CASE WHEN ts < {AS_OF} - INTERVAL 20 DAY THEN 'ARCHIVE' ELSE 'KEEP' END AS bucket,
        count(*) AS n
@@ -726,6 +780,8 @@ SELECT l_partkey, total FROM (
 ) WHERE total > 0
 """
 
+ORACLE["mv_change_feed"] = ORACLE["mv_incremental"]
+
 ORACLE["objects_by_schema_type"] = """
 SELECT p.p_brand, l.l_returnflag, count(*) AS n_objects
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2 ORDER BY 1, 2

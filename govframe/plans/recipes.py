@@ -31,6 +31,7 @@ from govframe.schemas import DRIVER, PERIOD_PATTERN
 from govframe.session import shared_path
 from govframe.sources import chains, sinks
 from govframe.sources.tables import load_table, rows, view
+from govframe.streaming.count_feed import CountFeed
 
 Recipe = Callable[[SparkSession, str], DataFrame]
 RECIPES: dict[str, Recipe] = {}
@@ -150,7 +151,7 @@ def snapshot_diff(spark, d):
     return spark.read.parquet(path).groupBy("change_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-ORDER_TREE = chains.TreeShape(("o_orderkey",), buckets=64, fanout=8)
+ORDER_TREE = chains.TreeShape(("o_orderkey",), buckets=16, fanout=4)  # a file per bucket: few, as the test tables are small
 
 
 def next_day_orders(day: DataFrame, orders: DataFrame) -> DataFrame:
@@ -615,6 +616,23 @@ def validated_append(spark, d):
     return a.unionByName(r).groupBy("outcome", "rules").agg(F.count(F.lit(1)).alias("n"))
 
 
+@recipe
+def validated_append_keys(spark, d):
+    """I-15, I-9, I-10: the key rules of a batch -- NULL keys, keys given twice in the batch, and a UNIQUE pair
+    (customer, day) that the target or the batch itself has already; a NULL pair equals a NULL pair."""
+    o = _t(spark, d, "orders")
+    prio, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    later = F.col("o_orderdate") + F.expr("INTERVAL 100 YEARS")
+    batch = o.select(
+        F.when(prio == "2-HIGH", F.lit(None)).when(prio == "3-MEDIUM", -1 - F.col("o_custkey")).otherwise(-1_000_000_000 - F.col("o_orderkey")).cast("long").alias("o_orderkey"),
+        F.when(prio == "5-LOW", F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey"), "o_orderstatus", "o_totalprice",
+        F.when(prio == "5-LOW", F.lit(None)).when(st == "P", F.col("o_orderdate")).otherwise(later).cast(DRIVER["orders"]["o_orderdate"].dataType).alias("o_orderdate"),
+        "o_orderpriority")
+    ok, bad = C.validated_append(o, batch, ["o_orderkey"], unique={"cust_day": ["o_custkey", "o_orderdate"]})
+    out = ok.select("o_orderpriority", F.lit("").alias("rules")).unionByName(bad.select("o_orderpriority", F.array_join("rules", ",").alias("rules")))
+    return out.groupBy("o_orderpriority", "rules").agg(F.count(F.lit(1)).alias("n"))
+
+
 @recipe
 def assign_ids(spark, d):
     """I-16: SEQUENCE START WITH 1000 INCREMENT BY 1, in key order."""
@@ -906,6 +924,28 @@ def effective_permissions(spark, d):
     return R.effective_permissions(requests, members, objs, grants, revokes)
 
 
+NESTED_ROLES = [(200, 100), (200, 300)]  # with 100 -> 200 from the regions, the first closes a cycle
+NESTED_GRANTS = [("R:100", "SCOPE", "Brand#5", "SELECT", "GRANT"), ("R:300", "SCOPE", "Brand#1", "SELECT", "DENY"),
+                 ("R:102", "SCOPE", "Brand#2", "SELECT", "GRANT"), ("R:103", "SCOPE", "Brand#5", "SELECT", "DENY"),
+                 ("R:7", "SCOPE", "Brand#1", "SELECT", "GRANT"), ("R:8", "SCOPE", "Brand#3", "SELECT", "GRANT")]
+
+
+@recipe
+def effective_nested(spark, d):
+    """K-9: effective permission through roles inside roles: nation -> region -> all -> top, with a
+    cycle; a DENY on any path wins."""
+    s, n, r = _t(spark, d, "supplier"), _t(spark, d, "nation"), _t(spark, d, "region")
+    li, p = _t(spark, d, "lineitem"), _t(spark, d, "part")
+    requests = li.select(F.col("l_suppkey").alias("user_id"), F.col("l_partkey").alias("object_id"), F.lit("SELECT").alias("permission")).distinct()
+    members = s.select(F.col("s_suppkey").alias("user_id"), F.col("s_nationkey").cast("long").alias("role_id"))
+    nested = (n.select(F.col("n_nationkey").cast("long").alias("role_id"), (F.col("n_regionkey") + 100).cast("long").alias("parent_id"))
+              .unionByName(r.select((F.col("r_regionkey") + 100).cast("long").alias("role_id"), F.lit(200).cast("long").alias("parent_id")))
+              .unionByName(rows(spark, "role_id bigint, parent_id bigint", NESTED_ROLES)))
+    objs = p.select(F.col("p_partkey").alias("object_id"), F.col("p_brand").alias("scope"))
+    granted = rows(spark, "grantee string, level string, securable string, permission string, state string", NESTED_GRANTS)
+    return R.effective_permissions(requests, members, objs, granted, role_memberships=nested)
+
+
 @recipe
 def archive_split(spark, d):
     """K-10: retention at 20 days -- rows older than that are written to a date-partitioned
@@ -1025,6 +1065,39 @@ def scd2_apply(spark, d):
     return cur.withColumn("valid_to", tsql.ts_literal(H.OPEN_END)).unionByName(hist)
 
 
+@recipe
+def scd2_merge_runs(spark, d):
+    """L-4: orders as runs of changes (several of one customer in one batch, deletes among them) merged into
+    current rows and a history that has rows already; changes older than the current version come back as late."""
+    c, o = _t(spark, d, "customer"), _t(spark, d, "orders")
+    start, before = tsql.ts_literal("1998-03-01 00:00:00"), tsql.ts_literal("1997-01-01 00:00:00")
+    current = c.filter(F.col("c_acctbal") >= 0).select("c_custkey", "c_mktsegment", start.alias("valid_from"))
+    history = c.select("c_custkey", F.lit("PROSPECT").alias("c_mktsegment"), before.alias("valid_from"), start.alias("valid_to"))
+    changes = o.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"), "o_orderkey",
+                       F.when(F.col("o_orderpriority") == "5-LOW", F.lit("D")).otherwise(F.lit("U")).alias("op"),
+                       F.col("o_orderpriority").alias("c_mktsegment"))
+    cur, hist, late = H.scd2_merge(current, history, changes, ["c_custkey"], "at", ["o_orderkey"])
+    late_rows = late.select("c_custkey", F.concat(F.lit("LATE "), "c_mktsegment").alias("c_mktsegment"), F.col("at").alias("valid_from"), F.col("at").alias("valid_to"))
+    return cur.withColumn("valid_to", tsql.ts_literal(H.OPEN_END)).unionByName(hist).unionByName(late_rows)
+
+
+@recipe
+def mv_change_feed(spark, d):
+    """L-5: the counts kept by a change feed of two batches; both are sent again, one before and one after
+    their deltas were folded into the base, and count once."""
+    li = _t(spark, d, "lineitem")
+    feed = CountFeed(shared_path(spark, "count_feed"), T.StructType([DRIVER["lineitem"]["l_partkey"]]))
+    feed.create(li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("total")))
+    came = li.filter(F.col("l_returnflag") == "R").select("l_partkey", F.lit(1).alias("sign"))
+    went = li.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).select("l_partkey", F.lit(-1).alias("sign"))
+    for batch, changes in ((0, came), (0, came), (1, went)):
+        feed.write_batch(changes, batch)
+    feed.compact(spark, 0)
+    for batch, changes in ((0, came), (1, went)):
+        feed.write_batch(changes, batch)
+    return feed.counts(spark)
+
+
 @recipe
 def mv_incremental(spark, d):
     """L-5: per-course counts materialised to the shared folder, then refreshed with the

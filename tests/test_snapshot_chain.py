@@ -1,5 +1,6 @@
 """Snapshot chains: fingerprint trees, incremental links, restore, and links that must be refused."""
 
+import dataclasses
 import datetime as dt
 import glob
 import os
@@ -13,7 +14,7 @@ from govframe.sources import chains as K
 from govframe.sources.sinks import SnapshotError
 
 AT = dt.datetime(2024, 1, 31)
-SHAPE = K.TreeShape(("id", "part"), buckets=32, fanout=4)
+SHAPE = K.TreeShape(("id", "part"), buckets=20, fanout=3)
 SCHEMA = "id bigint, part string, v string, n int"
 
 
@@ -33,7 +34,7 @@ def content(df):
     return sorted(tuple(r) for r in df.select("id", "part", F.coalesce("v", F.lit("<null>")), F.coalesce("n", F.lit(-1))).collect())
 
 
-@pytest.fixture()
+@pytest.fixture(scope="module")
 def chain(spark):
     """Full link and three days: changes and deletes; keys that come back; nothing at all."""
     base, rows, links, states = shared_path(spark, "test-chain"), base_rows(), [], []
@@ -54,6 +55,16 @@ def chain(spark):
     return links, states
 
 
+@pytest.fixture()
+def own(chain, tmp_path):
+    """A copy of the chain that a test may damage."""
+    out = []
+    for i, link in enumerate(chain[0]):
+        shutil.copytree(link.path.removeprefix("file:"), f"{tmp_path}/link{i}")
+        out.append(dataclasses.replace(link, path=f"{tmp_path}/link{i}"))
+    return out
+
+
 def want(spark, rows):
     return content(as_frame(spark, rows))
 
@@ -73,7 +84,7 @@ def test_only_buckets_that_differ_are_read_and_written(spark, chain):
     trees = [link.tree(spark) for link in links]
     one_day = K.changed_buckets(trees[0], trees[1], SHAPE)
     touched = spark.createDataFrame([(3, "a"), (3, "b"), (4, "a"), (4, "b"), (5, "a"), (900, "a")], "id bigint, part string")
-    assert one_day == sorted({r[0] for r in touched.select(SHAPE.bucket()).collect()}) and 0 < len(one_day) < SHAPE.buckets / 2
+    assert one_day == sorted({r[0] for r in touched.select(SHAPE.bucket()).collect()}) and 0 < len(one_day) <= 6
     assert {r[0] for r in links[1].rows(spark).select(K.BUCKET).distinct().collect()} == set(one_day)
     assert links[1].rows(spark).count() == 6
     # the comparison side lists the folders of these buckets only
@@ -108,8 +119,8 @@ def _without_side_checksum(path):
 
 
 @pytest.mark.parametrize("which", [0, 1, 2])
-def test_one_flipped_byte_refuses_the_chain(spark, chain, which):
-    links, _ = chain
+def test_one_flipped_byte_refuses_the_chain(spark, own, which):
+    links = own
     path = _one_file(links[which])
     _without_side_checksum(path)
     data = bytearray(open(path, "rb").read())
@@ -118,11 +129,12 @@ def test_one_flipped_byte_refuses_the_chain(spark, chain, which):
     with pytest.raises(K.DamagedSnapshot) as exc:
         K.restore_chain(spark, links)
     assert exc.value.path == links[which].path and exc.value.reasons[0].startswith("CHECKSUM ")
-    K.restore_chain(spark, links[:which]) if which else None  # links before it are sound
+    if which:
+        K.restore_chain(spark, links[:which])  # the links before it are sound
 
 
-def test_missing_and_extra_files_refuse_the_chain(spark, chain):
-    links, _ = chain
+def test_missing_and_extra_files_refuse_the_chain(spark, own):
+    links = own
     path = _one_file(links[1])
     shutil.copy(path, path.replace(".parquet", "-2.parquet"))
     with pytest.raises(K.DamagedSnapshot, match="EXTRA"):
@@ -142,7 +154,7 @@ def test_links_must_follow_one_another(spark, chain):
         K.restore_chain(spark, [])
 
 
-def test_rows_are_checked_against_the_root(spark, chain, monkeypatch):
+def test_rows_are_checked_against_the_root(spark, chain):
     links, _ = chain
     changed = K.Link(links[0].path, "FULL", None, "not the root", 0, SHAPE, links[0].schema)
     with pytest.raises(K.DamagedSnapshot, match="root"):
