@@ -648,6 +648,21 @@ FROM b LEFT JOIN dup ON dup.k = b.k JOIN pairs ON pairs.cust IS NOT DISTINCT FRO
 GROUP BY 1, 2
 """
 
+ORACLE["validated_append_filtered"] = """
+WITH b AS (
+  SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey ELSE -1 - o_orderkey END AS k,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN o_custkey + 1000000000 ELSE o_custkey END AS cust,
+         CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_orderdate ELSE o_orderdate + INTERVAL 100 YEAR END AS day
+  FROM orders WHERE o_totalprice > 499000 AND o_orderstatus <> 'P'
+)
+SELECT k AS o_orderkey, concat_ws(',', CASE WHEN NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = b.cust) THEN 'fk:customer' END,
+         CASE WHEN (SELECT count(*) FROM b x WHERE x.k = b.k) > 1 THEN 'pk:duplicate_in_batch' END,
+         CASE WHEN EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = b.k) THEN 'pk:exists' END,
+         CASE WHEN (SELECT count(*) FROM b x WHERE x.cust = b.cust AND x.day = b.day)
+                 + (SELECT count(*) FROM orders t WHERE t.o_custkey = b.cust AND t.o_orderdate = b.day) > 1 THEN 'unique:cust_day' END) AS rules
+FROM b
+"""
+
 ORACLE["archive_split"] = f"""
 SELECT CAST(ts AS DATE) AS day, CASE WHEN ts < {AS_OF} - INTERVAL 20 DAY THEN 'ARCHIVE' ELSE 'KEEP' END AS bucket,
        count(*) AS n

@@ -30,6 +30,7 @@ from govframe.plans import standins as X
 from govframe.schemas import DRIVER, PERIOD_PATTERN
 from govframe.session import shared_path
 from govframe.sources import chains, sinks
+from govframe.sources.keyfilters import write_filtered
 from govframe.sources.tables import load_table, rows, view
 from govframe.streaming.count_feed import CountFeed
 
@@ -633,6 +634,26 @@ def validated_append_keys(spark, d):
     return out.groupBy("o_orderpriority", "rules").agg(F.count(F.lit(1)).alias("n"))
 
 
+@recipe
+def validated_append_filtered(spark, d):
+    """I-15, I-9, I-10, I-11: a small batch against stored versions with key filters: only the files that may hold one
+    of its keys are read, of orders for the key rules and of customers for the foreign key."""
+    o, c = _t(spark, d, "orders"), _t(spark, d, "customer")
+    files = 8  # so many, to have something to skip in the small test tables
+    orders = write_filtered(o.repartitionByRange(files, "o_orderkey"), shared_path(spark, "filtered"), 1, {"pk": ["o_orderkey"], "cust_day": ["o_custkey", "o_orderdate"]})
+    people = write_filtered(c.repartitionByRange(files, "c_custkey"), shared_path(spark, "filtered"), 1, {"pk": ["c_custkey"]})
+    dear = o.filter((F.col("o_totalprice") > 499_000) & (F.col("o_orderstatus") != "P"))
+    prio = F.col("o_orderpriority")
+    batch = dear.select(
+        F.when(prio == "1-URGENT", F.col("o_orderkey")).otherwise(-1 - F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(prio == "2-HIGH", F.col("o_custkey") + 1_000_000_000).otherwise(F.col("o_custkey")).alias("o_custkey"), "o_orderstatus", "o_totalprice",
+        F.when(prio == "3-MEDIUM", F.col("o_orderdate")).otherwise(F.col("o_orderdate") + F.expr("INTERVAL 100 YEARS")).alias("o_orderdate"), "o_orderpriority")
+    known = people.rows_for(batch.select(F.col("o_custkey").alias("c_custkey")))
+    ok, bad = C.validated_append(orders.rows_for(batch), batch, ["o_orderkey"], foreign_keys=[(known, ["o_custkey"], ["c_custkey"], "customer")],
+                                 unique={"cust_day": ["o_custkey", "o_orderdate"]})
+    return ok.select("o_orderkey", F.lit("").alias("rules")).unionByName(bad.select("o_orderkey", F.array_join("rules", ",").alias("rules")))
+
+
 @recipe
 def assign_ids(spark, d):
     """I-16: SEQUENCE START WITH 1000 INCREMENT BY 1, in key order."""
