@@ -17,8 +17,8 @@ sys.path.insert(0, ROOT)
 API = {
     "A-1": "sources.tables.load_table", "A-2": "sources.tables.rows", "A-3": "sources.tables.view + a view function",
     "A-4": "sources.sinks.append", "A-5": "sources.sinks.append / reports.quality_checklist",
-    "A-6": "sources.sinks.insert_if_absent", "A-7": "sources.sinks.snapshot_full",
-    "A-8": "sources.sinks.snapshot_diff, snapshot_diff_write, restore", "A-9": "functions.snapshot_path",
+    "A-6": "sources.sinks.insert_if_absent", "A-7": "sources.sinks.snapshot_full, sources.chains.write_full / restore_chain",
+    "A-8": "sources.sinks.snapshot_diff, snapshot_diff_write, restore; sources.chains.write_incremental / restore_chain", "A-9": "functions.snapshot_path",
     "A-10": "sources.sinks.SnapshotError (FAILED log row, re-raise)",
     "B-1": "DataFrame.select", "B-2": "F.lit", "B-3": "DataFrame.filter", "B-4": "Column.between",
     "B-5": "Column.isin", "B-6": "~Column.isin", "B-7": "Column.startswith", "B-8": "Column.contains",
@@ -45,7 +45,7 @@ API = {
     "I-7": "mutate.delete_cascade (set_null)", "I-8": "mutate.delete_cascade (no_action) / update_key / restrict_counts",
     "I-9": "constraints.pk_violations", "I-10": "constraints.unique_violations", "I-11": "constraints.fk_violations",
     "I-12": "constraints.check_violations", "I-13": "constraints.domain_violations",
-    "I-14": "constraints.apply_defaults", "I-15": "constraints.validated_append / governed.GovernedTable.validate",
+    "I-14": "constraints.apply_defaults", "I-15": "constraints.validated_append / governed.GovernedTable.validate; sources.keyfilters.write_filtered",
     "I-16": "numbering.assign_ids", "I-17": "mutate.with_full_name / with_computed", "I-18": "mutate.evolve / governed.GovernedTable.evolve (constraints follow renames)",
     "I-19": "mutate.extract_dimension", "I-20": "mutate.explode_attribute / N:M join",
     "J-1": "security.apply_session_events", "J-2": "security.apply_session_events",
@@ -54,11 +54,11 @@ API = {
     "J-9": "security.visibility_counts (visibility_matrix)", "J-10": "security.policy_report",
     "K-1": "reports.active_sessions", "K-2": "reports.latest_accesses", "K-3": "reports.audit_report",
     "K-4": "reports.audit_top", "K-5": "reports.action_summary", "K-6": "operators.audit.append_audit",
-    "K-7": "reports.permission_audit", "K-8": "reports.role_permissions", "K-9": "reports.effective_permissions",
+    "K-7": "reports.permission_audit", "K-8": "reports.role_permissions", "K-9": "reports.effective_permissions, role_ancestors, nested_memberships",
     "K-10": "reports.archive_split / write_archive", "K-11": "reports.snapshot_history",
     "K-12": "reports.quality_checklist", "K-13": "reports.label_format", "K-14": "isin + orderBy",
     "L-1": "operators.jsondoc.json_violations", "L-2": "operators.jsondoc.json_props", "L-3": "history.scd2",
-    "L-4": "history.scd2_apply", "L-5": "history.refresh_counts", "L-6": "reports.object_inventory",
+    "L-4": "history.scd2_apply, scd2_merge", "L-5": "history.refresh_counts; streaming.count_feed.CountFeed", "L-6": "reports.object_inventory",
     "L-7": "reports.impact", "L-8": "reports.storage_stats",
 }
 
