@@ -486,6 +486,13 @@ WITH {SESSIONS_CTE}
 SELECT u.usuario, u.subject, (SELECT count(*) FROM orders o WHERE o.o_custkey = u.subject) AS n_visible FROM usable u
 """
 
+ORACLE["rls_policy_bitmaps"] = f"""
+WITH {SESSIONS_CTE}
+SELECT u.usuario, u.subject, count(o.o_orderkey) AS n_session, count(*) FILTER (o.o_totalprice >= 150000) AS n_dear,
+       count(*) FILTER (o.o_orderstatus = 'O') AS n_open, count(*) FILTER (o.o_totalprice >= 150000 AND o.o_orderstatus = 'O') AS n_both
+FROM usable u LEFT JOIN orders o ON o.o_custkey = u.subject GROUP BY u.usuario, u.subject
+"""
+
 ORACLE["active_sessions"] = f"""
 WITH {SESSIONS_CTE}
 SELECT s.usuario, s.subject, c.c_name || ' ' || c.c_mktsegment AS full_name, s.started_at,
@@ -669,6 +676,12 @@ SELECT CAST(ts AS DATE) AS day, CASE WHEN ts < {AS_OF} - INTERVAL 20 DAY THEN 'A
 FROM events GROUP BY 1, 2
 """
 
+ORACLE["retention_by_day"] = """
+SELECT CAST(ts AS DATE) AS day, CASE WHEN ts < TIMESTAMP '2024-01-11 06:30:00' THEN 'ARCHIVE' ELSE 'KEEP' END AS bucket, count(*) AS n,
+       count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-11') AS n_rewritten
+FROM events GROUP BY 1, 2
+"""
+
 ORACLE["snapshot_history"] = """
 WITH runs AS (
   SELECT l.l_returnflag, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, o.o_orderdate, l.l_shipdate,

@@ -22,7 +22,8 @@ from govframe.functions.tsql import ts_literal
 from govframe.operators.security import LOGIN, LOGOUT, Principal, apply_session_events, usable_sessions
 from govframe.session import shared_path
 from govframe.sources.sinks import write_version
-from govframe.sources.tables import load_table
+from govframe.sources.stored import stored_once
+from govframe.sources.tables import load_table, table_path
 
 # Fixed values of the recipes: the report clock and the session lifetime rule.
 AS_OF = "2024-01-31 00:00:00"
@@ -65,7 +66,8 @@ def store(spark: SparkSession, sessions_df: DataFrame) -> DataFrame:
 
 
 def stored_sessions(spark: SparkSession, d: str) -> DataFrame:
-    return store(spark, sessions(spark, d))
+    """The session table of the given events, written once and read by every query that needs it."""
+    return stored_once(spark, "sessions", [table_path(d, "events"), table_path(d, "customer")], lambda: sessions(spark, d), sort_within=["usuario"])
 
 
 def first_usable_principal(sessions_df: DataFrame) -> Principal:
