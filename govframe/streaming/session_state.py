@@ -37,9 +37,8 @@ def _nat_to_none(v):
     return None if v is None or pd.isna(v) else v
 
 
-def _apply_user_events(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (usuario,) = key
-    old = state.get if state.exists else None  # (subject, active, started_at, expires_at)
+def fold_events(old: tuple | None, batches: Iterator[pd.DataFrame]) -> tuple | None:
+    """A user's session ``(subject, active, started_at, expires_at)`` after new events; ``None`` while there is none."""
     last, ends = None, []  # the latest login, and the logouts that are not before it
     for batch in batches:
         logins = batch[batch["kind"] == LOGIN]
@@ -63,10 +62,24 @@ def _apply_user_events(key: tuple, batches: Iterator[pd.DataFrame], state: Group
         if active and ends:
             active, expires = False, min(ends)[0]
     else:
-        return  # logouts of a user without a session change nothing
-    state.update((subject, bool(active), started, _nat_to_none(expires)))
-    yield pd.DataFrame([{"usuario": usuario, "subject": subject, "active": bool(active),
-                         "started_at": started, "expires_at": _nat_to_none(expires)}])
+        return None  # logouts of a user without a session change nothing
+    return subject, bool(active), started, _nat_to_none(expires)
+
+
+def _apply_user_events(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    (usuario,) = key
+    session = fold_events(state.get if state.exists else None, batches)
+    if session is None:
+        return
+    state.update(session)
+    yield pd.DataFrame([(usuario, *session)], columns=["usuario", "subject", "active", "started_at", "expires_at"])
+
+
+def valid_events(events: DataFrame, people: DataFrame, people_key: str) -> DataFrame:
+    """The logins whose subject exists, and all logouts."""
+    keys = people.select(F.col(people_key).alias("subject"))
+    logins = events.filter(F.col("kind") == LOGIN).join(keys, "subject", "left_semi")
+    return logins.unionByName(events.filter(F.col("kind") == LOGOUT))
 
 
 def session_changes_stream(events: DataFrame, people: DataFrame, people_key: str) -> DataFrame:
@@ -78,11 +91,7 @@ def session_changes_stream(events: DataFrame, people: DataFrame, people_key: str
     ``start_session_stream`` (foreachBatch), whose check only probes the
     distinct subjects of each batch.
     """
-    keys = people.select(F.col(people_key).alias("subject"))
-    logins = events.filter(F.col("kind") == LOGIN).join(keys, "subject", "left_semi")
-    logouts = events.filter(F.col("kind") == LOGOUT)
-    valid = logins.unionByName(logouts)
-    return valid.groupBy("usuario").applyInPandasWithState(
+    return valid_events(events, people, people_key).groupBy("usuario").applyInPandasWithState(
         _apply_user_events, SESSION_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
 
