@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from govframe.llm.common import fresh
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -159,14 +161,15 @@ def json_turns(df: DataFrame, doc_col: str = "record", mappings: tuple[Mapping,
 
     A document's own fingerprint selects its mapping, row by row.
     """
-    keyed = df.withColumn("_layout", json_fingerprint(F.col(doc_col)))
+    layout = fresh("_layout", df)
+    keyed = df.withColumn(layout, json_fingerprint(F.col(doc_col)))
     doc, parts, known = F.col(doc_col), [], []
     for m in mappings:
         if m.rows:
             continue
         key = hashlib.sha256(_shape(m.paths).encode()).hexdigest()[:16]
         known.append(key)
-        mine = keyed.filter(F.col("_layout") == key)
+        mine = keyed.filter(F.col(layout) == key)
         conv = F.get_json_object(doc, "$.conv_id").cast("long").alias("conv_id")
         if m.list_path:
             kind = f"array<struct<`{m.role_field}`: string, `{m.text_field}`: string>>"
@@ -174,7 +177,7 @@ def json_turns(df: DataFrame, doc_col: str = "record", mappings: tuple[Mapping,
             parts.append(listed.select("conv_id", F.col("turn").cast("long").alias("turn"), _renamed(F.col("_turn")[m.role_field], m).alias("role"), F.col("_turn")[m.text_field].alias("text")))
         else:
             parts.append(mine.select(conv, F.inline(_turn_array(m, lambda p, d=doc: F.get_json_object(d, f"$.{p}")))))
-    rest = keyed.filter(F.col("_layout").isNull() | ~F.col("_layout").isin(known)).drop("_layout")
+    rest = keyed.filter(F.col(layout).isNull() | ~F.col(layout).isin(known)).drop(layout)
     return reduce(DataFrame.unionByName, parts), rest
 
 

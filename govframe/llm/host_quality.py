@@ -1,8 +1,8 @@
 """Host-level quality rules.
 
 Each document is measured and judged by per-document rules.  The failures are then counted by host
-(the ``source`` column); a host's failure rate is shrunk towards the rate of all hosts by a beta
-prior that is fitted to the hosts themselves, and a host whose shrunk rate passes the limit loses
+(the ``source`` column); a host's failure rate, of each rule and of any rule, is shrunk towards the rate of all
+hosts by a beta prior that is fitted to the hosts themselves, and a host with a shrunk rate from the limit on loses
 all its documents.  Small hosts stay near the prior, so few documents cannot condemn a host.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``.  Null and empty texts have no words and fail the base rule.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,15 @@ from govframe.llm.common import arrow_map, as_bytes, cut_lineage, map_texts
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 #: Rules that are counted by host; each names a column of ``failures``.
-RULES = ("short", "repetitive", "symbols", "dup_lines", "word_length")
+RULES = ("short", "repetitive", "symbols", "dup_lines", "word_length", "any")
 
 
 @dataclass(frozen=True)
 class HostPolicy:
-    """``limit``: shrunk failure rate from which a host is rejected.  ``least_docs``: a host with fewer is left alone.
+    """``limit``: shrunk failure rate from which a host is rejected.
     ``weakest``, ``strongest``: bounds of the prior's weight in documents."""
 
     limit: float = 0.9
-    least_docs: int = 20
     weakest: float = 2.0
     strongest: float = 1000.0
 
@@ -79,13 +79,14 @@ def document_metrics(docs: DataFrame) -> DataFrame:
 def failures() -> dict[str, Column]:
     """Condition of each rule, in whole numbers."""
     words = F.col("n_words")
-    return {
+    each = {
         "short": words < 50,
         "repetitive": 100 * F.col("n_repeat_words") > 50 * words,
         "symbols": 10 * F.col("n_symbols") > 3 * words,
         "dup_lines": 2 * F.col("n_dup_lines") > words,
         "word_length": (words > 0) & ((F.col("word_chars") < 2 * words) | (F.col("word_chars") > 25 * words)),
     }
+    return {**each, "any": reduce(Column.__or__, each.values())}
 
 
 def host_verdicts(judged: DataFrame, policy: HostPolicy) -> DataFrame:
@@ -101,7 +102,7 @@ def host_verdicts(judged: DataFrame, policy: HostPolicy) -> DataFrame:
         a, b = beta_prior(total, r, policy)
         shrunk[r] = (F.col(f"n_{r}") + F.lit(a)) / (F.col("n_docs") + F.lit(a + b))
     worst = F.greatest(*shrunk.values())
-    return hosts.select("*", *(c.alias(f"rate_{r}") for r, c in shrunk.items()), ((worst >= policy.limit) & (F.col("n_docs") >= policy.least_docs)).alias("host_rejected"))
+    return hosts.select("*", *(c.alias(f"rate_{r}") for r, c in shrunk.items()), (worst >= policy.limit).alias("host_rejected"))
 
 
 def beta_prior(total, rule: str, policy: HostPolicy) -> tuple[float, float]:
@@ -120,7 +121,8 @@ def judge(spark: SparkSession, docs: DataFrame, policy: HostPolicy = HostPolicy(
     measured = document_metrics(docs)
     rules = failures()
     judged = cut_lineage(spark, measured.select("*", *(c.alias(f"fail_{r}") for r, c in rules.items())))
-    hosts = host_verdicts(judged, policy).select("host", "host_rejected")
+    # written first: beside its aggregate in one stage, Spark could not split a host with a third of the documents
+    hosts = cut_lineage(spark, host_verdicts(judged, policy).select("host", "host_rejected"))
     base = F.col("fail_short") | F.col("fail_repetitive")
     out = judged.join(hosts, "host", "left").withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
     return out.select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "host_rejected", (~base & ~F.col("host_rejected")).alias("kept"))

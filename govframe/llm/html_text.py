@@ -6,8 +6,8 @@ or tag that is no head matter.  SVG and MathML are told apart from HTML: there,
 lead out again.  ``render`` walks the tree and emits all text that a browser would show.
 
 Visible is everything but: head matter, scripts, styles, templates, fallback content, elements with
-``hidden``, ``display:none`` or ``visibility:hidden`` (a descendant may be ``visible`` again), closed dialogs and
-the body of closed details; in SVG, all outside ``text`` and ``foreignObject``, titles and definitions (``use`` is not
+``hidden``, ``display:none`` or ``visibility:hidden`` (a descendant may be ``visible`` again; both also from the page's
+``style`` elements, for selectors of a tag, classes and ids, by their strength), closed dialogs and the body of closed details; in SVG, all outside ``text`` and ``foreignObject``, titles and definitions (``use`` is not
 followed); in MathML, annotations and phantoms.
 
 Blocks, and each SVG ``text``, stand on lines of their own; formulas run inline; paragraphs, headings, lists, tables and the like are set off by one
@@ -17,9 +17,10 @@ lines of a cell stay below each other, and row and column spans keep their grid
 
 Bounds that keep the output in proportion to the page, and lose no text: indentation stops growing at
 ``DEEPEST`` levels, columns are padded to ``WIDEST`` characters at most, and tables inside ``NESTED`` tables are
-set as blocks; elements nested deeper than ``DEPTH`` become neighbours instead.
+set as blocks; elements nested deeper than ``DEPTH`` become neighbours instead, but what is
+hidden there stays hidden.  Style rules with combinators, attributes or pseudo-classes, or inside at-rules, are not followed.
 
-Null, empty and text-only pages: empty text, or the text itself.  Repeated rows are rendered again.
+An empty table gives no rows.  Null, empty and text-only pages: empty text, or the text itself.  Repeated rows are rendered again.
 """
 
 from __future__ import annotations
@@ -81,15 +82,21 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_DISPLAY_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
-_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\b", re.I)
+
+
+_SAYS_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_SAYS_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\s*(!\s*important)?", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_BRACE = re.compile(r"[{}]")
+_SIMPLE = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][a-zA-Z_-][\w-]*)*)")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "kind", "tag")
+    __slots__ = ("attrs", "children", "kind", "sunk", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], kind: str = ""):
         self.tag, self.attrs, self.children, self.kind = tag, attrs, [], kind
+        self.sunk: dict[str, int] | None = None  # elements in this one that are too deep to be opened, by tag
 
     def holds_html(self) -> bool:
         """Whether HTML stands in this element, which is one of SVG or MathML."""
@@ -98,6 +105,69 @@ class Node:
         return self.tag in HOLDS_HTML
 
 
+class Sheet:
+    """What the ``style`` elements of a page say about display and visibility, for selectors of one tag, classes and ids.
+
+    Selectors with combinators, attributes or pseudo-classes, and rules inside at-rules, are left out.
+    """
+
+    def __init__(self):
+        self.rules: dict[str, list[tuple]] = {}  # by an id, a class or the tag of the selector
+        self.n = 0
+
+    def add(self, css: str) -> None:
+        css, at = _COMMENT.sub(" ", css), 0
+        while (brace := css.find("{", at)) >= 0:
+            head = css[at:brace].rpartition(";")[2].strip()
+            if head.startswith("@"):
+                depth, at = 1, brace + 1
+                while depth and (m := _BRACE.search(css, at)):
+                    depth, at = depth + (1 if m.group() == "{" else -1), m.end()
+                if depth:
+                    return
+                continue
+            stop = css.find("}", brace)
+            body, at = css[brace + 1 : stop if stop >= 0 else len(css)], stop + 1 if stop >= 0 else len(css)
+            said = {name: m for name, m in (("display", _SAYS_DISPLAY.search(body)), ("visibility", _SAYS_VISIBILITY.search(body))) if m}
+            for selector in head.split(",") if said else ():
+                self._rule(selector.strip(), said)
+
+    def _rule(self, selector: str, said: dict[str, re.Match]) -> None:
+        m = _SIMPLE.fullmatch(selector)
+        if not selector or m is None:
+            return
+        tag = "" if m.group(1) in (None, "*") else m.group(1).lower()
+        parts = re.findall(r"[.#][^.#]+", m.group(2))
+        ids, classes = [p[1:] for p in parts if p[0] == "#"], frozenset(p[1:] for p in parts if p[0] == ".")
+        self.n += 1
+        rank = (len(ids), len(classes), bool(tag), self.n)
+        for name, says in said.items():
+            entry = (name, bool(says.group(2)), rank, says.group(1).lower(), tag, frozenset(ids), classes)
+            self.rules.setdefault(parts[0] if parts else tag or "*", []).append(entry)
+
+    def says(self, node: Node) -> dict[str, tuple[bool, tuple, str]]:
+        """Per property the strongest rule that fits: whether it is important, its rank, the value."""
+        out: dict[str, tuple[bool, tuple, str]] = {}
+        if not self.rules:
+            return out
+        classes, name = frozenset(node.attrs.get("class", "").split()), node.attrs.get("id")
+        for key in ("*", node.tag, *(f".{c}" for c in classes), f"#{name}"):
+            for prop, important, rank, value, tag, ids, wanted in self.rules.get(key, ()):
+                if (not tag or tag == node.tag) and wanted <= classes and all(i == name for i in ids):
+                    out[prop] = max(out.get(prop, (False, (), "")), (important, rank, value))
+        return out
+
+
+class Page(Node):
+    """The root of a page's tree, with its style rules."""
+
+    __slots__ = ("sheet",)
+
+    def __init__(self):
+        super().__init__("#root", {})
+        self.sheet = Sheet()
+
+
 def kind_in(parent: Node, tag: str) -> str:
     """What a new element is: svg, text (in SVG, from its text elements on), object (a foreignObject), math, or empty for HTML."""
     if tag in ("svg", "math"):
@@ -127,9 +197,9 @@ def closes_itself(text: str) -> bool:
     return last is None or last.group(4) is None or last.end() < len(text)
 
 
-def parse(page: str) -> Node:
+def parse(page: str) -> Page:
     """The tree of a page; its children are nodes and strings."""
-    root = Node("#root", {})
+    root = Page()
     stack = [root]
     begun = False  # a second head, or one after content, counts for nothing
 
@@ -146,6 +216,15 @@ def parse(page: str) -> Node:
         if stack[-1].tag == "head":
             stack.pop()
 
+    def opened(node: Node) -> None:
+        """Open an element; one that is too deep is only counted, unless its content must be told from its neighbours'."""
+        top = stack[-1]
+        if len(stack) < DEPTH or opens_deep(root.sheet, top, node, len(stack)):
+            stack.append(node)
+        else:
+            top.sunk = top.sunk or {}
+            top.sunk[node.tag] = top.sunk.get(node.tag, 0) + 1
+
     def close(tags: frozenset[str], barrier: frozenset[str]) -> None:
         """End open elements of ``tags``, outermost first met before a barrier."""
         found = 0
@@ -170,7 +249,9 @@ def parse(page: str) -> Node:
         end, start = m.group(1), m.group(2)
         if end:
             end = end.lower()
-            if end == "p" and not _open(stack, p_only, p_barrier):
+            if stack[-1].sunk and stack[-1].sunk.get(end):
+                stack[-1].sunk[end] -= 1
+            elif end == "p" and not _open(stack, p_only, p_barrier):
                 stack[-1].children.append(Node("p", {}))
             elif end == "br":
                 leave_head()
@@ -204,8 +285,8 @@ def parse(page: str) -> Node:
         if kind:
             node = Node(tag, attrs, kind)
             stack[-1].children.append(node)
-            if len(stack) < DEPTH and not closes_itself(m.group(3)):
-                stack.append(node)
+            if not closes_itself(m.group(3)):
+                opened(node)
             continue
         if tag in CLOSES_P:
             close(p_only, p_barrier)
@@ -223,13 +304,22 @@ def parse(page: str) -> Node:
             lowered = page.lower() if lowered is None and len(page.lower()) == len(page) else lowered
             stop = _raw_end(page, lowered, tag, at)
             body = page[at:stop]
+            if tag == "style" and attrs.get("media", "all").strip().lower() in ("all", "screen", ""):
+                root.sheet.add(body)
             if body:
                 node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
             close_at = page.find(">", stop)
             at = len(page) if close_at < 0 else close_at + 1
             continue
-        if len(stack) < DEPTH:
-            stack.append(node)
+        opened(node)
+
+
+def opens_deep(sheet: Sheet, top: Node, node: Node, depth: int) -> bool:
+    """Whether an element deeper than ``DEPTH`` is opened: a hidden one, so that its content stays hidden, and, up to
+    twice the depth, elements of SVG and MathML and those that set their visibility."""
+    if hides(top, sheet):
+        return False
+    return hides(node, sheet) or (depth < 2 * DEPTH and (bool(node.kind) or visibility(node, sheet) is not None))
 
 
 def _raw_end(page: str, lowered: str | None, tag: str, at: int) -> int:
@@ -379,16 +469,33 @@ class _Table:
         self.loose: list[str] = []  # captions and text outside cells
 
 
-def hides(node: Node) -> bool:
+def hides(node: Node, sheet: Sheet) -> bool:
     a = node.attrs
     if node.kind:
-        return node.tag in UNDRAWN or ("style" in a and bool(_DISPLAY_NONE.search(a["style"]))) or a.get("display") == "none"
-    if node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input"):
+        if node.tag in UNDRAWN or a.get("display") == "none":
+            return True
+    elif node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input"):
         return True
-    return "style" in a and bool(_DISPLAY_NONE.search(a["style"]))
+    return _stated(node, "display", _SAYS_DISPLAY, sheet) == "none"
+
+
+def visibility(node: Node, sheet: Sheet) -> str | None:
+    """The visibility that an element sets for itself and what it holds."""
+    return _stated(node, "visibility", _SAYS_VISIBILITY, sheet)
+
+
+def _stated(node: Node, prop: str, says: re.Pattern, sheet: Sheet) -> str | None:
+    """The value of a property: the last of the inline style, unless an important rule of the sheet is against it; else the sheet's."""
+    rule = sheet.says(node).get(prop) if sheet.rules else None
+    inline = None
+    for inline in says.finditer(node.attrs["style"]) if "style" in node.attrs else ():
+        pass
+    if inline is not None and (rule is None or not rule[0] or inline.group(2)):
+        return inline.group(1).lower()
+    return rule[2] if rule else None
 
 
-def render(root: Node) -> tuple[list[str], int, int]:
+def render(root: Page) -> tuple[list[str], int, int]:
     """Lines, tables and list items of a tree."""
     flows, tables, lists = [Flow()], [], []
     n_tables = n_items = 0
@@ -402,11 +509,10 @@ def render(root: Node) -> tuple[list[str], int, int]:
             continue
         tag = node.tag if not node.kind else "div" if node.tag in ("text", "foreignobject") else "span"
         if what == "in":
-            if hides(node):
+            if hides(node, root.sheet):
                 continue
-            style = node.attrs.get("style")
-            if style and (m := _VISIBILITY.search(style)):
-                shown = m.group(1).lower() == "visible"
+            if (sets := visibility(node, root.sheet)) is not None:
+                shown = sets == "visible"
             if tag == "br":
                 if shown:
                     flow.end(force=True)

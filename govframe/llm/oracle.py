@@ -86,6 +86,7 @@ _RULES = {
     "short": "n_words < 50", "repetitive": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > 3 * n_words",
     "dup_lines": "2 * n_dup_lines > n_words", "word_length": "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words)",
 }
+_RULES["any"] = " OR ".join(f"({c})" for c in _RULES.values())
 _PRIOR = ", ".join(
     f"least(greatest(avg(f_{r} / n_docs), 1e-6), 1 - 1e-6) AS m_{r}, coalesce(var_samp(f_{r} / n_docs), 0) AS v_{r}" for r in _RULES
 )
@@ -112,7 +113,7 @@ WITH w AS (
 k AS (SELECT *, {_WEIGHT} FROM p),
 bad AS (
   SELECT source FROM h, k
-  WHERE n_docs >= 20 AND greatest({", ".join(f"(f_{r} + m_{r} * k_{r}) / (n_docs + k_{r})" for r in _RULES)}) >= 0.9
+  WHERE greatest({", ".join(f"(f_{r} + m_{r} * k_{r}) / (n_docs + k_{r})" for r in _RULES)}) >= 0.9
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        ({_RULES["short"]}) OR ({_RULES["repetitive"]}) AS base_failed,

@@ -87,3 +87,10 @@ def test_query_is_native_and_right(spark):
     assert (planted.n_turns, planted.loss_chars) == (2, len(text))
     assert planted.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert planted.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_a_column_named_layout_is_kept(spark):
+    df = spark.createDataFrame([('{"conv_id": 1, "x": 2}', "mine"), ("no json", None)], "record string, _layout string")
+    turns, rest = C.json_turns(df)
+    assert turns.collect() == [] and rest.columns == df.columns
+    assert sorted((r._layout or "") for r in rest.collect()) == ["", "mine"]

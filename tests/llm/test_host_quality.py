@@ -62,3 +62,34 @@ def test_empty_and_no_hosts(spark):
     assert Q.judge(spark, frame(spark, [])).collect() == []
     assert Q.keep_documents(spark, frame(spark, [])).collect() == []
     assert [r.kept for r in Q.judge(spark, frame(spark, [(1, good(1)), (1, good(1))])).collect()] == [True, True]
+
+
+def test_failures_of_different_rules_count_together_and_no_host_is_too_small(spark):
+    rows = [(i, good(i), "en", f"h{i % 30}") for i in range(900)]  # thirty clean hosts pull the prior down
+    rows += [(1000 + i, "short" if i % 2 else f"again and again {i} " * 30, "en", "mixed") for i in range(100)] + [(1200, good(5), "en", "mixed")]
+    rows += [(2000 + i, "short", "en", "small") for i in range(19)] + [(2100, "short", "en", "one")]
+    by = {r.doc_id: r for r in Q.judge(spark, frame(spark, rows)).collect()}
+    assert by[1200].host_rejected and not by[1200].kept and not by[0].host_rejected
+    rate = {r.host: r for r in Q.host_verdicts(spark.createDataFrame(
+        [(r[3], *((len(r[1].split()) < 50, "again" in r[1], False, False, False)), len(r[1].split()) < 50 or "again" in r[1]) for r in rows],
+        "host string, " + ", ".join(f"fail_{x} boolean" for x in Q.RULES)), Q.HostPolicy()).collect()}
+    assert rate["mixed"].rate_short < 0.9 and rate["mixed"].rate_repetitive < 0.9 and rate["mixed"].rate_any >= 0.9
+    assert rate["small"].host_rejected == (rate["small"].rate_any >= 0.9) and not rate["one"].host_rejected  # the prior alone spares small hosts
+
+
+def test_a_hot_host_can_be_split(spark):
+    """Beyond the broadcast bound the verdicts meet the documents in a join that AQE splits: a host with a third of the rows."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = [(i, good(i % 50), "en", "hot" if i % 3 == 0 else f"h{i % 97}") for i in range(6000)]
+        out = Q.judge(spark, frame(spark, rows).repartition(8))
+        assert len(out.collect()) == len(rows)
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,3 +1,5 @@
+import html.parser
+import re
 import time
 
 import pytest
@@ -132,3 +134,80 @@ def test_no_drawing_is_too_deep_or_too_broken():
         H.page_text(bad * 10_000)
     assert H.page_text("<svg><g a" + "=" * 200_000 + "'/><text>x")[0] in ("", "x")
     assert time.time() - began < 60
+
+
+DEEP = "<div>" * 520
+HIDDEN_DEEP_AND_STYLED = {
+    DEEP + "<p hidden>secret</p>seen": "seen",
+    DEEP + "<div hidden><div>a</div>secret<div><div>b</div></div></div>seen": "seen",
+    DEEP + "<section><div style='display:none'><p>a<p>b</div>seen</section>": "seen",
+    DEEP + "<span style='visibility:hidden'>no<b>no</b><i style='visibility:visible'>yes</i></span>seen": "yesseen",
+    DEEP + "<svg>no<g>no<text>drawn</text></g></svg>seen": "drawn\nseen",
+    "<style>.x{display:none}</style><p class=x>css</p>seen": "seen",
+    "<p class='a x'>css</p>seen<style>/* .y{} */ p.x , #z { color:red; DISPLAY : None }</style><p id=z>no</p>": "seen",
+    "<style>.x{display:none} p.x{display:block}</style><p class=x>seen<span class=x>no</span>": "seen",
+    "<style>p.x{display:block} .x{display:none}</style><p class=x>seen": "seen",
+    "<style>.x{display:none!important} #i{display:block}</style><p class=x id=i style='display:block'>no</p>seen": "seen",
+    "<style>.x{display:none}</style><p class=x style='display:block'>seen": "seen",
+    "<style>@media print{.x{display:none} .y{display:none}} .y{visibility:hidden}</style><p class=x>seen<p class=y>no<b style='visibility:visible'>yes": "seen\n\nyes",
+    "<style media=print>.x{display:none}</style><p class=x>seen": "seen",
+    "<style>div .x, .x:hover, [class=x], .x > p {display:none}</style><p class=x>seen": "seen",
+    "<style>.x{display:none</style><p class=x>no</p>seen": "seen",
+    "<style>{}}{ .x, {display:none} @media {</style><p class=x>seen": "seen",  # no valid selector is left
+}
+
+
+@pytest.mark.parametrize("source", HIDDEN_DEEP_AND_STYLED)
+def test_hidden_stays_hidden(source):
+    assert H.page_text(source)[0] == HIDDEN_DEEP_AND_STYLED[source]
+
+
+def test_many_style_rules_and_deep_hidden_elements_are_no_trouble():
+    began = time.time()
+    H.page_text("<style>" + ".a{display:none}" * 50_000 + "{" * 50_000 + "</style>" + "<p class=a>x" * 50)
+    H.page_text("<div hidden>" * 50_000 + "x" + "</div>" * 50_000)
+    H.page_text("<span style='visibility:hidden'>" * 20_000)
+    assert time.time() - began < 60
+
+
+class Plain(html.parser.HTMLParser):
+    """A second, plain reader for well-formed pages: visible characters in order, without layout."""
+
+    UNSEEN = ("script", "style", "head", "template", "noscript", "title", "iframe", "object", "audio", "video", "canvas")
+    ALONE = ("br", "img", "hr", "meta", "link", "input", "wbr", "area", "source", "col", "base", "embed", "param", "track")
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag not in self.ALONE:
+            style = (a.get("style") or "").replace(" ", "")
+            self.open.append((tag, tag in self.UNSEEN or "hidden" in a or "display:none" in style or "visibility:hidden" in style))
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                return
+
+    def handle_data(self, data):
+        if not any(unseen for _, unseen in self.open):
+            self.out.append(data)
+
+
+def test_query_shows_what_a_plain_reader_sees_on_all_pages(spark):
+    """The words of all pages of the table, each as often, against a reader made on the standard library's tokenizer."""
+    from collections import Counter
+
+    from govframe.llm.queries import op3_html_text
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html").collect()
+    got = {r.page_id: r.text for r in op3_html_text(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(pages)
+    for p in pages:
+        plain = Plain()
+        plain.feed(p.html or "")
+        plain.close()
+        assert Counter(re.findall(r"[^\W\d_]+", got[p.page_id])) == Counter(re.findall(r"[^\W\d_]+", " ".join(plain.out))), p.page_id
