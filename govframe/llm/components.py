@@ -26,7 +26,7 @@ def components(spark: SparkSession, links: DataFrame, rounds: int | None = None)
     last, nodes = _total(label)
     done = 0
     while nodes and done != rounds:
-        label = cut_lineage(spark, _lowered(edges, compact(label), nodes <= BROADCAST_ROWS))
+        label = cut_lineage(spark, _lowered(spark, edges, compact(label), nodes <= BROADCAST_ROWS))
         now, _ = _total(label)  # labels only fall
         if now == last:
             break
@@ -38,10 +38,12 @@ def _total(label: DataFrame) -> tuple:
     return tuple(label.agg(F.sum(F.col("comp").cast("decimal(38,0)")), F.count("*")).first())
 
 
-def _lowered(edges: DataFrame, label: DataFrame, small: bool) -> DataFrame:
+def _lowered(spark: SparkSession, edges: DataFrame, label: DataFrame, small: bool) -> DataFrame:
     side = F.broadcast if small else lambda df: df
     of = lambda n, c: side(label.select(F.col("node").alias(n), F.col("comp").alias(c)))
     near = edges.join(of("v", "cv"), "v").join(of("u", "cu"), "u")
     lower = near.select(F.col("u").alias("node"), F.col("cv").alias("comp")).union(near.select("cu", "cv")).union(label).groupBy("node").agg(F.min("comp").alias("comp"))
+    if not small:  # written first: beside its aggregate in one stage, Spark could not split a component with a third of the nodes
+        lower = cut_lineage(spark, lower)
     up = lower.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
     return lower.join(side(up), "comp").select("node", F.col("top").alias("comp"))

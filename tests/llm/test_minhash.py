@@ -96,3 +96,34 @@ def test_components_of_paths_stars_and_nothing(spark):
     got = {r.node: r.comp for r in components(spark, df).collect()}
     assert got == smallest_reachable({x for e in links for x in e}, links)
     assert components(spark, df.limit(0)).collect() == []
+
+
+def test_labels_of_a_giant_component_are_dealt_over_tasks(spark):
+    """Without a broadcast, as beyond BROADCAST_ROWS: one component with most of the nodes, whose label is one join key."""
+    from pyspark.sql import functions as F
+
+    from govframe.llm import components as M
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    before, bound = {k: spark.conf.get(k, None) for k in settings}, M.BROADCAST_ROWS
+    n = 20_000
+    links = spark.range(1, n).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).union(
+        spark.range(n, n + 8000, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
+        label = edges.groupBy(F.col("u").alias("node")).agg(F.least(F.col("node"), F.min("v")).alias("comp"))
+        out = M._lowered(spark, edges, label.repartition(8), small=False)
+        assert out.filter("comp = 0").count() == n
+        out.collect()
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+        M.BROADCAST_ROWS = 0
+        got = components(spark, links)
+        assert got.filter(f"node < {n} AND comp <> 0 OR node >= {n} AND comp <> node - (node % 2)").isEmpty() and got.count() == n + 8000
+    finally:
+        M.BROADCAST_ROWS = bound
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
