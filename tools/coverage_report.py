@@ -49,13 +49,13 @@ API = {
     "I-16": "numbering.assign_ids", "I-17": "mutate.with_full_name / with_computed", "I-18": "mutate.evolve / governed.GovernedTable.evolve (constraints follow renames)",
     "I-19": "mutate.extract_dimension", "I-20": "mutate.explode_attribute / N:M join",
     "J-1": "security.apply_session_events", "J-2": "security.apply_session_events",
-    "J-3": "security.purge_sessions", "J-4": "security.rls_session", "J-5": "security.PolicyRegistry",
+    "J-3": "security.purge_sessions; streaming.session_timers", "J-4": "security.rls_session", "J-5": "security.PolicyRegistry",
     "J-6": "security.rls_flag", "J-7": "sources.tables.load_table(registry=...)", "J-8": "security.probe",
-    "J-9": "security.visibility_counts (visibility_matrix)", "J-10": "security.policy_report",
+    "J-9": "security.visibility_counts (visibility_matrix); visibility.write_policy_bitmaps, visible_to_holders", "J-10": "security.policy_report",
     "K-1": "reports.active_sessions", "K-2": "reports.latest_accesses", "K-3": "reports.audit_report",
     "K-4": "reports.audit_top", "K-5": "reports.action_summary", "K-6": "operators.audit.append_audit",
     "K-7": "reports.permission_audit", "K-8": "reports.role_permissions", "K-9": "reports.effective_permissions, role_ancestors, nested_memberships",
-    "K-10": "reports.archive_split / write_archive", "K-11": "reports.snapshot_history",
+    "K-10": "reports.archive_split / write_archive; retention.DayLog", "K-11": "reports.snapshot_history",
     "K-12": "reports.quality_checklist", "K-13": "reports.label_format", "K-14": "isin + orderBy",
     "L-1": "operators.jsondoc.json_violations", "L-2": "operators.jsondoc.json_props", "L-3": "history.scd2",
     "L-4": "history.scd2_apply, scd2_merge", "L-5": "history.refresh_counts; streaming.count_feed.CountFeed", "L-6": "reports.object_inventory",
