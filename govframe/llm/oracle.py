@@ -28,17 +28,27 @@ best AS (
   SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict_, length(rhost || rpath)) AS verdict_
   FROM m JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
   GROUP BY page_id
-), v AS (
-  SELECT m.*, best.rule, best.verdict_,
-         list_sort(list_filter({_listed(tuple(sorted(set(url_filter.STRICT + url_filter.SOFT))))}, lambda t: regexp_matches(translate(coalesce(url, ''), {_ASCII}), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])'))) AS terms
-  FROM m LEFT JOIN best USING (page_id)
+), vocabulary AS (
+  SELECT term, max(strict) AS strict, max(weight) AS weight FROM (
+    SELECT b || w || a AS term, 1 AS strict, 2.0::DOUBLE AS weight
+    FROM (SELECT unnest({_listed(url_filter.STRICT)}) AS w), (SELECT unnest({_listed(("", *url_filter.BEFORE))}) AS b), (SELECT unnest({_listed(("", *url_filter.AFTER))}) AS a)
+    UNION ALL SELECT unnest({_listed(url_filter.PHRASES)}), 1, 2.0
+    UNION ALL SELECT w || a, 0, 1.0 FROM (SELECT unnest({_listed(url_filter.SOFT)}) AS w), (SELECT unnest({_listed(("", *url_filter.SOFT_AFTER))}) AS a)
+    UNION ALL SELECT unnest({_listed(url_filter.WEAK)}), 0, 0.5
+  ) GROUP BY term
+), low AS (SELECT page_id, translate(coalesce(url, ''), {_ASCII}) AS low FROM pages),
+found AS (
+  SELECT page_id, term FROM (SELECT page_id, unnest(regexp_extract_all(low, '[a-z0-9]+')) AS term FROM low)
+  UNION
+  SELECT page_id, term FROM low, (SELECT unnest({_listed(url_filter.PHRASES)}) AS term) WHERE regexp_matches(low, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])')
 ), s AS (
-  SELECT *, len(list_filter(terms, lambda t: list_contains({_listed(url_filter.STRICT)}, t)))::INT AS n_strict FROM v
+  SELECT page_id, list(term ORDER BY term) AS terms, sum(strict)::INT AS n_strict, sum(1 - strict)::INT AS n_soft, sum(weight)::DOUBLE AS score
+  FROM found JOIN vocabulary USING (term) GROUP BY page_id
 )
-SELECT page_id, host, path, rule,
-       coalesce(verdict_, CASE WHEN n_strict > 0 OR len(terms) >= 2 THEN 'block' ELSE 'allow' END) AS verdict,
-       terms, n_strict, (len(terms) - n_strict)::INT AS n_soft, (2 * n_strict + len(terms) - n_strict)::INT AS score
-FROM s
+SELECT m.page_id, host, path, rule,
+       coalesce(verdict_, CASE WHEN n_strict > 0 OR (n_soft >= 2 AND score >= 2) THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(terms, []) AS terms, coalesce(n_strict, 0) AS n_strict, coalesce(n_soft, 0) AS n_soft, coalesce(score, 0) AS score
+FROM m LEFT JOIN best ON best.page_id = m.page_id LEFT JOIN s ON s.page_id = m.page_id
 """
 
 _CHAT = r"""
