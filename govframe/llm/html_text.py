@@ -12,12 +12,13 @@ followed); in MathML, annotations and phantoms.
 
 Blocks, and each SVG ``text``, stand on lines of their own; formulas run inline; paragraphs, headings, lists, tables and the like are set off by one
 blank line.  White space collapses outside ``pre`` and ``textarea``.  List items get ``- `` or their number and are
-indented by nesting.  Table cells are padded to their column's width and parted by two spaces; the
-lines of a cell stay below each other, and row and column spans keep their grid places.
+indented by nesting.  Table cells, at any depth, are padded to their column's width and parted by two spaces; the
+lines of a cell stay below each other, and row and column spans keep their grid places.  A cell wider than its columns
+moves the rest of its row to a line below, in their places.  Widths count East Asian wide characters as two columns and combining marks as none.
 
 Bounds that keep the output in proportion to the page, and lose no text: indentation stops growing at
-``DEEPEST`` levels, columns are padded to ``WIDEST`` characters at most, and tables inside ``NESTED`` tables are
-set as blocks; elements nested deeper than ``DEPTH`` become neighbours instead, but what is
+``DEEPEST`` levels; a table whose padding alone would be over ``PADDING`` times its text (and over ``PADDING_LEAST``
+characters) has its cells set below each other; elements nested deeper than ``DEPTH`` become neighbours instead, but what is
 hidden there stays hidden.  Style rules with combinators, attributes or pseudo-classes, or inside at-rules, are not followed.
 
 An empty table gives no rows.  Null, empty and text-only pages: empty text, or the text itself.  Repeated rows are rendered again.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from govframe.llm.common import map_texts
 
-DEEPEST, WIDEST, NESTED, DEPTH = 24, 80, 6, 512
+DEEPEST, DEPTH, PADDING, PADDING_LEAST = 24, 512, 64, 20_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -427,10 +429,17 @@ def _number(value: str | None, least: int, most: int, default: int) -> int:
     return min(max(int(m.group(1)), least), most) if m else default
 
 
+def columns_of(s: str) -> int:
+    """Columns that a line takes on a terminal."""
+    if s.isascii():
+        return len(s)
+    return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
+
+
 def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Aligned lines of rows of (lines, colspan, rowspan)."""
     busy: dict[int, int] = {}  # column -> rows below that a cell from above still holds
-    placed: list[list[tuple[int, int, list[str]]]] = []
+    placed: list[list[tuple[int, list[str], list[int]]]] = []
     width: dict[int, int] = {}
     for row in rows:
         column, cells = 0, []
@@ -439,9 +448,10 @@ def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
         for lines, across, down in row:
             while column in held:
                 column += 1
-            cells.append((column, across, lines))
+            widths = list(map(columns_of, lines))
+            cells.append((column, lines, widths))
             if across == 1:
-                width[column] = max(width.get(column, 0), min(WIDEST, max(map(len, lines), default=0)))
+                width[column] = max(width.get(column, 0), max(widths, default=0))
             if down > 1:
                 busy.update(dict.fromkeys(range(column, column + across), down - 1))
             column += across
@@ -450,15 +460,26 @@ def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     for column in sorted({c for cells in placed for c, _, _ in cells} | set(width)):
         starts[column] = at
         at += width.get(column, 0) + 2
+
+    # at most what alignment adds: every line of a cell from the left margin on
+    text = sum(len(line) - line.count(" ") for cells in placed for _, lines, _ in cells for line in lines)
+    padded = sum(starts[column] * sum(map(bool, lines)) for cells in placed for column, lines, _ in cells)
+    if padded > max(PADDING_LEAST, PADDING * text):
+        return [line for cells in placed for _, lines, _ in cells for line in lines]
+
     out = []
     for cells in placed:
-        for i in range(max((len(lines) for _, _, lines in cells), default=0)):
-            line = ""
-            for column, _, lines in cells:
-                part = lines[i] if i < len(lines) else ""
-                if part:
-                    line = line.ljust(starts[column])
-                    line += ("  " if line and not line.endswith("  ") else "") + part
+        for i in range(max((len(lines) for _, lines, _ in cells), default=0)):
+            line, reach = "", 0
+            for column, lines, widths in cells:
+                if i >= len(lines) or not lines[i]:
+                    continue
+                start = starts[column]
+                if reach and reach + 2 > start:  # the cell before is wider than its columns
+                    out.append(line.rstrip())
+                    line, reach = "", 0
+                line += " " * (start - reach) + lines[i]
+                reach = start + widths[i]
             out.append(line.rstrip())
     return out
 
@@ -540,12 +561,9 @@ def render(root: Page) -> tuple[list[str], int, int]:
                 flow.indent += 1
             elif tag == "table":
                 n_tables += shown
-                if len(tables) < NESTED:
-                    tables.append(_Table())
-                    todo.append(("table", node, shown, keep))
-                    flows.append(Flow())
-                else:
-                    todo.append(("out", node, shown, keep))
+                tables.append(_Table())
+                todo.append(("table", node, shown, keep))
+                flows.append(Flow())
                 _children(todo, node, shown, keep)
                 continue
             elif tag == "tr" and tables:

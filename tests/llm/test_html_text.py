@@ -211,3 +211,39 @@ def test_query_shows_what_a_plain_reader_sees_on_all_pages(spark):
         plain.feed(p.html or "")
         plain.close()
         assert Counter(re.findall(r"[^\W\d_]+", got[p.page_id])) == Counter(re.findall(r"[^\W\d_]+", " ".join(plain.out))), p.page_id
+
+
+def nested(depth, inside):
+    return "<table><tr><td>n<td>" * depth + inside + "</table>" * depth
+
+
+WIDE_AND_NESTED = {
+    # a cell of any width is aligned
+    f"<table><tr><td>{'w' * 90}<td>a<tr><td>x<td>b</table>": f"{'w' * 90}  a\nx{' ' * 91}b",
+    # one that spans columns too narrow for it moves what follows to a line below, in its place
+    "<table><tr><td colspan=2>very wide cell<td>a<tr><td>x<td>y<td>b</table>": "very wide cell\n      a\nx  y  b",
+    # tables in tables keep their columns, however deep
+    nested(12, "<table><tr><td>long<td>1<tr><td>s<td>2</table>"): "n  " * 12 + "long  1\n" + "   " * 12 + "s     2",
+    # wide characters take two columns, combining marks none
+    "<table><tr><td>\u6f22\u5b57<td>a<tr><td>abcd<td>b<tr><td>e\u0301<td>c</table>": "\u6f22\u5b57  a\nabcd  b\ne\u0301     c",
+}
+
+
+@pytest.mark.parametrize("source", WIDE_AND_NESTED)
+def test_cells_of_wide_and_nested_tables_are_aligned(source):
+    assert H.page_text(source)[0] == WIDE_AND_NESTED[source]
+
+
+def test_padding_stays_in_proportion_and_no_text_is_lost():
+    began = time.time()
+    wide = "".join(f"<td>{'w' * 80}" for _ in range(900))
+    pages = [
+        "<table><tr>" + wide + "<tr><td colspan=899><td>seen" * 5_000 + "</table>",
+        nested(170, "x<br>" * 20_000),
+        "<table><tr><td>" + "w" * 200_000 + "<td>a" + "<tr><td><td>b" * 20_000 + "</table>",
+    ]
+    for page, word, times in zip(pages, ("seen", "x", "b"), (5_000, 20_000, 20_000), strict=True):
+        text = H.page_text(page)[0]
+        assert text.count(word) == times
+        assert len(text) < 200 * len(page)
+    assert time.time() - began < 60
