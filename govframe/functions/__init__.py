@@ -8,6 +8,8 @@ from govframe.functions.tsql import (
     convert_ts,
     datediff_boundary,
     is_json,
+    json_marked,
+    json_scalar,
     json_value,
     like_to_regex,
     like_tsql,
@@ -18,5 +20,5 @@ from govframe.functions.tsql import (
 
 __all__ = [
     "CONVERT_STYLES", "add_interval", "ceil_int", "ci", "convert_ts", "datediff_boundary", "is_json",
-    "json_value", "like_to_regex", "like_tsql", "plus", "snapshot_path", "ts_literal",
+    "json_marked", "json_scalar", "json_value", "like_to_regex", "like_tsql", "plus", "snapshot_path", "ts_literal",
 ]

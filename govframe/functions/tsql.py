@@ -189,18 +189,30 @@ def is_json(col: ColumnOrName) -> Column:
     return F.when(c.isNotNull(), F.when(_opens(c), by_grammar).otherwise(F.lit(False)))
 
 
-def json_value(col: ColumnOrName, path: str) -> Column:
-    """``JSON_VALUE(col, path)``: the scalar at ``path`` as it is written, else NULL.
+def json_marked(col: ColumnOrName) -> Column:
+    """The document with each scalar value as a string that starts with ``=``; NULL unless ``is_json``.
 
-    Numbers keep their text (``1.50``, ``1e2``, any number of digits), strings
-    are unescaped, and of equal keys the first counts.  Objects, arrays,
-    ``null`` and invalid JSON give NULL.  Every scalar value is turned into a
-    string that starts with ``=`` first, so no number is converted and a
-    text is told from a nested object.
+    So no number is converted, and a text is told from a nested object.  It does not depend on a path: take
+    it once per row and read any number of paths from it with ``json_scalar``.
     """
     c = _c(col)
     tokens = rf'({_JSON_STRING}{_JSON_SPACE}*+:)|"((?:[^"\\]|\\.)*+)"|({_JSON_NUMBER}|true|false)'
     marked = F.regexp_replace(c, tokens, "$1\x01=$2$3\x01")
     marked = F.regexp_replace(marked, "(:)\x01=\x01", "$1")  # what a key left behind
-    found = F.get_json_object(F.replace(marked, F.lit("\x01"), F.lit('"')), path)
-    return F.when(is_json(c) & found.startswith("="), F.substr(found, F.lit(2)))
+    return F.when(is_json(c), F.replace(marked, F.lit("\x01"), F.lit('"')))
+
+
+def json_scalar(marked: ColumnOrName, path: str) -> Column:
+    """The scalar at ``path`` of a document that ``json_marked`` prepared, else NULL."""
+    found = F.get_json_object(_c(marked), path)
+    return F.when(found.startswith("="), F.substr(found, F.lit(2)))
+
+
+def json_value(col: ColumnOrName, path: str) -> Column:
+    """``JSON_VALUE(col, path)``: the scalar at ``path`` as it is written, else NULL.
+
+    Numbers keep their text (``1.50``, ``1e2``, any number of digits), strings
+    are unescaped, and of equal keys the first counts.  Objects, arrays,
+    ``null`` and invalid JSON give NULL.
+    """
+    return json_scalar(json_marked(col), path)

@@ -145,18 +145,17 @@ def keys_present(table: DataFrame, probe: DataFrame, keys: Sequence[str]) -> Dat
     return table.select(*keys).join(wanted, keys, "left_semi").distinct()
 
 
-def validated_append(
+def tag_batch(
     target: DataFrame,
     candidates: DataFrame,
     pk: Sequence[str],
     foreign_keys: Sequence[tuple[DataFrame, Sequence[str], Sequence[str], str]] = (),
     checks: Mapping[str, Column] | None = None,
     unique: Mapping[str, Sequence[str]] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Validate a batch, then split it into ``(accepted, rejected)``.
+) -> DataFrame:
+    """The batch with ``rules``: the sorted names of every rule a row breaks, none if it may be appended.
 
-    ``rejected`` carries ``rules``: the sorted names of every rule the row
-    breaks.  Rules: primary key (NULL, already in target, repeated inside
+    Rules: primary key (NULL, already in target, repeated inside
     the batch), each UNIQUE key against target and batch, each foreign key
     ``(parent, fk_cols, pk_cols, name)``, each CHECK.  Every rule is a
     column computed with one aggregate or one outer join on its key, so no
@@ -205,7 +204,31 @@ def validated_append(
     for name, cond in (checks or {}).items():
         flags.append(F.when(~F.coalesce(cond, F.lit(True)), F.lit(f"check:{name}")))
 
-    tagged = df.withColumn("rules", F.array_sort(F.filter(F.array(*flags), lambda x: x.isNotNull()))).drop(*drop)
-    accepted = tagged.filter(F.size("rules") == 0).drop("rules").select(*candidates.columns)
-    rejected = tagged.filter(F.size("rules") > 0).select(*candidates.columns, "rules")
-    return accepted, rejected
+    broken = F.array_sort(F.filter(F.array(*flags), lambda x: x.isNotNull()))
+    return df.withColumn("rules", broken).drop(*drop).select(*candidates.columns, "rules")
+
+
+def validated_append(
+    target: DataFrame,
+    candidates: DataFrame,
+    pk: Sequence[str],
+    foreign_keys: Sequence[tuple[DataFrame, Sequence[str], Sequence[str], str]] = (),
+    checks: Mapping[str, Column] | None = None,
+    unique: Mapping[str, Sequence[str]] | None = None,
+    store: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Validate a batch (``tag_batch``), then split it into ``(accepted, rejected)``; ``rejected`` carries ``rules``.
+
+    Both frames come from the same tagging, which runs again for each frame that is used.  With ``store``, a folder that all
+    executors see, it runs once: the batch is written there, divided by outcome, and each frame reads its own part.
+    """
+    tagged = tag_batch(target, candidates, pk, foreign_keys, checks, unique)
+    if store is None:
+        ok, bad = tagged.filter(F.size("rules") == 0), tagged.filter(F.size("rules") > 0)
+        return ok.select(*candidates.columns), bad
+    outcome = "_outcome"
+    while outcome in candidates.columns:
+        outcome += "_"
+    tagged.withColumn(outcome, F.when(F.size("rules") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))).write.mode("overwrite").partitionBy(outcome).parquet(store)
+    kept = candidates.sparkSession.read.schema(tagged.select(*tagged.columns, F.lit("").alias(outcome)).schema).parquet(store)
+    return kept.filter(F.col(outcome) == "accepted").select(*candidates.columns), kept.filter(F.col(outcome) == "rejected").select(*tagged.columns)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govframe.functions.tsql import is_json, json_value
+from govframe.functions.tsql import is_json, json_marked, json_scalar
 
 
 def json_violations(df: DataFrame, col: str, keep: Sequence[str] | None = None) -> DataFrame:
@@ -17,5 +17,12 @@ def json_violations(df: DataFrame, col: str, keep: Sequence[str] | None = None)
 
 
 def json_props(df: DataFrame, col: str, paths: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """``JSON_VALUE(col, path) AS name`` for several paths (scalars only; NULL otherwise)."""
-    return df.select(*keep, *[json_value(col, path).alias(name) for name, path in paths.items()])
+    """``JSON_VALUE(col, path) AS name`` for several paths (scalars only; NULL otherwise).
+
+    Each document is checked and prepared once, whatever the number of paths.
+    """
+    marked = "_marked"
+    while marked in df.columns:
+        marked += "_"
+    ready = df.select(*df.columns, json_marked(col).alias(marked))
+    return ready.select(*keep, *[json_scalar(marked, path).alias(name) for name, path in paths.items()])

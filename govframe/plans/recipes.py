@@ -613,6 +613,7 @@ def validated_append(spark, d):
         o, order_candidates(o), ["o_orderkey"],
         foreign_keys=[(c, ["o_custkey"], ["c_custkey"], "customer")],
         checks={"price_nonneg": F.col("o_totalprice") >= 0},
+        store=shared_path(spark, "validated"),
     )
     a = acc.select(F.lit("ACCEPTED").alias("outcome"), F.lit("").alias("rules"))
     r = rej.select(F.lit("REJECTED").alias("outcome"), F.array_join("rules", ",").alias("rules"))

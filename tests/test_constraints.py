@@ -157,3 +157,16 @@ def test_datetime_default_is_wall_clock(spark):
     df = spark.createDataFrame([(1,)], "id int")
     out = C.apply_defaults(df, {"at": dt.datetime(2024, 1, 31, 23, 30)}).first()
     assert out.at == dt.datetime(2024, 1, 31, 23, 30)
+
+
+def test_a_batch_tagged_once_and_stored_splits_the_same_way(spark, tmp_path):
+    target = spark.createDataFrame([(1, "a")], "k int, rules_of string")
+    batch = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z"), (3, "z"), (None, None)], "k int, _outcome string")
+    plain, stored = [C.validated_append(target, batch, ["k"], checks={"no_z": F.col("_outcome") != "z"}, store=s) for s in (None, str(tmp_path / "batch"))]
+    for a, b in zip(plain, stored, strict=True):
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert [tuple(r) for r in stored[0].collect()] == [(2, "y")]
+    assert "Join" not in stored[1]._jdf.queryExecution().executedPlan().toString()
+    empty = C.validated_append(target, batch.limit(0), ["k"], store=str(tmp_path / "none"))
+    assert [f.count() for f in empty] == [0, 0]

@@ -288,3 +288,17 @@ def test_case_insensitive_like_is_accent_sensitive(spark):
         like_tsql(F.lit("JOSE PEREZ"), "josé%", fixed_char=False, case_insensitive=True).alias("other_accent"),
     ).first()
     assert (r.same_accent, r.other_accent) == (True, False)
+
+
+def test_json_paths_share_one_prepared_document(spark):
+    from govframe.functions import json_value
+    from govframe.operators.jsondoc import json_props
+
+    docs = [(1, '{"a": 1.50, "b": {"c": "x\\"y"}, "_marked": true}', "m"), (2, '{"a": "=", "b": []}', "m"), (3, "[1]", "m"), (4, "{a}", None), (5, None, "m"), (6, '{"a": null, "a": 2}', "m")]
+    df = spark.createDataFrame(docs, "id int, doc string, _marked string")
+    paths = {"a": "$.a", "c": "$.b.c", "b": "$.b", "m": "$._marked"}
+    got = json_props(df, "doc", paths, keep=["id", "_marked"])
+    alone = df.select("id", "_marked", *[json_value("doc", p).alias(n) for n, p in paths.items()])
+    assert sorted(map(str, got.collect())) == sorted(map(str, alone.collect()))
+    assert {r.id: (r.a, r.c, r.m) for r in got.collect()}[1] == ("1.50", 'x"y', "true")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1  # the grammar runs once
