@@ -103,3 +103,12 @@ def test_prediction_never_sees_labels_or_sources(spark):
     plain = sorted((r.doc_id, r.lang_pred, r.score) for r in L.label(spark, docs, model).collect())
     blind = docs.withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None).cast("string"))
     assert sorted((r.doc_id, r.lang_pred, r.score) for r in L.label(spark, blind, model).collect()) == plain
+
+
+def test_only_the_most_frequent_languages_are_learned(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran " * 3, "en") for i in range(40)] + [(100 + i, "le chat est sur la table et le chien court " * 3, "fr") for i in range(40)]
+    rows += [(200 + i, "odd words here", f"junk{i}") for i in range(30)] + [(300 + i, "le la les", "und") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.learn(spark, docs, L.Sample(langs=2, rounds=5))
+    assert model.langs == ["en", "fr"]
+    assert "und" not in L.learn(spark, docs, L.Sample(langs=5, rounds=1)).langs
