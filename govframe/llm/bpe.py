@@ -10,7 +10,7 @@ Within one piece this is the usual rule (always merge the pair of lowest rank, t
 first), as in a rank file a token ranks after the tokens that its merges are made of.
 
 Blocks bound the memory; no result depends on where they end.  Null text counts as empty and has
-no ids.  Very long pieces cost n log n.  Nothing is shuffled; repeated rows are encoded again.
+no ids; an empty table gives no rows.  Very long pieces cost n log n.  Nothing is shuffled; repeated rows are encoded again.
 """
 
 from __future__ import annotations
