@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 from govframe.functions.tsql import add_interval, datediff_boundary, like_tsql, plus
 from govframe.operators.numbering import global_row_number
 from govframe.operators.security import _as_of
-from govframe.session import ensure_checkpoint_dir
+from govframe.session import ensure_checkpoint_dir, shared_path
 
 ColumnOrName = Column | str
 
+# Requests whose answers one task holds: its hash tables then have the same size whatever the number of requests.
+TASK_ROWS = 1_000_000
+
 # The yes/no labels of the audit report and the success/failure labels of its top view.
 YES, NO = "SÍ", "NO"
 SUCCESS_LABEL, FAILURE_LABEL = "ÉXITO", "FALLO"
@@ -224,6 +227,10 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     its roles) -- bounded by the user's role count -- and each key is
     probed at object and at scope level, so no member x object pairs are
     ever produced.
+
+    The distinct requests are written once to the shared folder and read from there by every branch.  The answers are
+    dealt by request over as many tasks as ``TASK_ROWS`` asks for, and meet only there: without a hash table of
+    requests before that shuffle, and with a number of tasks that AQE does not coalesce by their small shuffled size.
     """
     if role_memberships is not None:
         memberships = nested_memberships(memberships, role_memberships)
@@ -235,10 +242,16 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
         F.max(F.when(F.col("state") == "DENY", 1).otherwise(0)).alias("_deny"),
         F.max(F.when(F.col("state") == "GRANT", 1).otherwise(0)).alias("_grant"),
     )
+    asked = ["user_id", "object_id", "permission"]
+    spark, path = requests.sparkSession, shared_path(requests.sparkSession, "requests")
+    requests = requests.select(*asked).distinct()
+    requests.write.parquet(path)
+    requests = spark.read.schema(requests.schema).parquet(path)
+    tasks = -(-requests.count() // TASK_ROWS) or 1
     # All lookups of all requests are stacked and meet the grants in one join;
     # the requests themselves join the final aggregate, so none is lost.
-    req = requests.join(objects.select("object_id", "scope"), "object_id", "left")
-    asked = ["user_id", "object_id", "permission"]
+    # A NULL equals no key: such a request is looked up nowhere.
+    req = requests.filter("user_id IS NOT NULL AND object_id IS NOT NULL AND permission IS NOT NULL").join(objects.select("object_id", "scope"), "object_id", "left")
 
     def lookups(df: DataFrame, prefix: str, holder: str) -> DataFrame:
         who = F.concat(F.lit(prefix), F.col(holder).cast("string")).alias("grantee")
@@ -249,7 +262,8 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     by_role = req.join(memberships.select("user_id", "role_id").distinct(), "user_id")
     hits = lookups(req, "U:", "user_id").unionByName(lookups(by_role, "R:", "role_id")).join(g, key)
     none = requests.select(*asked, F.lit(0).alias("_deny"), F.lit(0).alias("_grant"))
-    agg = hits.select(*asked, "_deny", "_grant").unionByName(none).groupBy(*asked).agg(F.max("_deny").alias("d"), F.max("_grant").alias("g"))
+    dealt = hits.select(*asked, "_deny", "_grant").unionByName(none).repartition(tasks, *asked)
+    agg = dealt.groupBy(*asked).agg(F.max("_deny").alias("d"), F.max("_grant").alias("g"))
     return agg.select(
         *asked,
         F.when(F.col("d") == 1, F.lit("DENY")).when(F.col("g") == 1, F.lit("GRANT")).otherwise(F.lit("NONE")).alias("effective"),

@@ -1,6 +1,7 @@
 """Nested roles, runs of changes per key, and counts kept by a change feed."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,41 @@ def test_deny_on_any_path_wins(spark):
     assert flat[(1, 7)] == "NONE" and flat[(1, 8)] == "GRANT"
 
 
+def test_answers_are_dealt_over_tasks_of_bounded_rows(spark, monkeypatch):
+    """3,000 requests, some asked twice, some with NULLs: each task holds the answers of about TASK_ROWS of them, however few bytes they are."""
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    pairs = [(u, o) for u in range(60) for o in range(50)]
+    schema = "user_id long, object_id long, permission string"
+    asked = spark.createDataFrame([(u, o, "SELECT") for u, o in pairs + pairs[:500]] + [(None, 1, "SELECT"), (1, None, "SELECT"), (1, 1, None)], schema)
+    members = spark.createDataFrame([(u, u % 4) for u in range(60)] * 2, "user_id long, role_id long")
+    objects = spark.createDataFrame([(o, "even" if o % 2 == 0 else None) for o in range(49)], "object_id long, scope string")
+    grants = spark.createDataFrame(
+        [("R:1", "SCOPE", "even", "SELECT", "GRANT"), ("R:1", "OBJECT", "4", "SELECT", "DENY"), ("U:2", "OBJECT", "49", "SELECT", "GRANT"), ("R:9", "OBJECT", "3", "SELECT", "DENY")],
+        "grantee string, level string, securable string, permission string, state string")
+    nested = spark.createDataFrame([(3, 9)], "role_id long, parent_id long")
+
+    def effective(u, o):
+        if (u % 4 == 1 and o == 4) or (u % 4 == 3 and o == 3):
+            return "DENY"
+        return "GRANT" if (u % 4 == 1 and o % 2 == 0) or (u, o) == (2, 49) else "NONE"
+
+    found = R.effective_permissions(asked, members, objects, grants, role_memberships=nested).withColumn("task", F.spark_partition_id()).collect()
+    got = {(r.user_id, r.object_id, r.permission): r.effective for r in found}
+    assert len(found) == len(got) == 3003
+    assert got == {(u, o, "SELECT"): effective(u, o) for u, o in pairs} | dict.fromkeys([(None, 1, "SELECT"), (1, None, "SELECT"), (1, 1, None)], "NONE")
+    sizes = Counter(r.task for r in found)
+    assert len(sizes) > 25 and max(sizes.values()) < 200
+
+
+def test_no_requests(spark):
+    """An empty list of requests has an empty answer, of the same columns."""
+    asked = spark.createDataFrame([], "user_id long, object_id long, permission string")
+    members, objects = spark.createDataFrame([(1, 1)], "user_id long, role_id long"), spark.createDataFrame([(1, "s")], "object_id long, scope string")
+    grants = spark.createDataFrame([("R:1", "SCOPE", "s", "SELECT", "GRANT")], "grantee string, level string, securable string, permission string, state string")
+    found = R.effective_permissions(asked, members, objects, grants)
+    assert found.columns == ["user_id", "object_id", "permission", "effective"] and found.collect() == []
+
+
 # ----------------------------------------------------- runs of changes ----
 
 OPEN = "9999"
