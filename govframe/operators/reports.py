@@ -247,7 +247,7 @@ def effective_permissions(requests: DataFrame, memberships: DataFrame, objects:
     requests = requests.select(*asked).distinct()
     requests.write.parquet(path)
     requests = spark.read.schema(requests.schema).parquet(path)
-    tasks = -(-requests.count() // TASK_ROWS) or 1
+    tasks = max(2, -(-requests.count() // TASK_ROWS))  # no table goes to one task
     # All lookups of all requests are stacked and meet the grants in one join;
     # the requests themselves join the final aggregate, so none is lost.
     # A NULL equals no key: such a request is looked up nowhere.
